@@ -89,6 +89,26 @@ def shorten(col: Column | str, width: int = SLUG_WIDTH) -> Column:
     )
 
 
+@F.pandas_udf(T.StringType())
+def _shorten_udf(values: pd.Series) -> pd.Series:
+    return values.map(
+        lambda v: None if v is None else textwrap.shorten(v, width=SLUG_WIDTH, placeholder=SHORTEN_PLACEHOLDER)
+    )
+
+
+def shorten_text(col: Column | str) -> Column:
+    """``textwrap.shorten(text, 60)`` for any text.
+
+    Text with a hyphen to break at, or with whitespace beyond ASCII, goes to
+    a vectorised UDF (NULL for every other row); the rest stays in Catalyst.
+    """
+    text = _c(col)
+    slow = text.rlike(r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]") | (
+        text.contains("-") & (F.length(collapse_ws(text)) > SLUG_WIDTH)
+    )
+    return F.when(~slow, shorten(text)).otherwise(_shorten_udf(F.when(slow, text)))
+
+
 # ---------------------------------------------------------------- SC-5 slugify
 
 

@@ -43,13 +43,9 @@ def _cost(tokens: str, price: str) -> F.Column:
     return (F.col(tokens).cast(T.DecimalType(18, 0)) * F.col(price)).cast(MONEY_TYPE)
 
 
-def cost_by_model(usage: DataFrame, prices: DataFrame) -> DataFrame:
-    """AG-1: tokens and exact cost per model.
-
-    Every reply is billed, failed ones too; a reply without usage counts as
-    zero tokens and is counted in ``replies_without_usage``.
-    """
-    sums = usage.groupBy("model").agg(
+def model_usage(usage: DataFrame) -> DataFrame:
+    """Replies and token sums per model; a reply without usage counts as zero tokens."""
+    return usage.groupBy("model").agg(
         F.count(F.lit(1)).alias("replies"),
         F.sum(F.coalesce("input_tokens", F.lit(0))).cast("long").alias("input_tokens"),
         F.sum(F.coalesce("output_tokens", F.lit(0))).cast("long").alias("output_tokens"),
@@ -57,6 +53,10 @@ def cost_by_model(usage: DataFrame, prices: DataFrame) -> DataFrame:
             "replies_without_usage"
         ),
     )
+
+
+def price_model_usage(sums: DataFrame, prices: DataFrame) -> DataFrame:
+    """Exact cost of per-model token sums."""
     priced = price_usage(sums, prices)
     return priced.select(
         "model",
@@ -73,6 +73,16 @@ def cost_by_model(usage: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
+def cost_by_model(usage: DataFrame, prices: DataFrame) -> DataFrame:
+    """AG-1: tokens and exact cost per model.
+
+    Every reply is billed, failed ones too; a reply without usage counts as
+    zero tokens and is counted in ``replies_without_usage``.  The sums are
+    taken before the join, so only one row per model meets the price list.
+    """
+    return price_model_usage(model_usage(usage), prices)
+
+
 def usd(amount: F.Column) -> F.Column:
     """Currency text: ``$1,234.57``, rounded half to even."""
     return F.concat(F.lit("$"), F.format_number(F.bround(amount, 2), 2))

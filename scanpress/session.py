@@ -35,6 +35,7 @@ def get_spark(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -66,3 +67,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return f"{base}/scanpress/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``scanpress`` importable in Python workers (``addPyFile`` of a zip, once per application)."""
+    import tempfile
+    import zipfile
+
+    app_id = spark.sparkContext.applicationId
+    if app_id in _SHIPPED:
+        return
+    package_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package_dir)
+    zip_path = os.path.join(tempfile.mkdtemp(prefix="scanpress-pyfiles-"), "scanpress.zip")
+    with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(package_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(zip_path)
+    _SHIPPED.add(app_id)
