@@ -120,6 +120,21 @@ def responses(pages: DataFrame) -> DataFrame:
     )
 
 
+def irregular_responses(pages: DataFrame) -> DataFrame:
+    """F1 with its article tags written in capitals and with attributes, as some models answer.
+
+    Regular expressions cannot read these safely, so extraction takes the
+    parser path; its articles must equal those of :func:`responses`.
+    """
+    replies = responses(pages)
+    content = F.replace(
+        F.replace(F.col("content"), F.lit("<article>"), F.lit('<Article data-kind="news">')),
+        F.lit("</article>"),
+        F.lit("</ARTICLE>"),
+    )
+    return replies.withColumn("content", content)
+
+
 # ---------------------------------------------------------------- scans and names
 
 

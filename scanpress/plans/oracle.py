@@ -385,6 +385,8 @@ SQL: dict[str, str] = {
         to_base64(encode(html)) || '"}}}},{{"type":"text","text":"{PROMPT}"}}]}}]}}' AS request_json
         FROM scans, (SELECT unnest({lst(REQUEST_MODELS)}) AS model)""",
     "extract_articles": w(RESP, STATUS, ARTS) + "SELECT * FROM arts",
+    # Same articles as the regular form: the parser path must agree with the regex path.
+    "extract_articles_irregular": w(RESP, STATUS, ARTS) + "SELECT * FROM arts",
     "accepted_replies": w(RESP, STATUS) + "SELECT page_id, finish_reason FROM st WHERE finish_reason IN ('STOP', 'end_turn', 'stop')",
     "quarantine": w(RESP, STATUS) + "SELECT page_id, model, attempt, finish_reason, status AS reason FROM st WHERE status <> 'OK'",
     "valid_scans": w(SCANS) + """SELECT path, CASE

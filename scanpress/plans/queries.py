@@ -160,6 +160,10 @@ def q_extract_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_articles(_replies(spark, sf_dir))
 
 
+def q_extract_articles_irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_articles(with_reply_status(fx.irregular_responses(_t(spark, sf_dir, "pages"))))
+
+
 def q_accepted_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.accepted(_replies(spark, sf_dir)).select("page_id", "finish_reason")
 
@@ -365,6 +369,7 @@ QUERIES: dict[str, Query] = {
     "image_base64": q_image_base64,
     "build_requests": q_build_requests,
     "extract_articles": q_extract_articles,
+    "extract_articles_irregular": q_extract_articles_irregular,
     "accepted_replies": q_accepted_replies,
     "quarantine": q_quarantine,
     "valid_scans": q_valid_scans,
