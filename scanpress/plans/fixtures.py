@@ -16,6 +16,7 @@ from scanpress.functions.markup import article_html
 from scanpress.functions.text import escape_text, slugify_headline
 from scanpress.operators.naming import unique_names
 from scanpress.schemas import MODELS
+from scanpress.session import spread
 
 # Fixed fixture values (ours): reply metadata forms, authors, categories.
 METADATA_FORMS = [
@@ -35,8 +36,14 @@ CATEGORIES = ["News", "Comment", "Science", "Sport"]
 UNKNOWN_MODEL = "gemini-9"
 
 
+# Tables whose rows carry long text (per-row regex work follows every read).
+TEXT_TABLES = frozenset({"pages", "documents", "conversations"})
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; text tables are spread over the cores when the file gives too few splits."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def _pick(values: list[str], index: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every scanpress job expects; the cluster may override any of them.
 DEFAULT_CONF = {
@@ -91,3 +91,19 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, root))
     spark.sparkContext.addPyFile(zip_path)
     _SHIPPED.add(app_id)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a frame whose scan yields fewer partitions than the cluster has cores.
+
+    A table stored as one large row group (or one unsplittable file) is read
+    by a single task; CPU-heavy per-row work after it would then run on one
+    core.  Inputs that already have enough splits - the normal case for big
+    tables - are returned untouched, so no shuffle is added at scale.
+    Planning the scan to count its partitions runs no job.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
