@@ -1,9 +1,13 @@
 """Unique article names (WN-1) and names that avoid files already written (JN-3).
 
 An article is written as ``<stem>_<slug>.html``; a repeat of the same stem and
-slug gets ``_1``, ``_2``, ... in article order.  Both operators are windows
-over ``(stem, slug)``; a group holds the articles of one page, so its size is
-bounded by what a single reply can hold, not by the corpus.
+slug gets ``_1``, ``_2``, ... in article order.  Both operators number rows
+within ``(stem, slug)``.  For replies a group is the articles of one page,
+bounded by one reply's output; but a stem can also be shared by many inputs
+(same-named scans in several folders, or any table keyed coarsely), so by
+default the numbering is the skew-safe :func:`rank_within`, which splits a
+large group over many tasks.  ``skew_safe=False`` gives the single-window
+plan for inputs whose groups are known to be small.
 """
 
 from __future__ import annotations
@@ -11,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scanpress.operators.ranking import rank_within, running_sum_within
+
 
 def _suffix(counter: Column) -> Column:
     return F.when(counter > 0, F.concat(F.lit("_"), counter.cast("string"))).otherwise(F.lit(""))
@@ -28,13 +34,15 @@ def unique_names(
     slug: str = "slug",
     order: tuple[str, ...] = ("ordinal",),
     out: str = "file_name",
+    skew_safe: bool = True,
 ) -> DataFrame:
     """WN-1: ``<stem>_<slug>[_<n>].html`` with n counting repeats of (stem, slug) in ``order``."""
-    w = Window.partitionBy(stem, slug).orderBy(*order)
-    counter = F.row_number().over(w) - 1
-    return articles.withColumn(
-        out, F.concat(article_base(stem, slug), _suffix(counter), F.lit(".html"))
-    )
+    if skew_safe:
+        ranked = rank_within(articles, [stem, slug], list(order), "_rank")
+    else:
+        ranked = articles.withColumn("_rank", F.row_number().over(Window.partitionBy(stem, slug).orderBy(*order)))
+    counter = F.col("_rank") - 1
+    return ranked.withColumn(out, F.concat(article_base(stem, slug), _suffix(counter), F.lit(".html"))).drop("_rank")
 
 
 def used_counters(existing: DataFrame, name: str = "file_name") -> DataFrame:
@@ -63,6 +71,7 @@ def name_offset(
     slug: str = "slug",
     order: tuple[str, ...] = ("ordinal",),
     out: str = "file_name",
+    skew_safe: bool = True,
 ) -> DataFrame:
     """JN-3: like :func:`unique_names`, but names already written also count as taken.
 
@@ -72,25 +81,32 @@ def name_offset(
     ``r - 1 + #{i : g_i <= r - 1}`` - a running count over the union of new
     and used rows of one base, ordered by that key.  No arrays of counters
     are built, and used names of bases with no new article drop out at the
-    final filter, without a join.
+    final filter, without a join.  All three numberings are skew-safe
+    running sums unless ``skew_safe=False``.
     """
-    base = article_base(stem, slug)
-    new = articles.withColumn("_base", base).withColumn(
-        "_r", F.row_number().over(Window.partitionBy("_base").orderBy(*order)).cast("long")
+
+    def number(
+        df: DataFrame, keys: list[str], by: list[str], value: F.Column, name: str, fresh: bool = False
+    ) -> DataFrame:
+        if skew_safe:
+            # Only the new articles carry expensive upstream work (slugs); the
+            # other inputs are cheap to read twice.
+            return running_sum_within(df, keys, by, value, name, materialized=fresh)
+        w = Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(name, F.sum(value).over(w).cast("long"))
+
+    new = number(
+        articles.withColumn("_base", article_base(stem, slug)), ["_base"], list(order), F.lit(1), "_r", fresh=True
     )
-    used = used_counters(existing).select(
-        F.col("base").alias("_base"),
-        (F.col("counter") - F.row_number().over(Window.partitionBy("base").orderBy("counter")) + 1).alias("_key"),
-        F.lit(0).alias("_is_new"),
+    used = used_counters(existing).withColumnRenamed("base", "_base")
+    used = number(used, ["_base"], ["counter"], F.lit(1), "_i").select(
+        "_base", (F.col("counter") - F.col("_i") + 1).alias("_key"), F.lit(0).alias("_is_new")
     )
     tagged = new.withColumn("_key", F.col("_r") - 1).withColumn("_is_new", F.lit(1))
     both = tagged.unionByName(used, allowMissingColumns=True)
-    w = (
-        Window.partitionBy("_base")
-        .orderBy("_key", "_is_new")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    shifted = number(both, ["_base"], ["_key", "_is_new"], 1 - F.col("_is_new"), "_shift").filter(
+        F.col("_is_new") == 1
     )
-    shifted = both.withColumn("_shift", F.sum(1 - F.col("_is_new")).over(w)).filter(F.col("_is_new") == 1)
     counter = F.col("_r") - 1 + F.col("_shift")
     return shifted.withColumn(out, F.concat(F.col("_base"), _suffix(counter), F.lit(".html"))).drop(
         "_base", "_r", "_key", "_is_new", "_shift"

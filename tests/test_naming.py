@@ -43,3 +43,22 @@ def test_name_offset_brute_force(spark):
         taken.add(name)
         assert got[(page, ordinal)] == name
     assert len(set(got.values())) == len(got)
+
+
+def test_rank_within_hot_group_equals_window(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from scanpress.operators.ranking import rank_within, running_sum_within
+
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 3 != 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(
+            (F.col("id") % 50).cast("string")).alias("g"),
+        ((F.col("id") * 7919) % 20011).alias("o"), F.col("id"), (F.col("id") % 5).alias("v"))
+    plain = df.withColumn("p", F.row_number().over(Window.partitionBy("g").orderBy("o", "id"))).withColumn(
+        "s", F.sum("v").over(Window.partitionBy("g").orderBy("o", "id").rowsBetween(Window.unboundedPreceding, 0)))
+    ranked = rank_within(df, ["g"], ["o", "id"], "r", partitions=6)
+    summed = running_sum_within(df, ["g"], ["o", "id"], F.col("v"), "t", partitions=6, materialized=False)
+    both = plain.join(ranked.select("id", "r"), "id").join(summed.select("id", "t"), "id")
+    assert both.filter((F.col("p") != F.col("r")) | (F.col("s") != F.col("t"))).count() == 0
+    assert both.count() == 20000
