@@ -86,7 +86,14 @@ def transcribe_pages(
                 frame[col] = frame[col].astype("Int64")
             yield frame
 
-    return requests.repartition(parallelism).mapInPandas(run, TRANSCRIPTS)
+    # At most ``parallelism`` tasks call the model at once.  Merging existing
+    # partitions moves no data (requests carry whole images); only an input
+    # with too few partitions is spread out.
+    if requests.rdd.getNumPartitions() > parallelism:
+        bounded = requests.coalesce(parallelism)
+    else:
+        bounded = requests.repartition(parallelism)
+    return bounded.mapInPandas(run, TRANSCRIPTS)
 
 
 def observe_progress(df: DataFrame, name: str = "progress") -> tuple[DataFrame, Observation]:
