@@ -438,6 +438,18 @@ SQL: dict[str, str] = {
     "natural_sort": w(FILES) + f"SELECT file_name, {natural_key('file_name')} AS natural_key FROM files",
     "sample_n": f"""SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR) || '{SAMPLE_SEED}') AS sample_key FROM documents
         ORDER BY sample_key, doc_id LIMIT {SAMPLE_N}""",
+    "article_files": w(DOCS) + f"""SELECT file_name AS filename,
+        regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 1) AS issue,
+        CAST(TRY_CAST(regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 2) AS INTEGER) + 1 AS INTEGER) AS page,
+        coalesce({meta_value('html', 'title')}, 'Untitled') AS headline,
+        {html_to_text('html')} AS txt, html,
+        {meta_value('html', 'subtitle')} AS strapline, {meta_value('html', 'author')} AS author,
+        {meta_value('html', 'category')} AS category
+        FROM docs WHERE {_NAME_OK}""",
+    "scan_listing": w(SCANS) + """SELECT stem, CAST(octet_length(encode(html)) AS BIGINT) AS length,
+        stem || '.jpg' AS listed_name FROM scans""",
+    "read_responses": w(RESP) + "SELECT * FROM resp",
+    "reader_meta": w(DOCS) + f"SELECT file_name, {_article_fields('html')} FROM docs",
     "corpus": w(DOCS) + f"""SELECT file_name AS filename,
         regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 1) AS issue,
         CAST(TRY_CAST(regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 2) AS INTEGER) + 1 AS INTEGER) AS page,

@@ -28,7 +28,8 @@ from scanpress.plans import fixtures as fx
 from scanpress.plans.articles import articles_from_replies, article_documents
 from scanpress.plans.corpus import corpus_rows
 from scanpress.session import scratch_path
-from scanpress.sources.sinks import write_article_docs, write_corpus
+from scanpress.sources.files import list_article_names, read_article_html, read_responses, read_scans
+from scanpress.sources.sinks import write_article_docs, write_corpus, write_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -286,6 +287,37 @@ def q_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(corpus_path)
 
 
+def q_article_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-2 as one file per article, SRC-1 reading them back, then the corpus table."""
+    folder = scratch_path(spark, "article-files")
+    docs = _article_docs(spark, sf_dir).withColumn("_shard", F.substring("page_id", 7, 4))
+    write_files(docs, folder, "file_name", "html", subdir="_shard").write.format("noop").mode("overwrite").save()
+    return corpus_rows(read_article_html(spark, folder).select("file_name", "html"))
+
+
+def q_scan_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-2 (flat scan listing, bytes) and SRC-3 (recursive name listing) over files Spark wrote."""
+    folder = scratch_path(spark, "scan-files")
+    s = fx.scans(_t(spark, sf_dir, "pages")).withColumn("_name", F.concat("stem", F.lit(".jpg")))
+    write_files(s, f"{folder}/scans", "_name", "content").write.format("noop").mode("overwrite").save()
+    listed = read_scans(spark, f"{folder}/scans").select("stem", "length")
+    names = list_article_names(spark, folder).select(F.col("file_name").alias("listed_name"))
+    return listed.join(names, F.concat(listed["stem"], F.lit(".jpg")) == names["listed_name"], "left")
+
+
+def q_read_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-4: reply records written as JSON lines and read back with the declared schema."""
+    folder = scratch_path(spark, "reply-json")
+    fx.responses(_t(spark, sf_dir, "pages")).write.json(folder)
+    return read_responses(spark, folder, fmt="json")
+
+
+def q_reader_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC-6 reader form (names as written, ``<head>`` only) with SC-7 fields."""
+    docs = _article_docs(spark, sf_dir).withColumn("_meta", html_meta("html", lower_names=False, head_only=True))
+    return docs.select("file_name", *article_fields("_meta"))
+
+
 def _stub_model(record: dict) -> dict:
     """Deterministic stand-in for a vision model: it 'reads' the page bytes in the request."""
     request = json.loads(record["request_json"])
@@ -387,6 +419,10 @@ QUERIES: dict[str, Query] = {
     "natural_sort": q_natural_sort,
     "sample_n": q_sample_n,
     "corpus": q_corpus,
+    "article_files": q_article_files,
+    "scan_listing": q_scan_listing,
+    "read_responses": q_read_responses,
+    "reader_meta": q_reader_meta,
     "transcribe_pages": q_transcribe_pages,
     "progress_counts": q_progress_counts,
     "binarize_scans": q_binarize_scans,

@@ -28,3 +28,45 @@ def write_article_docs(docs: DataFrame, path: str, mode: str = "overwrite") -> N
     keeps the unique names and UTF-8 text, and readers work from it.
     """
     docs.select("file_name", "html").write.mode(mode).parquet(path)
+
+
+WRITTEN = "file_name string, path string, bytes long"
+
+
+def write_files(
+    docs: DataFrame, folder: str, name: str = "file_name", content: str = "html", subdir: str | None = None
+) -> DataFrame:
+    """SNK-2 as files: every row becomes one file ``<folder>[/<subdir>]/<name>``, written by the tasks.
+
+    Each task writes its own rows through ``pyarrow.fs`` (local paths, shared
+    mounts, HDFS or object stores); nothing passes through the driver.  A
+    retried task rewrites the same names with the same bytes.  Returns a
+    lazy frame of ``(file_name, path, bytes)``; run an action on it to write.
+    """
+    cols = [F.col(name).alias("_name"), F.col(content).alias("_content")]
+    if subdir is not None:
+        cols.append(F.col(subdir).cast("string").alias("_subdir"))
+    rows = docs.select(*cols)
+    has_subdir = subdir is not None
+
+    def write(batches):  # noqa: ANN001, ANN202
+        import pandas as pd
+        from pyarrow import fs as pafs
+
+        filesystem, root = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
+        made: set[str] = set()
+        for pdf in batches:
+            out = []
+            for rec in pdf.itertuples(index=False):
+                parent = f"{root}/{rec._2}" if has_subdir else root
+                if parent not in made:
+                    filesystem.create_dir(parent, recursive=True)
+                    made.add(parent)
+                data = rec._1 if isinstance(rec._1, (bytes, bytearray)) else str(rec._1).encode("utf-8")
+                path = f"{parent}/{rec._0}"
+                with filesystem.open_output_stream(path) as stream:
+                    stream.write(data)
+                out.append((rec._0, path, len(data)))
+            yield pd.DataFrame(out, columns=["file_name", "path", "bytes"])
+
+    return rows.mapInPandas(write, WRITTEN)
