@@ -450,6 +450,21 @@ SQL: dict[str, str] = {
         stem || '.jpg' AS listed_name FROM scans""",
     "read_responses": w(RESP) + "SELECT * FROM resp",
     "reader_meta": w(DOCS) + f"SELECT file_name, {_article_fields('html')} FROM docs",
+    # Streaming results must equal the batch results.
+    "stream_articles": w(RESP, STATUS, ARTS) + f"SELECT *, {headline_slug('headline')} AS slug FROM arts",
+    "stream_cost": w(USAGE, PRICES, COST) + "SELECT * FROM cost",
+    "progress_counts": w(RESP, STATUS) + """SELECT count(*) AS pages_done,
+        count(*) FILTER (WHERE status <> 'OK') AS pages_failed FROM st""",
+    # The stand-in model is a pure function of the page bytes in the request.
+    "transcribe_pages": w(SCANS) + """SELECT stem AS page_id, 'gemini-2.0' AS model, CAST(0 AS INTEGER) AS attempt,
+        CAST(1 AS INTEGER) AS n_generations, 'ai' AS message_type, content,
+        '{"finish_reason":"STOP"}' AS response_metadata,
+        CAST(length(html) // 4 AS BIGINT) AS input_tokens, CAST(length(content) // 4 AS BIGINT) AS output_tokens,
+        CAST(NULL AS VARCHAR) AS error
+        FROM (SELECT stem, html, '```html' || chr(10) || '<article><header><headline>' ||
+          regexp_extract(html, '(?s)<title>(.*?)</title>', 1) || '</headline></header><main>' ||
+          regexp_extract(html, '(?s)<article>(.*?)</article>', 1) || '</main></article>' || chr(10) || '```' AS content
+          FROM scans)""",
     "corpus": w(DOCS) + f"""SELECT file_name AS filename,
         regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 1) AS issue,
         CAST(TRY_CAST(regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 2) AS INTEGER) + 1 AS INTEGER) AS page,
