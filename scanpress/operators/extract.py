@@ -63,28 +63,56 @@ def with_reply_status(responses: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- regular path
 
 
-def _count(text: Column, pattern: str) -> Column:
-    return F.regexp_count(text, F.lit(pattern))
+# Start and end tags of the elements extraction reads, in any case and with
+# any attributes.
+STRUCTURE_TAG = r"(?i)</?(?:article|headline|strapline|author_name|category|main)(?:[\s/][^>]*)?>"
+ENTITY = r"&[#a-zA-Z0-9]+;"
+# Fixed value: the entities the regular path decodes.
+KNOWN_ENTITIES = ("&amp;", "&lt;", "&gt;", "&quot;", "&#39;", "&nbsp;")
 
 
 def is_regular_markup(markup: Column | str) -> Column:
-    """True when regular expressions read the markup exactly as a parser would."""
+    """True when regular expressions read the markup exactly as a parser would.
+
+    One pass collects the structural tags; a fold over that short list then
+    checks, like a stack machine, that every tag is plain lower case, that
+    articles neither nest nor stay open, and that field elements open and
+    close inside one article without nesting.  A second pass checks that
+    only the decoded entities occur.
+    """
     m = _c(markup)
-    opens = _count(m, "<article>")
-    blocks = F.regexp_extract_all(m, F.lit(ARTICLE_BLOCK), 1)
+    tags = F.regexp_extract_all(m, F.lit(STRUCTURE_TAG), 0)
+    plain = [f"<{t}>" for t in ("article", *FIELD_TAGS)] + [f"</{t}>" for t in ("article", *FIELD_TAGS)]
+    fields = [f"<{t}>" for t in FIELD_TAGS]
+
+    def step(state: Column, tag: Column) -> Column:
+        in_article, open_field, ok = state["a"], state["f"], state["ok"]
+        name = F.regexp_replace(tag, "[</>]", "")
+        is_open_field = tag.isin(*fields)
+        is_close = tag.startswith("</")
+        ok_now = (
+            F.when(tag == "<article>", ~in_article & (open_field == ""))
+            .when(tag == "</article>", in_article & (open_field == ""))
+            .when(is_open_field, in_article & (open_field == ""))
+            .when(is_close, open_field == name)
+            .otherwise(F.lit(False))
+        )
+        return F.struct(
+            F.when(tag == "<article>", F.lit(True)).when(tag == "</article>", F.lit(False)).otherwise(in_article).alias("a"),
+            F.when(is_open_field, name).when(is_close & (tag != "</article>"), F.lit("")).otherwise(open_field).alias("f"),
+            (ok & ok_now).alias("ok"),
+        )
+
+    zero = F.struct(F.lit(False).alias("a"), F.lit("").alias("f"), F.lit(True).alias("ok"))
+    structure = F.aggregate(
+        tags, zero, step, lambda s: s["ok"] & ~s["a"] & (s["f"] == "")
+    )
     checks = [
-        _count(m, r"(?i)<article[\s/>]") == opens,
-        _count(m, r"(?i)</article\s*>") == opens,
-        _count(m, "</article>") == opens,
-        F.size(blocks) == opens,
-        ~F.exists(blocks, lambda b: b.contains("<article")),
+        F.forall(tags, lambda t: t.isin(*plain)),
+        structure,
+        F.forall(F.regexp_extract_all(m, F.lit(ENTITY), 0), lambda e: e.isin(*KNOWN_ENTITIES)),
         ~m.contains("<![CDATA["),
-        _count(m, "&[#a-zA-Z0-9]+;") == _count(m, "&(amp|lt|gt|quot|#39|nbsp);"),
     ]
-    for tag in FIELD_TAGS:
-        checks.append(_count(m, rf"(?i)<{tag}[\s/>]") == _count(m, f"<{tag}>"))
-        checks.append(_count(m, rf"(?i)</{tag}\s*>") == _count(m, f"</{tag}>"))
-        checks.append(_count(m, f"</{tag}>") == _count(m, f"<{tag}>"))
     out = checks[0]
     for check in checks[1:]:
         out = out & check
@@ -106,9 +134,7 @@ def regular_articles(markup: Column | str) -> Column:
             block.contains("<main>"), F.regexp_extract(block, r"(?s)<main>(.*?)(?:</main>|$)", 1)
         )
         return F.struct(
-            F.when(F.coalesce(headline, F.lit("")) == "", F.lit("Untitled"))
-            .otherwise(headline)
-            .alias("headline"),
+            F.coalesce(F.nullif(headline, F.lit("")), F.lit("Untitled")).alias("headline"),
             _field(block, "strapline").alias("strapline"),
             _field(block, "author_name").alias("author_name"),
             _field(block, "category").alias("category"),

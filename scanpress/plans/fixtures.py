@@ -247,7 +247,7 @@ def doc_articles(documents: DataFrame) -> DataFrame:
     first_line = F.substring_index("text", "\n", 1)
     rest = F.expr("substring(text, length(substring_index(text, '\n', 1)) + 2)")
     body = F.concat(F.lit("<p>"), F.replace(escape_text(rest), F.lit("\n"), F.lit("</p><p>")), F.lit("</p>"))
-    page_no = (F.lit(1000) + F.regexp_extract("source", r"([0-9]+)$", 1).cast("int")).cast("string")
+    page_no = (F.lit(1000) + F.regexp_extract("source", r"([0-9]+)$", 1).try_cast("int")).cast("string")
     return documents.select(
         F.concat(F.lit("felix_"), page_no, F.lit("-"), F.lpad((did % 8).cast("string"), 3, "0")).alias("page_id"),
         did.cast("int").alias("ordinal"),
