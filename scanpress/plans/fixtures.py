@@ -51,10 +51,10 @@ def _pick(values: list[str], index: Column) -> Column:
 
 
 def scan_stem(n: Column | str) -> Column:
-    """``felix_<1000 + n div 8>-<n mod 8, 3 digits>``: eight pages per issue."""
+    """``gazette_<1000 + n div 8>-<n mod 8, 3 digits>``: eight pages per issue."""
     n = F.col(n) if isinstance(n, str) else n
     return F.concat(
-        F.lit("felix_"),
+        F.lit("gazette_"),
         (F.lit(1000) + F.floor(n / 8)).cast("string"),
         F.lit("-"),
         F.lpad((n % 8).cast("string"), 3, "0"),
@@ -152,10 +152,10 @@ def scans(pages: DataFrame) -> DataFrame:
         F.when(
             pid % 11 == 10,
             F.concat(
-                F.lit("felix-daily-2011_"), F.floor(pid / 8).cast("string"), F.lit("-"), (pid % 8).cast("string")
+                F.lit("gazette-daily-2011_"), F.floor(pid / 8).cast("string"), F.lit("-"), (pid % 8).cast("string")
             ),
         )
-        .when(pid % 13 == 12, F.concat(F.lit("felix_"), pid.cast("string"), F.lit("-x")))
+        .when(pid % 13 == 12, F.concat(F.lit("gazette_"), pid.cast("string"), F.lit("-x")))
         .otherwise(scan_stem(pid))
     )
     return pages.select(
@@ -171,12 +171,12 @@ def article_file_names(pages: DataFrame) -> DataFrame:
     pid = F.col("page_id")
     issue = (F.lit(1000) + F.floor(pid / 8)).cast("string")
     name = (
-        F.when(pid % 11 == 10, F.concat(F.lit("felix_"), issue, F.lit(".html")))
-        .when(pid % 11 == 9, F.concat(F.lit("felix_"), pid.cast("string"), F.lit("-1-2_x.html")))
+        F.when(pid % 11 == 10, F.concat(F.lit("gazette_"), issue, F.lit(".html")))
+        .when(pid % 11 == 9, F.concat(F.lit("gazette_"), pid.cast("string"), F.lit("-1-2_x.html")))
         .when(
             pid % 11 == 8,
             F.concat(
-                F.lit("felix-daily-2011_"), F.floor(pid / 8).cast("string"), F.lit("-"),
+                F.lit("gazette-daily-2011_"), F.floor(pid / 8).cast("string"), F.lit("-"),
                 (pid % 8).cast("string"), F.lit("_x.html"),
             ),
         )
@@ -249,7 +249,7 @@ def doc_articles(documents: DataFrame) -> DataFrame:
     body = F.concat(F.lit("<p>"), F.replace(escape_text(rest), F.lit("\n"), F.lit("</p><p>")), F.lit("</p>"))
     page_no = (F.lit(1000) + F.regexp_extract("source", r"([0-9]+)$", 1).try_cast("int")).cast("string")
     return documents.select(
-        F.concat(F.lit("felix_"), page_no, F.lit("-"), F.lpad((did % 8).cast("string"), 3, "0")).alias("page_id"),
+        F.concat(F.lit("gazette_"), page_no, F.lit("-"), F.lpad((did % 8).cast("string"), 3, "0")).alias("page_id"),
         did.cast("int").alias("ordinal"),
         F.coalesce(F.when(first_line != "", first_line), F.lit("Untitled")).alias("headline"),
         F.when(did % 3 == 1, F.lit("")).when(did % 3 == 2, F.concat("lang", F.lit(" edition"))).alias("strapline"),

@@ -92,7 +92,7 @@ def html_to_text(x: str) -> str:
 
 
 def scan_stem(n: str) -> str:
-    return f"('felix_' || CAST(1000 + {n} // 8 AS VARCHAR) || '-' || lpad(CAST({n} % 8 AS VARCHAR), 3, '0'))"
+    return f"('gazette_' || CAST(1000 + {n} // 8 AS VARCHAR) || '-' || lpad(CAST({n} % 8 AS VARCHAR), 3, '0'))"
 
 
 def file_stem(x: str) -> str:
@@ -227,17 +227,17 @@ ARTS = f"""blk AS (
 SCANS = f"""scans AS (
   SELECT page_id AS scan_id, 'scans/' || stem || '.jpg' AS path, stem, html FROM (
     SELECT page_id, html, CASE
-      WHEN page_id % 11 = 10 THEN 'felix-daily-2011_' || CAST(page_id // 8 AS VARCHAR) || '-' || CAST(page_id % 8 AS VARCHAR)
-      WHEN page_id % 13 = 12 THEN 'felix_' || CAST(page_id AS VARCHAR) || '-x'
+      WHEN page_id % 11 = 10 THEN 'gazette-daily-2011_' || CAST(page_id // 8 AS VARCHAR) || '-' || CAST(page_id % 8 AS VARCHAR)
+      WHEN page_id % 13 = 12 THEN 'gazette_' || CAST(page_id AS VARCHAR) || '-x'
       ELSE {scan_stem('page_id')} END AS stem
     FROM pages)
 )"""
 
 FILES = f"""files AS (
   SELECT page_id AS file_id, CASE
-    WHEN page_id % 11 = 10 THEN 'felix_' || CAST(1000 + page_id // 8 AS VARCHAR) || '.html'
-    WHEN page_id % 11 = 9 THEN 'felix_' || CAST(page_id AS VARCHAR) || '-1-2_x.html'
-    WHEN page_id % 11 = 8 THEN 'felix-daily-2011_' || CAST(page_id // 8 AS VARCHAR) || '-' || CAST(page_id % 8 AS VARCHAR) || '_x.html'
+    WHEN page_id % 11 = 10 THEN 'gazette_' || CAST(1000 + page_id // 8 AS VARCHAR) || '.html'
+    WHEN page_id % 11 = 9 THEN 'gazette_' || CAST(page_id AS VARCHAR) || '-1-2_x.html'
+    WHEN page_id % 11 = 8 THEN 'gazette-daily-2011_' || CAST(page_id // 8 AS VARCHAR) || '-' || CAST(page_id % 8 AS VARCHAR) || '_x.html'
     WHEN page_id % 11 = 7 THEN 'a_' || CAST(page_id AS VARCHAR) || '.html'
     ELSE {scan_stem('page_id')} || '_article-' || CAST(page_id % 5 AS VARCHAR) || '.html' END AS file_name
   FROM pages
@@ -251,7 +251,7 @@ EXISTING = f"""existing AS (
 
 _FIRST = f"split_part(text, {NL}, 1)"
 DOCS = f"""da AS (
-  SELECT 'felix_' || CAST(1000 + CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) AS VARCHAR) || '-' ||
+  SELECT 'gazette_' || CAST(1000 + CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) AS VARCHAR) || '-' ||
       lpad(CAST(doc_id % 8 AS VARCHAR), 3, '0') AS page_id,
     CAST(doc_id AS INTEGER) AS ordinal,
     coalesce(nullif({_FIRST}, ''), 'Untitled') AS headline,

@@ -290,7 +290,7 @@ def q_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_article_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-2 as one file per article, SRC-1 reading them back, then the corpus table."""
     folder = scratch_path(spark, "article-files")
-    docs = _article_docs(spark, sf_dir).withColumn("_shard", F.substring("page_id", 7, 4))
+    docs = _article_docs(spark, sf_dir).withColumn("_shard", F.regexp_extract("page_id", r"_([0-9]+)-", 1))
     write_files(docs, folder, "file_name", "html", subdir="_shard").write.format("noop").mode("overwrite").save()
     return corpus_rows(read_article_html(spark, folder).select("file_name", "html"))
 

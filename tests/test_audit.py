@@ -6,14 +6,14 @@ from scanpress.operators.attempts import first_success, union_attempts
 
 def test_missing_scans_ledger_l4_l5(spark):
     scans = spark.createDataFrame(
-        [("d/felix_1001-001.jpg", "felix_1001-001"), ("d/a_b_c.jpg", "a_b_c"), ("d/a_b.jpg", "a_b"),
-         ("d/nounder.jpg", "nounder"), ("d/felix_1001-010.jpg", "felix_1001-010"), ("d/felix_1001-2.jpg", "felix_1001-2")],
+        [("d/gazette_1001-001.jpg", "gazette_1001-001"), ("d/a_b_c.jpg", "a_b_c"), ("d/a_b.jpg", "a_b"),
+         ("d/nounder.jpg", "nounder"), ("d/gazette_1001-010.jpg", "gazette_1001-010"), ("d/gazette_1001-2.jpg", "gazette_1001-2")],
         "path string, stem string",
     )
-    names = spark.createDataFrame([("felix_1001-001_x.html",), ("a_b_c_x.html",), ("a_b.html",), ("nounder",)], "file_name string")
+    names = spark.createDataFrame([("gazette_1001-001_x.html",), ("a_b_c_x.html",), ("a_b.html",), ("nounder",)], "file_name string")
     got = [r.path for r in audit.natural_sort(audit.missing_scans(scans, names), "path").collect()]
     # a_b_c never matches (an article of it has key a_b); "nounder" is its own key; digits sort as numbers.
-    assert got == ["d/a_b_c.jpg", "d/felix_1001-2.jpg", "d/felix_1001-010.jpg"]
+    assert got == ["d/a_b_c.jpg", "d/gazette_1001-2.jpg", "d/gazette_1001-010.jpg"]
 
 
 def test_sample_n(spark):

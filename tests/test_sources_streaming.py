@@ -29,28 +29,28 @@ def _png(width: int, height: int, value: int) -> bytes:
 
 def test_read_article_html_recursive(spark, tmp_dir):
     os.makedirs(os.path.join(tmp_dir, "a", "b"))
-    docs = {"a/felix_1001-001_x.html": "<html><head><meta name=\"title\" content=\"X\"/></head><body>one\ntwo</body></html>",
-            "a/b/felix_1001-002_y.html": "<html><head></head><body>y</body></html>", "a/notes.txt": "skip"}
+    docs = {"a/gazette_1001-001_x.html": "<html><head><meta name=\"title\" content=\"X\"/></head><body>one\ntwo</body></html>",
+            "a/b/gazette_1001-002_y.html": "<html><head></head><body>y</body></html>", "a/notes.txt": "skip"}
     for name, text in docs.items():
         with open(os.path.join(tmp_dir, name), "w", encoding="utf-8") as fh:
             fh.write(text)
     df = read_article_html(spark, tmp_dir)
     got = {r.file_name: r.html for r in df.collect()}
-    assert got == {"felix_1001-001_x.html": docs["a/felix_1001-001_x.html"], "felix_1001-002_y.html": docs["a/b/felix_1001-002_y.html"]}
+    assert got == {"gazette_1001-001_x.html": docs["a/gazette_1001-001_x.html"], "gazette_1001-002_y.html": docs["a/b/gazette_1001-002_y.html"]}
     corpus = {r.filename: (r.issue, r.page, r.headline, r.txt) for r in corpus_rows(df).collect()}
-    assert corpus["felix_1001-001_x.html"] == ("1001", 2, "X", "one\n\ntwo")
-    assert corpus["felix_1001-002_y.html"] == ("1001", 3, "Untitled", "y")
+    assert corpus["gazette_1001-001_x.html"] == ("1001", 2, "X", "one\n\ntwo")
+    assert corpus["gazette_1001-002_y.html"] == ("1001", 3, "Untitled", "y")
     names = sorted(r.file_name for r in list_article_names(spark, tmp_dir).collect())
-    assert names == ["felix_1001-001_x.html", "felix_1001-002_y.html", "notes.txt"]
+    assert names == ["gazette_1001-001_x.html", "gazette_1001-002_y.html", "notes.txt"]
 
 
 def test_read_scans_flat_and_pruned(spark, tmp_dir):
     os.makedirs(os.path.join(tmp_dir, "scans", "nested"))
-    for name in ("felix_1001-001.png", "felix_1001-002.png", "nested/felix_1001-003.png"):
+    for name in ("gazette_1001-001.png", "gazette_1001-002.png", "nested/gazette_1001-003.png"):
         with open(os.path.join(tmp_dir, "scans", name), "wb") as fh:
             fh.write(_png(4, 3, 200))
     df = read_scans(spark, os.path.join(tmp_dir, "scans"), with_content=False)
-    assert sorted(r.stem for r in df.collect()) == ["felix_1001-001", "felix_1001-002"]
+    assert sorted(r.stem for r in df.collect()) == ["gazette_1001-001", "gazette_1001-002"]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
 
