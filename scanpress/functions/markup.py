@@ -180,6 +180,12 @@ def article_html(
     return F.concat(F.lit("<html><head>"), metas, F.lit("</head><body>"), body, F.lit("</body></html>"))
 
 
+def document_status(col: Column | str) -> Column:
+    """Reader form check: a document without ``<head>`` or ``<body>`` is ``DEFORMED`` (not an error)."""
+    html = _c(col)
+    return F.when(html.rlike(r"(?i)<head\b") & html.rlike(r"(?i)<body\b"), F.lit("OK")).otherwise(F.lit("DEFORMED"))
+
+
 def document_body(col: Column | str) -> Column:
     """Inner HTML of ``<body>`` (the reader's ``text_body``); NULL when the document has none."""
     html = _c(col)

@@ -50,7 +50,7 @@ def article_page(file_name: Column | str) -> Column:
     """SC-2: page of an article file name, counted from 1 (written page + 1)."""
     stem = file_stem(file_name)
     raw = F.when(stem.rlike(ARTICLE_STEM), F.regexp_extract(stem, ARTICLE_STEM, 2))
-    return (raw.try_cast("int") + F.lit(1)).try_cast("int")
+    return (raw.try_cast("long") + F.lit(1)).try_cast("int")
 
 
 def scan_key(file_name: Column | str) -> Column:

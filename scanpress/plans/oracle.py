@@ -352,7 +352,7 @@ SQL: dict[str, str] = {
         FROM scans""",
     "article_names": w(FILES) + f"""SELECT file_name,
         regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 1) AS issue,
-        CAST(TRY_CAST(regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 2) AS INTEGER) + 1 AS INTEGER) AS page
+        TRY_CAST(TRY_CAST(regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 2) AS BIGINT) + 1 AS INTEGER) AS page
         FROM files WHERE {_NAME_OK}""",
     "scan_keys": w(FILES) + "SELECT file_name, array_to_string(string_split(file_name, '_')[1:2], '_') AS scan_key FROM files",
     "bad_names": w(FILES) + f"SELECT file_name FROM files WHERE NOT {_NAME_OK}",
@@ -440,7 +440,7 @@ SQL: dict[str, str] = {
         ORDER BY sample_key, doc_id LIMIT {SAMPLE_N}""",
     "article_files": w(DOCS) + f"""SELECT file_name AS filename,
         regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 1) AS issue,
-        CAST(TRY_CAST(regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 2) AS INTEGER) + 1 AS INTEGER) AS page,
+        TRY_CAST(TRY_CAST(regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 2) AS BIGINT) + 1 AS INTEGER) AS page,
         coalesce({meta_value('html', 'title')}, 'Untitled') AS headline,
         {html_to_text('html')} AS txt, html,
         {meta_value('html', 'subtitle')} AS strapline, {meta_value('html', 'author')} AS author,
@@ -449,7 +449,9 @@ SQL: dict[str, str] = {
     "scan_listing": w(SCANS) + """SELECT stem, CAST(octet_length(encode(html)) AS BIGINT) AS length,
         stem || '.jpg' AS listed_name FROM scans""",
     "read_responses": w(RESP) + "SELECT * FROM resp",
-    "reader_meta": w(DOCS) + f"SELECT file_name, {_article_fields('html')} FROM docs",
+    "reader_meta": w(DOCS) + f"""SELECT file_name, {_article_fields('html')},
+        CASE WHEN regexp_matches(html, '(?i)<head\\b') AND regexp_matches(html, '(?i)<body\\b') THEN 'OK'
+             ELSE 'DEFORMED' END AS status FROM docs""",
     # Streaming results must equal the batch results.
     "stream_articles": w(RESP, STATUS, ARTS) + f"SELECT *, {headline_slug('headline')} AS slug FROM arts",
     "stream_cost": w(USAGE, PRICES, COST) + "SELECT * FROM cost",
@@ -467,7 +469,7 @@ SQL: dict[str, str] = {
           FROM scans)""",
     "corpus": w(DOCS) + f"""SELECT file_name AS filename,
         regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 1) AS issue,
-        CAST(TRY_CAST(regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 2) AS INTEGER) + 1 AS INTEGER) AS page,
+        TRY_CAST(TRY_CAST(regexp_extract({file_stem('file_name')}, '{ARTICLE_STEM}', 2) AS BIGINT) + 1 AS INTEGER) AS page,
         coalesce({meta_value('html', 'title')}, 'Untitled') AS headline,
         {html_to_text('html')} AS txt, html,
         {meta_value('html', 'subtitle')} AS strapline, {meta_value('html', 'author')} AS author,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from scanpress.functions import images as img
 from scanpress.functions import names as nm
 from scanpress.functions import text as tx
-from scanpress.functions.markup import article_fields, html_meta, strip_fences
+from scanpress.functions.markup import article_fields, document_status, html_meta, strip_fences
 from scanpress.functions.replies import finish_reason
 from scanpress.operators import attempts as att
 from scanpress.operators import audit, cost, filters
@@ -315,7 +315,7 @@ def q_read_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_reader_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SC-6 reader form (names as written, ``<head>`` only) with SC-7 fields."""
     docs = _article_docs(spark, sf_dir).withColumn("_meta", html_meta("html", lower_names=False, head_only=True))
-    return docs.select("file_name", *article_fields("_meta"))
+    return docs.select("file_name", *article_fields("_meta"), document_status("html").alias("status"))
 
 
 def _stub_model(record: dict) -> dict:

@@ -40,3 +40,12 @@ def test_meta_last_duplicate_wins(spark):
     df = spark.createDataFrame([(html,)], "html string")
     assert df.select(html_meta("html")).collect()[0][0] == {"title": "two"}
     assert py_html_meta(html) == {"title": "two"}
+
+
+def test_deformed_document_ledger_l23(spark):
+    from scanpress.functions.markup import document_status
+
+    df = spark.createDataFrame([("<html><p>no head</p></html>",), ("<html><head></head><body>x</body></html>",)], "html string")
+    assert [r[0] for r in df.select(document_status("html")).collect()] == ["DEFORMED", "OK"]
+    fields = df.select(*article_fields(html_meta("html", False, True))).collect()
+    assert tuple(fields[0]) == ("Untitled", None, None, None)
