@@ -60,7 +60,10 @@ def running_sum_within(
     if materialized:
         df = materialize(df)
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # As many range partitions as the input has splits (its size), at least one
+    # per core; an explicit count is never coalesced by AQE, so it must not
+    # come from a session default sized for other work.
+    n = partitions or max(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
     # Range bounds come from sampling seeded by RDD ids, so two evaluations of
     # the same exchange may cut differently; the partition assignment is
     # checkpointed once and every branch below reads that same copy.
