@@ -27,6 +27,19 @@ def read_article_html(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def compact_article_html(spark: SparkSession, folder: str, out: str, target_files: int | None = None) -> None:
+    """Read a folder of many small article files once and store them as a ``(file_name, path, html)`` table.
+
+    Listing millions of small files is the cost of SRC-1; after one
+    compaction every later job reads a few large Parquet files instead.
+    ``target_files`` merges the read splits without a shuffle.
+    """
+    df = read_article_html(spark, folder)
+    if target_files:
+        df = df.coalesce(target_files)
+    df.write.mode("overwrite").parquet(out)
+
+
 def read_scans(spark: SparkSession, *folders: str, with_content: bool = True) -> DataFrame:
     """SRC-2: scan files directly in the given folders (not recursive)."""
     df = spark.read.format("binaryFile").load(list(folders))

@@ -27,9 +27,19 @@ USAGE = T.StructType([
 
 
 def stream_articles(
-    spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str, fmt: str = "parquet"
-) -> None:
-    """ST-1: replies arriving in ``source_dir`` -> articles appended to Parquet in ``out_dir``."""
+    spark: SparkSession,
+    source_dir: str,
+    out_dir: str,
+    checkpoint_dir: str,
+    fmt: str = "parquet",
+    processing_time: str | None = None,
+):
+    """ST-1: replies arriving in ``source_dir`` -> articles appended to Parquet in ``out_dir``.
+
+    By default the query drains what is there (``availableNow``) and returns;
+    with ``processing_time`` (e.g. ``"30 seconds"``) it keeps running and the
+    started query is returned.
+    """
     reader = spark.readStream.schema(RESPONSES)
     replies = reader.json(source_dir) if fmt == "json" else reader.parquet(source_dir)
     articles = articles_from_replies(replies)
@@ -38,10 +48,12 @@ def stream_articles(
         .option("path", out_dir)
         .option("checkpointLocation", checkpoint_dir)
         .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
     )
-    query.awaitTermination()
+    if processing_time:
+        return query.trigger(processingTime=processing_time).start()
+    started = query.trigger(availableNow=True).start()
+    started.awaitTermination()
+    return None
 
 
 def stream_cost(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str) -> None:
