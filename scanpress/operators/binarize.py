@@ -75,16 +75,22 @@ def binarize_scans(images: DataFrame, window: int = 25, k: float = 0.2) -> DataF
     return cols.mapInPandas(run, BINARY_IMAGES)
 
 
-def read_images(spark: SparkSession, folder: str) -> DataFrame:
-    """Decoded images through Spark's ``image`` source; undecodable files are dropped there."""
-    df = spark.read.format("image").option("dropInvalid", True).load(folder)
-    return df.select(
+def read_images(spark: SparkSession, folder: str, keep_invalid: bool = False) -> DataFrame:
+    """Decoded images through Spark's ``image`` source.
+
+    Files that do not decode are dropped, or with ``keep_invalid`` kept with
+    ``valid = false`` (the source marks them with height -1) so each bad page
+    is reported instead of stopping the job.
+    """
+    df = spark.read.format("image").option("dropInvalid", not keep_invalid).load(folder)
+    out = df.select(
         F.col("image.origin").alias("image_id"),
         F.col("image.height").alias("height"),
         F.col("image.width").alias("width"),
         F.col("image.nChannels").alias("n_channels"),
         F.col("image.data").alias("data"),
     )
+    return out.withColumn("valid", F.col("height") >= 0) if keep_invalid else out
 
 
 def bytes_as_images(df: DataFrame, id_col: str, content: str, width: int = 64) -> DataFrame:

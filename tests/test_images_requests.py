@@ -46,6 +46,8 @@ def test_binarize_png_through_image_source(spark, tmp_dir):
     out = binarize_scans(read_images(spark, folder)).collect()
     assert len(out) == 1 and out[0].height == 5 and out[0].width == 8
     assert set(out[0].data) == {255}
+    flagged = {r.image_id.rsplit("/", 1)[-1]: r.valid for r in read_images(spark, folder, keep_invalid=True).collect()}
+    assert flagged == {"g.png": True, "bad.png": False}
 
 
 def test_image_kind_and_base64(spark):
