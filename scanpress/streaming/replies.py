@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scanpress.functions.text import slugify_headline
 from scanpress.operators.cost import model_usage, price_model_usage
-from scanpress.plans.articles import articles_from_replies
+from scanpress.operators.extract import extract_articles, with_reply_status
 from scanpress.schemas import RESPONSES
 
 USAGE = T.StructType([
@@ -41,8 +42,15 @@ def stream_articles(
     started query is returned.
     """
     reader = spark.readStream.schema(RESPONSES)
-    replies = reader.json(source_dir) if fmt == "json" else reader.parquet(source_dir)
-    articles = articles_from_replies(replies)
+    replies = with_reply_status(reader.json(source_dir) if fmt == "json" else reader.parquet(source_dir))
+    # UDF-2 in a stream: pages handled and failed per micro-batch, reported in
+    # the query progress (``observedMetrics["pages"]``).
+    replies = replies.observe(
+        "pages",
+        F.count(F.lit(1)).alias("pages_done"),
+        F.count_if(F.col("status") != "OK").alias("pages_failed"),
+    )
+    articles = extract_articles(replies).withColumn("slug", slugify_headline("headline"))
     query = (
         articles.writeStream.format("parquet")
         .option("path", out_dir)
@@ -53,7 +61,7 @@ def stream_articles(
         return query.trigger(processingTime=processing_time).start()
     started = query.trigger(availableNow=True).start()
     started.awaitTermination()
-    return None
+    return started
 
 
 def stream_cost(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str) -> None:

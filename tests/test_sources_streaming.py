@@ -69,7 +69,9 @@ def test_stream_articles_equals_batch_and_rerun_adds_nothing(spark, tmp_dir):
     src, out, ckpt = (os.path.join(tmp_dir, d) for d in ("src", "out", "ckpt"))
     replies = fx.responses(fx.read_table(spark, SF, "pages"))
     replies.repartition(3).write.parquet(src)
-    stream_articles(spark, src, out, ckpt)
+    query = stream_articles(spark, src, out, ckpt)
+    observed = [p["observedMetrics"]["pages"] for p in query.recentProgress if p.get("observedMetrics")]
+    assert sum(o["pages_done"] for o in observed) == replies.count()
     first = spark.read.parquet(out)
     batch = articles_from_replies(spark.read.parquet(src))
     cols = sorted(batch.columns)
