@@ -16,11 +16,12 @@ a contiguous slice of it:
 
 Rows with equal ``(keys, order)`` always share a partition, so the result
 is the same as the plain window for any data.  The range-partitioned rows
-are checkpointed with their partition id, so the row branch and the offset
-branch see one assignment (re-sampling could cut differently) and a lost
-executor cannot change it.  The input is read twice by the range exchange
-(sampling, then rows); by default it is checkpointed first so expensive
-upstream work (UDFs) runs once.
+are written once with their partition id as a column (a table in the shared
+checkpoint folder), so the row branch and the offset branch see one
+assignment (re-sampling could cut differently), a lost executor cannot
+change it, and the offset branch reads only the key columns.  The input is
+read twice by the range exchange (sampling, then rows); by default it is
+written first so expensive upstream work (UDFs) runs once.
 """
 
 from __future__ import annotations
@@ -31,12 +32,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared checkpoint folder and cut its lineage (survives executor loss)."""
-    from scanpress.session import ensure_checkpoint_dir
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Write the frame as a table in the shared checkpoint folder and read it back.
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    This cuts the lineage (a lost executor re-reads the table instead of
+    recomputing upstream work), and unlike an RDD checkpoint the table is
+    columnar: later branches read only the columns they use.
+    """
+    from scanpress.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _null_safe_join(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
@@ -54,8 +61,8 @@ def running_sum_within(
 ) -> DataFrame:
     """Exact running sum of ``value`` within ``keys`` in ``order`` (rows up to the current one), skew-safe.
 
-    The input is checkpointed first (``materialized=True``) because the
-    range bounds, the boundary sums and the rows each read it.
+    The input is written first (``materialized=True``) because the range
+    sampling and the range exchange each read it.
     """
     if materialized:
         df = materialize(df)
@@ -70,7 +77,8 @@ def running_sum_within(
     ranged = materialize(
         df.withColumn("_v", value)
         .repartitionByRange(n, *keys, *order)
-        .withColumn("_pid", F.spark_partition_id())
+        .withColumn("_pid", F.spark_partition_id()),
+        "ranged",
     )
     upto = Window.partitionBy(*keys, "_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.sum("_v").over(upto))

@@ -220,9 +220,9 @@ def q_unique_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_name_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _slugged_docs(spark, sf_dir)
-    labels = _t(spark, sf_dir, "labels").filter(F.col("quality") == 1).select("doc_id")
+    labels = _t(spark, sf_dir, "labels").filter(F.col("quality") == 1).select(F.col("doc_id").cast("int").alias("ordinal"))
     # Names a previous run wrote: the plain names of the documents labelled good.
-    written = unique_names(docs).join(labels, docs["ordinal"] == labels["doc_id"], "left_semi")
+    written = unique_names(docs).join(labels, "ordinal", "left_semi")
     return name_offset(docs, written.select("file_name")).select("page_id", "ordinal", "slug", "file_name")
 
 
