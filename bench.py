@@ -4,7 +4,8 @@ Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]``; every column of the result is materialised through
 the ``noop`` sink (``count()`` would let Catalyst prune the work away).
 One warm-up run, then the median of ``$BENCH_RUNS`` (default 3) runs.
-Prints one JSON line.
+``$BENCH_REPLICATE=k`` repeats every input row k times (ids offset per copy)
+to compare plans on more rows.  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -47,12 +48,15 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
+    replicate = int(os.environ.get("BENCH_REPLICATE", "1"))
     spark = get_spark(
         app="scanpress-bench",
         master=f"local[{cpus}]",
         shuffle_partitions=int(cpus),
         extra={"spark.driver.memory": "16g"},
     )
+    if replicate > 1:
+        spark.conf.set("scanpress.bench.replicate", str(replicate))
     timings: dict[str, float] = {}
     for name in HEADLINE:
         run_once(spark, name, sf_dir)
@@ -66,6 +70,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": int(cpus),
         "runs": runs,
+        "replicate": replicate,
     }))
     spark.stop()
 

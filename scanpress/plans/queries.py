@@ -215,11 +215,14 @@ def _slugged_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_unique_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unique_names(_slugged_docs(spark, sf_dir)).select("page_id", "ordinal", "slug", "file_name")
+    # Project before naming: the ranking writes its input once, so keep it narrow.
+    return unique_names(_slugged_docs(spark, sf_dir).select("page_id", "ordinal", "slug")).select(
+        "page_id", "ordinal", "slug", "file_name"
+    )
 
 
 def q_name_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _slugged_docs(spark, sf_dir)
+    docs = _slugged_docs(spark, sf_dir).select("page_id", "ordinal", "slug")
     labels = _t(spark, sf_dir, "labels").filter(F.col("quality") == 1).select(F.col("doc_id").cast("int").alias("ordinal"))
     # Names a previous run wrote: the plain names of the documents labelled good.
     written = unique_names(docs).join(labels, "ordinal", "left_semi")
