@@ -1,27 +1,30 @@
-"""Row numbers within groups that stay parallel when one group is huge.
+"""Row numbers and running sums within groups that stay parallel when one group is huge.
 
 ``row_number() OVER (PARTITION BY keys ORDER BY order)`` puts every row of a
 group in one task; a group holding a third of the table would run on one
-core.  Here rows are range-partitioned on ``(keys, order)`` instead, so the
-sampled range bounds cut a large group into many partitions, each holding
-a contiguous slice of it:
-
-1. local row numbers per ``(keys, partition)`` - the exchange for this
-   window hashes on the partition id too, so a hot group is spread out;
-2. only the first and the last group of a partition can continue into the
-   next one, so the offsets (rows of the same group in earlier partitions)
-   are computed over at most ``2 x partitions`` boundary entries - a bound
-   that does not grow with the data, so that small table is broadcast;
-3. rank = local row number + offset.
+core.  Here the input is written once as a table, the rows per group are
+counted from its key columns, and groups larger than an even share of one
+partition (``total / n`` rows, so at most ``n`` of them) are *hot*:
+
+* all other rows take the plain window - one shuffle;
+* hot rows are range-partitioned on ``(keys, order)``, so the sampled range
+  bounds cut a hot group into many partitions, each holding a contiguous
+  slice of it:
+
+  1. local running sums per ``(keys, partition)`` - the window's exchange
+     hashes on the partition id too, so the hot group is spread out;
+  2. only the first and the last group of a partition can continue into the
+     next one, so the offsets (sums of the same group in earlier partitions)
+     come from at most ``2 x partitions`` boundary entries - a bound that
+     does not grow with the data, so that small table is broadcast;
+  3. result = local sum + offset.
 
 Rows with equal ``(keys, order)`` always share a partition, so the result
 is the same as the plain window for any data.  The range-partitioned rows
 are written once with their partition id as a column (a table in the shared
-checkpoint folder), so the row branch and the offset branch see one
-assignment (re-sampling could cut differently), a lost executor cannot
-change it, and the offset branch reads only the key columns.  The input is
-read twice by the range exchange (sampling, then rows); by default it is
-written first so expensive upstream work (UDFs) runs once.
+checkpoint folder): the row branch and the offset branch see one assignment
+(re-sampling seeds from RDD ids and could cut differently), a lost executor
+cannot change it, and the offset branch reads only the key columns.
 """
 
 from __future__ import annotations
@@ -50,30 +53,16 @@ def _null_safe_join(keys: list[str], left: DataFrame, right: DataFrame) -> Colum
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def running_sum_within(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: Column,
-    out: str,
-    partitions: int | None = None,
-    materialized: bool = True,
-) -> DataFrame:
-    """Exact running sum of ``value`` within ``keys`` in ``order`` (rows up to the current one), skew-safe.
+def _plain_running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str) -> DataFrame:
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn(out, F.sum(value).over(upto).cast("long"))
 
-    The input is written first (``materialized=True``) because the range
-    sampling and the range exchange each read it.
-    """
-    if materialized:
-        df = materialize(df)
-    spark = df.sparkSession
-    # As many range partitions as the input has splits (its size), at least one
-    # per core; an explicit count is never coalesced by AQE, so it must not
-    # come from a session default sized for other work.
-    n = partitions or max(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+
+def _split_running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, n: int) -> DataFrame:
+    """Range-split form: any group, however large, is cut over ``n`` partitions."""
     # Range bounds come from sampling seeded by RDD ids, so two evaluations of
     # the same exchange may cut differently; the partition assignment is
-    # checkpointed once and every branch below reads that same copy.
+    # written once and every branch below reads that same copy.
     ranged = materialize(
         df.withColumn("_v", value)
         .repartitionByRange(n, *keys, *order)
@@ -102,6 +91,44 @@ def running_sum_within(
     return joined.withColumn(out, total).drop("_v", "_pid", "_local", "_offset", "_o_pid", *[f"_o_{k}" for k in keys])
 
 
+def running_sum_within(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: Column,
+    out: str,
+    partitions: int | None = None,
+    materialized: bool = True,
+) -> DataFrame:
+    """Exact running sum of ``value`` within ``keys`` in ``order`` (rows up to the current one), skew-safe.
+
+    Groups with more rows than an even share of one partition
+    (``total / n``) are hot; there are at most ``n`` of them, so their keys
+    are a bounded list.  Hot groups take the range-split form, all other
+    rows the single window (one shuffle).  The input is written first
+    (``materialized=True``) because it is read more than once; the group
+    counts then read only the key columns.
+    """
+    if materialized:
+        df = materialize(df)
+    spark = df.sparkSession
+    # As many partitions as the input has splits (its size), at least one
+    # per core; an explicit count is never coalesced by AQE, so it must not
+    # come from a session default sized for other work.
+    n = partitions or max(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+    total = df.count()
+    limit = max(total // n, 1)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot_rows = sizes.filter(F.col("_rows") > limit).drop("_rows").collect()  # at most n rows
+    if not hot_rows:
+        return _plain_running_sum(df, keys, order, value, out)
+    hot = F.broadcast(spark.createDataFrame(hot_rows, sizes.drop("_rows").schema))
+    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(hot[k]) for k in keys])
+    normal = _plain_running_sum(df.join(hot, cond, "left_anti"), keys, order, value, out)
+    large = _split_running_sum(df.join(hot, cond, "left_semi"), keys, order, value, out, n)
+    return normal.unionByName(large)
+
+
 def rank_within(
     df: DataFrame,
     keys: list[str],
