@@ -56,8 +56,8 @@ def regular_meta(html: Column, lower_names: bool) -> Column:
     names = F.regexp_extract_all(html, F.lit(META_TAG), 1)
     if lower_names:
         names = F.transform(names, lambda s: F.lower(s))
-    names = F.transform(names, lambda s: decode_entities(s))
-    values = F.transform(F.regexp_extract_all(html, F.lit(META_TAG), 2), lambda s: decode_entities(s))
+    names = F.transform(names, lambda s: decode_entities(s, nbsp="\xa0"))
+    values = F.transform(F.regexp_extract_all(html, F.lit(META_TAG), 2), lambda s: decode_entities(s, nbsp="\xa0"))
     return F.map_from_entries(_dedup_last(names, values))
 
 

@@ -1,8 +1,9 @@
 """Text functions: whitespace, shorten, slugs, entities, HTML to text (SC-4, 5, 8, 9, 10, 15).
 
 Everything here is a ``Column -> Column`` built from Catalyst string
-functions.  The one exception is the slug of a headline that is not plain
-ASCII (or needs hyphen-aware shortening): those values go through an Arrow
+functions.  Slugs use a ``translate`` table derived from NFKD for Latin,
+Greek and Cyrillic text.  Values Catalyst cannot do exactly (other scripts,
+ligatures, hyphen-aware shortening, rare whitespace) go through an Arrow
 ``pandas_udf`` that receives NULL for every other row, so the Python side
 only does work for the rows that need it.
 """
@@ -20,33 +21,46 @@ from pyspark.sql import types as T
 
 from scanpress.schemas import SHORTEN_PLACEHOLDER, SLUG_WIDTH
 
-# Characters Python's ``str.split()`` / ``str.strip()`` treat as whitespace,
-# written for Java regex (RE2 reads the same class).
-ASCII_WS = r"[\t\n\x0B\f\r\x1C-\x1F ]"
-UNICODE_WS = (
-    r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
+# Whitespace as Python's ``str.split()`` / ``str.strip()`` see it, in two
+# parts.  The Latin-1 part is a regex class Java compiles to a bitmap (fast);
+# the rest are rare characters found with plain substring tests, and rows
+# holding one go to the Python path.
+FAST_WS = r"[\t\n\x0B\f\r\x1C-\x1F \x85\xA0]"
+# Fixed value: the other characters Python treats as whitespace.
+RARE_SPACES = "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def strip_ws(col: Column | str, ws: str = UNICODE_WS) -> Column:
-    """Python ``str.strip()``: remove leading and trailing whitespace."""
-    return F.regexp_replace(_c(col), f"^{ws}+|{ws}+$", "")
+def has_rare_space(col: Column | str) -> Column:
+    """True when the text holds whitespace outside Latin-1 (then only the Python path is exact)."""
+    text = _c(col)
+    out = text.contains(RARE_SPACES[0])
+    for ch in RARE_SPACES[1:]:
+        out = out | text.contains(ch)
+    return out
+
+
+def strip_ws(col: Column | str) -> Column:
+    """Python ``str.strip()`` for text without rare spaces (see :func:`has_rare_space`)."""
+    return F.regexp_replace(_c(col), f"^{FAST_WS}+|{FAST_WS}+$", "")
 
 
 def collapse_ws(col: Column | str) -> Column:
-    """``' '.join(text.split())``: trim, then one space for every whitespace run."""
-    return F.regexp_replace(strip_ws(col), f"{UNICODE_WS}+", " ")
+    """``' '.join(text.split())`` for text without rare spaces: trim, one space per whitespace run."""
+    return F.regexp_replace(strip_ws(col), f"{FAST_WS}+", " ")
+
 
+def decode_entities(col: Column | str, nbsp: str = " ") -> Column:
+    """Decode the basic named entities; ``&amp;`` last so ``&amp;lt;`` stays ``&lt;``.
 
-def decode_entities(col: Column | str) -> Column:
-    """Decode the basic named entities; ``&amp;`` last so ``&amp;lt;`` stays ``&lt;``."""
+    ``nbsp`` is what ``&nbsp;`` becomes: a plain space in our plain-text rule,
+    U+00A0 where the value must equal what an HTML parser yields.
+    """
     out = _c(col)
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " ")):
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", nbsp)):
         out = F.replace(out, F.lit(entity), F.lit(char))
     return F.replace(out, F.lit("&amp;"), F.lit("&"))
 
@@ -99,13 +113,11 @@ def _shorten_udf(values: pd.Series) -> pd.Series:
 def shorten_text(col: Column | str) -> Column:
     """``textwrap.shorten(text, 60)`` for any text.
 
-    Text with a hyphen to break at, or with whitespace beyond ASCII, goes to
-    a vectorised UDF (NULL for every other row); the rest stays in Catalyst.
+    Text with a hyphen to break at, or with rare whitespace, goes to a
+    vectorised UDF (NULL for every other row); the rest stays in Catalyst.
     """
     text = _c(col)
-    slow = text.rlike(r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]") | (
-        text.contains("-") & (F.length(collapse_ws(text)) > SLUG_WIDTH)
-    )
+    slow = has_rare_space(text) | (text.contains("-") & (F.length(collapse_ws(text)) > SLUG_WIDTH))
     return F.when(~slow, shorten(text)).otherwise(_shorten_udf(F.when(slow, text)))
 
 
@@ -132,32 +144,87 @@ def _headline_slug_udf(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else py_headline_slug(v))
 
 
+# Code-point blocks whose NFKD-to-ASCII mapping Catalyst applies with
+# ``translate`` (Latin, IPA, combining marks, Greek, Cyrillic, Latin
+# extended additional, Greek extended, general punctuation, super/subscripts,
+# currency).  Other scripts go to the UDF.
+TRANSLATED_BLOCKS = ((0x80, 0x52F), (0x1E00, 0x1FFF), (0x2000, 0x20CF))
+
+
+def _ascii_translation() -> tuple[str, str]:
+    """``translate`` arguments, derived by rule.
+
+    For each code point c in the blocks, NFKD(c) without non-ASCII is either
+    one character (mapped), empty (deleted) or longer (left to the UDF).
+    NFKD decomposes character by character, so translating a string gives
+    the same ASCII as normalising it whole.
+    """
+    mapped_from, mapped_to, deleted = [], [], []
+    for lo, hi in TRANSLATED_BLOCKS:
+        for cp in range(lo, hi + 1):
+            ch = chr(cp)
+            out = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode("ascii")
+            if len(out) == 1:
+                mapped_from.append(ch)
+                mapped_to.append(out)
+            elif not out:
+                deleted.append(ch)
+    return "".join(mapped_from) + "".join(deleted), "".join(mapped_to)
+
+
+TRANSLATE_FROM, TRANSLATE_TO = _ascii_translation()
+
+
+def catalyst_ascii(col: Column | str) -> Column:
+    """NFKD-to-ASCII for text whose characters are all ASCII or covered by the translation."""
+    return F.translate(_c(col), TRANSLATE_FROM, TRANSLATE_TO)
+
+
 def needs_python_slug(col: Column | str) -> Column:
-    """Rows Catalyst cannot slug exactly: non-ASCII text, or a hyphen in a value to be shortened."""
+    """Rows Catalyst cannot slug exactly: characters outside the translation, or a hyphen in a value to be shortened."""
     text = _c(col)
-    non_ascii = text.rlike(r"[^\x00-\x7F]")
-    return non_ascii | (text.contains("-") & (F.length(collapse_ws(text)) > SLUG_WIDTH))
+    # Covered characters all become ASCII (or vanish) under the translation,
+    # so anything non-ASCII left afterwards is uncovered.
+    uncovered = catalyst_ascii(text).rlike(r"[^\x00-\x7F]")
+    return uncovered | has_rare_space(text) | (text.contains("-") & (F.length(collapse_ws(text)) > SLUG_WIDTH))
 
 
 def slugify_headline(col: Column | str) -> Column:
     """``slugify(shorten(headline, 60))``: the article slug.
 
-    ASCII rows stay in codegen; the rest are sent to a vectorised UDF, which
-    gets NULL for the ASCII rows.
+    Rows Catalyst can do exactly stay in codegen (``translate`` applies the
+    NFKD-to-ASCII table); the rest are sent to a vectorised UDF, which gets
+    NULL for the other rows.
     """
     text = _c(col)
     slow = needs_python_slug(text)
-    fast = ascii_slug(shorten(text))
+    fast = ascii_slug(catalyst_ascii(shorten(text)))
     return F.when(text.isNull(), F.lit(None)).when(~slow, fast).otherwise(
         _headline_slug_udf(F.when(slow, text))
     )
 
 
+def with_headline_slug(df, col: str = "headline", out: str = "slug"):  # noqa: ANN001, ANN201
+    """Add ``slugify(shorten(col))`` as ``out`` with the routing flag computed once.
+
+    As a column expression the flag would be evaluated on both sides of the
+    Python step; as a column of its own it is evaluated once per row.
+    """
+    flagged = df.withColumn("_slug_slow", needs_python_slug(col))
+    slow = F.col("_slug_slow")
+    fast = ascii_slug(catalyst_ascii(shorten(col)))
+    slug = F.when(F.col(col).isNull(), F.lit(None)).when(~slow, fast).otherwise(
+        _headline_slug_udf(F.when(slow, F.col(col)))
+    )
+    return flagged.withColumn(out, slug).drop("_slug_slow")
+
+
 def slugify(col: Column | str) -> Column:
-    """Plain ``slugify`` (no shortening) with the same ASCII / UDF split."""
+    """Plain ``slugify`` (no shortening) with the same Catalyst / UDF split."""
     text = _c(col)
-    slow = text.rlike(r"[^\x00-\x7F]")
-    return F.when(~slow, ascii_slug(text)).otherwise(_slugify_udf(F.when(slow, text)))
+    ascii_text = catalyst_ascii(text)
+    slow = ascii_text.rlike(r"[^\x00-\x7F]")
+    return F.when(~slow, ascii_slug(ascii_text)).otherwise(_slugify_udf(F.when(slow, text)))
 
 
 @F.pandas_udf(T.StringType())
@@ -171,7 +238,7 @@ def _slugify_udf(values: pd.Series) -> pd.Series:
 def element_text(col: Column | str) -> Column:
     """Text of an element: text nodes stripped, empty ones dropped, joined with no separator."""
     nodes = F.split(_c(col), "<[^>]*>")
-    cleaned = F.transform(nodes, lambda s: strip_ws(decode_entities(s)))
+    cleaned = F.transform(nodes, lambda s: strip_ws(decode_entities(s, nbsp="\xa0")))
     return F.array_join(F.filter(cleaned, lambda s: s != ""), "")
 
 

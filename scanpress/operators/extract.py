@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from scanpress.functions.markup import strip_fences
 from scanpress.functions.replies import article_count, finish_reason, response_status
-from scanpress.functions.text import _c, element_text
+from scanpress.functions.text import _c, element_text, has_rare_space
 
 COMMENT = r"(?s)<!--.*?-->"
 ARTICLE_BLOCK = r"(?s)<article>(.*?)</article>"
@@ -112,6 +112,7 @@ def is_regular_markup(markup: Column | str) -> Column:
         structure,
         F.forall(F.regexp_extract_all(m, F.lit(ENTITY), 0), lambda e: e.isin(*KNOWN_ENTITIES)),
         ~m.contains("<![CDATA["),
+        ~has_rare_space(m),
     ]
     out = checks[0]
     for check in checks[1:]:

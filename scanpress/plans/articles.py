@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanpress.functions.markup import article_html
-from scanpress.functions.text import slugify_headline
+from scanpress.functions.text import with_headline_slug
 from scanpress.operators.extract import extract_articles, with_reply_status
 from scanpress.operators.naming import name_offset, unique_names
 
 
 def articles_from_replies(replies: DataFrame) -> DataFrame:
     """Every article of every accepted reply, with its slug."""
-    return extract_articles(with_reply_status(replies)).withColumn("slug", slugify_headline("headline"))
+    return with_headline_slug(extract_articles(with_reply_status(replies)))
 
 
 def article_documents(articles: DataFrame, existing_names: DataFrame | None = None) -> DataFrame:

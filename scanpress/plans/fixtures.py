@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanpress.functions.markup import article_html
-from scanpress.functions.text import escape_text, slugify_headline
+from scanpress.functions.text import escape_text, with_headline_slug
 from scanpress.operators.naming import unique_names
 from scanpress.schemas import MODELS
 from scanpress.session import spread
@@ -277,7 +277,7 @@ def doc_articles(documents: DataFrame) -> DataFrame:
 
 def article_docs(articles: DataFrame) -> DataFrame:
     """Articles to named HTML documents: slug, unique name (WN-1), document (SC-11)."""
-    named = unique_names(articles.withColumn("slug", slugify_headline("headline")))
+    named = unique_names(with_headline_slug(articles))
     return named.select(
         "page_id",
         "ordinal",

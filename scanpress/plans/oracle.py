@@ -43,11 +43,12 @@ def collapse(x: str) -> str:
     return f"regexp_replace({strip(x)}, '{WS}+', ' ', 'g')"
 
 
-def decode(x: str) -> str:
+def decode(x: str, nbsp: str = "' '") -> str:
+    """Entity decoding; ``nbsp`` is the SQL expression ``&nbsp;`` becomes."""
     out = x
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        out = f"replace({out}, {lit(a)}, {lit(b)})"
-    return out
+    for a, b in (("&lt;", lit("<")), ("&gt;", lit(">")), ("&quot;", lit('"')), ("&#39;", lit("'")), ("&nbsp;", nbsp)):
+        out = f"replace({out}, {lit(a)}, {b})"
+    return f"replace({out}, '&amp;', '&')"
 
 
 def esc_attr(x: str) -> str:
@@ -62,7 +63,7 @@ def esc_text(x: str) -> str:
 
 
 def element_text(x: str, v: str = "t") -> str:
-    cleaned = f"list_transform(string_split_regex({x}, '<[^>]*>'), lambda {v}: {strip(decode(v))})"
+    cleaned = f"list_transform(string_split_regex({x}, '<[^>]*>'), lambda {v}: {strip(decode(v, 'chr(160)'))})"
     return f"array_to_string(list_filter({cleaned}, lambda {v}: {v} <> ''), '')"
 
 
@@ -119,7 +120,8 @@ def article_html(headline: str, strap: str, author: str, slug_col: str, cat: str
 
 def meta_value(html: str, name: str) -> str:
     pattern = f'<meta\\s+name="{name}"\\s+content="([^"]*)"'
-    return f"CASE WHEN regexp_matches({html}, {lit(pattern)}) THEN {decode(f'regexp_extract({html}, {lit(pattern)}, 1)')} END"
+    value = decode(f"regexp_extract({html}, {lit(pattern)}, 1)", "chr(160)")
+    return f"CASE WHEN regexp_matches({html}, {lit(pattern)}) THEN {value} END"
 
 
 def natural_key(x: str) -> str:

@@ -86,7 +86,7 @@ def q_shorten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_slugify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _first_lines(spark, sf_dir).select("doc_id", tx.slugify_headline("line").alias("slug"))
+    return tx.with_headline_slug(_first_lines(spark, sf_dir), "line").select("doc_id", "slug")
 
 
 def q_html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +211,7 @@ def q_price_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _slugged_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _doc_articles(spark, sf_dir).withColumn("slug", tx.slugify_headline("headline"))
+    return tx.with_headline_slug(_doc_articles(spark, sf_dir))
 
 
 def q_unique_names(spark: SparkSession, sf_dir: str) -> DataFrame:

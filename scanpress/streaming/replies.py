@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanpress.functions.text import slugify_headline
+from scanpress.functions.text import with_headline_slug
 from scanpress.operators.cost import model_usage, price_model_usage
 from scanpress.operators.extract import extract_articles, with_reply_status
 from scanpress.schemas import RESPONSES
@@ -50,7 +50,7 @@ def stream_articles(
         F.count(F.lit(1)).alias("pages_done"),
         F.count_if(F.col("status") != "OK").alias("pages_failed"),
     )
-    articles = extract_articles(replies).withColumn("slug", slugify_headline("headline"))
+    articles = with_headline_slug(extract_articles(replies))
     query = (
         articles.writeStream.format("parquet")
         .option("path", out_dir)

@@ -12,7 +12,8 @@ from scanpress.operators.extract import with_reply_status
 from scanpress.plans import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
-WORDS = ["a", "bb", "news", "Élan", "straße", "x" * 30, "y" * 70, "well-known", "--", "ﬁ", "½", "Ünïcödé", "!?", "日本"]
+WORDS = ["a", "bb", "news", "Élan", "straße", "x" * 30, "y" * 70, "well-known", "--", "ﬁ", "½", "Ünïcödé", "!?", "日本",
+         "Ἀθῆναι", "Москва", "ǅemal", "x²", "wait…", "a—b", "€5", "cafe\u0301", "ｆｕｌｌ", "Œuvre", "ĳssel", "Ωmega"]
 
 
 def _random_texts(seed: int, n: int) -> list[str]:
@@ -25,8 +26,21 @@ def _random_texts(seed: int, n: int) -> list[str]:
     return out
 
 
+def _random_block_texts(seed: int, n: int) -> list[str]:
+    rng = random.Random(seed)
+    blocks = [(0x80, 0x52F), (0x1E00, 0x1FFF), (0x2000, 0x20CF)]
+    out = []
+    for _ in range(n):
+        chars = []
+        for _ in range(rng.randint(1, 30)):
+            lo, hi = rng.choice(blocks)
+            chars.append(chr(rng.randint(lo, hi)) if rng.random() < 0.5 else rng.choice("abc XYZ 09"))
+        out.append("".join(chars))
+    return out
+
+
 def test_catalyst_slug_and_shorten_equal_python(spark):
-    values = _random_texts(11, 300)
+    values = _random_texts(11, 300) + _random_block_texts(3, 300)
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
     got = df.select("i", tx.slugify_headline("v").alias("slug"), tx.shorten_text("v").alias("short")).orderBy("i").collect()
     for row, v in zip(got, values):
