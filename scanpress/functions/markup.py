@@ -38,8 +38,8 @@ def strip_fences(col: Column | str) -> Column:
 # ---------------------------------------------------------------- SC-6 meta tags
 
 META_TAG = r'<meta\s+name="([^"]*)"\s+content="([^"]*)"\s*/?>'
+META_ANY = r"(?i)<meta\b[^>]*>"
 HEAD = r"(?is)<head\b[^>]*>(.*?)</head>"
-META_ANY = r"(?i)<meta\b"
 
 
 def _dedup_last(keys: Column, values: Column) -> Column:
@@ -51,13 +51,13 @@ def _dedup_last(keys: Column, values: Column) -> Column:
     )
 
 
-def regular_meta(html: Column, lower_names: bool) -> Column:
-    """Map of ``<meta name="..." content="...">`` tags written in the regular form."""
-    names = F.regexp_extract_all(html, F.lit(META_TAG), 1)
+def regular_meta(tags: Column, lower_names: bool) -> Column:
+    """Map of meta tags (an array of ``<meta ...>`` strings) written in the regular form."""
+    names = F.transform(tags, lambda t: F.regexp_extract(t, META_TAG, 1))
     if lower_names:
         names = F.transform(names, lambda s: F.lower(s))
     names = F.transform(names, lambda s: decode_entities(s, nbsp="\xa0"))
-    values = F.transform(F.regexp_extract_all(html, F.lit(META_TAG), 2), lambda s: decode_entities(s, nbsp="\xa0"))
+    values = F.transform(tags, lambda t: decode_entities(F.regexp_extract(t, META_TAG, 2), nbsp="\xa0"))
     return F.map_from_entries(_dedup_last(names, values))
 
 
@@ -122,15 +122,59 @@ def html_meta(col: Column | str, lower_names: bool = True, head_only: bool = Fal
         raise ValueError(msg)
     html = _c(col)
     scope = F.coalesce(F.regexp_extract(html, HEAD, 1), F.lit("")) if head_only else html
-    regular = F.regexp_count(scope, F.lit(META_ANY)) == F.regexp_count(scope, F.lit(META_TAG))
+    # One pass over the document collects the meta tags; the rest works on
+    # that short array.
+    tags = F.regexp_extract_all(scope, F.lit(META_ANY), 0)
+    regular = F.forall(tags, lambda t: t.rlike(f"^{META_TAG}$"))
     udf = _meta_lower_udf if lower_names else _meta_case_head_udf
     if head_only:
         regular = regular & html.rlike(HEAD)
-    return F.when(html.isNull(), F.lit(None)).when(regular, regular_meta(scope, lower_names)).otherwise(
+    return F.when(html.isNull(), F.lit(None)).when(regular, regular_meta(tags, lower_names)).otherwise(
         udf(F.when(~regular, html))
     )
 
 
+def with_html_meta(df, col: str = "html", out: str = "meta", lower_names: bool = True, head_only: bool = False):  # noqa: ANN001, ANN201
+    """Add the meta map of ``col`` as ``out`` - the form to use inside a job.
+
+    Higher-order functions are evaluated without common-subexpression
+    elimination, so the regex passes over the document (all meta tags,
+    their names, their values) are staged as columns once and the checks
+    and the map are built from those short arrays.
+    """
+    if (lower_names, head_only) not in ((True, False), (False, True)):
+        msg = "html_meta supports the corpus form and the reader form"
+        raise ValueError(msg)
+    html = F.col(col)
+    scope = F.coalesce(F.regexp_extract(html, HEAD, 1), F.lit("")) if head_only else html
+    staged = (
+        df.withColumn("_meta_tags", F.regexp_extract_all(scope, F.lit(META_ANY), 0))
+        .withColumn("_meta_names", F.regexp_extract_all(scope, F.lit(META_TAG), 1))
+        .withColumn("_meta_values", F.regexp_extract_all(scope, F.lit(META_TAG), 2))
+    )
+    regular = F.size("_meta_tags") == F.size("_meta_names")
+    if head_only:
+        regular = regular & html.rlike(HEAD)
+    staged = staged.withColumn("_meta_regular", F.coalesce(regular, F.lit(False)))
+    names = F.col("_meta_names")
+    if lower_names:
+        names = F.transform(names, lambda s: F.lower(s))
+    names = F.transform(names, lambda s: decode_entities(s, nbsp="\xa0"))
+    values = F.transform("_meta_values", lambda s: decode_entities(s, nbsp="\xa0"))
+    # The decoded names are read again for every entry while duplicates are
+    # dropped, so they are a column too.
+    staged = staged.withColumn("_meta_keys", names)
+    udf = _meta_lower_udf if lower_names else _meta_case_head_udf
+    flag = F.col("_meta_regular")
+    entries = _dedup_last(F.col("_meta_keys"), values)
+    meta = F.when(html.isNull(), F.lit(None)).when(flag, F.map_from_entries(entries)).otherwise(
+        udf(F.when(~flag, html))
+    )
+    return staged.withColumn(out, meta).drop(
+        "_meta_tags", "_meta_names", "_meta_values", "_meta_regular", "_meta_keys"
+    )
+
+
 # ---------------------------------------------------------------- SC-7 fields
 
 

@@ -8,14 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanpress.functions.markup import article_fields, html_meta
+from scanpress.functions.markup import article_fields, with_html_meta
 from scanpress.functions.names import article_issue, article_name_ok, article_page
 from scanpress.functions.text import html_to_text
 
 
 def corpus_rows(docs: DataFrame, name: str = "file_name", html: str = "html") -> DataFrame:
     """Corpus columns for documents whose names follow the contract (the rest: ``bad_names``)."""
-    good = docs.filter(article_name_ok(name)).withColumn("_meta", html_meta(html))
+    good = with_html_meta(docs.filter(article_name_ok(name)), html, "_meta")
     fields = article_fields("_meta")
     return good.select(
         F.col(name).alias("filename"),

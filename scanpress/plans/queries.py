@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from scanpress.functions import images as img
 from scanpress.functions import names as nm
 from scanpress.functions import text as tx
-from scanpress.functions.markup import article_fields, document_status, html_meta, strip_fences
+from scanpress.functions.markup import article_fields, document_status, strip_fences, with_html_meta
 from scanpress.functions.replies import finish_reason
 from scanpress.operators import attempts as att
 from scanpress.operators import audit, cost, filters
@@ -114,12 +114,12 @@ def _article_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_html_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _article_docs(spark, sf_dir).withColumn("_meta", html_meta("html"))
+    docs = with_html_meta(_article_docs(spark, sf_dir), "html", "_meta")
     return docs.select("file_name", *article_fields("_meta"), F.size("_meta").cast("long").alias("n_meta"))
 
 
 def q_article_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _article_docs(spark, sf_dir).withColumn("_meta", html_meta("html"))
+    docs = with_html_meta(_article_docs(spark, sf_dir), "html", "_meta")
     f = article_fields("_meta")
     md = tx.article_markdown(f[0], f[1], f[2], tx.html_to_text("html"))
     return docs.select("file_name", md.alias("markdown"))
@@ -317,7 +317,7 @@ def q_read_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_reader_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SC-6 reader form (names as written, ``<head>`` only) with SC-7 fields."""
-    docs = _article_docs(spark, sf_dir).withColumn("_meta", html_meta("html", lower_names=False, head_only=True))
+    docs = with_html_meta(_article_docs(spark, sf_dir), "html", "_meta", lower_names=False, head_only=True)
     return docs.select("file_name", *article_fields("_meta"), document_status("html").alias("status"))
 
 
