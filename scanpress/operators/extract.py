@@ -71,7 +71,12 @@ ENTITY = r"&[#a-zA-Z0-9]+;"
 KNOWN_ENTITIES = ("&amp;", "&lt;", "&gt;", "&quot;", "&#39;", "&nbsp;")
 
 
-def is_regular_markup(markup: Column | str) -> Column:
+def structure_tags(markup: Column | str) -> Column:
+    """The structural tags of the markup, in order (one regex pass)."""
+    return F.regexp_extract_all(_c(markup), F.lit(STRUCTURE_TAG), 0)
+
+
+def is_regular_markup(markup: Column | str, tags: Column | str | None = None) -> Column:
     """True when regular expressions read the markup exactly as a parser would.
 
     One pass collects the structural tags; a fold over that short list then
@@ -81,7 +86,8 @@ def is_regular_markup(markup: Column | str) -> Column:
     only the decoded entities occur.
     """
     m = _c(markup)
-    tags = F.regexp_extract_all(m, F.lit(STRUCTURE_TAG), 0)
+    # Pass a staged column as ``tags``: both checks below read it.
+    tags = structure_tags(m) if tags is None else _c(tags)
     plain = [f"<{t}>" for t in ("article", *FIELD_TAGS)] + [f"</{t}>" for t in ("article", *FIELD_TAGS)]
     fields = [f"<{t}>" for t in FIELD_TAGS]
 
@@ -273,7 +279,8 @@ def extract_articles(
     """
     if "status" not in replies.columns:
         replies = with_reply_status(replies)
-    flagged = replies.select(*keys, "status", "markup", is_regular_markup("markup").alias("_regular"))
+    staged = replies.select(*keys, "status", "markup", structure_tags("markup").alias("_tags"))
+    flagged = staged.select(*keys, "status", "markup", is_regular_markup("markup", "_tags").alias("_regular"))
     found = articles_of("markup", "_regular")
     if only_ok:
         found = F.when(F.col("status") == "OK", found)
