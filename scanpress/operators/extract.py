@@ -157,7 +157,7 @@ _VOID = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "
 
 
 class _Node:
-    __slots__ = ("children", "end", "inner_end", "inner_start", "tag", "texts")
+    __slots__ = ("children", "inner_end", "inner_start", "tag", "texts")
 
     def __init__(self, tag: str, inner_start: int) -> None:
         self.tag = tag

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from scanpress.functions.markup import article_fields, article_html, html_meta, py_html_meta
 
