@@ -58,18 +58,30 @@ def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
 
 
 def run_summary(replies: DataFrame) -> DataFrame:
-    """AG-4: pages handled (failed ones too), replies, failures, articles, replies without usage."""
+    """AG-4: pages handled (failed ones too), replies, failures, articles, replies without usage.
+
+    Two levels instead of ``count(DISTINCT page_id)`` beside other
+    aggregates (which Spark plans with an ``Expand`` that doubles the rows):
+    per-page partial sums, combined map-side, then one small total.
+    """
     ok = F.col("status") == "OK"
-    return replies.agg(
-        F.count_distinct("page_id").alias("pages_done"),
+    per_page = replies.groupBy("page_id").agg(
         F.count(F.lit(1)).alias("replies"),
         F.count_if(ok).alias("ok_replies"),
         F.count_if(~ok).alias("failed_replies"),
-        F.coalesce(F.sum(F.when(ok, F.col("n_articles"))), F.lit(0)).cast("long").alias("articles"),
+        F.sum(F.when(ok, F.col("n_articles"))).alias("articles"),
         F.count_if(F.col("input_tokens").isNull() | F.col("output_tokens").isNull()).alias(
             "replies_without_usage"
         ),
     )
+    return per_page.agg(
+        F.count(F.lit(1)).alias("pages_done"),
+        F.coalesce(F.sum("replies"), F.lit(0)).cast("long").alias("replies"),
+        F.coalesce(F.sum("ok_replies"), F.lit(0)).cast("long").alias("ok_replies"),
+        F.coalesce(F.sum("failed_replies"), F.lit(0)).cast("long").alias("failed_replies"),
+        F.coalesce(F.sum("articles"), F.lit(0)).cast("long").alias("articles"),
+        F.coalesce(F.sum("replies_without_usage"), F.lit(0)).cast("long").alias("replies_without_usage"),
+    )
 
 
 def failure_reasons(replies: DataFrame) -> DataFrame:
