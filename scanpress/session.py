@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,10 +67,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local_dir
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
+    """A fresh folder under the shared checkpoint folder, removed by :func:`cleanup_scratch`."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base}/scanpress/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/scanpress/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def cleanup_scratch(spark: SparkSession | None = None) -> int:
+    """Delete the scratch folders this process created (after their results are consumed).
+
+    Uses the Hadoop file system of each path, so it works on shared and
+    object stores alike; without a live session only local paths are removed.
+    Returns the number of folders removed.
+    """
+    removed = 0
+    while _SCRATCH:
+        path = _SCRATCH.pop()
+        if spark is not None:
+            jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS has no Python API
+            hpath = jvm.org.apache.hadoop.fs.Path(path)
+            fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+            removed += int(bool(fs.delete(hpath, True)))
+        else:
+            local = path.removeprefix("file:")
+            if local.startswith("/") and os.path.isdir(local):
+                shutil.rmtree(local, ignore_errors=True)
+                removed += 1
+    return removed
+
+
+atexit.register(cleanup_scratch)
 
 
 _SHIPPED: set[str] = set()

@@ -20,6 +20,9 @@ def spark():
     if not session.conf.get("spark.checkpoint.dir", None):
         session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="scanpress-test-ckpt-"))
     yield session
+    from scanpress.session import cleanup_scratch
+
+    cleanup_scratch(session)
     session.stop()
 
 
