@@ -40,3 +40,50 @@ def replies_to_documents(replies: DataFrame) -> DataFrame:
         "page_id", "model", "ordinal", "file_name", "headline", "strapline", "author_name", "category",
         "slug", F.col("html"),
     )
+
+
+def run_extraction(
+    spark,  # noqa: ANN001
+    replies_path: str,
+    out_dir: str,
+    existing_names_path: str | None = None,
+    replies_format: str = "parquet",
+    prices=None,  # noqa: ANN001
+) -> dict[str, str]:
+    """The transcription job end to end, written as tables under ``out_dir``.
+
+    * ``articles``: ``(file_name, html)`` plus article fields, named against
+      the names already written (``existing_names_path``, a table with a
+      ``file_name`` column) so a rerun never overwrites;
+    * ``quarantine``: failed replies with their reason;
+    * ``cost``: tokens and exact cost per model, ``total_cost`` the sum;
+    * ``summary``: pages done, replies, failures, articles.
+
+    Returns the paths written.
+    """
+    from scanpress.operators.audit import failure_reasons, run_summary
+    from scanpress.operators.cost import cost_by_model, prices_frame, total_cost
+    from scanpress.operators.filters import quarantine
+    from scanpress.sources.files import read_responses
+
+    replies = with_reply_status(read_responses(spark, replies_path, replies_format))
+    existing = spark.read.parquet(existing_names_path).select("file_name") if existing_names_path else None
+    docs = article_documents(with_headline_slug(extract_articles(replies)), existing)
+    price_list = prices if prices is not None else prices_frame(spark)
+    per_model = cost_by_model(replies.select("model", "input_tokens", "output_tokens"), price_list)
+    outputs = {
+        "articles": docs.select(
+            "file_name", "page_id", "model", "attempt", "ordinal", "headline", "strapline", "author_name",
+            "category", "slug", "html",
+        ),
+        "quarantine": quarantine(replies),
+        "failure_reasons": failure_reasons(replies),
+        "cost": per_model,
+        "total_cost": total_cost(per_model),
+        "summary": run_summary(replies),
+    }
+    paths = {}
+    for name, frame in outputs.items():
+        paths[name] = f"{out_dir.rstrip('/')}/{name}"
+        frame.write.mode("overwrite").parquet(paths[name])
+    return paths

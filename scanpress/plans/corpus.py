@@ -26,3 +26,31 @@ def corpus_rows(docs: DataFrame, name: str = "file_name", html: str = "html") ->
         F.col(html).alias("html"),
         *fields[1:],
     )
+
+
+def build_corpus(
+    spark,  # noqa: ANN001
+    html_dir: str,
+    out_path: str,
+    sample_size: int = 0,
+    seed: int = 0,
+    bad_names_path: str | None = None,
+    partition_by: str | None = None,
+) -> None:
+    """Folder of article HTML files -> corpus Parquet (the reference's corpus script, as one Spark job).
+
+    ``sample_size`` > 0 keeps a deterministic sample of that many files
+    (0, or a size at least the number of files, keeps all).  Names that
+    break the contract go to ``bad_names_path`` instead of stopping the job.
+    """
+    from scanpress.operators.audit import sample_n
+    from scanpress.operators.filters import bad_names
+    from scanpress.sources.files import read_article_html
+    from scanpress.sources.sinks import write_corpus
+
+    files = read_article_html(spark, html_dir)
+    if sample_size:
+        files = sample_n(files, sample_size, seed, "path").drop("sample_key")
+    if bad_names_path:
+        bad_names(files).select("file_name", "path").write.mode("overwrite").parquet(bad_names_path)
+    write_corpus(corpus_rows(files), out_path, partition_by=partition_by)

@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from scanpress.plans import fixtures as fx
+from scanpress.plans.articles import run_extraction
+from scanpress.plans.corpus import build_corpus
+from scanpress.plans.missing import missing_scan_report
+from scanpress.sources.sinks import write_files
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_extraction_job_and_rerun_keeps_names_unique(spark, tmp_dir):
+    replies = os.path.join(tmp_dir, "replies")
+    fx.responses(fx.read_table(spark, SF, "pages")).write.parquet(replies)
+    first = run_extraction(spark, replies, os.path.join(tmp_dir, "run1"))
+    arts1 = spark.read.parquet(first["articles"])
+    n = arts1.count()
+    assert n > 0 and arts1.select("file_name").distinct().count() == n
+    summary = spark.read.parquet(first["summary"]).collect()[0]
+    assert summary.articles == n
+    assert summary.ok_replies + summary.failed_replies == summary.replies
+    assert spark.read.parquet(first["quarantine"]).count() == summary.failed_replies
+    per_model = spark.read.parquet(first["cost"])
+    total = spark.read.parquet(first["total_cost"]).collect()[0]
+    assert total.total_cost == per_model.agg(F.sum("total_cost")).collect()[0][0]
+
+    # A second run into the same folder: every name must avoid the first run's names.
+    second = run_extraction(spark, replies, os.path.join(tmp_dir, "run2"), existing_names_path=first["articles"])
+    names1 = {r.file_name for r in arts1.select("file_name").collect()}
+    names2 = {r.file_name for r in spark.read.parquet(second["articles"]).select("file_name").collect()}
+    assert len(names2) == n and not names1 & names2
+    assert all(name.rsplit("_", 1)[-1].removesuffix(".html").isdigit() for name in names2)
+
+
+def test_corpus_job_with_sample_and_bad_names(spark, tmp_dir):
+    docs = fx.article_docs(fx.doc_articles(fx.read_table(spark, SF, "documents")))
+    bad = spark.createDataFrame([("gazette_1001.html", "<html><head></head><body>x</body></html>")], "file_name string, html string")
+    folder = os.path.join(tmp_dir, "html")
+    write_files(docs.select("file_name", "html").unionByName(bad), folder).write.format("noop").mode("overwrite").save()
+    out, bad_out = os.path.join(tmp_dir, "corpus"), os.path.join(tmp_dir, "bad")
+    build_corpus(spark, folder, out, bad_names_path=bad_out)
+    assert spark.read.parquet(out).count() == docs.count()
+    assert [r.file_name for r in spark.read.parquet(bad_out).collect()] == ["gazette_1001.html"]
+    build_corpus(spark, folder, out, sample_size=25, seed=3)
+    assert spark.read.parquet(out).count() == 25
+
+
+def test_missing_scan_report(spark, tmp_dir):
+    scans = spark.createDataFrame(
+        [(f"gazette_1001-{i:03d}.jpg", b"\xff\xd8\xff") for i in (1, 2, 10)] + [("gazette_1002-001.jpg", b"\xff\xd8\xff")],
+        "file_name string, content binary",
+    )
+    write_files(scans, os.path.join(tmp_dir, "scans"), "file_name", "content").write.format("noop").mode("overwrite").save()
+    arts = spark.createDataFrame([("gazette_1001-001_a.html", "x"), ("gazette_1002-001_b_1.html", "y")], "file_name string, html string")
+    write_files(arts, os.path.join(tmp_dir, "articles", "nested")).write.format("noop").mode("overwrite").save()
+    got = [r.stem for r in missing_scan_report(spark, os.path.join(tmp_dir, "scans"), os.path.join(tmp_dir, "articles")).collect()]
+    assert got == ["gazette_1001-002", "gazette_1001-010"]
