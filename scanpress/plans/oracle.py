@@ -457,6 +457,8 @@ SQL: dict[str, str] = {
     # Streaming results must equal the batch results.
     "stream_articles": w(RESP, STATUS, ARTS) + f"SELECT *, {headline_slug('headline')} AS slug FROM arts",
     "stream_cost": w(USAGE, PRICES, COST) + "SELECT * FROM cost",
+    # One micro-batch over all replies names exactly like the batch job.
+    "stream_named_articles": w(RESP, STATUS, ARTS, _DOC_NAMED) + "SELECT file_name, page_id, ordinal, slug FROM an",
     "progress_counts": w(RESP, STATUS) + """SELECT count(*) AS pages_done,
         count(*) FILTER (WHERE status <> 'OK') AS pages_failed FROM st""",
     # The stand-in model is a pure function of the page bytes in the request.

@@ -385,6 +385,16 @@ def q_stream_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_costs(spark, out, cost.prices_frame(spark))
 
 
+def q_stream_named_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scanpress.streaming.replies import stream_named_articles
+
+    source = scratch_path(spark, "named-reply-files")
+    fx.responses(_t(spark, sf_dir, "pages")).repartition(4).write.parquet(source)
+    out, ckpt = scratch_path(spark, "stream-named"), scratch_path(spark, "stream-named-ckpt")
+    stream_named_articles(spark, source, out, ckpt)
+    return spark.read.parquet(out).select("file_name", "page_id", "ordinal", "slug")
+
+
 QUERIES: dict[str, Query] = {
     "scan_names": q_scan_names,
     "article_names": q_article_names,
@@ -431,4 +441,5 @@ QUERIES: dict[str, Query] = {
     "binarize_scans": q_binarize_scans,
     "stream_articles": q_stream_articles,
     "stream_cost": q_stream_cost,
+    "stream_named_articles": q_stream_named_articles,
 }

@@ -87,3 +87,58 @@ def latest_costs(spark: SparkSession, out_dir: str, prices: DataFrame) -> DataFr
     cols = ["replies", "input_tokens", "output_tokens", "replies_without_usage"]
     latest = updates.groupBy("model").agg(F.max_by(F.struct(*cols), "batch_id").alias("s"))
     return price_model_usage(latest.select("model", *[F.col(f"s.{c}").alias(c) for c in cols]), prices)
+
+
+def stream_named_articles(
+    spark: SparkSession,
+    source_dir: str,
+    out_dir: str,
+    checkpoint_dir: str,
+    fmt: str = "parquet",
+):
+    """ST-1 with names: each micro-batch's articles get file names that avoid every name already written.
+
+    Naming needs the names written so far, which is state no stateless
+    stream has; ``foreachBatch`` reads them from the output table and runs
+    the name offset (JN-3).  Each written row carries its checkpoint and
+    ``batch_id``; a batch replayed after a failure finds its rows already
+    committed and is skipped, so every article is written once under one
+    name.  Several streams (checkpoints) may share one output table.
+    """
+    from scanpress.plans.articles import article_documents
+
+    reader = spark.readStream.schema(RESPONSES)
+    replies = with_reply_status(reader.json(source_dir) if fmt == "json" else reader.parquet(source_dir))
+    articles = with_headline_slug(extract_articles(replies))
+
+    def name_and_append(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        written = _read_if_present(session, out_dir)
+        # Batch ids restart with a new checkpoint, so a batch is identified by both.
+        mine = (F.col("stream_checkpoint") == checkpoint_dir) & (F.col("batch_id") == batch_id)
+        if written is not None and written.filter(mine).limit(1).count():
+            return
+        existing = written.select("file_name") if written is not None else None
+        docs = article_documents(batch, existing)
+        tagged = docs.withColumn("stream_checkpoint", F.lit(checkpoint_dir)).withColumn(
+            "batch_id", F.lit(batch_id).cast("long")
+        )
+        tagged.write.mode("append").parquet(out_dir)
+
+    query = (
+        articles.writeStream.foreachBatch(name_and_append)
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS has no Python API
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    if not fs.exists(hpath):
+        return None
+    return spark.read.parquet(path)

@@ -97,3 +97,24 @@ def test_stream_cost_equals_batch(spark, tmp_dir):
     assert streamed.keys() == batch.keys()
     for model, row in batch.items():
         assert (streamed[model].input_tokens, streamed[model].total_cost) == (row.input_tokens, row.total_cost)
+
+
+def test_stream_named_articles_unique_across_batches_and_replay(spark, tmp_dir):
+    from scanpress.streaming.replies import stream_named_articles
+
+    src, out, ckpt = (os.path.join(tmp_dir, d) for d in ("nsrc", "nout", "nckpt"))
+    replies = fx.responses(fx.read_table(spark, SF, "pages"))
+    # The same replies twice, in two batches: the second batch must take new suffixes.
+    replies.write.parquet(os.path.join(src, "a"))
+    stream_named_articles(spark, src + "/*", out, ckpt)
+    replies.write.parquet(os.path.join(src, "b"))
+    stream_named_articles(spark, src + "/*", out, ckpt)
+    got = spark.read.parquet(out)
+    n = articles_from_replies(replies).count()
+    assert got.count() == 2 * n
+    assert got.select("file_name").distinct().count() == 2 * n
+    assert got.select("batch_id").distinct().count() == 2
+    # A second stream (its own checkpoint) into the same table: batch ids restart, names stay unique.
+    stream_named_articles(spark, os.path.join(src, "a"), out, ckpt + "-2")
+    again = spark.read.parquet(out)
+    assert again.count() == 3 * n and again.select("file_name").distinct().count() == 3 * n
