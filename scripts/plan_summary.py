@@ -47,6 +47,21 @@ def main() -> None:
         print(f"## {name}\n\n```")
         print("\n".join(summary(QUERIES[name](spark, sf))))
         print("```\n")
+    print("## rank_within with a hot group\n")
+    print("The registered inputs have no hot (stem, slug) group, so naming above is one window. Here one group of a")
+    print("synthetic table holds half of the rows: it takes the range-split branch (local numbers per range partition,")
+    print("offsets from the boundary table, broadcast), the other rows the plain window, and the two are unioned.\n")
+    from pyspark.sql import functions as F
+
+    from scanpress.operators.ranking import rank_within
+
+    hot = spark.range(400_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise((F.col("id") % 5000).cast("string")).alias("g"),
+        ((F.col("id") * 7919) % 400_009).alias("o"),
+    )
+    print("```")
+    print("\n".join(summary(rank_within(hot, ["g"], ["o"], "r"))))
+    print("```")
 
 
 if __name__ == "__main__":
