@@ -108,8 +108,13 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``scanpress`` importable in Python workers (``addPyFile`` of a zip, once per application)."""
-    import tempfile
+    """Make ``scanpress`` importable in Python workers (``addPyFile`` of a zip, once per application).
+
+    The zip is written to the shared checkpoint folder, not a machine-local
+    one, so an executor that replaces a lost one can still fetch it.  It is
+    kept for the life of the application (not scratch).
+    """
+    import io
     import zipfile
 
     app_id = spark.sparkContext.applicationId
@@ -117,14 +122,23 @@ def ship_package(spark: SparkSession) -> None:
         return
     package_dir = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(package_dir)
-    zip_path = os.path.join(tempfile.mkdtemp(prefix="scanpress-pyfiles-"), "scanpress.zip")
-    with zipfile.ZipFile(zip_path, "w", zipfile.ZIP_DEFLATED) as zf:
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as zf:
         for folder, _, files in os.walk(package_dir):
-            for name in files:
+            for name in sorted(files):
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     zf.write(full, os.path.relpath(full, root))
-    spark.sparkContext.addPyFile(zip_path)
+    target = f"{ensure_checkpoint_dir(spark)}/scanpress/pyfiles-{app_id}-{uuid.uuid4().hex[:8]}/scanpress.zip"
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS has no Python API
+    hpath = jvm.org.apache.hadoop.fs.Path(target)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    stream = fs.create(hpath, True)
+    try:
+        stream.write(bytearray(buffer.getvalue()))
+    finally:
+        stream.close()
+    spark.sparkContext.addPyFile(target)
     _SHIPPED.add(app_id)
 
 
