@@ -5,6 +5,8 @@ One narrow stage: no shuffle and no gather.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,10 @@ def build_corpus(
     from scanpress.sources.sinks import write_corpus
 
     files = read_article_html(spark, html_dir)
+    if files.isEmpty():
+        # A missing folder already raised; an empty one is reported and nothing is written.
+        warnings.warn(f"no *.html files below {html_dir}; corpus not written", stacklevel=2)
+        return
     if sample_size:
         files = sample_n(files, sample_size, seed, "path").drop("sample_key")
     if bad_names_path:

@@ -59,3 +59,14 @@ def test_missing_scan_report(spark, tmp_dir):
     write_files(arts, os.path.join(tmp_dir, "articles", "nested")).write.format("noop").mode("overwrite").save()
     got = [r.stem for r in missing_scan_report(spark, os.path.join(tmp_dir, "scans"), os.path.join(tmp_dir, "articles")).collect()]
     assert got == ["gazette_1001-002", "gazette_1001-010"]
+
+
+def test_corpus_job_empty_folder_warns(spark, tmp_dir):
+    import pytest
+
+    os.makedirs(os.path.join(tmp_dir, "empty"))
+    with open(os.path.join(tmp_dir, "empty", "notes.txt"), "w") as fh:
+        fh.write("x")
+    with pytest.warns(UserWarning, match="no"):
+        build_corpus(spark, os.path.join(tmp_dir, "empty"), os.path.join(tmp_dir, "out"))
+    assert not os.path.exists(os.path.join(tmp_dir, "out"))
