@@ -16,6 +16,7 @@ Both produce the same ``array<struct>`` so the result is one ``posexplode``.
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -173,10 +174,7 @@ class _TreeBuilder(HTMLParser):
     def __init__(self, text: str) -> None:
         super().__init__(convert_charrefs=True)
         self.text = text
-        self.line_starts = [0]
-        for i, ch in enumerate(text):
-            if ch == "\n":
-                self.line_starts.append(i + 1)
+        self.line_starts = [0, *(m.end() for m in re.finditer("\n", text))]
         self.root = _Node("#root", 0)
         self.stack = [self.root]
         self.order = 0
