@@ -136,10 +136,8 @@ def stream_named_articles(
 
 
 def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None before the first batch has written it."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    """The table at ``path``, or None before the first batch has written it (checked without a failing read)."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS has no Python API
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return spark.read.parquet(path) if fs.exists(hpath) else None
