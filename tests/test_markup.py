@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from scanpress.functions.markup import article_fields, article_html, html_meta, py_html_meta
 
@@ -48,3 +49,13 @@ def test_deformed_document_ledger_l23(spark):
     assert [r[0] for r in df.select(document_status("html")).collect()] == ["DEFORMED", "OK"]
     fields = df.select(*article_fields(html_meta("html", False, True))).collect()
     assert tuple(fields[0]) == ("Untitled", None, None, None)
+
+
+def test_corpus_text_excludes_headline_ledger_l24(spark):
+    from scanpress.functions.text import article_text, html_to_text
+
+    df = spark.createDataFrame([("Big News", None, "Ann", "<p>Body text.</p>")], "h string, s string, a string, b string")
+    doc = df.select(article_html("h", "s", "a", F.lit("big-news"), F.lit(None).cast("string"), "b").alias("html"), "*")
+    corpus_txt, full_txt = doc.select(html_to_text("html"), article_text("h", "s", "a", "b")).collect()[0]
+    assert corpus_txt == "Body text."
+    assert full_txt == "Big News\n\nAuthor: Ann\n\nBody text."

@@ -62,3 +62,12 @@ def test_rank_within_hot_group_equals_window(spark):
     both = plain.join(ranked.select("id", "r"), "id").join(summed.select("id", "t"), "id")
     assert both.filter((F.col("p") != F.col("r")) | (F.col("s") != F.col("t"))).count() == 0
     assert both.count() == 20000
+
+
+def test_same_named_scans_in_two_folders_ledger_l20(spark):
+    df = spark.createDataFrame(
+        [("gazette_1-1", "b/gazette_1-1.jpg", 0, "x"), ("gazette_1-1", "a/gazette_1-1.jpg", 0, "x")],
+        "page_id string, path string, ordinal int, slug string",
+    )
+    got = {r.path: r.file_name for r in unique_names(df, order=("path", "ordinal")).collect()}
+    assert got == {"a/gazette_1-1.jpg": "gazette_1-1_x.html", "b/gazette_1-1.jpg": "gazette_1-1_x_1.html"}
