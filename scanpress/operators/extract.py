@@ -17,6 +17,7 @@ Both produce the same ``array<struct>`` so the result is one ``posexplode``.
 from __future__ import annotations
 
 import re
+from html.entities import name2codepoint
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -67,7 +68,7 @@ def with_reply_status(responses: DataFrame) -> DataFrame:
 # Start and end tags of the elements extraction reads, in any case and with
 # any attributes.
 STRUCTURE_TAG = r"(?i)</?(?:article|headline|strapline|author_name|category|main)(?:[\s/][^>]*)?>"
-ENTITY = r"&[#a-zA-Z0-9]+;"
+ENTITY = r"&#?[a-zA-Z0-9]+;?"
 # Fixed value: the entities the regular path decodes.
 KNOWN_ENTITIES = ("&amp;", "&lt;", "&gt;", "&quot;", "&#39;", "&nbsp;")
 
@@ -84,7 +85,8 @@ def is_regular_markup(markup: Column | str, tags: Column | str | None = None) ->
     checks, like a stack machine, that every tag is plain lower case, that
     articles neither nest nor stay open, and that field elements open and
     close inside one article without nesting.  A second pass checks that
-    only the decoded entities occur.
+    every reference-like ``&name`` is one of the decoded entities, written
+    with its semicolon (anything else is left to the parser).
     """
     m = _c(markup)
     # Pass a staged column as ``tags``: both checks below read it.
@@ -169,11 +171,18 @@ class _Node:
 
 
 class _TreeBuilder(HTMLParser):
-    """Lenient element tree: unknown closing tags are ignored, open ones close at their parent's end."""
+    """Lenient element tree: unknown closing tags are ignored, open ones close at their parent's end.
+
+    Character references follow the parser the reference relies on rather
+    than HTML5: a named reference is decoded only when it ends with ``;``
+    and names an HTML 4 entity, otherwise it stays literal text; numeric
+    references are decoded.  Text between two tags is one node.
+    """
 
     def __init__(self, text: str) -> None:
-        super().__init__(convert_charrefs=True)
+        super().__init__(convert_charrefs=False)
         self.text = text
+        self._run: _Node | None = None
         self.line_starts = [0, *(m.end() for m in re.finditer("\n", text))]
         self.root = _Node("#root", 0)
         self.stack = [self.root]
@@ -185,6 +194,7 @@ class _TreeBuilder(HTMLParser):
         return self.line_starts[line - 1] + col
 
     def handle_starttag(self, tag, attrs):  # noqa: ANN001, ARG002
+        self._run = None
         start = self._offset()
         raw = self.get_starttag_text() or ""
         if tag in _VOID:
@@ -206,14 +216,44 @@ class _TreeBuilder(HTMLParser):
             node.inner_end = at
 
     def handle_endtag(self, tag):  # noqa: ANN001
+        self._run = None
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
                 self._close(i, self._offset())
                 return
 
+    def _add_text(self, data: str) -> None:
+        if not data:
+            return
+        node = self.stack[-1]
+        if self._run is node and node.texts:
+            order, previous = node.texts[-1]
+            node.texts[-1] = (order, previous + data)
+        else:
+            node.texts.append((self.order, data))
+            self.order += 1
+            self._run = node
+
     def handle_data(self, data):  # noqa: ANN001
-        self.stack[-1].texts.append((self.order, data))
-        self.order += 1
+        self._add_text(data)
+
+    def handle_entityref(self, name):  # noqa: ANN001
+        closed = self.text.startswith(";", self._offset() + 1 + len(name))
+        if closed and name in name2codepoint:
+            self._add_text(chr(name2codepoint[name]))
+        else:
+            self._add_text("&" + name + (";" if closed else ""))
+
+    def handle_charref(self, name):  # noqa: ANN001
+        closed = self.text.startswith(";", self._offset() + 2 + len(name))
+        try:
+            code = int(name[1:], 16) if name[:1] in "xX" else int(name)
+        except ValueError:
+            code = -1
+        if 0 < code < 0x110000 and not 0xD800 <= code <= 0xDFFF:
+            self._add_text(chr(code))
+        else:
+            self._add_text("&#" + name + (";" if closed else ""))
 
     def finish(self) -> None:
         self.close()

@@ -91,3 +91,14 @@ def test_parser_path_equals_regex_path(spark):
 def test_unclosed_article_runs_to_end():
     got = py_extract_articles("<article><headline>X</headline><main>m")
     assert got == [{"headline": "X", "strapline": None, "author_name": None, "category": None, "body_html": "m"}]
+
+
+def test_entity_rules_follow_the_reference_parser(spark):
+    # Named references need their semicolon (and an HTML 4 name) to be decoded; numeric ones are decoded.
+    markup = "<article><headline>AT&amp T &amp; Q&A &eacute; &#39;x&#x27; &bogus; end&amp</headline></article>"
+    assert py_extract_articles(markup)[0]["headline"] == "AT&amp T & Q&A é 'x' &bogus; end&amp"
+    plain = "<article><headline>R&amp;D &lt;1&gt;</headline></article>"
+    bare = "<article><headline>R&amp D</headline></article>"
+    df = _replies(spark, [(plain, '{"finish_reason":"STOP"}'), (bare, '{"finish_reason":"STOP"}')])
+    got = [r.headline for r in extract_articles(df).orderBy("page_id").collect()]
+    assert got == ["R&D <1>", "R&amp D"]
