@@ -54,7 +54,11 @@ def _random_reply(rng: random.Random) -> str:
         header = ""
         for tag in ("headline", "strapline", "author_name", "category"):
             if rng.random() < 0.7:
-                inner = rng.choice(["", " ", "Plain", "A &amp; B", "x <b>y</b> z", "  spaced  out  ", "&lt;tag&gt;"])
+                inner = rng.choice([
+                    "", " ", "Plain", "A &amp; B", "x <b>y</b> z", "  spaced  out  ", "&lt;tag&gt;",
+                    "&nbsp;X&nbsp;", "a\xa0b", "tab\there", "new\nline <br/> next", "&quot;q&quot; &#39;s",
+                    "<i> </i>", "Ünïcödé straße",
+                ])
                 header += f"<{tag}>{inner}</{tag}>"
         body = "" if rng.random() < 0.2 else f"<main>{rng.choice(['<p>p</p>', '', '<p>a<b>b</p>', 'text'])}</main>"
         parts.append(f"<article><header>{header}</header>{body}</article>" + rng.choice(["", "\n", "<hr>"]))
