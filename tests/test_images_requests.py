@@ -78,3 +78,30 @@ def test_requests_and_transcription_hook(spark):
     observed, obs = observe_progress(spark.createDataFrame([("OK",), ("NO_ARTICLES",)], "status string"))
     observed.collect()
     assert obs.get == {"pages_done": 2, "pages_failed": 1}
+
+
+def _rgb_png(width: int, height: int, rgb: tuple[int, int, int]) -> bytes:
+    import struct
+    import zlib
+
+    raw = b"".join(b"\x00" + bytes(rgb) * width for _ in range(height))
+
+    def chunk(kind: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data) & 0xFFFFFFFF)
+
+    header = struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+
+
+def test_colour_image_is_read_as_bgr_and_greyed_with_601_luma(spark, tmp_dir):
+    from scanpress.operators.binarize import to_grey
+
+    folder = os.path.join(tmp_dir, "rgb")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "red.png"), "wb") as fh:
+        fh.write(_rgb_png(3, 2, (255, 0, 0)))
+    row = read_images(spark, folder).collect()[0]
+    assert (row.height, row.width, row.n_channels) == (2, 3, 3)
+    assert bytes(row.data[:3]) == b"\x00\x00\xff"  # blue, green, red
+    grey = to_grey(bytes(row.data), row.height, row.width, row.n_channels)
+    assert grey.shape == (2, 3) and (grey == 76).all()
