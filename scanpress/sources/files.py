@@ -64,3 +64,15 @@ def read_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     """SRC-4: reply records with the declared schema (``parquet`` or ``json``)."""
     reader = spark.read.schema(RESPONSES)
     return reader.json(path) if fmt == "json" else reader.parquet(path)
+
+
+def read_corpus(spark: SparkSession, path: str) -> DataFrame:
+    """The corpus table with its declared types.
+
+    A corpus written with ``partition_by="issue"`` keeps ``issue`` a string
+    (partition inference would make ``1001`` a number), and a filter on it
+    prunes whole partition folders.
+    """
+    from scanpress.schemas import CORPUS
+
+    return spark.read.schema(CORPUS).parquet(path)

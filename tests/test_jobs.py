@@ -70,3 +70,20 @@ def test_corpus_job_empty_folder_warns(spark, tmp_dir):
     with pytest.warns(UserWarning, match="no"):
         build_corpus(spark, os.path.join(tmp_dir, "empty"), os.path.join(tmp_dir, "out"))
     assert not os.path.exists(os.path.join(tmp_dir, "out"))
+
+
+def test_corpus_partitioned_by_issue_prunes(spark, tmp_dir):
+    from scanpress.sources.files import read_corpus
+
+    docs = fx.article_docs(fx.doc_articles(fx.read_table(spark, SF, "documents")))
+    folder = os.path.join(tmp_dir, "html")
+    write_files(docs.select("file_name", "html"), folder).write.format("noop").mode("overwrite").save()
+    out = os.path.join(tmp_dir, "corpus")
+    build_corpus(spark, folder, out, partition_by="issue")
+    corpus = read_corpus(spark, out)
+    assert dict(corpus.dtypes)["issue"] == "string" and dict(corpus.dtypes)["page"] == "int"
+    assert corpus.count() == docs.count()
+    one = corpus.filter(F.col("issue") == "1003")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(issue" in plan
+    assert one.count() == docs.filter(F.col("file_name").startswith("gazette_1003-")).count()
