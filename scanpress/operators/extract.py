@@ -300,11 +300,18 @@ def _irregular_articles_udf(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else py_extract_articles(v))
 
 
-def articles_of(markup: Column | str, regular: Column | str | None = None) -> Column:
-    """``array<struct>`` of articles: Catalyst for regular rows, the UDF (NULL input otherwise) for the rest."""
+def articles_of(markup: Column | str, regular: Column | str | None = None, wanted: Column | None = None) -> Column:
+    """``array<struct>`` of articles: Catalyst for regular rows, the UDF (NULL input otherwise) for the rest.
+
+    ``wanted`` (a boolean column) limits the work to those rows; the others
+    give NULL and are not sent to Python either.
+    """
     m = _c(markup)
     flag = is_regular_markup(m) if regular is None else _c(regular)
-    return F.when(flag, regular_articles(m)).otherwise(_irregular_articles_udf(F.when(~flag, m)))
+    keep = F.lit(True) if wanted is None else wanted
+    return F.when(keep & flag, regular_articles(m)).when(
+        keep, _irregular_articles_udf(F.when(keep & ~flag, m))
+    )
 
 
 def extract_articles(
@@ -319,9 +326,7 @@ def extract_articles(
         replies = with_reply_status(replies)
     staged = replies.select(*keys, "status", "markup", structure_tags("markup").alias("_tags"))
     flagged = staged.select(*keys, "status", "markup", is_regular_markup("markup", "_tags").alias("_regular"))
-    found = articles_of("markup", "_regular")
-    if only_ok:
-        found = F.when(F.col("status") == "OK", found)
+    found = articles_of("markup", "_regular", F.col("status") == "OK" if only_ok else None)
     exploded = flagged.select(*keys, F.posexplode(found).alias("ordinal", "a"))
     return exploded.select(
         *keys,
