@@ -49,10 +49,6 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _null_safe_join(keys: list[str], left: DataFrame, right: DataFrame) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def _plain_running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str) -> DataFrame:
     upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn(out, F.sum(value).over(upto).cast("long"))
