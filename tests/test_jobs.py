@@ -87,3 +87,16 @@ def test_corpus_partitioned_by_issue_prunes(spark, tmp_dir):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(issue" in plan
     assert one.count() == docs.filter(F.col("file_name").startswith("gazette_1003-")).count()
+
+
+def test_command_line_missing_report(spark, tmp_dir):
+    from scanpress.__main__ import main
+
+    scans = spark.createDataFrame([("gazette_1001-001.jpg", b"\xff\xd8\xff"), ("gazette_1001-002.jpg", b"\xff\xd8\xff")],
+                                  "file_name string, content binary")
+    write_files(scans, os.path.join(tmp_dir, "s"), "file_name", "content").write.format("noop").mode("overwrite").save()
+    arts = spark.createDataFrame([("gazette_1001-001_a.html", "x")], "file_name string, html string")
+    write_files(arts, os.path.join(tmp_dir, "a")).write.format("noop").mode("overwrite").save()
+    out = os.path.join(tmp_dir, "missing")
+    assert main(["missing", os.path.join(tmp_dir, "s"), os.path.join(tmp_dir, "a"), out]) == 0
+    assert [r.stem for r in spark.read.parquet(out).collect()] == ["gazette_1001-002"]
