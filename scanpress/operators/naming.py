@@ -80,9 +80,9 @@ def name_offset(
     ``g_i = u_i - (i - 1)``, so the r-th free counter is
     ``r - 1 + #{i : g_i <= r - 1}`` - a running count over the union of new
     and used rows of one base, ordered by that key.  No arrays of counters
-    are built, and used names of bases with no new article drop out at the
-    final filter, without a join.  All three numberings are skew-safe
-    running sums unless ``skew_safe=False``.
+    are built; written names of bases with no new article are dropped by a
+    semi join first.  All three numberings are skew-safe running sums unless
+    ``skew_safe=False``.
     """
 
     def number(
@@ -98,7 +98,11 @@ def name_offset(
     new = number(
         articles.withColumn("_base", article_base(stem, slug)), ["_base"], list(order), F.lit(1), "_r", fresh=True
     )
-    used = used_counters(existing).withColumnRenamed("base", "_base")
+    # Only names whose base occurs among the new articles matter; the semi
+    # join keeps a long history of written names out of the windows (AQE
+    # broadcasts the new bases when they are few, as in a stream batch).
+    new_bases = new.select("_base").distinct()
+    used = used_counters(existing).withColumnRenamed("base", "_base").join(new_bases, "_base", "left_semi")
     used = number(used, ["_base"], ["counter"], F.lit(1), "_i").select(
         "_base", (F.col("counter") - F.col("_i") + 1).alias("_key"), F.lit(0).alias("_is_new")
     )
