@@ -66,7 +66,11 @@ def run_extraction(
     from scanpress.operators.filters import quarantine
     from scanpress.sources.files import read_responses
 
-    replies = with_reply_status(read_responses(spark, replies_path, replies_format))
+    from scanpress.operators.ranking import materialize
+
+    # Six outputs read the checked replies: the checks run once, and each
+    # output then reads only its columns of that table.
+    replies = materialize(with_reply_status(read_responses(spark, replies_path, replies_format)), "checked-replies")
     existing = spark.read.parquet(existing_names_path).select("file_name") if existing_names_path else None
     docs = article_documents(with_headline_slug(extract_articles(replies)), existing)
     price_list = prices if prices is not None else prices_frame(spark)
