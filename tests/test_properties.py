@@ -81,3 +81,29 @@ def test_names_unique_and_quarantine_partition(spark):
     replies = with_reply_status(fx.responses(fx.read_table(spark, SF, "pages")))
     ok = replies.filter(F.col("status") == "OK").count()
     assert ok + quarantine(replies).count() == replies.count()
+
+
+def _random_meta_doc(rng: random.Random) -> str:
+    values = ["plain", "A &amp; B", "&lt;tag&gt;", "&quot;quoted&quot;", "it&#39;s", "", "Ünïcödé", "x&nbsp;y"]
+    metas = []
+    for _ in range(rng.randint(0, 6)):
+        name = rng.choice(["title", "Title", "author", "subtitle", "slug", "category", "AUTHOR"])
+        value = rng.choice(values)
+        if rng.random() < 0.15:
+            metas.append(f"<meta content=\"{value}\" name=\"{name}\">")  # irregular order: parser path
+        else:
+            metas.append(f'<meta name="{name}" content="{value}"{rng.choice(["", "/", " /"])}>')
+    return "<html><head>" + "".join(metas) + "</head><body><p>b</p></body></html>"
+
+
+def test_meta_regex_path_equals_parser(spark):
+    from scanpress.functions.markup import py_html_meta, with_html_meta
+
+    rng = random.Random(9)
+    docs = [_random_meta_doc(rng) for _ in range(200)]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, html string")
+    corpus = with_html_meta(df, "html", "m").orderBy("i").collect()
+    reader = with_html_meta(df, "html", "m", lower_names=False, head_only=True).orderBy("i").collect()
+    for row_c, row_r, doc in zip(corpus, reader, docs):
+        assert dict(row_c.m) == py_html_meta(doc, True, False), doc
+        assert dict(row_r.m) == py_html_meta(doc, False, True), doc
