@@ -30,8 +30,12 @@ def strip_fences(col: Column | str) -> Column:
     everything up to and including a tag mentioning ``encoding`` that ends a
     line; then trimmed.  A reply with a single fence is left as it is.
     """
-    fenced = F.regexp_replace(_c(col), FENCED_SPAN, "$1")
-    body = F.regexp_replace(fenced, ENCODING_PREFIX, "")
+    text = _c(col)
+    # Literal tests first: most replies skip the regexes, and the encoding
+    # pattern (which backtracks over text after an unclosed "<") only runs
+    # on replies that mention "encoding" at all.
+    fenced = F.when(text.contains("```"), F.regexp_replace(text, FENCED_SPAN, "$1")).otherwise(text)
+    body = F.when(fenced.contains("encoding"), F.regexp_replace(fenced, ENCODING_PREFIX, "")).otherwise(fenced)
     return F.regexp_replace(body, STRIP_WS, "")
 
 
