@@ -119,7 +119,8 @@ def html_meta(col: Column | str, lower_names: bool = True, head_only: bool = Fal
     (``lower_names=False, head_only=True``): names as written, ``<head>`` only.
     The last duplicate wins.  Documents whose every meta tag has the regular
     form stay in Catalyst; the rest are parsed by a vectorised UDF that is
-    given NULL for the regular rows.
+    given NULL for the regular rows.  Inside a job prefer
+    :func:`with_html_meta`, which stages the regex passes as columns.
     """
     if (lower_names, head_only) not in ((True, False), (False, True)):
         msg = "html_meta supports the corpus form and the reader form"
