@@ -17,11 +17,41 @@ from scanpress.functions.text import _c, decode_entities, escape_attr
 # referenced once: the leftmost fence, an optional html/xml tag, then
 # everything up to the last fence.  No match leaves the text as it is.
 FENCED_SPAN = r"(?s)^.*?```(?:html|xml)?(.*)```.*$"
-# Everything through the first tag mentioning "encoding" that ends a line.
-ENCODING_PREFIX = r"(?s)^.*?<[^>]*encoding[^>]*>\n"
 STRIP_WS = r"^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$"
 
 
+def after_encoding_line(col: Column | str) -> Column:
+    """Text after the first ``<...encoding...>`` tag that ends a line; the text itself when there is none.
+
+    The same result as searching ``<([^>]*encoding[^>]*)>\\n(.*)`` with the
+    dot matching newlines, but in linear time (the regex backtracks over the
+    rest of the text after every unclosed ``<``).  Split at ``>``: a ``<`` in
+    segment i can only close at the ``>`` ending that segment, so the match
+    ends at the first segment whose text after its first ``<`` contains
+    ``encoding`` and whose ``>`` is followed by a newline.
+    """
+    text = _c(col)
+    segments = F.split(text, ">")
+    newline_next = F.slice(F.transform(segments, lambda seg: seg.startswith("\n")), 2, F.size(segments))
+    pairs = F.arrays_zip(segments.alias("seg"), newline_next.alias("nl"))
+
+    def qualifies(pair: Column) -> Column:
+        seg = pair["seg"]
+        lt = F.instr(seg, "<")
+        after_lt = seg.substr(lt + 1, F.length(seg))
+        return F.coalesce(pair["nl"], F.lit(False)) & (lt > 0) & after_lt.contains("encoding")
+
+    first = F.array_position(F.transform(pairs, qualifies), True)
+    # Characters up to and including the closing ">" of that segment; the
+    # newline after it is skipped as well.
+    consumed = F.aggregate(
+        F.slice(segments, 1, F.greatest(first, F.lit(1)).cast("int")),
+        F.lit(0),
+        lambda acc, seg: acc + F.length(seg) + 1,
+    )
+    return F.when(first > 0, text.substr(consumed + 2, F.length(text))).otherwise(text)
+
+
 def strip_fences(col: Column | str) -> Column:
     """Markup inside a reply.
 
@@ -31,11 +61,9 @@ def strip_fences(col: Column | str) -> Column:
     line; then trimmed.  A reply with a single fence is left as it is.
     """
     text = _c(col)
-    # Literal tests first: most replies skip the regexes, and the encoding
-    # pattern (which backtracks over text after an unclosed "<") only runs
-    # on replies that mention "encoding" at all.
+    # Literal tests first: most replies skip both steps.
     fenced = F.when(text.contains("```"), F.regexp_replace(text, FENCED_SPAN, "$1")).otherwise(text)
-    body = F.when(fenced.contains("encoding"), F.regexp_replace(fenced, ENCODING_PREFIX, "")).otherwise(fenced)
+    body = F.when(fenced.contains("encoding"), after_encoding_line(fenced)).otherwise(fenced)
     return F.regexp_replace(body, STRIP_WS, "")
 
 

@@ -102,3 +102,26 @@ def test_entity_rules_follow_the_reference_parser(spark):
     df = _replies(spark, [(plain, '{"finish_reason":"STOP"}'), (bare, '{"finish_reason":"STOP"}')])
     got = [r.headline for r in extract_articles(df).orderBy("page_id").collect()]
     assert got == ["R&D <1>", "R&amp D"]
+
+
+def test_encoding_line_matches_python_search_and_is_linear(spark):
+    import random
+    import re
+    import time
+
+    from scanpress.functions.markup import after_encoding_line
+
+    rng = random.Random(4)
+    parts = ["<", ">", "\n", "encoding", "x", " ", '<?xml version="1.0" encoding="UTF-8"?>', "<a", "é"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(500)]
+    pattern = re.compile(r"<([^>]*encoding[^>]*)>\n(.*)", re.DOTALL)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[1] for r in df.select("i", after_encoding_line("t")).orderBy("i").collect()]
+    for text, value in zip(texts, got):
+        m = pattern.search(text)
+        assert value == (m.group(2) if m else text), text
+    # Many unclosed "<" and no ">": a backtracking search would be quadratic here.
+    hostile = spark.createDataFrame([("encoding " + "a < " * 50000,)], "t string")
+    start = time.time()
+    assert len(hostile.select(after_encoding_line("t")).collect()[0][0]) == 200009
+    assert time.time() - start < 60
