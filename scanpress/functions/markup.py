@@ -17,6 +17,8 @@ from scanpress.functions.text import _c, decode_entities, escape_attr
 # referenced once: the leftmost fence, an optional html/xml tag, then
 # everything up to the last fence.  No match leaves the text as it is.
 FENCED_SPAN = r"(?s)^.*?```(?:html|xml)?(.*)```.*$"
+# Everything through the first tag mentioning "encoding" that ends a line.
+ENCODING_PREFIX = r"(?s)^.*?<[^>]*encoding[^>]*>\n"
 STRIP_WS = r"^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$"
 
 
@@ -63,7 +65,15 @@ def strip_fences(col: Column | str) -> Column:
     text = _c(col)
     # Literal tests first: most replies skip both steps.
     fenced = F.when(text.contains("```"), F.regexp_replace(text, FENCED_SPAN, "$1")).otherwise(text)
-    body = F.when(fenced.contains("encoding"), after_encoding_line(fenced)).otherwise(fenced)
+    # The plain search is linear unless two "<" occur with no ">" between
+    # them (then every "<" rescans its segment); only that text takes the
+    # split form, whose array functions are slower per character.
+    crowded = fenced.rlike("<[^<>]*<")
+    body = (
+        F.when(~fenced.contains("encoding"), fenced)
+        .when(crowded, after_encoding_line(fenced))
+        .otherwise(F.regexp_replace(fenced, ENCODING_PREFIX, ""))
+    )
     return F.regexp_replace(body, STRIP_WS, "")
 
 

@@ -250,13 +250,28 @@ BLOCK_TAGS = (
 )
 
 
+def remove_tags(col: Column | str) -> Column:
+    """``re.sub("<[^>]*>", "", text)`` in linear time.
+
+    The regex rescans the rest of the text from every ``<`` that no ``>``
+    follows, which is quadratic when many such ``<`` pile up.  Those can only
+    sit after the last ``>``, and nothing there can be removed, so the regex
+    runs on the text up to the last ``>`` (where every scan stops at the next
+    ``>``) and the tail is appended as it is.
+    """
+    text = _c(col)
+    tail = F.substring_index(text, ">", -1)
+    head = text.substr(F.lit(1), F.length(text) - F.length(tail))
+    return F.concat(F.regexp_replace(head, r"<[^>]*>", ""), tail)
+
+
 def html_to_text(col: Column | str) -> Column:
     """Readable, unwrapped plain text, one paragraph per block."""
     out = F.regexp_replace(
         _c(col), r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->", ""
     )
     out = F.regexp_replace(out, rf"(?i)</?({BLOCK_TAGS})\b[^>]*>", "\n")
-    out = F.regexp_replace(out, r"<[^>]*>", "")
+    out = remove_tags(out)
     out = decode_entities(out)
     out = F.regexp_replace(out, r"[ \t]+", " ")
     out = F.regexp_replace(out, r"[ \t\r]*\n[ \t\r\n]*", "\n\n")
