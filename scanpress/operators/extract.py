@@ -44,9 +44,22 @@ ARTICLE_FIELDS = T.StructType([
 ])
 
 
+def remove_comments(col: Column | str) -> Column:
+    """``re.sub("(?s)<!--.*?-->", "", text)`` in linear time.
+
+    A ``<!--`` after the last ``-->`` can never close, and the lazy search
+    would rescan the tail from each of them; the regex therefore runs on the
+    text up to the last ``-->`` and the tail is kept as it is.
+    """
+    text = _c(col)
+    tail = F.substring_index(text, "-->", -1)
+    head = text.substr(F.lit(1), F.length(text) - F.length(tail))
+    return F.concat(F.regexp_replace(head, COMMENT, ""), tail)
+
+
 def reply_markup(content: Column | str) -> Column:
     """Reply markup with fences, encoding line and comments removed."""
-    return F.regexp_replace(strip_fences(content), COMMENT, "")
+    return remove_comments(strip_fences(content))
 
 
 def with_reply_status(responses: DataFrame) -> DataFrame:
