@@ -107,3 +107,24 @@ def test_meta_regex_path_equals_parser(spark):
     for row_c, row_r, doc in zip(corpus, reader, docs):
         assert dict(row_c.m) == py_html_meta(doc, True, False), doc
         assert dict(row_r.m) == py_html_meta(doc, False, True), doc
+
+
+def test_linear_tag_and_comment_removal_equal_regex(spark):
+    import re as regex
+    import time
+
+    from scanpress.functions.text import remove_tags
+    from scanpress.operators.extract import remove_comments
+
+    rng = random.Random(12)
+    parts = ["<", ">", "<p>", "</b>", "<!--", "-->", "--", "a", " ", "\n", "é"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(1500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    rows = df.select("i", remove_tags("t").alias("a"), remove_comments("t").alias("b")).orderBy("i").collect()
+    for row, text in zip(rows, texts):
+        assert row.a == regex.sub(r"<[^>]*>", "", text), text
+        assert row.b == regex.sub(r"(?s)<!--.*?-->", "", text), text
+    hostile = spark.createDataFrame([("x < y <!-- " * 30000,)], "t string")
+    start = time.time()
+    hostile.select(remove_tags("t"), remove_comments("t")).collect()
+    assert time.time() - start < 60
