@@ -270,8 +270,13 @@ def html_to_text(col: Column | str) -> Column:
     out = F.regexp_replace(
         _c(col), r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->", ""
     )
-    out = F.regexp_replace(out, rf"(?i)</?({BLOCK_TAGS})\b[^>]*>", "\n")
-    out = remove_tags(out)
+    # Tags end in ">", so none starts after the last one: both tag steps run
+    # on the text up to it (each scan then stops at the next ">", keeping the
+    # work linear), and the tail is kept as it is.
+    tail = F.substring_index(out, ">", -1)
+    head = out.substr(F.lit(1), F.length(out) - F.length(tail))
+    head = F.regexp_replace(head, rf"(?i)</?({BLOCK_TAGS})\b[^>]*>", "\n")
+    out = F.concat(F.regexp_replace(head, r"<[^>]*>", ""), tail)
     out = decode_entities(out)
     out = F.regexp_replace(out, r"[ \t]+", " ")
     out = F.regexp_replace(out, r"[ \t\r]*\n[ \t\r\n]*", "\n\n")

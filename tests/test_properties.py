@@ -128,3 +128,33 @@ def test_linear_tag_and_comment_removal_equal_regex(spark):
     start = time.time()
     hostile.select(remove_tags("t"), remove_comments("t")).collect()
     assert time.time() - start < 60
+
+
+def _py_html_to_text(x: str) -> str:
+    """Our plain-text rule written with Python's re, as the reference for the Spark form."""
+    import re as regex
+
+    from scanpress.functions.text import BLOCK_TAGS
+
+    out = regex.sub(r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->", "", x)
+    out = regex.sub(rf"(?i)</?({BLOCK_TAGS})\b[^>]*>", "\n", out)
+    out = regex.sub(r"<[^>]*>", "", out)
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " ")):
+        out = out.replace(entity, char)
+    out = out.replace("&amp;", "&")
+    out = regex.sub(r"[ \t]+", " ", out)
+    out = regex.sub(r"[ \t\r]*\n[ \t\r\n]*", "\n\n", out)
+    return regex.sub(r"^[ \t\r\n]+|[ \t\r\n]+$", "", out)
+
+
+def test_html_to_text_equals_python_rule(spark):
+    from scanpress.functions.text import html_to_text
+
+    rng = random.Random(8)
+    parts = ["<", ">", "<p>", "</p>", "<p class=x", "<br/>", "<b>", "text", " ", "\n", "&amp;", "&lt;", "<!--", "-->",
+             "<script>", "</script>", "<P>", "<pre>", "é"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 16))) for _ in range(1500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[1] for r in df.select("i", html_to_text("t")).orderBy("i").collect()]
+    for text, value in zip(texts, got):
+        assert value == _py_html_to_text(text), text
