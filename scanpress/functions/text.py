@@ -265,11 +265,52 @@ def remove_tags(col: Column | str) -> Column:
     return F.concat(F.regexp_replace(head, r"<[^>]*>", ""), tail)
 
 
+SCRIPTS_AND_COMMENTS = r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->"
+# Private-use characters: a marker for openers that cannot close, and its escape.
+_MARK, _ESC = "\ue000", "\ue001"
+
+
+def _from(text: Column, start: Column, pattern: str, replacement: str) -> Column:
+    """Replace ``pattern`` only in ``text`` after its first ``start`` characters."""
+    head = text.substr(F.lit(1), start)
+    tail = text.substr(start + 1, F.length(text))
+    return F.concat(head, F.regexp_replace(tail, pattern, replacement))
+
+
+def remove_scripts_and_comments(col: Column | str) -> Column:
+    """``re.sub(SCRIPTS_AND_COMMENTS, "", text)`` in linear time.
+
+    The lazy search rescans the rest of the text from every opener that has
+    no closer after it.  Those are exactly the script/style openers after
+    the last script/style closer and the ``<!--`` after the last ``-->``; no
+    match can start at them, so their ``<`` is swapped for a private-use
+    marker before the search and swapped back after it (a marker already in
+    the text is escaped first).
+    """
+    original = _c(col)
+    # Literal tests on the tails decide whether any opener may be unclosed;
+    # only such text pays for the marking (a wrong "no" costs time, never
+    # correctness: the plain search is exact).
+    low = F.lower(original)
+    script_tail = F.substring_index(F.substring_index(low, "</script", -1), "</style", -1)
+    comment_tail = F.substring_index(original, "-->", -1)
+    crowded = script_tail.contains("<script") | script_tail.contains("<style") | comment_tail.contains("<!--")
+    plain = F.regexp_replace(original, SCRIPTS_AND_COMMENTS, "")
+
+    text = F.replace(original, F.lit(_MARK), F.lit(_MARK + _ESC))
+    last_script = F.length(F.regexp_extract(text, r"(?is)^(.*</(?:script|style)>)", 1))
+    last_comment = F.length(text) - F.length(F.substring_index(text, "-->", -1))
+    marked = _from(text, last_script, r"(?i)<(script|style)", _MARK + "$1")
+    marked = _from(marked, last_comment, "<!--", _MARK + "!--")
+    out = F.regexp_replace(marked, SCRIPTS_AND_COMMENTS, "")
+    out = F.regexp_replace(out, _MARK + "([sS!])", "<$1")
+    exact = F.replace(out, F.lit(_MARK + _ESC), F.lit(_MARK))
+    return F.when(crowded, exact).otherwise(plain)
+
+
 def html_to_text(col: Column | str) -> Column:
     """Readable, unwrapped plain text, one paragraph per block."""
-    out = F.regexp_replace(
-        _c(col), r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->", ""
-    )
+    out = remove_scripts_and_comments(col)
     # Tags end in ">", so none starts after the last one: both tag steps run
     # on the text up to it (each scan then stops at the next ">", keeping the
     # work linear), and the tail is kept as it is.

@@ -158,3 +158,23 @@ def test_html_to_text_equals_python_rule(spark):
     got = [r[1] for r in df.select("i", html_to_text("t")).orderBy("i").collect()]
     for text, value in zip(texts, got):
         assert value == _py_html_to_text(text), text
+
+
+def test_script_and_comment_removal_equals_regex_and_is_linear(spark):
+    import re as regex
+    import time
+
+    from scanpress.functions.text import SCRIPTS_AND_COMMENTS, remove_scripts_and_comments
+
+    rng = random.Random(21)
+    parts = ["<script>", "</script>", "<style x>", "</STYLE>", "<SCRIPT a=1>", "<!--", "-->", "<", ">", "a", " ", "\n",
+             "s", "!", "<script", "é", "", "", "s", "!"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(1500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[1] for r in df.select("i", remove_scripts_and_comments("t")).orderBy("i").collect()]
+    for text, value in zip(texts, got):
+        assert value == regex.sub(SCRIPTS_AND_COMMENTS, "", text), repr(text)
+    hostile = spark.createDataFrame([("x <!-- <script> " * 30000,)], "t string")
+    start = time.time()
+    hostile.select(remove_scripts_and_comments("t")).collect()
+    assert time.time() - start < 60
