@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanpress.functions.text import _c, decode_entities, escape_attr
+from scanpress.functions.text import _c, decode_entities, escape_attr, upto_last
 
 # ---------------------------------------------------------------- SC-12 strip fences
 
@@ -190,10 +190,13 @@ def with_html_meta(df, col: str = "html", out: str = "meta", lower_names: bool =
         raise ValueError(msg)
     html = F.col(col)
     scope = F.coalesce(F.regexp_extract(html, HEAD, 1), F.lit("")) if head_only else html
+    # Meta tags end in ">": searching up to the last one is exact and keeps
+    # an unclosed tail from being rescanned.
+    staged = df.withColumn("_meta_scope", upto_last(scope))
     staged = (
-        df.withColumn("_meta_tags", F.regexp_extract_all(scope, F.lit(META_ANY), 0))
-        .withColumn("_meta_names", F.regexp_extract_all(scope, F.lit(META_TAG), 1))
-        .withColumn("_meta_values", F.regexp_extract_all(scope, F.lit(META_TAG), 2))
+        staged.withColumn("_meta_tags", F.regexp_extract_all("_meta_scope", F.lit(META_ANY), 0))
+        .withColumn("_meta_names", F.regexp_extract_all("_meta_scope", F.lit(META_TAG), 1))
+        .withColumn("_meta_values", F.regexp_extract_all("_meta_scope", F.lit(META_TAG), 2))
     )
     regular = F.size("_meta_tags") == F.size("_meta_names")
     if head_only:
@@ -214,7 +217,7 @@ def with_html_meta(df, col: str = "html", out: str = "meta", lower_names: bool =
         udf(F.when(~flag, html))
     )
     return staged.withColumn(out, meta).drop(
-        "_meta_tags", "_meta_names", "_meta_values", "_meta_regular", "_meta_keys"
+        "_meta_scope", "_meta_tags", "_meta_names", "_meta_values", "_meta_regular", "_meta_keys"
     )
 
 

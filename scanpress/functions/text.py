@@ -250,6 +250,16 @@ BLOCK_TAGS = (
 )
 
 
+def upto_last(col: Column | str, closer: str = ">") -> Column:
+    """The text up to and including the last ``closer`` (empty when there is none).
+
+    Patterns that must end in ``closer`` can only match inside it, and run
+    there without rescanning an unclosed tail from every opener.
+    """
+    text = _c(col)
+    return text.substr(F.lit(1), F.length(text) - F.length(F.substring_index(text, closer, -1)))
+
+
 def remove_tags(col: Column | str) -> Column:
     """``re.sub("<[^>]*>", "", text)`` in linear time.
 

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from scanpress.functions.markup import strip_fences
 from scanpress.functions.replies import article_count, finish_reason, response_status
-from scanpress.functions.text import _c, element_text, has_rare_space
+from scanpress.functions.text import _c, element_text, has_rare_space, upto_last
 
 COMMENT = r"(?s)<!--.*?-->"
 ARTICLE_BLOCK = r"(?s)<article>(.*?)</article>"
@@ -88,7 +88,7 @@ KNOWN_ENTITIES = ("&amp;", "&lt;", "&gt;", "&quot;", "&#39;", "&nbsp;")
 
 def structure_tags(markup: Column | str) -> Column:
     """The structural tags of the markup, in order (one regex pass)."""
-    return F.regexp_extract_all(_c(markup), F.lit(STRUCTURE_TAG), 0)
+    return F.regexp_extract_all(upto_last(markup), F.lit(STRUCTURE_TAG), 0)
 
 
 def is_regular_markup(markup: Column | str, tags: Column | str | None = None) -> Column:
