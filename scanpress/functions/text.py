@@ -270,9 +270,7 @@ def remove_tags(col: Column | str) -> Column:
     ``>``) and the tail is appended as it is.
     """
     text = _c(col)
-    tail = F.substring_index(text, ">", -1)
-    head = text.substr(F.lit(1), F.length(text) - F.length(tail))
-    return F.concat(F.regexp_replace(head, r"<[^>]*>", ""), tail)
+    return F.concat(F.regexp_replace(upto_last(text), r"<[^>]*>", ""), F.substring_index(text, ">", -1))
 
 
 SCRIPTS_AND_COMMENTS = r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->"

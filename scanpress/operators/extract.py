@@ -52,9 +52,7 @@ def remove_comments(col: Column | str) -> Column:
     text up to the last ``-->`` and the tail is kept as it is.
     """
     text = _c(col)
-    tail = F.substring_index(text, "-->", -1)
-    head = text.substr(F.lit(1), F.length(text) - F.length(tail))
-    return F.concat(F.regexp_replace(head, COMMENT, ""), tail)
+    return F.concat(F.regexp_replace(upto_last(text, "-->"), COMMENT, ""), F.substring_index(text, "-->", -1))
 
 
 def reply_markup(content: Column | str) -> Column:
