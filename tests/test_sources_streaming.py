@@ -118,3 +118,17 @@ def test_stream_named_articles_unique_across_batches_and_replay(spark, tmp_dir):
     stream_named_articles(spark, os.path.join(src, "a"), out, ckpt + "-2")
     again = spark.read.parquet(out)
     assert again.count() == 3 * n and again.select("file_name").distinct().count() == 3 * n
+
+
+def test_stream_articles_continuous_trigger(spark, tmp_dir):
+    src, out, ckpt = (os.path.join(tmp_dir, d) for d in ("csrc", "cout", "cckpt"))
+    replies = fx.responses(fx.read_table(spark, SF, "pages"))
+    replies.write.parquet(os.path.join(src, "a"))
+    query = stream_articles(spark, src + "/*", out, ckpt, processing_time="1 second")
+    try:
+        query.processAllAvailable()
+        replies.write.parquet(os.path.join(src, "b"))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(out).count() == 2 * articles_from_replies(replies).count()
