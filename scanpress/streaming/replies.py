@@ -57,28 +57,29 @@ def stream_articles(
         .option("checkpointLocation", checkpoint_dir)
         .outputMode("append")
     )
+    return _run(query, processing_time)
+
+
+def _run(writer, processing_time: str | None):  # noqa: ANN001, ANN202
+    """Drain what is there and return (``availableNow``), or keep running every ``processing_time``."""
     if processing_time:
-        return query.trigger(processingTime=processing_time).start()
-    started = query.trigger(availableNow=True).start()
-    started.awaitTermination()
-    return started
+        return writer.trigger(processingTime=processing_time).start()
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
 
 
-def stream_cost(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str) -> None:
+def stream_cost(
+    spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str, processing_time: str | None = None
+):
     """ST-2: running per-model token sums, each changed model appended with its batch id."""
     sums = model_usage(spark.readStream.schema(USAGE).parquet(source_dir))
 
     def append(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_dir)
 
-    query = (
-        sums.writeStream.outputMode("update")
-        .foreachBatch(append)
-        .option("checkpointLocation", checkpoint_dir)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    writer = sums.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", checkpoint_dir)
+    return _run(writer, processing_time)
 
 
 def latest_costs(spark: SparkSession, out_dir: str, prices: DataFrame) -> DataFrame:
@@ -95,6 +96,7 @@ def stream_named_articles(
     out_dir: str,
     checkpoint_dir: str,
     fmt: str = "parquet",
+    processing_time: str | None = None,
 ):
     """ST-1 with names: each micro-batch's articles get file names that avoid every name already written.
 
@@ -125,14 +127,8 @@ def stream_named_articles(
         )
         tagged.write.mode("append").parquet(out_dir)
 
-    query = (
-        articles.writeStream.foreachBatch(name_and_append)
-        .option("checkpointLocation", checkpoint_dir)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    writer = articles.writeStream.foreachBatch(name_and_append).option("checkpointLocation", checkpoint_dir)
+    return _run(writer, processing_time)
 
 
 def _read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
