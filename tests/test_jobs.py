@@ -100,3 +100,16 @@ def test_command_line_missing_report(spark, tmp_dir):
     out = os.path.join(tmp_dir, "missing")
     assert main(["missing", os.path.join(tmp_dir, "s"), os.path.join(tmp_dir, "a"), out]) == 0
     assert [r.stem for r in spark.read.parquet(out).collect()] == ["gazette_1001-002"]
+
+
+def test_compact_article_html(spark, tmp_dir):
+    from scanpress.sources.files import compact_article_html
+
+    docs = fx.article_docs(fx.doc_articles(fx.read_table(spark, SF, "documents"))).select("file_name", "html")
+    folder = os.path.join(tmp_dir, "html")
+    write_files(docs, folder).write.format("noop").mode("overwrite").save()
+    out = os.path.join(tmp_dir, "compact")
+    compact_article_html(spark, folder, out, target_files=2)
+    compact = spark.read.parquet(out)
+    assert compact.count() == docs.count()
+    assert compact.join(docs, ["file_name", "html"], "left_anti").count() == 0
