@@ -49,10 +49,13 @@ def run_extraction(
     existing_names_path: str | None = None,
     replies_format: str = "parquet",
     prices=None,  # noqa: ANN001
+    first_success_only: bool = True,
 ) -> dict[str, str]:
     """The transcription job end to end, written as tables under ``out_dir``.
 
-    * ``articles``: ``(file_name, html)`` plus article fields, named against
+    * ``articles``: ``(file_name, html)`` plus article fields of each page's
+      first successful attempt (all successful ones with
+      ``first_success_only=False``), named against
       the names already written (``existing_names_path``, a table with a
       ``file_name`` column) so a rerun never overwrites;
     * ``quarantine``: failed replies with their reason;
@@ -72,7 +75,17 @@ def run_extraction(
     # output then reads only its columns of that table.
     replies = materialize(with_reply_status(read_responses(spark, replies_path, replies_format)), "checked-replies")
     existing = spark.read.parquet(existing_names_path).select("file_name") if existing_names_path else None
-    docs = article_documents(with_headline_slug(extract_articles(replies)), existing)
+    accepted = replies
+    if first_success_only:
+        # A fallback chain stops at its first success: only that attempt's
+        # articles are kept (failed attempts are still quarantined and billed).
+        chosen = (
+            replies.filter(F.col("status") == "OK")
+            .groupBy("page_id")
+            .agg(F.min("attempt").alias("attempt"))
+        )
+        accepted = replies.join(chosen, ["page_id", "attempt"], "left_semi")
+    docs = article_documents(with_headline_slug(extract_articles(accepted)), existing)
     price_list = prices if prices is not None else prices_frame(spark)
     per_model = cost_by_model(replies.select("model", "input_tokens", "output_tokens"), price_list)
     outputs = {

@@ -113,3 +113,23 @@ def test_compact_article_html(spark, tmp_dir):
     compact = spark.read.parquet(out)
     assert compact.count() == docs.count()
     assert compact.join(docs, ["file_name", "html"], "left_anti").count() == 0
+
+
+def test_extraction_keeps_first_successful_attempt(spark, tmp_dir):
+    from scanpress.schemas import RESPONSES
+
+    ok = '{"finish_reason":"STOP"}'
+    rows = [
+        ("p1", "gemini-2.0", 0, 1, "ai", "<article><headline>Failed</headline></article>", '{"finish_reason":"MAX_TOKENS"}', 5, 5),
+        ("p1", "claude-3.7", 1, 1, "ai", "<article><headline>Fallback</headline></article>", ok, 5, 5),
+        ("p1", "gpt-4.1", 2, 1, "ai", "<article><headline>Later</headline></article>", ok, 5, 5),
+        ("p2", "gemini-2.0", 0, 1, "ai", "<article><headline>Primary</headline></article>", ok, 5, 5),
+    ]
+    path = os.path.join(tmp_dir, "replies")
+    spark.createDataFrame(rows, RESPONSES).write.parquet(path)
+    out = run_extraction(spark, path, os.path.join(tmp_dir, "run"))
+    got = sorted((r.page_id, r.headline) for r in spark.read.parquet(out["articles"]).collect())
+    assert got == [("p1", "Fallback"), ("p2", "Primary")]
+    assert spark.read.parquet(out["summary"]).collect()[0].replies == 4  # every attempt is counted and billed
+    everything = run_extraction(spark, path, os.path.join(tmp_dir, "all"), first_success_only=False)
+    assert spark.read.parquet(everything["articles"]).count() == 3
