@@ -33,3 +33,14 @@ def first_success(attempts: DataFrame, page: str = "page_id") -> DataFrame:
         "chosen_model",
         F.when(F.col("chosen_attempt").isNotNull(), F.lit("OK")).otherwise(F.col("first_status")).alias("status"),
     )
+
+
+def first_successful_replies(replies: DataFrame, page: str = "page_id") -> DataFrame:
+    """Keep, per page, only the reply of the first attempt whose status is ``OK``.
+
+    A fallback chain stops at its first success, so only that attempt's
+    articles exist.  The choice is an aggregate with map-side combine, then
+    a semi join (AQE can split a skewed page).
+    """
+    chosen = replies.filter(F.col("status") == "OK").groupBy(page).agg(F.min("attempt").alias("attempt"))
+    return replies.join(chosen, [page, "attempt"], "left_semi")

@@ -34,7 +34,12 @@ def article_documents(articles: DataFrame, existing_names: DataFrame | None = No
 
 
 def replies_to_documents(replies: DataFrame) -> DataFrame:
-    """The flagship job: replies in, ``(file_name, html)`` plus article fields out."""
+    """The flagship job: replies in, ``(file_name, html)`` plus article fields out.
+
+    Every accepted reply contributes; for tables holding several attempts per
+    page pass them through ``operators.attempts.first_successful_replies``
+    first (``run_extraction`` does).
+    """
     docs = article_documents(articles_from_replies(replies))
     return docs.select(
         "page_id", "model", "ordinal", "file_name", "headline", "strapline", "author_name", "category",
@@ -75,16 +80,10 @@ def run_extraction(
     # output then reads only its columns of that table.
     replies = materialize(with_reply_status(read_responses(spark, replies_path, replies_format)), "checked-replies")
     existing = spark.read.parquet(existing_names_path).select("file_name") if existing_names_path else None
-    accepted = replies
-    if first_success_only:
-        # A fallback chain stops at its first success: only that attempt's
-        # articles are kept (failed attempts are still quarantined and billed).
-        chosen = (
-            replies.filter(F.col("status") == "OK")
-            .groupBy("page_id")
-            .agg(F.min("attempt").alias("attempt"))
-        )
-        accepted = replies.join(chosen, ["page_id", "attempt"], "left_semi")
+    from scanpress.operators.attempts import first_successful_replies
+
+    # Failed attempts are still quarantined and billed below.
+    accepted = first_successful_replies(replies) if first_success_only else replies
     docs = article_documents(with_headline_slug(extract_articles(accepted)), existing)
     price_list = prices if prices is not None else prices_frame(spark)
     per_model = cost_by_model(replies.select("model", "input_tokens", "output_tokens"), price_list)
