@@ -1,6 +1,6 @@
 """Command line for the three jobs (``python -m scanpress ...`` or ``spark-submit -m``-style launchers).
 
-    python -m scanpress extract <replies> <out_dir> [--existing <articles table>] [--json]
+    python -m scanpress extract <replies> <out_dir> [--existing <articles table>] [--json] [--all-attempts]
     python -m scanpress corpus <html_dir> <out> [--sample N --seed S] [--bad-names <path>] [--partition-by issue]
     python -m scanpress missing <scans_dir> <articles_dir> <out>
 
@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> int:
     ext.add_argument("out_dir")
     ext.add_argument("--existing", help="articles table of an earlier run; new names avoid its names")
     ext.add_argument("--json", action="store_true", help="reply records are JSON lines (default Parquet)")
+    ext.add_argument("--all-attempts", action="store_true", help="keep articles of every successful attempt, not the first")
 
     cor = sub.add_parser("corpus", help="folder of article HTML files -> corpus Parquet")
     cor.add_argument("html_dir")
@@ -48,7 +49,7 @@ def main(argv: list[str] | None = None) -> int:
 
         paths = run_extraction(
             spark, args.replies, args.out_dir, existing_names_path=args.existing,
-            replies_format="json" if args.json else "parquet",
+            replies_format="json" if args.json else "parquet", first_success_only=not args.all_attempts,
         )
         print(json.dumps(paths))
     elif args.command == "corpus":
