@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanpress.llm import chat, dedup, tokenids, warc
+from scanpress.llm import chat, dedup, jaccard, tokenids, warc
 from scanpress.llm.common import scratch_uri, table
 
 
@@ -32,6 +32,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_uri(spark, "warc")
     index = warc.write_warc(table(spark, sf_dir, "pages"), path)
@@ -54,6 +58,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_format": op2_chat_format,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_warc_bundles": op5_warc_bundles,
     "op8_token_ids": op8_token_ids,
     "op10_exact_dedup": op10_exact_dedup,
