@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanpress.llm import chat, dedup, jaccard, tokenids, warc
+from scanpress.llm import chat, dedup, jaccard, langid, lmscore, mixing, packing, tokenids, topk, warc
 from scanpress.llm.common import scratch_uri, table
 
 
+def op1_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = topk.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return topk.voronoi_topk(data, data.filter(F.col("id") % 50 == 0), k=5)
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(
@@ -32,6 +37,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -42,6 +51,15 @@ def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(index, path)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select(F.col("doc_id").alias("id"))
+    return lmscore.score_documents(table(spark, sf_dir, "documents"), good)
+
+
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -52,14 +70,23 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.token_stream(index, path)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_voronoi_topk": op1_voronoi_topk,
     "op2_chat_format": op2_chat_format,
+    "op3_packing": op3_packing,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_warc_bundles": op5_warc_bundles,
+    "op6_language_id": op6_language_id,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_token_ids": op8_token_ids,
+    "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
 }
