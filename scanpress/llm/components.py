@@ -43,7 +43,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         edges = materialize(_small_star(_large_star(edges)), "stars")
         # Stable once every edge ends in a node that no edge leaves and a round changes nothing.
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        if now == before or not now[0]:
             break
         before = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -13,11 +13,16 @@ Plan (every statistic covers all rows; nothing is sampled or capped):
 2. *Prefixes.*  Linked documents share a shingle among the first
    ``size - ceil(t * size) + 1`` of each.  Copies with equal sets are reduced to
    one; prefixes are shuffled by shingle and only shingles of two or more
-   documents are kept.  Sets are computed again for those documents alone.
+   documents are kept.  From here on bitmaps (2 to 4 bits per shingle) travel,
+   not sets: units propose pairs, and the sets of the documents in proposed
+   pairs alone are computed again from the texts to decide them.
 3. *Stars.*  Documents sharing their smallest such shingle form units of at
-   most ``UNIT`` documents; inside, each becomes a centre or joins a centre it
-   links with, at a known Jaccard distance.
-4. *Centres.*  Per shingle only the distinct stars remain.  Signature trees
+   most ``UNIT`` documents; inside, each becomes a centre or is proposed to the
+   most similar centre; verified members have a known Jaccard distance to it.
+   Centres meet again by two other shared shingles, which joins most stars of
+   one large group of copies; the components so far are labelled.
+4. *Centres.*  Per shingle only the distinct stars remain, and only where they
+   are of several components.  Signature trees
    (:mod:`scanpress.llm.sigtree`) and a dual traversal find the pairs of centres
    that link, or that are near enough for members to link: Jaccard distance is
    a metric, so members link only if the centres are within
@@ -36,6 +41,7 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +51,7 @@ from pyspark.sql import types as T
 
 from scanpress.llm.common import materialize
 from scanpress.llm.components import connected_components
-from scanpress.llm.sigtree import SignatureTree, jaccard_parts
+from scanpress.llm.sigtree import SignatureTree, by_width, folded, jaccard_parts, signature
 
 WORDS, PERCENT = 5, 80
 UNIT = 1024
@@ -53,6 +59,18 @@ SMALL_GROUP = 64
 SLOT_BITS, CHUNKS = 20, 64
 BROADCAST_ROWS = 2_000_000  # narrow rows (under 64 bytes) that may be broadcast
 EPS = 1e-9
+PAIRS = "u long, v long"
+
+
+@dataclass
+class _Corpus:
+    """The texts (t_id, text), their keys (rid, doc_id, set_hash), their bitmaps (rid, size, sig)."""
+
+    texts: DataFrame
+    rows: DataFrame
+    signatures: DataFrame
+    n: int
+    repeated_ids: bool
 
 
 # ---------------------------------------------------------------- shingles
@@ -62,7 +80,7 @@ class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= 1_000_000:
+        if len(self) >= 400_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -110,7 +128,7 @@ def _levels(texts: DataFrame, n: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(slots, np.int64)
-        for batch in batches:
+        for batch in (b.slice(k, 1000) for b in batches for k in range(0, b.num_rows, 1000)):
             sets = [shingle_set(t, n) for t in batch.column(0).to_pylist()]
             if sets:
                 total += np.bincount((np.concatenate(sets) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=slots)
@@ -143,6 +161,7 @@ def _signed(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) ->
             T.StructField("text_hash", T.LongType()),
             T.StructField("size", T.IntegerType()),
             T.StructField("set_hash", T.BinaryType()),
+            T.StructField("sig", T.BinaryType()),
             T.StructField("keys", T.ArrayType(T.LongType())),
         ]
     )
@@ -152,11 +171,12 @@ def _signed(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) ->
 
         level = levels.value
         for batch in batches:
-            sizes, hashes, keys = [], [], []
+            sizes, hashes, sigs, keys = [], [], [], []
             for text in batch.column(2).to_pylist():
                 own = shingle_set(text, n)
                 sizes.append(len(own))
                 hashes.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
+                sigs.append(signature(own) if len(own) else None)
                 p = prefix_length(len(own), percent)
                 rank = level[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)].astype(np.uint64)
                 order = (rank << np.uint64(58)) | (own >> np.uint64(6))
@@ -168,6 +188,7 @@ def _signed(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) ->
                     batch.column(1),
                     pa.array(sizes, pa.int32()),
                     pa.array(hashes, pa.binary()),
+                    pa.array(sigs, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
                 names=schema.names,
@@ -179,109 +200,153 @@ def _signed(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) ->
     return materialize(rows.mapInArrow(sign, schema).withColumn("rid", F.monotonically_increasing_id()), "signed")
 
 
-def _sets(df: DataFrame, id_col: str, text_col: str, n: int, needed: DataFrame, repeated_ids: bool) -> DataFrame:
-    """(rid, set) of the documents in ``needed(rid, id, set_hash)``."""
+def _narrow(df: DataFrame) -> DataFrame:
+    """A written table of ids, broadcast if it has at most ``BROADCAST_ROWS`` rows, else joined by shuffling."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _verified(corpus: _Corpus, pairs: DataFrame) -> DataFrame:
+    """(u, v, both, either) of ``pairs(u, v)`` on the sets, computed again from the texts of their documents.
+
+    A unit is one ``u`` with a slice of its partners; each document is read once and sent to its units.
+    """
+    slices = _slices(F.count(F.lit(1)).over(Window.partitionBy("u")), UNIT // 2)
+    cut = pairs.distinct().withColumn("n", slices).withColumn("unit", F.xxhash64("u", _slice_of("v", F.col("n"))))
+    cut = materialize(cut.select("u", "v", "unit"), "pairs")
+    places = cut.select(F.col("v").alias("rid"), "unit", F.lit(False).alias("head")).unionByName(
+        cut.select(F.col("u").alias("rid"), "unit", F.lit(True).alias("head"))
+    )
+    units = places.distinct().groupBy("rid").agg(F.collect_list(F.struct("unit", "head")).alias("units"))
+    wanted = materialize(corpus.rows.select("rid", F.col("doc_id").alias("id"), "set_hash").join(units, "rid"), "wanted")
+
+    n = corpus.n
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        def out(rids: list, sets: list, places: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(rids, pa.int64()), pa.array(sets, pa.binary()), pa.array(places, schema_units)], names=["rid", "set", "units"]
+            )
+
+        schema_units = pa.list_(pa.struct([("unit", pa.int64()), ("head", pa.bool_())]))
         for batch in batches:
-            rids, sets, held = [], [], 0
-            for rid, expected, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            rids, sets, places, held = [], [], [], 0
+            for rid, expected, own, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 data = shingle_set(text, n).tobytes()
                 if xxhash.xxh3_128_digest(data) == expected:
                     rids.append(rid)
                     sets.append(data)
+                    places.append(own)
                     held += len(data)
                 if held > 16 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(sets, pa.binary())], names=["rid", "set"])
-                    rids, sets, held = [], [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(sets, pa.binary())], names=["rid", "set"])
+                    yield out(rids, sets, places)
+                    rids, sets, places, held = [], [], [], 0
+            yield out(rids, sets, places)
 
-    if needed.count() <= BROADCAST_ROWS:
-        needed = F.broadcast(needed)
-    texts = df.select(F.col(id_col).alias("t_id"), F.col(text_col).cast("binary").alias("text"))
-    found = texts.join(needed, F.col("t_id").eqNullSafe(F.col("id"))).select("rid", "set_hash", "text")
-    sets = found.mapInArrow(build, "rid long, set binary")
-    return materialize(sets.dropDuplicates(["rid"]) if repeated_ids else sets, "sets")
+    found = corpus.texts.join(_narrow(wanted), F.col("t_id").eqNullSafe(F.col("id"))).select("rid", "set_hash", "units", "text")
+    sets = found.mapInArrow(build, "rid long, set binary, units array<struct<unit:long,head:boolean>>")
+    if corpus.repeated_ids:
+        sets = sets.dropDuplicates(["rid"])
+    sent = sets.select("rid", "set", F.explode("units").alias("at")).select("rid", "set", "at.unit", "at.head")
+
+    def compare(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        rids, heads = rows.column("rid").to_pylist(), rows.column("head").to_pylist()
+        own = _as_sets(rows.column("set"))
+        # Units are hashes: should two coincide, every head meets every partner, and the join below keeps the pairs asked for.
+        out = [
+            (rids[h], rids[k], *jaccard_parts(own[h], own[k]))
+            for h in range(len(rids)) if heads[h]
+            for k in range(len(rids)) if not heads[k] and rids[k] != rids[h]
+        ]
+        return pa.table({c: pa.array([o[k] for o in out], pa.int64()) for k, c in enumerate(("u", "v", "both", "either"))})
+
+    compared = sent.groupBy("unit").applyInArrow(compare, "u long, v long, both long, either long")
+    return materialize(compared.join(cut.select("u", "v"), ["u", "v"], "left_semi").distinct(), "verified")
 
 
 # ---------------------------------------------------------------- units
 
 
+def _unit_of(rows: pa.Table) -> tuple[list[int], list[bytes], np.ndarray]:
+    rows = rows.sort_by("rid").combine_chunks()
+    sizes = np.array(rows.column("size").to_pylist(), np.int64)
+    return rows.column("rid").to_pylist(), rows.column("sig").to_pylist(), sizes
+
+
+def _pair_table(pairs: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"u": pa.array([p[0] for p in pairs], pa.int64()), "v": pa.array([p[1] for p in pairs], pa.int64())})
+
+
 def _star_unit(percent: int):
-    """Greedy stars of one unit (rid, set) -> (rid, center, dist)."""
+    """Proposed stars of one unit (rid, size, sig) -> (u centre, v member), by estimated similarity.
+
+    Documents nearest the unit's majority bitmap come first, so an original is centre before its edited copies.
+    """
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("rid").combine_chunks()
-        rids, sets = rows.column("rid").to_pylist(), _as_sets(rows.column("set"))
-        tree = SignatureTree(sets, np.zeros(len(sets)), np.arange(len(sets)))
-        centers, out = np.empty(0, np.int64), []
-        for k in np.argsort(-tree.sizes, kind="stable").tolist():
-            common = np.bitwise_count(tree.bits[centers] & tree.bits[k]).sum(axis=1, dtype=np.int64)
-            most = np.minimum(common + np.minimum(tree.hidden[centers], tree.hidden[k]), tree.sizes[k])
-            may = centers[most * (100 + percent) >= percent * (tree.sizes[centers] + tree.sizes[k])]
-            for c in may.tolist():
-                both, either = jaccard_parts(sets[k], sets[c])
-                if 100 * both >= percent * either:
-                    out.append((rids[k], rids[c], 1 - both / either))
-                    break
-            else:
-                centers = np.append(centers, k)
-        return pa.table(
-            {
-                "rid": pa.array([o[0] for o in out], pa.int64()),
-                "center": pa.array([o[1] for o in out], pa.int64()),
-                "dist": pa.array([o[2] for o in out], pa.float64()),
-            }
-        )
+        rids, sigs, sizes = _unit_of(rows)
+        out = []
+        for words, own, _ in by_width(sigs, 1):
+            bits = np.stack([folded(sigs[k], words) for k in own])
+            usual = np.unpackbits(bits.view(np.uint8), axis=1, bitorder="little").sum(axis=0) * 2 > len(own)
+            usual = np.packbits(usual, bitorder="little").view(np.uint64)
+            apart = np.bitwise_count(bits ^ usual).sum(axis=1, dtype=np.int64)
+            centers = np.empty(0, np.int64)
+            for k in np.lexsort((own, apart)).tolist():
+                common = np.bitwise_count(bits[centers] & bits[k]).sum(axis=1, dtype=np.int64)
+                share = -np.log1p(-np.minimum(common / (64.0 * words), 0.999)) * 64 * words
+                total = sizes[own[centers]] + sizes[own[k]]
+                like = share * (100 + percent) / (percent * total)
+                best = int(np.argmax(like)) if len(like) else -1
+                if best >= 0 and like[best] >= 0.99:
+                    out.append((rids[own[centers[best]]], rids[own[k]]))
+                else:
+                    centers = np.append(centers, k)
+        return _pair_table(out)
 
     return run
 
 
 def _center_unit(percent: int):
-    """Pairs of centres (rid, set, radius) of one unit that link or whose members may -> (u, v, linked, dist)."""
+    """Pairs of centres (rid, size, sig, radius, comp) of one unit and several components that may link, or whose
+    members may -> (u, v)."""
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("rid").combine_chunks()
-        rids, sets = rows.column("rid").to_pylist(), _as_sets(rows.column("set"))
-        radius = np.array(rows.column("radius").to_pylist())
-        root = list(range(len(sets)))
+        rids, sigs, sizes = _unit_of(rows)
+        rows = rows.sort_by("rid")
+        radius, comps = np.array(rows.column("radius").to_pylist()), rows.column("comp").to_pylist()
+        # Thresholds reach down to 1 - 3 * (1 - t): as many times as wide the larger of two sets can be.
+        least = max(percent / 100 - 2 * float(radius.max(initial=0)), 0.05)
+        return _pair_table(_tree_pairs(rids, sigs, sizes, radius, comps, percent, 2 * int(1 / least + 1)))
 
-        def find(k: int) -> int:
-            while root[k] != k:
-                root[k] = k = root[root[k]]
-            return k
+    return run
 
-        out = []
-        for a, b in SignatureTree(sets, radius, np.arange(len(sets))).pairs(percent / 100):
-            if find(a) == find(b):
-                continue
-            both, either = jaccard_parts(sets[a], sets[b])
-            if 100 * both >= percent * either:
-                root[find(a)] = find(b)
-                out.append((rids[a], rids[b], True, 0.0))
-            elif radius[a] + radius[b] > 0 and 1 - both / either <= 1 - percent / 100 + radius[a] + radius[b] + EPS:
-                out.append((rids[a], rids[b], False, 1 - both / either))
-        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.float64())
-        return pa.table({c: pa.array([o[k] for o in out], t) for k, (c, t) in enumerate(zip(("u", "v", "linked", "dist"), kinds))})
 
-    return run
+def _tree_pairs(rids, sigs, sizes, slack, sides, percent: int, reach: int) -> list[tuple[int, int]]:
+    """Pairs of different ``sides`` that may reach the threshold less both slacks."""
+    sides, out = np.unique(sides, return_inverse=True)[1], []
+    for words, own, wider in by_width(sigs, reach):
+        rows = np.concatenate([own, wider])
+        bits = np.stack([folded(sigs[k], words) for k in rows])
+        # Pairs among the wider ones belong to their own width.
+        groups = np.where(np.arange(len(rows)) < len(own), sides[rows], -1)
+        tree = SignatureTree(bits, sizes[rows], slack[rows], groups)
+        for a, b in tree.pairs(percent / 100):
+            a, b = rows[a], rows[b]
+            if sides[a] != sides[b]:
+                out.append((rids[a], rids[b]) if rids[a] < rids[b] else (rids[b], rids[a]))
+    return out
 
 
 def _member_unit(percent: int):
-    """One link between the members (side 0 and 1) of two stars, if there is any -> (u, v)."""
+    """Pairs of members (side 0 and 1) of two stars that may link -> (u, v)."""
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        sets, sides = _as_sets(rows.column("set")), np.array(rows.column("side").to_pylist(), np.int64)
-        out = []
-        for a, b in SignatureTree(sets, np.zeros(len(sets)), sides).pairs(percent / 100):
-            both, either = jaccard_parts(sets[a], sets[b])
-            if 100 * both >= percent * either:
-                out = [(rows.column("u")[0].as_py(), rows.column("v")[0].as_py())]
-                break
-        return pa.table({c: pa.array([o[k] for o in out], pa.int64()) for k, c in enumerate("uv")})
+        rids, sigs, sizes = _unit_of(rows)
+        sides = np.array(rows.sort_by("rid").column("side").to_pylist(), np.int64)
+        return _pair_table(_tree_pairs(rids, sigs, sizes, np.zeros(len(rids)), sides, percent, 4))
 
     return run
 
@@ -294,23 +359,52 @@ def _slice_of(col: str, slices):
     return F.pmod(F.xxhash64(col), slices)
 
 
-def _stars(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(rid, center, dist) of every document that joined a centre."""
-    first = shared.groupBy("rid").agg(F.min("key").alias("key"))
-    first = first.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("c > 1")
-    units = first.withColumn("slice", _slice_of("rid", _slices(F.col("c"), UNIT))).join(sets, "rid")
-    found = units.select("key", "slice", "rid", "set").groupBy("key", "slice")
-    return materialize(found.applyInArrow(_star_unit(percent), "rid long, center long, dist double"), "center-of")
+def _with_signature(corpus: _Corpus, units: DataFrame) -> DataFrame:
+    return corpus.signatures.join(_narrow(materialize(units, "units")), "rid")
+
+
+def _linked(percent: int):
+    return F.col("both") * 100 >= F.col("either") * percent
+
 
+def _proposed_stars(corpus: _Corpus, keyed: DataFrame, percent: int) -> DataFrame:
+    """Verified (u centre, v member, both, either) among rows of ``keyed(rid, key)`` with one key."""
+    keyed = keyed.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("c > 1")
+    units = keyed.select("key", _slice_of("rid", _slices(F.col("c"), UNIT)).alias("slice"), "rid")
+    proposed = _with_signature(corpus, units).groupBy("key", "slice").applyInArrow(_star_unit(percent), PAIRS)
+    return _verified(corpus, proposed).filter(_linked(percent))
 
-def _center_pairs(shared: DataFrame, sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
-    """(u, v, linked, dist) over centres sharing a prefix shingle of any of their members."""
+
+def _stars(corpus: _Corpus, shared: DataFrame, percent: int) -> DataFrame:
+    """(rid, center, dist) of every document that joined a centre it links with."""
+    found = _proposed_stars(corpus, shared.groupBy("rid").agg(F.min("key").alias("key")), percent)
+    dist = (1 - F.col("both") / F.col("either")).alias("dist")
+    # A centre never is a member: each document is in one unit, and a unit's members are not its centres.
+    return materialize(found.select(F.col("v").alias("rid"), F.col("u").alias("center"), dist), "stars-found")
+
+
+def _center_links(corpus: _Corpus, shared: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
+    """(u, v): links between centres that meet by other shared shingles than the smallest."""
+    centers = shared.join(_narrow(stars.select("rid")), "rid", "left_anti")
+    mixed = [F.min(F.xxhash64(F.lit(seed), "key")).alias(f"k{seed}") for seed in (1, 2)]
+    keyed = centers.groupBy("rid").agg(*mixed).select("rid", F.explode(F.array("k1", "k2")).alias("key")).distinct()
+    return materialize(_proposed_stars(corpus, keyed, percent).select("u", "v"), "center-links")
+
+
+def _center_pairs(corpus: _Corpus, shared: DataFrame, stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(u, v, linked, dist) over centres of several components sharing a prefix shingle of any of their members."""
+    of_key = Window.partitionBy("key")
     stars_of = (
         shared.join(stars.select("rid", "center"), "rid", "left")
         .select("key", F.coalesce("center", "rid").alias("rid"))
         .distinct()
-        .withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key")))
-        .filter("c > 1")
+        .join(labels.withColumnRenamed("node", "rid"), "rid", "left")
+        .withColumn("comp", F.coalesce("component", "rid"))
+        .withColumn("c", F.count(F.lit(1)).over(of_key))
+        .withColumn("low", F.min("comp").over(of_key))
+        .withColumn("high", F.max("comp").over(of_key))
+        .filter("low <> high")
+        .select("key", "rid", "c")
     )
     stars_of = materialize(stars_of, "stars-of-key")
     # Many shingles of one shared passage have the same stars: one unit for all of them.
@@ -331,13 +425,21 @@ def _center_pairs(shared: DataFrame, sets: DataFrame, stars: DataFrame, percent:
         .select(F.xxhash64("key", F.least(s, other), F.greatest(s, other)).alias("unit"), "rid")
     )
     radius = stars.groupBy(F.col("center").alias("rid")).agg(F.max("dist").alias("radius"))
-    units = small.unionByName(large).distinct().join(sets, "rid").join(radius, "rid", "left")
-    units = units.select("unit", "rid", "set", F.coalesce("radius", F.lit(0.0)).alias("radius"))
-    pairs = units.groupBy("unit").applyInArrow(_center_unit(percent), "u long, v long, linked boolean, dist double")
-    return materialize(pairs.distinct(), "center-pairs")
-
-
-def _member_links(near: DataFrame, sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
+    units = small.unionByName(large).distinct().join(radius, "rid", "left")
+    units = units.join(labels.withColumnRenamed("node", "rid"), "rid", "left")
+    facts = (F.coalesce("radius", F.lit(0.0)).alias("radius"), F.coalesce("component", "rid").alias("comp"))
+    units = _with_signature(corpus, units.select("unit", "rid", *facts))
+    proposed = units.groupBy("unit").applyInArrow(_center_unit(percent), PAIRS)
+    far = F.greatest(F.coalesce("r_u", F.lit(0.0)) + F.coalesce("r_v", F.lit(0.0)), F.lit(0.0))
+    dist = 1 - F.col("both") / F.col("either")
+    of = lambda c: radius.select(F.col("rid").alias(c), F.col("radius").alias(f"r_{c}"))
+    pairs = _verified(corpus, proposed).join(of("u"), "u", "left").join(of("v"), "v", "left")
+    near = (far > 0) & (dist <= 1 - percent / 100 + far + EPS)
+    pairs = pairs.filter(_linked(percent) | near)
+    return materialize(pairs.select("u", "v", _linked(percent).alias("linked"), dist.alias("dist")), "center-pairs")
+
+
+def _member_links(corpus: _Corpus, near: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
     """Links between members of the near stars ``near(u, v, dist)``."""
     centers = near.select(F.col("u").alias("center")).unionByName(near.select(F.col("v").alias("center"))).distinct()
     members = stars.select("rid", "center", "dist").unionByName(
@@ -361,8 +463,9 @@ def _member_links(near: DataFrame, sets: DataFrame, stars: DataFrame, percent: i
     left = left.join(n_right, ["u", "v"]).withColumn("t", every()).select("u", "v", "side", "rid", "s", "t")
     right = right.join(n_left, ["u", "v"]).withColumn("t", every())
     right = right.select("u", "v", "side", "rid", F.col("t").alias("s"), F.col("s").alias("t"))
-    units = left.unionByName(right).join(sets, "rid").select("u", "v", "s", "t", "side", "set")
-    return units.groupBy("u", "v", "s", "t").applyInArrow(_member_unit(percent), "u long, v long").distinct()
+    units = left.unionByName(right).select(F.xxhash64("u", "v", "s", "t").alias("unit"), "side", "rid")
+    proposed = _with_signature(corpus, units).groupBy("unit").applyInArrow(_member_unit(percent), PAIRS)
+    return _verified(corpus, proposed).filter(_linked(percent)).select("u", "v")
 
 
 # ---------------------------------------------------------------- the join
@@ -376,28 +479,27 @@ def _joined(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) ->
     copied = rows.select("rid", "set_hash").join(groups.filter("copies > 1"), "set_hash").select("rid", "rep")
     copied = materialize(copied.filter("rid <> rep"), "copies")
 
-    prefixes = signed.filter("size > 0").select("rid", "keys").join(copied.select("rid"), "rid", "left_anti")
+    prefixes = signed.filter("size > 0").select("rid", "keys").join(_narrow(copied.select("rid")), "rid", "left_anti")
     by_key = Window.partitionBy("key")
     shared = prefixes.select("rid", F.explode("keys").alias("key")).withColumn("c", F.count(F.lit(1)).over(by_key))
     shared = materialize(shared.filter("c > 1").select("key", "rid"), "shared-keys")
 
-    needed = rows.join(shared.select("rid").distinct(), "rid").select("rid", F.col("doc_id").alias("id"), "set_hash")
-    needed = materialize(needed, "needed")
     repeated = rows.groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
-    sets = _sets(df, id_col, text_col, n, needed, repeated)
+    texts = df.select(F.col(id_col).alias("t_id"), F.col(text_col).cast("binary").alias("text"))
+    corpus = _Corpus(texts, rows, signed.select("rid", "size", "sig"), n, repeated)
 
-    stars = _stars(shared, sets, percent)
-    pairs = _center_pairs(shared, sets, stars, percent)
-    links = stars.select(F.col("rid").alias("u"), F.col("center").alias("v")).unionByName(
-        pairs.filter("linked").select("u", "v")
-    )
+    stars = _stars(corpus, shared, percent)
+    links = stars.select(F.col("rid").alias("u"), F.col("center").alias("v"))
+    links = links.unionByName(_center_links(corpus, shared, stars, percent))
+    pairs = _center_pairs(corpus, shared, stars, connected_components(links), percent)
+    links = links.unionByName(pairs.filter("linked").select("u", "v"))
     labels = connected_components(links)
     label = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_comp"))
     near = pairs.filter("not linked").join(label("u"), "u", "left").join(label("v"), "v", "left")
     near = near.filter(F.coalesce("u_comp", "u") != F.coalesce("v_comp", "v")).groupBy("u", "v").agg(F.min("dist").alias("dist"))
     near = materialize(near, "near-stars")
     if near.limit(1).count():
-        more = materialize(_member_links(near, sets, stars, percent), "member-links")
+        more = materialize(_member_links(corpus, near, stars, percent), "member-links")
         if more.limit(1).count():
             labels = connected_components(links.unionByName(more))
 

@@ -10,7 +10,10 @@ and the largest number of shingles any of them hides in shared bits
 shingles, so the dual traversal drops a node pair as soon as that is less than
 the similarity asked for needs at the nodes' smallest sizes.  Leaves hold up to
 ``LEAF`` documents, compared as bitmaps in one numpy operation; the pairs that
-remain are decided on the sets themselves.
+remain are decided on the sets themselves, by the caller.
+
+Bitmaps have 2 to 4 bits per shingle, a power of two, so bitmaps of different
+widths compare after folding the wider one (OR of its halves).
 """
 
 from __future__ import annotations
@@ -27,6 +30,11 @@ def needed(threshold, sizes):
     return threshold / (1 + threshold) * sizes - 1e-6
 
 
+def hidden(bits: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Shingles that share their bit with another one of the same document."""
+    return sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+
+
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     """Common values of two sorted arrays of distinct values."""
     if len(a) > len(b):
@@ -36,20 +44,34 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
+def signature(values: np.ndarray) -> bytes:
+    """Bitmap of a shingle set, 64 bits or the power of two of at least 2 bits per shingle."""
+    width = max(64, 1 << (2 * len(values) - 1).bit_length()) if len(values) else 64
+    bits = np.zeros(width, bool)
+    bits[(values & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def folded(data: bytes, words: int) -> np.ndarray:
+    bits = np.frombuffer(data, "<u8")
+    while len(bits) > words:
+        bits = bits[: len(bits) // 2] | bits[len(bits) // 2 :]
+    return bits
+
+
+def by_width(signatures: list[bytes], reach: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(words, documents of that width, documents up to ``reach`` times as wide) for every width."""
+    words = np.array([len(s) // 8 for s in signatures], np.int64)
+    for w in np.unique(words).tolist():
+        yield w, np.flatnonzero(words == w), np.flatnonzero((words > w) & (words <= w * reach))
+
+
 class SignatureTree:
-    def __init__(self, sets: list[np.ndarray], slack: np.ndarray, groups: np.ndarray) -> None:
-        """``slack``: how far below the threshold a document's pairs still count (its star's radius);
-        ``groups``: pairs within one group are not asked for."""
-        self.sets, self.slack, self.groups = sets, slack, groups
-        self.sizes = np.array([len(s) for s in sets], np.int64)
-        width = 256
-        while width < 4 * int(self.sizes.max(initial=1)) and width < 1 << 17:
-            width *= 2
-        self.bits = np.zeros((len(sets), width // 64), np.uint64)
-        for k, values in enumerate(sets):
-            bit = np.unique(values & np.uint64(width - 1))
-            np.bitwise_or.at(self.bits[k], (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
-        self.hidden = self.sizes - np.bitwise_count(self.bits).sum(axis=1, dtype=np.int64)
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray, slack: np.ndarray, groups: np.ndarray) -> None:
+        """``bits``: one row of words per document; ``slack``: how far below the threshold a document's pairs
+        still count (its star's radius); ``groups``: pairs within one group are not asked for."""
+        self.bits, self.sizes, self.slack, self.groups = bits, sizes, slack, groups
+        self.hidden = hidden(bits, sizes)
         order = np.lexsort((self.sizes, groups))
         level = [self._leaf(order[k : k + LEAF]) for k in range(0, len(order), LEAF)]
         while len(level) > 1:
