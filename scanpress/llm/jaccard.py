@@ -28,8 +28,10 @@ Plan (every statistic covers all rows; nothing is sampled or capped):
    a metric, so members link only if the centres are within
    ``1 - t + radius + radius``.  Larger groups are cut in slices, and every pair
    of slices is one unit, so no task holds more than ``UNIT`` sets.
-5. *Members.*  Near pairs of stars that are not yet in one component are
-   decided on those members the triangle inequality leaves.
+5. *Members.*  Documents of near stars in different components first meet by
+   two more shared shingles, each proposing its most similar partner; pairs of
+   stars that are still apart are decided on those members the triangle
+   inequality leaves.
 6. Components of the links, by alternating stars.
 
 Defined results: null and blank texts have no shingle and link with nothing;
@@ -340,6 +342,31 @@ def _tree_pairs(rids, sigs, sizes, slack, sides, percent: int, reach: int) -> li
     return out
 
 
+def _partner_unit(percent: int):
+    """For each document (rid, size, sig, comp) the most similar one of another component, by estimate -> (u, v).
+
+    At most one pair per document.
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        rids, sigs, sizes = _unit_of(rows)
+        comps = np.array(rows.sort_by("rid").column("comp").to_pylist())
+        out = set()
+        for words, own, wider in by_width(sigs, 2):
+            both = np.concatenate([own, wider])
+            bits = np.stack([folded(sigs[k], words) for k in both])
+            for i, k in enumerate(own):
+                common = np.bitwise_count(bits & bits[i]).sum(axis=1, dtype=np.int64)
+                share = -np.log1p(-np.minimum(common / (64.0 * words), 0.999)) * 64 * words
+                like = np.where(comps[both] != comps[k], share * (100 + percent) / (percent * (sizes[both] + sizes[k])), 0)
+                best = int(like.argmax())
+                if like[best] >= 0.97:
+                    out.add((min(rids[k], rids[both[best]]), max(rids[k], rids[both[best]])))
+        return _pair_table(sorted(out))
+
+    return run
+
+
 def _member_unit(percent: int):
     """Pairs of members (side 0 and 1) of two stars that may link -> (u, v)."""
 
@@ -439,6 +466,19 @@ def _center_pairs(corpus: _Corpus, shared: DataFrame, stars: DataFrame, labels:
     return materialize(pairs.select("u", "v", _linked(percent).alias("linked"), dist.alias("dist")), "center-pairs")
 
 
+def _partner_links(corpus: _Corpus, shared: DataFrame, near: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(u, v): links between documents of different near components that meet by a shared shingle."""
+    comps = near.select(F.col("u_comp").alias("comp")).unionByName(near.select(F.col("v_comp").alias("comp"))).distinct()
+    mixed = [F.min(F.xxhash64(F.lit(seed), "key")).alias(f"k{seed}") for seed in (3, 4)]
+    comp = F.coalesce("component", "rid")
+    rows = shared.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn("comp", comp).join(comps, "comp")
+    keyed = rows.groupBy("rid", "comp").agg(*mixed).select("rid", "comp", F.explode(F.array("k3", "k4")).alias("key"))
+    keyed = keyed.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("c > 1")
+    units = keyed.select("key", _slice_of("rid", _slices(F.col("c"), UNIT)).alias("slice"), "rid", "comp")
+    proposed = _with_signature(corpus, units).groupBy("key", "slice").applyInArrow(_partner_unit(percent), PAIRS)
+    return materialize(_verified(corpus, proposed).filter(_linked(percent)).select("u", "v"), "partner-links")
+
+
 def _member_links(corpus: _Corpus, near: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
     """Links between members of the near stars ``near(u, v, dist)``."""
     centers = near.select(F.col("u").alias("center")).unionByName(near.select(F.col("v").alias("center"))).distinct()
@@ -471,6 +511,14 @@ def _member_links(corpus: _Corpus, near: DataFrame, stars: DataFrame, percent: i
 # ---------------------------------------------------------------- the join
 
 
+def _apart(near: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (u, v, dist) whose stars are of different components, with those."""
+    label = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_comp"))
+    rows = near.join(label("u"), "u", "left").join(label("v"), "v", "left")
+    rows = rows.withColumns({f"{c}_comp": F.coalesce(f"{c}_comp", c) for c in "uv"})
+    return materialize(rows.filter("u_comp <> v_comp"), "near-stars")
+
+
 def _joined(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
     """doc_id, text_hash, size, rid, comp (a rid), component_id per input row."""
     signed = _signed(df, id_col, text_col, n, percent)
@@ -494,11 +542,12 @@ def _joined(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) ->
     pairs = _center_pairs(corpus, shared, stars, connected_components(links), percent)
     links = links.unionByName(pairs.filter("linked").select("u", "v"))
     labels = connected_components(links)
-    label = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"{c}_comp"))
-    near = pairs.filter("not linked").join(label("u"), "u", "left").join(label("v"), "v", "left")
-    near = near.filter(F.coalesce("u_comp", "u") != F.coalesce("v_comp", "v")).groupBy("u", "v").agg(F.min("dist").alias("dist"))
-    near = materialize(near, "near-stars")
+    undecided = pairs.filter("not linked").groupBy("u", "v").agg(F.min("dist").alias("dist"))
+    near = _apart(undecided, labels)
     if near.limit(1).count():
+        links = links.unionByName(_partner_links(corpus, shared, near, labels, percent))
+        labels = connected_components(links)
+        near = _apart(undecided, labels).select("u", "v", "dist")
         more = materialize(_member_links(corpus, near, stars, percent), "member-links")
         if more.limit(1).count():
             labels = connected_components(links.unionByName(more))
