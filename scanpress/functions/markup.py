@@ -25,9 +25,9 @@ STRIP_WS = r"^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$"
 def after_encoding_line(col: Column | str) -> Column:
     """Text after the first ``<...encoding...>`` tag that ends a line; the text itself when there is none.
 
-    The same result as searching ``<([^>]*encoding[^>]*)>\\n(.*)`` with the
-    dot matching newlines, but in linear time (the regex backtracks over the
-    rest of the text after every unclosed ``<``).  Split at ``>``: a ``<`` in
+    The same result as a regular-expression search for such a tag and all
+    that follows it, but in linear time (a search backtracks over the rest of
+    the text after every unclosed ``<``).  Split at ``>``: a ``<`` in
     segment i can only close at the ``>`` ending that segment, so the match
     ends at the first segment whose text after its first ``<`` contains
     ``encoding`` and whose ``>`` is followed by a newline.

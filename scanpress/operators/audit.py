@@ -25,13 +25,13 @@ def missing_scans(scans: DataFrame, names: DataFrame, stem: str = "stem", name:
 
 
 def natural_key(col: Column | str) -> Column:
-    """ORD-1 sort key: digit runs compare as numbers (length, then digits), text runs as text."""
+    """ORD-1 sort key: digit runs compare as numbers (length, then digits) and before text, text runs as text."""
     runs = F.regexp_extract_all(_c(col), F.lit(r"([0-9]+|[^0-9]+)"), 1)
 
     def encode(run: Column) -> Column:
         digits = F.regexp_replace(run, "^0+", "")
         return F.when(
-            run.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), 3, "0"), digits)
+            run.rlike("^[0-9]"), F.concat(F.lit("\x01"), F.lpad(F.length(digits).cast("string"), 10, "0"), digits)
         ).otherwise(run)
 
     return F.array_join(F.transform(runs, encode), "")

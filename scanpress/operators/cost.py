@@ -32,7 +32,7 @@ def prices_frame(spark: SparkSession, prices: dict[str, tuple[Decimal, Decimal]]
 
 def price_usage(usage: DataFrame, prices: DataFrame) -> DataFrame:
     """JN-2: unit prices for every usage row; a model without a price gets ``UNKNOWN_MODEL``."""
-    priced = usage.join(F.broadcast(prices), "model", "left")
+    priced = usage.join(prices, "model", "left")
     return priced.withColumn(
         "price_status",
         F.when(F.col("input_cost_per_token").isNull(), F.lit("UNKNOWN_MODEL")).otherwise(F.lit("OK")),

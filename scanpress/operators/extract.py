@@ -17,6 +17,7 @@ Both produce the same ``array<struct>`` so the result is one ``posexplode``.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.entities import name2codepoint
 from html.parser import HTMLParser
 
@@ -61,15 +62,19 @@ def reply_markup(content: Column | str) -> Column:
 
 
 def with_reply_status(responses: DataFrame) -> DataFrame:
-    """Add ``finish_reason``, ``markup``, ``n_articles`` and ``status`` to reply rows."""
+    """Add ``finish_reason``, ``markup``, ``n_articles`` and ``status`` to reply rows.
+
+    A row whose ``error`` column says that the model call failed gets ``MODEL_ERROR:<error type>``.
+    """
+    checked = response_status("n_generations", "message_type", "finish_reason", "content", "n_articles")
+    if "error" in responses.columns:
+        failed = F.concat(F.lit("MODEL_ERROR:"), F.substring_index("error", ":", 1))
+        checked = F.when(F.col("error").isNotNull(), failed).otherwise(checked)
     return (
         responses.withColumn("finish_reason", finish_reason("response_metadata"))
         .withColumn("markup", reply_markup("content"))
         .withColumn("n_articles", article_count("markup").cast("int"))
-        .withColumn(
-            "status",
-            response_status("n_generations", "message_type", "finish_reason", "content", "n_articles"),
-        )
+        .withColumn("status", checked)
     )
 
 
@@ -132,6 +137,8 @@ def is_regular_markup(markup: Column | str, tags: Column | str | None = None) ->
         structure,
         F.forall(F.regexp_extract_all(m, F.lit(ENTITY), 0), lambda e: e.isin(*KNOWN_ENTITIES)),
         ~m.contains("<![CDATA["),
+        # A "<" that opens no tag is text to a parser, and may pair with a later ">" in a regex.
+        ~m.rlike(r"<(?![A-Za-z/!?])"),
         ~has_rare_space(m),
     ]
     out = checks[0]
@@ -170,14 +177,19 @@ def regular_articles(markup: Column | str) -> Column:
 _VOID = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "wbr"})
 
 
+# Elements that end where a sibling of the same kind starts.
+_IMPLIED_END = frozenset({"p", "li", "td", "tr", "dt", "dd", "option"})
+
+
 class _Node:
-    __slots__ = ("children", "inner_end", "inner_start", "tag", "texts")
+    __slots__ = ("first", "inner_end", "inner_start", "last", "tag", "texts")
 
-    def __init__(self, tag: str, inner_start: int) -> None:
+    def __init__(self, tag: str, inner_start: int, first: int) -> None:
         self.tag = tag
         self.inner_start = inner_start
         self.inner_end = -1
-        self.children: list[_Node] = []
+        # The elements below this one are nodes[first:last] of the tree, in document order.
+        self.first = self.last = first
         self.texts: list[tuple[int, str]] = []
 
 
@@ -195,10 +207,11 @@ class _TreeBuilder(HTMLParser):
         self.text = text
         self._run: _Node | None = None
         self.line_starts = [0, *(m.end() for m in re.finditer("\n", text))]
-        self.root = _Node("#root", 0)
+        self.root = _Node("#root", 0, 0)
         self.stack = [self.root]
+        self.open = Counter()
         self.order = 0
-        self.in_order: list[tuple[int, _Node]] = []
+        self.nodes: list[_Node] = []
 
     def _offset(self) -> int:
         line, col = self.getpos()
@@ -210,10 +223,12 @@ class _TreeBuilder(HTMLParser):
         raw = self.get_starttag_text() or ""
         if tag in _VOID:
             return
-        node = _Node(tag, start + len(raw))
-        self.stack[-1].children.append(node)
+        if tag in _IMPLIED_END and self.stack[-1].tag == tag:
+            self._close(len(self.stack) - 1, start)
+        node = _Node(tag, start + len(raw), len(self.nodes) + 1)
         self.stack.append(node)
-        self.in_order.append((self.order, node))
+        self.open[tag] += 1
+        self.nodes.append(node)
         self.order += 1
 
     def handle_startendtag(self, tag, attrs):  # noqa: ANN001
@@ -224,10 +239,14 @@ class _TreeBuilder(HTMLParser):
     def _close(self, index: int, at: int) -> None:
         while len(self.stack) > index:
             node = self.stack.pop()
+            self.open[node.tag] -= 1
             node.inner_end = at
+            node.last = len(self.nodes)
 
     def handle_endtag(self, tag):  # noqa: ANN001
         self._run = None
+        if not self.open[tag]:
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
                 self._close(i, self._offset())
@@ -271,15 +290,9 @@ class _TreeBuilder(HTMLParser):
         self._close(1, len(self.text))
 
 
-def _descendants(node: _Node):
-    for child in node.children:
-        yield child
-        yield from _descendants(child)
-
-
-def _text(node: _Node) -> str:
+def _text(nodes: list[_Node], node: _Node) -> str:
     parts: list[tuple[int, str]] = list(node.texts)
-    for child in _descendants(node):
+    for child in nodes[node.first : node.last]:
         parts.extend(child.texts)
     parts.sort(key=lambda p: p[0])
     return "".join(s.strip() for _, s in parts if s.strip())
@@ -291,14 +304,14 @@ def py_extract_articles(markup: str) -> list[dict[str, str | None]]:
     builder.feed(markup)
     builder.finish()
     rows: list[dict[str, str | None]] = []
-    for _, node in builder.in_order:
+    for node in builder.nodes:
         if node.tag != "article":
             continue
         found: dict[str, _Node] = {}
-        for child in _descendants(node):
+        for child in builder.nodes[node.first : node.last]:
             if child.tag in FIELD_TAGS and child.tag not in found:
                 found[child.tag] = child
-        row: dict[str, str | None] = {f: (_text(found[f]) if f in found else None) for f in HEADER_FIELDS}
+        row: dict[str, str | None] = {f: (_text(builder.nodes, found[f]) if f in found else None) for f in HEADER_FIELDS}
         row["headline"] = row["headline"] or "Untitled"
         main = found.get("main")
         row["body_html"] = None if main is None else markup[main.inner_start : main.inner_end]

@@ -126,7 +126,7 @@ def meta_value(html: str, name: str) -> str:
 
 def natural_key(x: str) -> str:
     digits = "regexp_replace(r, '^0+', '')"
-    enc = f"CASE WHEN regexp_matches(r, '^[0-9]') THEN lpad(CAST(length({digits}) AS VARCHAR), 3, '0') || {digits} ELSE r END"
+    enc = f"CASE WHEN regexp_matches(r, '^[0-9]') THEN chr(1) || lpad(CAST(length({digits}) AS VARCHAR), 10, '0') || {digits} ELSE r END"
     return f"array_to_string(list_transform(regexp_extract_all({x}, '([0-9]+|[^0-9]+)', 1), lambda r: {enc}), '')"
 
 

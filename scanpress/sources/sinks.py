@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanpress.schemas import CORPUS
+from scanpress.session import qualified_uri
 
 
 def write_corpus(corpus: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None) -> None:
@@ -42,7 +43,10 @@ def write_files(
     mounts, HDFS or object stores); nothing passes through the driver.  A
     retried task rewrites the same names with the same bytes.  Returns a
     lazy frame of ``(file_name, path, bytes)``; run an action on it to write.
+    A folder without a scheme is on the session's default file system, as for
+    Spark's own writers; null content writes an empty file.
     """
+    uri = qualified_uri(docs.sparkSession, folder)
     cols = [F.col(name).alias("_name"), F.col(content).alias("_content")]
     if subdir is not None:
         cols.append(F.col(subdir).cast("string").alias("_subdir"))
@@ -53,7 +57,7 @@ def write_files(
         import pandas as pd
         from pyarrow import fs as pafs
 
-        filesystem, root = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
+        filesystem, root = pafs.FileSystem.from_uri(uri)
         made: set[str] = set()
         for pdf in batches:
             out = []
@@ -62,9 +66,10 @@ def write_files(
                 if parent not in made:
                     filesystem.create_dir(parent, recursive=True)
                     made.add(parent)
-                data = rec._1 if isinstance(rec._1, (bytes, bytearray)) else str(rec._1).encode("utf-8")
+                text = "" if rec._1 is None else rec._1
+                data = text if isinstance(text, (bytes, bytearray)) else str(text).encode("utf-8")
                 path = f"{parent}/{rec._0}"
-                with filesystem.open_output_stream(path) as stream:
+                with filesystem.open_output_stream(path, compression=None) as stream:
                     stream.write(data)
                 out.append((rec._0, path, len(data)))
             yield pd.DataFrame(out, columns=["file_name", "path", "bytes"])

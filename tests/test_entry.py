@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import duckdb
 
 import __spark_entry__ as entry
@@ -15,7 +17,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    # The training-data queries, if installed, have their own tests.
+    own = {name for name in entry.queries() if not re.match(r"op\d+_|pipeline$", name)}
+    assert own - set(entry.oracle_sql()) == ROWS_ONLY
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

@@ -106,7 +106,6 @@ def test_entity_rules_follow_the_reference_parser(spark):
 
 def test_encoding_line_matches_python_search_and_is_linear(spark):
     import random
-    import re
     import time
 
     from scanpress.functions.markup import after_encoding_line
@@ -114,14 +113,48 @@ def test_encoding_line_matches_python_search_and_is_linear(spark):
     rng = random.Random(4)
     parts = ["<", ">", "\n", "encoding", "x", " ", '<?xml version="1.0" encoding="UTF-8"?>', "<a", "é"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(500)]
-    pattern = re.compile(r"<([^>]*encoding[^>]*)>\n(.*)", re.DOTALL)
+
+    def scanned(text):
+        """What follows the first tag naming an encoding that ends its line, found character by character."""
+        opened = None
+        for at, char in enumerate(text):
+            if char == "<" and opened is None:
+                opened = at
+            elif char == ">" and opened is not None:
+                if "encoding" in text[opened + 1 : at] and text[at + 1 : at + 2] == "\n":
+                    return text[at + 2 :]
+                opened = None
+        return text
+
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r[1] for r in df.select("i", after_encoding_line("t")).orderBy("i").collect()]
     for text, value in zip(texts, got):
-        m = pattern.search(text)
-        assert value == (m.group(2) if m else text), text
+        assert value == scanned(text), text
     # Many unclosed "<" and no ">": a backtracking search would be quadratic here.
     hostile = spark.createDataFrame([("encoding " + "a < " * 50000,)], "t string")
     start = time.time()
     assert len(hostile.select(after_encoding_line("t")).collect()[0][0]) == 200009
     assert time.time() - start < 60
+
+
+def test_unclosed_elements_nest_without_limit():
+    soup = "<article><headline>H</headline><main>" + "<p>x" * 5000 + "<b>y" * 5000 + "</i></main></article>"
+    row = py_extract_articles(soup)[0]
+    assert row["headline"] == "H" and row["body_html"].count("<p>") == 5000
+
+
+def test_failed_model_call_names_its_error(spark):
+    rows = [("p", "m", 0, None, None, None, None, None, None, "RuntimeError: rate limited")]
+    schema = (
+        "page_id string, model string, attempt int, n_generations int, message_type string, content string, "
+        "response_metadata string, input_tokens long, output_tokens long, error string"
+    )
+    from scanpress.operators.extract import with_reply_status
+
+    assert with_reply_status(spark.createDataFrame(rows, schema)).first().status == "MODEL_ERROR:RuntimeError"
+
+
+def test_bare_less_than_is_text(spark):
+    markup = "<article><headline>5 < 6 > 4</headline><main>b</main></article>"
+    df = _replies(spark, [(markup, '{"finish_reason":"STOP"}')])
+    assert [r.headline for r in extract_articles(df).collect()] == ["5 < 6 > 4"]
