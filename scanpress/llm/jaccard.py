@@ -207,17 +207,8 @@ def _narrow(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _verified(corpus: _Corpus, pairs: DataFrame) -> DataFrame:
-    """(u, v, both, either) of ``pairs(u, v)`` on the sets, computed again from the texts of their documents.
-
-    A unit is one ``u`` with a slice of its partners; each document is read once and sent to its units.
-    """
-    slices = _slices(F.count(F.lit(1)).over(Window.partitionBy("u")), UNIT // 2)
-    cut = pairs.distinct().withColumn("n", slices).withColumn("unit", F.xxhash64("u", _slice_of("v", F.col("n"))))
-    cut = materialize(cut.select("u", "v", "unit"), "pairs")
-    places = cut.select(F.col("v").alias("rid"), "unit", F.lit(False).alias("head")).unionByName(
-        cut.select(F.col("u").alias("rid"), "unit", F.lit(True).alias("head"))
-    )
+def _sent(corpus: _Corpus, places: DataFrame) -> DataFrame:
+    """(rid, set, unit, head): the set of every document of ``places(rid, unit, head)``, computed once, in its units."""
     units = places.distinct().groupBy("rid").agg(F.collect_list(F.struct("unit", "head")).alias("units"))
     wanted = materialize(corpus.rows.select("rid", F.col("doc_id").alias("id"), "set_hash").join(units, "rid"), "wanted")
 
@@ -250,7 +241,21 @@ def _verified(corpus: _Corpus, pairs: DataFrame) -> DataFrame:
     sets = found.mapInArrow(build, "rid long, set binary, units array<struct<unit:long,head:boolean>>")
     if corpus.repeated_ids:
         sets = sets.dropDuplicates(["rid"])
-    sent = sets.select("rid", "set", F.explode("units").alias("at")).select("rid", "set", "at.unit", "at.head")
+    return sets.select("rid", "set", F.explode("units").alias("at")).select("rid", "set", "at.unit", "at.head")
+
+
+def _verified(corpus: _Corpus, pairs: DataFrame) -> DataFrame:
+    """(u, v, both, either) of ``pairs(u, v)`` on the sets, computed again from the texts of their documents.
+
+    A unit is one ``u`` with a slice of its partners; each document is read once and sent to its units.
+    """
+    slices = _slices(F.count(F.lit(1)).over(Window.partitionBy("u")), UNIT // 2)
+    cut = pairs.distinct().withColumn("n", slices).withColumn("unit", F.xxhash64("u", _slice_of("v", F.col("n"))))
+    cut = materialize(cut.select("u", "v", "unit"), "pairs")
+    places = cut.select(F.col("v").alias("rid"), "unit", F.lit(False).alias("head")).unionByName(
+        cut.select(F.col("u").alias("rid"), "unit", F.lit(True).alias("head"))
+    )
+    sent = _sent(corpus, places)
 
     def compare(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
@@ -368,12 +373,20 @@ def _partner_unit(percent: int):
 
 
 def _member_unit(percent: int):
-    """Pairs of members (side 0 and 1) of two stars that may link -> (u, v)."""
+    """For each document (rid, set) that is no head, one head it links with, if there is any -> (u, v)."""
 
     def run(rows: pa.Table) -> pa.Table:
-        rids, sigs, sizes = _unit_of(rows)
-        sides = np.array(rows.sort_by("rid").column("side").to_pylist(), np.int64)
-        return _pair_table(_tree_pairs(rids, sigs, sizes, np.zeros(len(rids)), sides, percent, 4))
+        rows = rows.sort_by("rid").combine_chunks()
+        sets, heads = _as_sets(rows.column("set")), rows.column("head").to_pylist()
+        sigs, sizes, found = [signature(x) for x in sets], np.array([len(x) for x in sets], np.int64), {}
+        for a, b in _tree_pairs(list(range(len(sets))), sigs, sizes, np.zeros(len(sets)), heads, percent, 4):
+            head, other = (a, b) if heads[a] else (b, a)
+            if other not in found:
+                both, either = jaccard_parts(sets[head], sets[other])
+                if 100 * both >= percent * either:
+                    found[other] = head
+        rids = rows.column("rid").to_pylist()
+        return _pair_table([(rids[h], rids[o]) for o, h in found.items()])
 
     return run
 
@@ -480,32 +493,41 @@ def _partner_links(corpus: _Corpus, shared: DataFrame, near: DataFrame, labels:
 
 
 def _member_links(corpus: _Corpus, near: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
-    """Links between members of the near stars ``near(u, v, dist)``."""
+    """(u, v): links between members of the near stars ``near(u, v, dist)``.
+
+    The members of a star meet those of all its near stars at once, slice by slice.
+    """
+    gap = 1 - percent / 100 + EPS
+    radius = stars.groupBy("center").agg(F.max("dist").alias("radius"), F.count(F.lit(1)).alias("n"))
+    of = lambda c: radius.select(F.col("center").alias(c), F.col("radius").alias(f"r_{c}"), F.col("n").alias(f"n_{c}"))
+    near = near.join(of("u"), "u", "left").join(of("v"), "v", "left").na.fill(0)
+    # The larger star of a pair is the head.
+    swap = F.col("n_v") > F.col("n_u")
+    pick = lambda a, b: F.when(swap, F.col(b)).otherwise(F.col(a))
+    near = near.select(pick("u", "v").alias("u"), pick("v", "u").alias("v"), "dist", pick("r_u", "r_v").alias("r_u"), pick("r_v", "r_u").alias("r_v"))
+    near = materialize(near, "near-pairs")
     centers = near.select(F.col("u").alias("center")).unionByName(near.select(F.col("v").alias("center"))).distinct()
-    members = stars.select("rid", "center", "dist").unionByName(
-        centers.select(F.col("center").alias("rid"), "center", F.lit(0.0).alias("dist"))
+    members = stars.select("rid", "center", F.col("dist").alias("own")).unionByName(
+        centers.select(F.col("center").alias("rid"), "center", F.lit(0.0).alias("own"))
+    )
+    least = near.groupBy("u").agg(F.min(F.col("dist") - F.col("r_v")).alias("least"))
+    heads = least.join(members.withColumnRenamed("center", "u"), "u").filter(F.col("own") >= F.col("least") - gap)
+    others = near.join(members.withColumnRenamed("center", "v"), "v").filter(F.col("own") >= F.col("dist") - F.col("r_u") - gap)
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        rows = rows.select("u", "rid").distinct()
+        slices = _slices(F.count(F.lit(1)).over(Window.partitionBy("u")), UNIT // 2)
+        return rows.withColumn("n", slices).withColumn("own", _slice_of("rid", F.col("n")))
+
+    heads, others = sliced(heads), sliced(others)
+    counts = lambda rows: rows.groupBy("u").agg(F.max("n").alias("m"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1))
+    heads = heads.join(counts(others), "u").withColumn("that", each)
+    others = others.join(counts(heads), "u").withColumn("that", each)
+    places = heads.select("rid", F.xxhash64("u", "own", "that").alias("unit"), F.lit(True).alias("head")).unionByName(
+        others.select("rid", F.xxhash64("u", "that", "own").alias("unit"), F.lit(False).alias("head"))
     )
-    members = members.withColumnRenamed("dist", "own")
-    radius = stars.groupBy("center").agg(F.max("dist").alias("radius"))
-
-    def side(this: str, that: str, k: int) -> DataFrame:
-        far = radius.select(F.col("center").alias(that), F.col("radius").alias("r"))
-        rows = near.join(far, that, "left").join(members.withColumnRenamed("center", this), this)
-        keep = F.col("own") >= F.col("dist") - (1 - percent / 100) - F.coalesce("r", F.lit(0.0)) - EPS
-        rows = rows.filter(keep).select("u", "v", F.lit(k).alias("side"), "rid")
-        slices = _slices(F.count(F.lit(1)).over(Window.partitionBy("u", "v")), UNIT // 2)
-        return rows.withColumn("n", slices).withColumn("s", _slice_of("rid", F.col("n")))
-
-    left, right = side("u", "v", 0), side("v", "u", 1)
-    n_left = left.groupBy("u", "v").agg(F.max("n").alias("m"))
-    n_right = right.groupBy("u", "v").agg(F.max("n").alias("m"))
-    every = lambda: F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1))
-    left = left.join(n_right, ["u", "v"]).withColumn("t", every()).select("u", "v", "side", "rid", "s", "t")
-    right = right.join(n_left, ["u", "v"]).withColumn("t", every())
-    right = right.select("u", "v", "side", "rid", F.col("t").alias("s"), F.col("s").alias("t"))
-    units = left.unionByName(right).select(F.xxhash64("u", "v", "s", "t").alias("unit"), "side", "rid")
-    proposed = _with_signature(corpus, units).groupBy("unit").applyInArrow(_member_unit(percent), PAIRS)
-    return _verified(corpus, proposed).filter(_linked(percent)).select("u", "v")
+    return _sent(corpus, places).groupBy("unit").applyInArrow(_member_unit(percent), PAIRS).distinct()
 
 
 # ---------------------------------------------------------------- the join
