@@ -1,21 +1,29 @@
 """Unique article names (WN-1) and names that avoid files already written (JN-3).
 
 An article is written as ``<stem>_<slug>.html``; a repeat of the same stem and
-slug gets ``_1``, ``_2``, ... in article order.  Both operators number rows
-within ``(stem, slug)``.  For replies a group is the articles of one page,
-bounded by one reply's output; but a stem can also be shared by many inputs
-(same-named scans in several folders, or any table keyed coarsely), so by
-default the numbering is the skew-safe :func:`rank_within`, which splits a
-large group over many tasks.  ``skew_safe=False`` gives the single-window
-plan for inputs whose groups are known to be small.
+slug gets ``_1``, ``_2``, ... in article order, skipping names that are taken.
+Taken are the names already written and the plain names of all bases: the base
+``p_x_1`` owns ``p_x_1.html``, so a repeat of ``p_x`` goes on with ``_2``.
+
+Only key columns (base and order) are numbered.  They are written once as a
+narrow table; most rows need no suffix, so what is joined back to the articles
+is the short table of suffixes, which AQE broadcasts while it is small.  Beyond
+that, the join shuffles on base and order together, so a group that holds much
+of the table stays spread out, and article bodies move at most once.  The
+articles are evaluated twice (keys, then rows) and must be deterministic.
+
+Rows that tie in base and order are told apart by a window, only if there are any.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from scanpress.operators.ranking import rank_within, running_sum_within
+from scanpress.operators.ranking import HOT_ROWS, materialize, plain_running_sum, running_sum_within
 
 
 def _suffix(counter: Column) -> Column:
@@ -28,21 +36,14 @@ def article_base(stem: Column | str = "page_id", slug: Column | str = "slug") ->
     return F.concat(stem, F.lit("_"), slug)
 
 
-def unique_names(
-    articles: DataFrame,
-    stem: str = "page_id",
-    slug: str = "slug",
-    order: tuple[str, ...] = ("ordinal",),
-    out: str = "file_name",
-    skew_safe: bool = True,
-) -> DataFrame:
-    """WN-1: ``<stem>_<slug>[_<n>].html`` with n counting repeats of (stem, slug) in ``order``."""
-    if skew_safe:
-        ranked = rank_within(articles, [stem, slug], list(order), "_rank")
-    else:
-        ranked = articles.withColumn("_rank", F.row_number().over(Window.partitionBy(stem, slug).orderBy(*order)))
-    counter = F.col("_rank") - 1
-    return ranked.withColumn(out, F.concat(article_base(stem, slug), _suffix(counter), F.lit(".html"))).drop("_rank")
+def _numbered(names: DataFrame, name: str = "file_name") -> DataFrame:
+    """(base, counter) of names read as ``<base>_<counter>.html``."""
+    n, pattern = F.col(name), r"^(.*)_([1-9][0-9]*)\.html$"
+    rows = names.filter(n.rlike(pattern)).select(
+        F.regexp_extract(n, pattern, 1).alias("base"),
+        F.regexp_extract(n, pattern, 2).try_cast("long").alias("counter"),
+    )
+    return rows.filter(F.col("counter").isNotNull())
 
 
 def used_counters(existing: DataFrame, name: str = "file_name") -> DataFrame:
@@ -51,67 +52,89 @@ def used_counters(existing: DataFrame, name: str = "file_name") -> DataFrame:
     ``X_3.html`` is counter 3 of ``X`` or counter 0 of ``X_3``; both readings
     are kept, so the join with new bases is exact.
     """
-    n = F.col(name)
-    numbered = r"^(.*)_([1-9][0-9]*)\.html$"
-    plain = r"^(.*)\.html$"
-    as_numbered = existing.filter(n.rlike(numbered)).select(
-        F.regexp_extract(n, numbered, 1).alias("base"),
-        F.regexp_extract(n, numbered, 2).try_cast("long").alias("counter"),
+    n, pattern = F.col(name), r"^(.*)\.html$"
+    as_plain = existing.filter(n.rlike(pattern)).select(
+        F.regexp_extract(n, pattern, 1).alias("base"), F.lit(0).cast("long").alias("counter")
     )
-    as_plain = existing.filter(n.rlike(plain)).select(
-        F.regexp_extract(n, plain, 1).alias("base"), F.lit(0).cast("long").alias("counter")
+    return _numbered(existing, name).unionByName(as_plain).distinct()
+
+
+def _suffixes(
+    articles: DataFrame, existing: DataFrame | None, stem: str, slug: str, order: tuple[str, ...], hot_rows: int
+) -> tuple[DataFrame, bool]:
+    """(base, order, tie, counter) of the articles whose counter is not 0, and whether any rows tie.
+
+    The r-th new article of a base takes the r-th free counter.  With used
+    counters u_1 < u_2 < ..., the number of free counters below u_i is
+    ``g_i = u_i - (i - 1)``, so the r-th free counter is
+    ``r - 1 + #{i : g_i <= r - 1}`` - a running count over the union of new
+    and used rows of one base, ordered by that key.
+    """
+    named = articles.select(article_base(stem, slug).alias("_base"), *order).filter(F.col("_base").isNotNull())
+    keys = materialize(named.groupBy("_base", *order).agg(F.count(F.lit(1)).alias("_n")), "name-keys")
+    total, most = keys.agg(F.sum("_n"), F.max("_n")).first()
+    bases = keys.groupBy("_base").agg(F.sum("_n").alias("_rows"))
+
+    used = _numbered(bases.select(F.concat("_base", F.lit(".html")).alias("file_name")))
+    bound = 2 * (total or 0)
+    if existing is not None:
+        used = used.unionByName(used_counters(existing)).distinct()
+    used = used.withColumnRenamed("base", "_base").join(bases.select("_base"), "_base", "left_semi")
+    repeats = bases.filter("_rows > 1").select("_base")
+    if existing is not None:
+        used = materialize(used, "used-names")
+        bound += used.count()
+        repeats = repeats.unionByName(used.filter("counter = 0").select("_base")).distinct()
+
+    def number(df: DataFrame, by: list[str], value: Column, name: str) -> DataFrame:
+        if bound <= hot_rows:
+            return plain_running_sum(df, ["_base"], by, value, name)
+        return running_sum_within(df, ["_base"], by, value, name, hot_rows=hot_rows)
+
+    ties = F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_tie")
+    new = keys.join(repeats, "_base", "left_semi").select("_base", *order, ties)
+    new = number(new, [*order, "_tie"], F.lit(1), "_r")
+    used = number(used.join(repeats, "_base", "left_semi"), ["counter"], F.lit(1), "_i").select(
+        "_base", (F.col("counter") - F.col("_i") + 1).alias("_key"), F.lit(0).alias("_is_new")
     )
-    return as_numbered.unionByName(as_plain).filter(F.col("counter").isNotNull()).distinct()
+    both = new.withColumn("_key", F.col("_r") - 1).withColumn("_is_new", F.lit(1)).unionByName(used, allowMissingColumns=True)
+    shifted = number(both, ["_key", "_is_new"], 1 - F.col("_is_new"), "_shift").filter("_is_new = 1")
+    counted = shifted.withColumn("_counter", F.col("_r") - 1 + F.col("_shift")).filter("_counter > 0")
+    return counted.select("_base", *order, "_tie", "_counter"), (most or 0) > 1
 
 
 def name_offset(
     articles: DataFrame,
-    existing: DataFrame,
+    existing: DataFrame | None,
     stem: str = "page_id",
     slug: str = "slug",
     order: tuple[str, ...] = ("ordinal",),
     out: str = "file_name",
-    skew_safe: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """JN-3: like :func:`unique_names`, but names already written also count as taken.
+    """JN-3: like :func:`unique_names`, but names already written (``existing.file_name``) also count as taken."""
+    suffixes, tied = _suffixes(articles, existing, stem, slug, order, hot_rows)
+    rows = articles.withColumn("_base", article_base(stem, slug))
+    on = ["_base", *order]
+    if tied:
+        plain = [f.name for f in articles.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        rows = rows.withColumn("_tie", F.row_number().over(Window.partitionBy(*on).orderBy(F.xxhash64(*plain))))
+        on.append("_tie")
+    suffixes = suffixes.select(*[F.col(c).alias(f"_s_{c}") for c in on], "_counter")
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in on])
+    named = rows.join(suffixes, cond, "left")
+    counter = F.coalesce("_counter", F.lit(0))
+    named = named.withColumn(out, F.concat(F.col("_base"), _suffix(counter), F.lit(".html")))
+    return named.drop("_base", "_tie", "_counter", *[f"_s_{c}" for c in on])
 
-    The r-th new article of a base takes the r-th free counter.  With used
-    counters u_1 < u_2 < ..., the number of free counters below u_i is
-    ``g_i = u_i - (i - 1)``, so the r-th free counter is
-    ``r - 1 + #{i : g_i <= r - 1}`` - a running count over the union of new
-    and used rows of one base, ordered by that key.  No arrays of counters
-    are built; written names of bases with no new article are dropped by a
-    semi join first.  All three numberings are skew-safe running sums unless
-    ``skew_safe=False``.
-    """
 
-    def number(
-        df: DataFrame, keys: list[str], by: list[str], value: F.Column, name: str, fresh: bool = False
-    ) -> DataFrame:
-        if skew_safe:
-            # Only the new articles carry expensive upstream work (slugs); the
-            # other inputs are cheap to read twice.
-            return running_sum_within(df, keys, by, value, name, materialized=fresh)
-        w = Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(name, F.sum(value).over(w).cast("long"))
-
-    new = number(
-        articles.withColumn("_base", article_base(stem, slug)), ["_base"], list(order), F.lit(1), "_r", fresh=True
-    )
-    # Only names whose base occurs among the new articles matter; the semi
-    # join keeps a long history of written names out of the windows (AQE
-    # broadcasts the new bases when they are few, as in a stream batch).
-    new_bases = new.select("_base").distinct()
-    used = used_counters(existing).withColumnRenamed("base", "_base").join(new_bases, "_base", "left_semi")
-    used = number(used, ["_base"], ["counter"], F.lit(1), "_i").select(
-        "_base", (F.col("counter") - F.col("_i") + 1).alias("_key"), F.lit(0).alias("_is_new")
-    )
-    tagged = new.withColumn("_key", F.col("_r") - 1).withColumn("_is_new", F.lit(1))
-    both = tagged.unionByName(used, allowMissingColumns=True)
-    shifted = number(both, ["_base"], ["_key", "_is_new"], 1 - F.col("_is_new"), "_shift").filter(
-        F.col("_is_new") == 1
-    )
-    counter = F.col("_r") - 1 + F.col("_shift")
-    return shifted.withColumn(out, F.concat(F.col("_base"), _suffix(counter), F.lit(".html"))).drop(
-        "_base", "_r", "_key", "_is_new", "_shift"
-    )
+def unique_names(
+    articles: DataFrame,
+    stem: str = "page_id",
+    slug: str = "slug",
+    order: tuple[str, ...] = ("ordinal",),
+    out: str = "file_name",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """WN-1: ``<stem>_<slug>[_<n>].html`` with n counting repeats of (stem, slug) in ``order``."""
+    return name_offset(articles, None, stem, slug, order, out, hot_rows)

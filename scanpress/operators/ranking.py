@@ -2,9 +2,7 @@
 
 ``row_number() OVER (PARTITION BY keys ORDER BY order)`` puts every row of a
 group in one task; a group holding a third of the table would run on one
-core.  Here the input is written once as a table, the rows per group are
-counted from its key columns, and groups larger than an even share of one
-partition (``total / n`` rows, so at most ``n`` of them) are *hot*:
+core.  Here groups of more than ``HOT_ROWS`` rows are *hot*:
 
 * all other rows take the plain window - one shuffle;
 * hot rows are range-partitioned on ``(keys, order)``, so the sampled range
@@ -15,10 +13,13 @@ partition (``total / n`` rows, so at most ``n`` of them) are *hot*:
      hashes on the partition id too, so the hot group is spread out;
   2. only the first and the last group of a partition can continue into the
      next one, so the offsets (sums of the same group in earlier partitions)
-     come from at most ``2 x partitions`` boundary entries - a bound that
-     does not grow with the data, so that small table is broadcast;
+     come from at most ``2 x partitions`` boundary entries; the partitions are
+     at most ``MOST_PARTITIONS``, so that table is broadcast;
   3. result = local sum + offset.
 
+The keys of hot groups stay a table (one row per ``HOT_ROWS`` rows at most),
+and AQE decides how it is joined.
+
 Rows with equal ``(keys, order)`` always share a partition, so the result
 is the same as the plain window for any data.  The range-partitioned rows
 are written once with their partition id as a column (a table in the shared
@@ -34,6 +35,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+HOT_ROWS = 2_000_000
+MOST_PARTITIONS = 4000
+
 
 def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     """Write the frame as a table in the shared checkpoint folder and read it back.
@@ -49,7 +53,7 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _plain_running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str) -> DataFrame:
+def plain_running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str) -> DataFrame:
     upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn(out, F.sum(value).over(upto).cast("long"))
 
@@ -95,32 +99,27 @@ def running_sum_within(
     out: str,
     partitions: int | None = None,
     materialized: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Exact running sum of ``value`` within ``keys`` in ``order`` (rows up to the current one), skew-safe.
 
-    Groups with more rows than an even share of one partition
-    (``total / n``) are hot; there are at most ``n`` of them, so their keys
-    are a bounded list.  Hot groups take the range-split form, all other
-    rows the single window (one shuffle).  The input is written first
-    (``materialized=True``) because it is read more than once; the group
-    counts then read only the key columns.
+    Groups of more than ``hot_rows`` rows take the range-split form (in
+    ``partitions`` tasks, by default one per half of ``hot_rows``, at most
+    ``MOST_PARTITIONS``), all other rows the single window (one shuffle).  The
+    input is written first (``materialized=True``) because it is read more
+    than once; the group counts then read only the key columns.
     """
     if materialized:
         df = materialize(df)
-    spark = df.sparkSession
-    # As many partitions as the input has splits (its size), at least one
-    # per core; an explicit count is never coalesced by AQE, so it must not
-    # come from a session default sized for other work.
-    n = partitions or max(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
-    total = df.count()
-    limit = max(total // n, 1)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot_rows = sizes.filter(F.col("_rows") > limit).drop("_rows").collect()  # at most n rows
-    if not hot_rows:
-        return _plain_running_sum(df, keys, order, value, out)
-    hot = F.broadcast(spark.createDataFrame(hot_rows, sizes.drop("_rows").schema))
-    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(hot[k]) for k in keys])
-    normal = _plain_running_sum(df.join(hot, cond, "left_anti"), keys, order, value, out)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
+    sizes = materialize(sizes, "hot-groups")
+    rows = sizes.agg(F.sum("_rows")).first()[0]
+    if not rows:
+        return plain_running_sum(df, keys, order, value, out)
+    n = partitions or min(2 * -(-rows // hot_rows), MOST_PARTITIONS)
+    hot = sizes.select(*[F.col(k).alias(f"_h_{k}") for k in keys])
+    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(hot[f"_h_{k}"]) for k in keys])
+    normal = plain_running_sum(df.join(hot, cond, "left_anti"), keys, order, value, out)
     large = _split_running_sum(df.join(hot, cond, "left_semi"), keys, order, value, out, n)
     return normal.unionByName(large)
 
@@ -132,9 +131,10 @@ def rank_within(
     out: str = "rank",
     partitions: int | None = None,
     materialized: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Exact 1-based row number within ``keys`` ordered by ``order``, skew-safe.
 
     ``order`` must make rows of a group distinct (as a row number needs).
     """
-    return running_sum_within(df, keys, order, F.lit(1), out, partitions, materialized)
+    return running_sum_within(df, keys, order, F.lit(1), out, partitions, materialized, hot_rows)

@@ -57,8 +57,8 @@ def test_rank_within_hot_group_equals_window(spark):
         ((F.col("id") * 7919) % 20011).alias("o"), F.col("id"), (F.col("id") % 5).alias("v"))
     plain = df.withColumn("p", F.row_number().over(Window.partitionBy("g").orderBy("o", "id"))).withColumn(
         "s", F.sum("v").over(Window.partitionBy("g").orderBy("o", "id").rowsBetween(Window.unboundedPreceding, 0)))
-    ranked = rank_within(df, ["g"], ["o", "id"], "r", partitions=6)
-    summed = running_sum_within(df, ["g"], ["o", "id"], F.col("v"), "t", partitions=6, materialized=False)
+    ranked = rank_within(df, ["g"], ["o", "id"], "r", partitions=6, hot_rows=1000)
+    summed = running_sum_within(df, ["g"], ["o", "id"], F.col("v"), "t", partitions=6, materialized=False, hot_rows=1000)
     both = plain.join(ranked.select("id", "r"), "id").join(summed.select("id", "t"), "id")
     assert both.filter((F.col("p") != F.col("r")) | (F.col("s") != F.col("t"))).count() == 0
     assert both.count() == 20000
@@ -71,3 +71,41 @@ def test_same_named_scans_in_two_folders_ledger_l20(spark):
     )
     got = {r.path: r.file_name for r in unique_names(df, order=("path", "ordinal")).collect()}
     assert got == {"a/gazette_1-1.jpg": "gazette_1-1_x.html", "b/gazette_1-1.jpg": "gazette_1-1_x_1.html"}
+
+
+def _sequential(rows, written, shielded):
+    """Names one by one, in order: the first counter whose name is neither taken nor another base's plain name."""
+    taken, names = set(written), {}
+    for stem, ordinal, slug in sorted(rows):
+        base, c = f"{stem}_{slug}", 0
+        while True:
+            name = base + (f"_{c}" if c else "") + ".html"
+            if name not in taken and (c == 0 or name not in shielded):
+                break
+            c += 1
+        taken.add(name)
+        names[(stem, ordinal, slug)] = name
+    return names
+
+
+def test_names_are_unique_across_bases(spark):
+    rows = [("p", 0, "x"), ("p", 1, "x"), ("p", 2, "x"), ("p_x", 0, "1"), ("p_x", 1, "1"), ("p_x_1", 0, "1"), ("q", 0, "x")]
+    plain = {f"{a}_{b}.html" for a, _, b in rows}
+    new = spark.createDataFrame(rows, ARTS)
+    got = {(r.page_id, r.ordinal, r.slug): r.file_name for r in unique_names(new).collect()}
+    assert got == _sequential(rows, set(), plain)
+    assert len(set(got.values())) == len(rows)
+    written = {"p_x.html", "p_x_2.html", "p_x_1.html", "q_x_7.html"}
+    old = spark.createDataFrame([(w,) for w in sorted(written)] * 2, "file_name string")
+    for hot in (2, 2_000_000):
+        got = {(r.page_id, r.ordinal, r.slug): r.file_name for r in name_offset(new, old, hot_rows=hot).collect()}
+        assert got == _sequential(rows, written, plain)
+        assert not written & set(got.values()) and len(set(got.values())) == len(rows)
+
+
+def test_tied_and_null_rows_are_kept(spark):
+    rows = [("s", 0, "x", "a")] * 2 + [("s", 0, "x", "b"), ("s", None, "x", "c"), (None, 0, "x", "d"), ("t", 0, "x", "e")]
+    got = unique_names(spark.createDataFrame(rows, ARTS + ", body string")).collect()
+    assert sorted(r.body for r in got) == ["a", "a", "b", "c", "d", "e"]
+    assert sorted(r.file_name for r in got if r.page_id) == ["s_x.html", "s_x_1.html", "s_x_2.html", "s_x_3.html", "t_x.html"]
+    assert [r.file_name for r in got if r.page_id is None] == [None]
