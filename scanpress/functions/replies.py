@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scanpress.functions.text import _c
+from scanpress.functions.text import _c, upto_last
 from scanpress.schemas import ACCEPTED_FINISH_REASONS
 
 # JSON values Python treats as false: they fall through to the next key.
@@ -33,8 +33,8 @@ def is_accepted(reason: Column | str) -> Column:
 
 
 def article_count(markup: Column | str) -> Column:
-    """Number of ``<article>`` start tags in the reply markup."""
-    return F.regexp_count(_c(markup), F.lit(r"(?i)<article[\s/>]"))
+    """Number of ``<article>`` start tags in the reply markup (an opener that no ``>`` follows is none)."""
+    return F.regexp_count(upto_last(markup), F.lit(r"(?i)<article[\s/>]"))
 
 
 def response_status(

@@ -61,6 +61,18 @@ def reply_markup(content: Column | str) -> Column:
     return remove_comments(strip_fences(content))
 
 
+# Markup in which an article tag may be text: elements with raw content, declarations, instructions, quoted values.
+HIDING = r"(?i)<(?:script|style|textarea|title|xmp|iframe|noembed|noframes|plaintext)[\s/>]|<[!?]|=\s*(?:\"[^\"]*<article|'[^']*<article)"
+
+
+def counted_articles(markup: Column | str) -> Column:
+    """Number of articles extraction finds: the start tags, or the parser's count where a tag may be mere text."""
+    m = _c(markup)
+    tags = article_count(m).cast("int")
+    doubtful = (tags > 0) & m.rlike(HIDING)
+    return F.when(doubtful, _parsed_count_udf(F.when(doubtful, m))).otherwise(tags)
+
+
 def with_reply_status(responses: DataFrame) -> DataFrame:
     """Add ``finish_reason``, ``markup``, ``n_articles`` and ``status`` to reply rows.
 
@@ -73,7 +85,7 @@ def with_reply_status(responses: DataFrame) -> DataFrame:
     return (
         responses.withColumn("finish_reason", finish_reason("response_metadata"))
         .withColumn("markup", reply_markup("content"))
-        .withColumn("n_articles", article_count("markup").cast("int"))
+        .withColumn("n_articles", counted_articles("markup"))
         .withColumn("status", checked)
     )
 
@@ -136,7 +148,7 @@ def is_regular_markup(markup: Column | str, tags: Column | str | None = None) ->
         F.forall(tags, lambda t: t.isin(*plain)),
         structure,
         F.forall(F.regexp_extract_all(m, F.lit(ENTITY), 0), lambda e: e.isin(*KNOWN_ENTITIES)),
-        ~m.contains("<![CDATA["),
+        ~m.rlike(HIDING),
         # A "<" that opens no tag is text to a parser, and may pair with a later ">" in a regex.
         ~m.rlike(r"<(?![A-Za-z/!?])"),
         ~has_rare_space(m),
@@ -324,6 +336,11 @@ def _irregular_articles_udf(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else py_extract_articles(v))
 
 
+@F.pandas_udf(T.IntegerType())
+def _parsed_count_udf(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: None if v is None else len(py_extract_articles(v))).astype("Int32")
+
+
 def articles_of(markup: Column | str, regular: Column | str | None = None, wanted: Column | None = None) -> Column:
     """``array<struct>`` of articles: Catalyst for regular rows, the UDF (NULL input otherwise) for the rest.
 

@@ -158,3 +158,29 @@ def test_bare_less_than_is_text(spark):
     markup = "<article><headline>5 < 6 > 4</headline><main>b</main></article>"
     df = _replies(spark, [(markup, '{"finish_reason":"STOP"}')])
     assert [r.headline for r in extract_articles(df).collect()] == ["5 < 6 > 4"]
+
+
+def test_every_reply_is_extracted_or_quarantined(spark):
+    from scanpress.operators.filters import quarantine
+
+    stop = '{"finish_reason":"STOP"}'
+    texts = [
+        '<script>var a="<article>"</script>',
+        "<script>'<article></article>'</script><article><headline>A</headline></article>",
+        "<![CDATA[<article></article>]]>",
+        '<b title="x > <article>">y</b>',
+        "text <article",
+        "<article><headline>5 < 6 > 4</headline></article>",
+        "<article><headline>S</headline><main>" + "<p>x" * 5000 + "</main></article>",
+        "<article>",
+        "<!DOCTYPE html><article><headline>D</headline></article>",
+        "<style><article></style>",
+    ]
+    replies = with_reply_status(_replies(spark, [(t, stop) for t in texts]))
+    counted = {r.page_id: (r.n_articles, r.status) for r in replies.collect()}
+    found = {r.page_id: r["count"] for r in extract_articles(replies).groupBy("page_id").count().collect()}
+    refused = {r.page_id for r in quarantine(replies).collect()}
+    pages = {f"p{i}" for i in range(len(texts))}
+    assert found.keys() | refused == pages and not found.keys() & refused
+    assert {p: n for p, (n, status) in counted.items() if status == "OK"} == found
+    assert {"p0", "p2", "p3", "p4", "p9"} <= refused and found["p1"] == 1 and found["p6"] == 1
