@@ -11,6 +11,8 @@ which is a merge by key.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,10 +104,13 @@ def stream_named_articles(
 
     Naming needs the names written so far, which is state no stateless
     stream has; ``foreachBatch`` reads them from the output table and runs
-    the name offset (JN-3).  Each written row carries its checkpoint and
-    ``batch_id``; a batch replayed after a failure finds its rows already
-    committed and is skipped, so every article is written once under one
-    name.  Several streams (checkpoints) may share one output table.
+    the name offset (JN-3).  Each batch is one partition of the output,
+    ``stream_checkpoint=<hash of the checkpoint path>/batch_id=<n>``, named
+    against the names of all others and overwritten as a whole: a batch
+    replayed after a failure replaces whatever part of it was committed, and
+    gets the same names.  Several streams (checkpoints) may share one output
+    table, one after another: batches running at once would not see each
+    other's names.
     """
     from scanpress.plans.articles import article_documents
 
@@ -113,19 +118,19 @@ def stream_named_articles(
     replies = with_reply_status(reader.json(source_dir) if fmt == "json" else reader.parquet(source_dir))
     articles = with_headline_slug(extract_articles(replies))
 
+    # Not a number by its form, so that partition inference keeps it a string.
+    stream = "s" + hashlib.sha256(checkpoint_dir.encode()).hexdigest()[:16]
+
     def name_and_append(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         written = _read_if_present(session, out_dir)
         # Batch ids restart with a new checkpoint, so a batch is identified by both.
-        mine = (F.col("stream_checkpoint") == checkpoint_dir) & (F.col("batch_id") == batch_id)
-        if written is not None and written.filter(mine).limit(1).count():
-            return
-        existing = written.select("file_name") if written is not None else None
+        mine = (F.col("stream_checkpoint") == stream) & (F.col("batch_id") == batch_id)
+        existing = written.filter(~mine).select("file_name") if written is not None else None
         docs = article_documents(batch, existing)
-        tagged = docs.withColumn("stream_checkpoint", F.lit(checkpoint_dir)).withColumn(
-            "batch_id", F.lit(batch_id).cast("long")
-        )
-        tagged.write.mode("append").parquet(out_dir)
+        tagged = docs.withColumn("stream_checkpoint", F.lit(stream)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        out = tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out.partitionBy("stream_checkpoint", "batch_id").parquet(out_dir)
 
     writer = articles.writeStream.foreachBatch(name_and_append).option("checkpointLocation", checkpoint_dir)
     return _run(writer, processing_time)
