@@ -66,11 +66,15 @@ HIDING = r"(?i)<(?:script|style|textarea|title|xmp|iframe|noembed|noframes|plain
 
 
 def counted_articles(markup: Column | str) -> Column:
-    """Number of articles extraction finds: the start tags, or the parser's count where a tag may be mere text."""
+    """Number of articles extraction finds: the start tags, or the parser's count where a tag may be mere text.
+
+    The parser's count is declared non-deterministic, so a filter on the status stays above it and does not copy the
+    markup expressions.
+    """
     m = _c(markup)
     tags = article_count(m).cast("int")
     doubtful = (tags > 0) & m.rlike(HIDING)
-    return F.when(doubtful, _parsed_count_udf(F.when(doubtful, m))).otherwise(tags)
+    return F.when(doubtful, _parsed_count_udf.asNondeterministic()(F.when(doubtful, m))).otherwise(tags)
 
 
 def with_reply_status(responses: DataFrame) -> DataFrame:
