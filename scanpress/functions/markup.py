@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanpress.functions.text import _c, decode_entities, escape_attr, upto_last
+from scanpress.functions.text import OTHER_ENTITY, _c, decode_entities, escape_attr, upto_last
 
 # ---------------------------------------------------------------- SC-12 strip fences
 
@@ -82,6 +82,13 @@ def strip_fences(col: Column | str) -> Column:
 META_TAG = r'<meta\s+name="([^"]*)"\s+content="([^"]*)"\s*/?>'
 META_ANY = r"(?i)<meta\b[^>]*>"
 HEAD = r"(?is)<head\b[^>]*>(.*?)</head>"
+# Markup whose content is not tags: a meta tag found after it may be no tag at all.
+RAW_MARKUP = r"(?i)<!--|<!\[|<(?:script|style)\b|<(?:title|textarea)\b[^>]*>[^<]*<(?!/)"
+
+
+def _plain_meta(html: Column, tags: Column) -> Column:
+    """True where every ``<meta`` the regex finds is a tag, with entities Catalyst decodes."""
+    return ~html.rlike(RAW_MARKUP) & F.forall(tags, lambda t: ~t.rlike(OTHER_ENTITY))
 
 
 def _dedup_last(keys: Column, values: Column) -> Column:
@@ -168,7 +175,7 @@ def html_meta(col: Column | str, lower_names: bool = True, head_only: bool = Fal
     # One pass over the document collects the meta tags; the rest works on
     # that short array.
     tags = F.regexp_extract_all(scope, F.lit(META_ANY), 0)
-    regular = F.forall(tags, lambda t: t.rlike(f"^{META_TAG}$"))
+    regular = F.forall(tags, lambda t: t.rlike(f"^{META_TAG}$")) & _plain_meta(html, tags)
     udf = _meta_lower_udf if lower_names else _meta_case_head_udf
     if head_only:
         regular = regular & html.rlike(HEAD)
@@ -198,7 +205,7 @@ def with_html_meta(df, col: str = "html", out: str = "meta", lower_names: bool =
         .withColumn("_meta_names", F.regexp_extract_all("_meta_scope", F.lit(META_TAG), 1))
         .withColumn("_meta_values", F.regexp_extract_all("_meta_scope", F.lit(META_TAG), 2))
     )
-    regular = F.size("_meta_tags") == F.size("_meta_names")
+    regular = (F.size("_meta_tags") == F.size("_meta_names")) & _plain_meta(html, F.col("_meta_tags"))
     if head_only:
         regular = regular & html.rlike(HEAD)
     staged = staged.withColumn("_meta_regular", F.coalesce(regular, F.lit(False)))

@@ -10,9 +10,11 @@ only does work for the rows that need it.
 
 from __future__ import annotations
 
+import html
 import re
 import textwrap
 import unicodedata
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -65,6 +67,36 @@ def decode_entities(col: Column | str, nbsp: str = " ") -> Column:
     return F.replace(out, F.lit("&amp;"), F.lit("&"))
 
 
+# An ampersand that does not start one of the entities ``decode_entities`` knows.
+OTHER_ENTITY = "&(?!(?:lt|gt|quot|nbsp|amp|#39);)"
+_REFERENCE = re.compile(r"&(?:#([0-9]+)|#[xX]([0-9a-fA-F]+)|([A-Za-z][A-Za-z0-9]*));")
+
+
+def _referenced(match: re.Match) -> str:
+    decimal, hexadecimal, name = match.groups()
+    if name is not None:
+        char = html5.get(f"{name};", match.group())
+    else:
+        # Eight digits are beyond the last code point in either base.
+        digits = (decimal or hexadecimal).lstrip("0")[:8] or "0"
+        char = html.unescape(f"&#{'x' if hexadecimal else ''}{digits};")
+    return " " if char == "\xa0" else char
+
+
+def py_decode_references(text: str) -> str:
+    """Every ``&name;`` of HTML 5 and every numeric reference decoded, in one pass.
+
+    Unknown names and references without ``;`` stay as they are; a reference
+    to U+00A0 becomes a plain space, as ``&nbsp;`` does.
+    """
+    return _REFERENCE.sub(_referenced, text)
+
+
+@F.pandas_udf(T.StringType())
+def _decode_references_udf(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: None if v is None else py_decode_references(v))
+
+
 def escape_attr(col: Column | str) -> Column:
     """Escape a value for a double-quoted HTML attribute."""
     out = F.replace(_c(col), F.lit("&"), F.lit("&amp;"))
@@ -316,8 +348,7 @@ def remove_scripts_and_comments(col: Column | str) -> Column:
     return F.when(crowded, exact).otherwise(plain)
 
 
-def html_to_text(col: Column | str) -> Column:
-    """Readable, unwrapped plain text, one paragraph per block."""
+def _untagged(col: Column | str) -> Column:
     out = remove_scripts_and_comments(col)
     # Tags end in ">", so none starts after the last one: both tag steps run
     # on the text up to it (each scan then stops at the next ">", keeping the
@@ -325,8 +356,19 @@ def html_to_text(col: Column | str) -> Column:
     tail = F.substring_index(out, ">", -1)
     head = out.substr(F.lit(1), F.length(out) - F.length(tail))
     head = F.regexp_replace(head, rf"(?i)</?({BLOCK_TAGS})\b[^>]*>", "\n")
-    out = F.concat(F.regexp_replace(head, r"<[^>]*>", ""), tail)
-    out = decode_entities(out)
+    return F.concat(F.regexp_replace(head, r"<[^>]*>", ""), tail)
+
+
+def html_to_text(col: Column | str) -> Column:
+    """Readable, unwrapped plain text, one paragraph per block, entities decoded.
+
+    Documents whose every ``&`` starts a basic entity stay in Catalyst; the
+    rest are decoded by a vectorised UDF that gets NULL for the others.  The
+    test is made on the document itself, so each row is untagged only once.
+    """
+    slow = F.coalesce(_c(col).rlike(OTHER_ENTITY), F.lit(False))
+    untagged = _untagged(col)
+    out = F.when(slow, _decode_references_udf(F.when(slow, untagged))).otherwise(decode_entities(untagged))
     out = F.regexp_replace(out, r"[ \t]+", " ")
     out = F.regexp_replace(out, r"[ \t\r]*\n[ \t\r\n]*", "\n\n")
     return F.regexp_replace(out, r"^[ \t\r\n]+|[ \t\r\n]+$", "")

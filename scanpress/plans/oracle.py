@@ -9,6 +9,7 @@ the repeated expressions.
 from __future__ import annotations
 
 from decimal import Decimal
+from html.entities import name2codepoint
 
 from scanpress.plans.fixtures import AUTHORS, CATEGORIES, METADATA_FORMS, UNKNOWN_MODEL
 from scanpress.plans.queries import PROMPT, REQUEST_MODELS, SAMPLE_N, SAMPLE_SEED, SYSTEM
@@ -51,6 +52,16 @@ def decode(x: str, nbsp: str = "' '") -> str:
     return f"replace({out}, '&amp;', '&')"
 
 
+def decode_references(x: str) -> str:
+    """All HTML 4 names and decimal references, piece by piece; U+00A0 becomes a space."""
+    names = ", ".join(f"'&{n};': chr({32 if c == 160 else c})" for n, c in name2codepoint.items())
+    piece = f"""CASE WHEN regexp_full_match(e, '&#[0-9]{{1,6}};')
+        THEN replace(chr(CAST(regexp_extract(e, '[0-9]+') AS INTEGER)), chr(160), ' ')
+        ELSE coalesce(map_extract(MAP {{{names}}}, e)[1], e) END"""
+    return f"""array_to_string(list_transform(regexp_extract_all({x}, '&#?[0-9A-Za-z]+;|[^&]+|&'),
+        lambda e: CASE WHEN e[1] <> '&' THEN e ELSE {piece} END), '')"""
+
+
 def esc_attr(x: str) -> str:
     out = f"replace({x}, '&', '&amp;')"
     for a, b in (("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
@@ -86,7 +97,7 @@ def html_to_text(x: str) -> str:
     out = f"regexp_replace({x}, '(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', '', 'g')"
     out = f"regexp_replace({out}, '(?i)</?({BLOCK_TAGS})\\b[^>]*>', {NL}, 'g')"
     out = f"regexp_replace({out}, '<[^>]*>', '', 'g')"
-    out = decode(out)
+    out = decode_references(out)
     out = f"regexp_replace({out}, '[ \\t]+', ' ', 'g')"
     out = f"regexp_replace({out}, '[ \\t\\r]*\\n[ \\t\\r\\n]*', {NL} || {NL}, 'g')"
     return f"regexp_replace({out}, '^[ \\t\\r\\n]+|[ \\t\\r\\n]+$', '', 'g')"
