@@ -1,17 +1,116 @@
 """File sources (SRC-1, SRC-2, SRC-3, SRC-4).
 
 Listing and reading are Spark's file sources; only the columns a caller
-selects are read (selecting ``path`` alone never loads ``content``).
+selects are read (selecting ``path`` alone never loads ``content``).  Spark
+passes over names it takes for hidden (``_x``, ``.x``); those files are listed
+and read by the tasks of :func:`hidden_files`, so every file is seen once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from fnmatch import fnmatchcase
+from urllib.parse import quote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanpress.functions.names import base_name, file_stem
 from scanpress.schemas import RESPONSES
 
+LISTED = "uri string, is_dir boolean, hidden boolean, length long, mtime timestamp"
+
+
+def spark_hides(name: str, folder: bool) -> bool:
+    """Whether Spark's file sources pass over a file or folder of this name."""
+    if folder and name.startswith(("_metadata", "_common_metadata")):
+        return False
+    return name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+
+
+def _roots(spark: SparkSession, folders: tuple[str, ...]) -> list[tuple]:
+    """The folders that the given paths or globs name, as rows of ``LISTED``."""
+    rows = []
+    for folder in folders:
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)  # noqa: SLF001 - Hadoop FS has no Python API
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+        for status in fs.globStatus(hpath) or []:
+            if status.isDirectory():
+                uri = status.getPath().toString()
+                uri = "file://" + uri.removeprefix("file:") if uri.startswith("file:/") else uri
+                rows.append((quote(uri, safe="/:@"), True, False, None, None))
+    return rows
+
+
+def _expanded(rows: DataFrame, glob: str, recursive: bool) -> DataFrame:
+    """Every folder of ``rows`` replaced by what it holds: its sub-folders, and the files Spark passes over."""
+
+    def expand(batches):  # noqa: ANN001, ANN202
+        import pandas as pd
+        from pyarrow import fs as pafs
+
+        names = ["uri", "is_dir", "hidden", "length", "mtime"]
+        for pdf in batches:
+            out = pdf[~pdf.is_dir].to_dict("records")
+            for rec in pdf[pdf.is_dir].itertuples(index=False):
+                filesystem, root = pafs.FileSystem.from_uri(rec.uri)
+                root = root.rstrip("/")
+                for info in filesystem.get_file_info(pafs.FileSelector(root, recursive=recursive)):
+                    inner = info.path[len(root):].strip("/")
+                    is_dir = info.type == pafs.FileType.Directory
+                    *above, last = inner.split("/")
+                    hidden = bool(rec.hidden) or spark_hides(last, is_dir) or any(spark_hides(n, True) for n in above)
+                    if is_dir and not recursive or not is_dir and hidden and fnmatchcase(info.base_name, glob):
+                        uri = f"{rec.uri.rstrip('/')}/{quote(inner)}"
+                        out.append(dict(zip(names, (uri, is_dir, hidden, info.size, info.mtime))))
+            frame = pd.DataFrame(out, columns=names)
+            frame["length"] = frame["length"].astype("Int64")
+            frame["mtime"] = pd.to_datetime(frame["mtime"], utc=True)
+            yield frame
+
+    return rows.mapInPandas(expand, LISTED)
+
+
+def hidden_files(spark: SparkSession, *folders: str, glob: str = "*", recursive: bool = True) -> DataFrame:
+    """Files below the folders that Spark's sources pass over, as ``(uri, length, mtime)``.
+
+    Listed by the tasks through ``pyarrow.fs``: first the given folders, then
+    each sub-folder with all it holds, dealt out by name.  Nothing but the
+    given folders passes through the driver.  Not recursive: only files
+    directly in the folders.
+    """
+    rows = spark.createDataFrame(_roots(spark, folders), LISTED).coalesce(1)
+    rows = _expanded(rows, glob, recursive=False)
+    if recursive:
+        rows = rows.repartition(spark.sparkContext.defaultParallelism, "uri")
+        rows = _expanded(rows, glob, recursive=True)
+    return rows.filter(~F.col("is_dir")).select("uri", "length", "mtime")
+
+
+def _with_content(files: DataFrame) -> DataFrame:
+    """The listed files with their bytes, one file in memory at a time."""
+
+    def read(batches):  # noqa: ANN001, ANN202
+        from pyarrow import fs as pafs
+
+        for pdf in batches:
+            for i in range(len(pdf)):
+                one = pdf.iloc[i : i + 1]
+                filesystem, path = pafs.FileSystem.from_uri(one["uri"].iloc[0])
+                with filesystem.open_input_stream(path, compression=None) as stream:
+                    yield one.assign(content=[stream.read()])
+
+    return files.mapInPandas(read, "uri string, length long, mtime timestamp, content binary")
+
+
+def _encoded(uri: str) -> Column:
+    """A listed uri in the form of ``_metadata.file_path``."""
+    return F.regexp_replace(uri, "^file:///", "file:/")
+
+
+def _decoded(uri: str) -> Column:
+    """A listed uri as the ``path`` of Spark's binary source (a ``+`` in a name is escaped in the uri)."""
+    return F.url_decode(_encoded(uri))
+
 
 def read_article_html(spark: SparkSession, folder: str) -> DataFrame:
     """SRC-1: every ``*.html`` file below ``folder`` as one row ``(file_name, path, html)``.
@@ -20,10 +119,17 @@ def read_article_html(spark: SparkSession, folder: str) -> DataFrame:
     default overrides it and the file comes back line by line.
     """
     df = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.html")
+    hidden = _with_content(hidden_files(spark, folder, glob="*.html"))
     return df.select(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_path").alias("path"),
         F.col("value").alias("html"),
+    ).unionByName(
+        hidden.select(
+            base_name(_decoded("uri")).alias("file_name"),
+            _encoded("uri").alias("path"),
+            F.decode("content", "UTF-8").alias("html"),
+        )
     )
 
 
@@ -43,6 +149,8 @@ def compact_article_html(spark: SparkSession, folder: str, out: str, target_file
 def read_scans(spark: SparkSession, *folders: str, with_content: bool = True) -> DataFrame:
     """SRC-2: scan files directly in the given folders (not recursive)."""
     df = spark.read.format("binaryFile").load(list(folders))
+    hidden = hidden_files(spark, *folders, recursive=False)
+    hidden = _with_content(hidden) if with_content else hidden.withColumn("content", F.lit(None).cast("binary"))
     cols = [
         F.col("path"),
         file_stem(base_name("path")).alias("stem"),
@@ -51,13 +159,15 @@ def read_scans(spark: SparkSession, *folders: str, with_content: bool = True) ->
     ]
     if with_content:
         cols.append(F.col("content"))
-    return df.select(*cols)
+    hidden = hidden.withColumnsRenamed({"mtime": "modificationTime"}).withColumn("path", _decoded("uri"))
+    return df.select(*cols).unionByName(hidden.select(*cols))
 
 
 def list_article_names(spark: SparkSession, folder: str) -> DataFrame:
     """SRC-3: the name of every file below ``folder``, any extension; names only."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return df.select(base_name("path").alias("file_name"))
+    hidden = hidden_files(spark, folder).select(_decoded("uri").alias("path"))
+    return df.select("path").unionByName(hidden).select(base_name("path").alias("file_name"))
 
 
 def read_responses(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

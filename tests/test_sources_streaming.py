@@ -55,6 +55,31 @@ def test_read_scans_flat_and_pruned(spark, tmp_dir):
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
 
 
+def test_names_spark_takes_for_hidden_are_read_and_listed_once(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "a b%20c")
+    names = ["_1001-001_x.html", ".1-2_y.html", "g_1001-001_x.html", "d/_k=1_1-1_z.html", "_d/e/é f_1-1_w.html",
+             "d/e/f/_1-3_deep.html", "d/e/f/.notes", "_metadata_1-1_m.html", "_metadata/g_1-1_n.html"]
+    for name in names:
+        os.makedirs(os.path.dirname(os.path.join(folder, name)), exist_ok=True)
+        with open(os.path.join(folder, name), "w", encoding="utf-8") as fh:
+            fh.write(f"<p>é {name}</p>")
+    base = [n.rsplit("/", 1)[-1] for n in names]
+    read = read_article_html(spark, folder)
+    got = {r.file_name: r for r in read.collect()}
+    assert read.count() == len(got) and sorted(got) == sorted(n for n in base if n.endswith(".html"))
+    for name in names:
+        if name.endswith(".html"):
+            row = got[name.rsplit("/", 1)[-1]]
+            assert row.html == f"<p>é {name}</p>"
+            assert row.path.startswith("file:/") and "%2520" in row.path
+    assert sorted(r.file_name for r in list_article_names(spark, folder).collect()) == sorted(base)
+    scans = read_scans(spark, folder)
+    assert sorted(r.stem for r in scans.collect()) == sorted(n[:-5] for n in names if "/" not in n)
+    for row in scans.collect():
+        assert bytes(row.content).decode() == f"<p>é {row.path.rsplit('/', 1)[-1]}</p>" and row.length == len(row.content)
+        assert row.path.startswith("file:/") and "a b%20c" in row.path and row.mtime is not None
+
+
 def test_corpus_sink_types(spark, tmp_dir):
     docs = fx.article_docs(fx.doc_articles(fx.read_table(spark, SF, "documents")))
     write_article_docs(docs, os.path.join(tmp_dir, "docs"))
