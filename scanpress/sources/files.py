@@ -128,7 +128,7 @@ def read_article_html(spark: SparkSession, folder: str) -> DataFrame:
         hidden.select(
             base_name(_decoded("uri")).alias("file_name"),
             _encoded("uri").alias("path"),
-            F.decode("content", "UTF-8").alias("html"),
+            F.col("content").cast("string").alias("html"),
         )
     )
 

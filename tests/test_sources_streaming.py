@@ -72,6 +72,11 @@ def test_names_spark_takes_for_hidden_are_read_and_listed_once(spark, tmp_dir):
             row = got[name.rsplit("/", 1)[-1]]
             assert row.html == f"<p>é {name}</p>"
             assert row.path.startswith("file:/") and "%2520" in row.path
+    # bytes that are no UTF-8 stop neither reader
+    for name in ("bad.html", "_bad.html"):
+        with open(os.path.join(tmp_dir, name), "wb") as fh:
+            fh.write(b"x\xff")
+    assert read_article_html(spark, tmp_dir).filter("file_name LIKE '%bad.html' AND html LIKE 'x%'").count() == 2
     assert sorted(r.file_name for r in list_article_names(spark, folder).collect()) == sorted(base)
     scans = read_scans(spark, folder)
     assert sorted(r.stem for r in scans.collect()) == sorted(n[:-5] for n in names if "/" not in n)
