@@ -97,31 +97,33 @@ def score_documents(
     order: int = ORDER,
     smoothing: float = SMOOTHING,
     broadcast_grams: int = BROADCAST_GRAMS,
+    with_text: bool = False,
 ) -> DataFrame:
-    """doc_id, n_units, loss_target, loss_background, score; ``target_ids(id)`` names the target documents."""
+    """doc_id, n_units, loss_target, loss_background, score (and text); ``target_ids(id)`` names the target documents."""
     targets = target_ids.select(F.col("id").alias("t_id")).filter("t_id IS NOT NULL").distinct()
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     flagged = docs.join(targets, docs["id"] == targets["t_id"], "left").select("text", F.col("t_id").isNotNull().alias("is_target"))
     counts = materialize(gram_counts(flagged, order), "gram-counts")
     losses = materialize(gram_losses(counts, order, smoothing), "gram-losses")
     if counts.count() <= broadcast_grams:
-        return _scored_by_lookup(docs, losses, order)
-    return _scored_by_join(docs, losses, order)
+        return _scored_by_lookup(docs, losses, order, with_text)
+    return _scored_by_join(docs, losses, order, with_text)
 
 
-def _schema(docs: DataFrame) -> T.StructType:
+def _schema(docs: DataFrame, with_text: bool) -> T.StructType:
     return T.StructType(
         [
             T.StructField("doc_id", docs.schema["id"].dataType),
             T.StructField("n_units", T.LongType()),
             *[T.StructField(name, T.DoubleType()) for name in FIELDS[1:]],
+            *[T.StructField("text", T.StringType())] * with_text,
         ]
     )
 
 
-def _scored_by_lookup(docs: DataFrame, losses: DataFrame, order: int) -> DataFrame:
+def _scored_by_lookup(docs: DataFrame, losses: DataFrame, order: int, with_text: bool) -> DataFrame:
     """The size-checked table of losses goes to every task."""
-    spark, schema = docs.sparkSession, _schema(docs)
+    spark, schema = docs.sparkSession, _schema(docs, with_text)
     rows = losses.orderBy("gram").toArrow()
     table = spark.sparkContext.broadcast([rows.column(c).to_numpy() for c in ("gram", "target_loss", "background_loss")])
 
@@ -139,14 +141,19 @@ def _scored_by_lookup(docs: DataFrame, losses: DataFrame, order: int) -> DataFra
                 out.append((total, round(t, DIGITS), round(b, DIGITS), round(t - b, DIGITS)))
             columns = list(zip(*out, strict=True)) if out else [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(columns[0], pa.int64()), *[pa.array(c, pa.float64()) for c in columns[1:]]],
+                [
+                    batch.column(0),
+                    pa.array(columns[0], pa.int64()),
+                    *[pa.array(c, pa.float64()) for c in columns[1:]],
+                    *[batch.column(1)] * with_text,
+                ],
                 names=schema.names,
             )
 
     return docs.mapInArrow(score, schema)
 
 
-def _scored_by_join(docs: DataFrame, losses: DataFrame, order: int) -> DataFrame:
+def _scored_by_join(docs: DataFrame, losses: DataFrame, order: int, with_text: bool) -> DataFrame:
     """Distinct grams of each document joined to the table of losses."""
     numbered = materialize(docs.withColumn("rid", F.monotonically_increasing_id()), "numbered")
 
@@ -161,10 +168,11 @@ def _scored_by_join(docs: DataFrame, losses: DataFrame, order: int) -> DataFrame
     each = numbered.select("rid", "text").mapInArrow(split, "rid long, gram long, n long").join(losses, "gram")
     mean = lambda c: F.sum(F.col("n") * F.col(c)) / F.sum("n")
     found = each.groupBy("rid").agg(F.sum("n").alias("units"), mean("target_loss").alias("t"), mean("background_loss").alias("b"))
-    return numbered.select("rid", "id").join(found, "rid", "left").select(
+    return numbered.select("rid", "id", *["text"] * with_text).join(found, "rid", "left").select(
         F.col("id").alias("doc_id"),
         F.coalesce("units", F.lit(0)).cast("long").alias("n_units"),
         F.round("t", DIGITS).alias("loss_target"),
         F.round("b", DIGITS).alias("loss_background"),
         F.round(F.col("t") - F.col("b"), DIGITS).alias("score"),
+        *["text"] * with_text,
     )

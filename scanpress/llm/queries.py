@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanpress.llm import chat, dedup, jaccard, langid, lmscore, mixing, packing, tokenids, topk, warc
+from scanpress.llm import chat, dedup, jaccard, langid, lmscore, mixing, packing, tokenids, topk, warc, wordlm
 from scanpress.llm.common import scratch_uri, table
 
 
@@ -57,7 +57,9 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select(F.col("doc_id").alias("id"))
-    return lmscore.score_documents(table(spark, sf_dir, "documents"), good)
+    docs = table(spark, sf_dir, "documents")
+    by_units = lmscore.score_documents(docs, good, with_text=True)
+    return wordlm.score_words(by_units, good, buckets=wordlm.bucket_count(docs))
 
 
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
