@@ -6,8 +6,8 @@ query a zero there.  In that space:
 
 1. a fixed number of data vectors are pivots; every row is assigned to its
    nearest pivot (its Voronoi cell) with its distance, in one pass;
-2. a summary per cell (rows, nearest, farthest and the k + 1 smallest
-   distances) is at most ``pivots * (k + 2)`` numbers;
+2. a summary per cell (the k + 1 ids nearest to the pivot, each with its
+   smallest distance) is at most ``pivots * (k + 1)`` entries;
 3. each query bounds the distance of its k-th neighbour from the summary and
    from the pivots, which are rows themselves;
 4. queries are grouped in blocks of at most ``BLOCK`` by neighbouring cells.
@@ -119,8 +119,10 @@ def _cells(data: DataFrame, space: _Space) -> DataFrame:
     return materialize(data.mapInArrow(assign, "id long, v array<long>, cell int, dist double"), "cells")
 
 
-def _bounded_queries(queries: DataFrame, space: _Space, nearest: dict[int, np.ndarray], k: int, margin: float) -> DataFrame:
+def _bounded_queries(queries: DataFrame, space: _Space, nearest: list[tuple[int, int, float]], k: int, margin: float) -> DataFrame:
     """(id, v, cell, least, low, high): least score worth keeping, and per cell the interval of useful distances."""
+    near_cells, near_ids = (np.array([n[j] for n in nearest], np.int64) for j in (0, 1))
+    near_dists = np.array([n[2] for n in nearest], np.float64)
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,9 +133,9 @@ def _bounded_queries(queries: DataFrame, space: _Space, nearest: dict[int, np.nd
             for q, qid in enumerate(ids):
                 others = np.sort(scores[q][space.ids != qid])
                 least = int(others[-k]) if len(others) >= k else None
-                # The k + 1 nearest rows by the summary; one of them may be the query's own.
-                reach = np.concatenate([far[q, j] + d for j, d in nearest.items()] or [np.empty(0)])
-                theta = np.partition(reach, k)[k] if len(reach) > k else np.inf
+                # The k nearest by the summary that do not bear the query's id: each entry is a row of its own.
+                reach = (far[q, near_cells] + near_dists)[near_ids != qid]
+                theta = np.partition(reach, k - 1)[k - 1] if len(reach) >= k else np.inf
                 if least is not None:
                     own = float((v[q].astype(np.float64) ** 2).sum())
                     theta = min(theta, np.sqrt(max(own + space.largest - 2.0 * least, 0)))
@@ -212,11 +214,10 @@ def voronoi_topk(data: DataFrame, queries: DataFrame, k: int = 5, pivots: int =
     if space is None:
         return spark.createDataFrame([], RESULT)
     cells = _cells(data, space)
-    by_dist = Window.partitionBy("cell").orderBy("dist")
-    small = cells.select("cell", "dist").withColumn("r", F.row_number().over(by_dist)).filter(F.col("r") <= k + 1).collect()
-    nearest: dict[int, np.ndarray] = {}  # at most pivots * (k + 1) numbers
-    for row in small:
-        nearest[row.cell] = np.append(nearest.get(row.cell, np.empty(0)), row.dist)
+    by_dist = Window.partitionBy("cell").orderBy("dist", "id")
+    small = cells.groupBy("cell", "id").agg(F.min("dist").alias("dist"))  # an id counts once, however many rows repeat it
+    small = small.withColumn("r", F.row_number().over(by_dist)).filter(F.col("r") <= k + 1).collect()
+    nearest = [(row.cell, row.id, row.dist) for row in small]  # at most pivots * (k + 1)
     margin = 1e-7 * np.sqrt(space.largest + 1)
     asked = _bounded_queries(queries, space, nearest, k, margin)
     counts = {r.cell: r["count"] for r in asked.groupBy("cell").count().collect()}  # one row per pivot
