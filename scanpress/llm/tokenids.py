@@ -20,7 +20,9 @@ leaves at most an unreferenced file.
 Encoding: the tokenizer lower-cases and splits at white space before anything
 else, and no token crosses white space, so a text's ids are those of its
 space-separated chunks.  Chunks are encoded by the tokenizers library, in
-batches, and remembered per worker (``CACHE_CHUNKS`` at most).  This holds for
+batches, and remembered per worker (``CACHE_CHUNKS`` at most).  Added tokens are
+found in the text as written, so a chunk that holds one in any case is passed
+and remembered as written, all others in lower case.  This holds for
 lower-casing tokenizers whose pre-tokens never span white space;
 ``chunked=False`` hands whole texts to the library for any other.
 
@@ -70,6 +72,7 @@ class ChunkEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -106,13 +109,19 @@ class ChunkEncoder:
             for chunk in marked:
                 cache[chunk] = cache[chunk[:-1]] + mark[chunk[-1:]]
 
+    def _chunks(self, text: str) -> list[bytes]:
+        raw = text.encode("utf-8", "replace")
+        low = raw.lower()  # ASCII capitals only: the tokenizer lower-cases the rest itself.
+        if not any(token in low for token in self.added):
+            return low.split()
+        return [r if any(token in c for token in self.added) else c for r, c in zip(raw.split(), low.split(), strict=True)]
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         if not self.chunked:
             yield from self._library(texts)
             return
         for text in texts:
-            # ASCII capitals only: the tokenizer lower-cases the rest itself.
-            chunks = text.encode("utf-8", "replace").lower().split()
+            chunks = self._chunks(text)
             found = list(map(self.cache.get, chunks))
             if None in found:
                 if len(self.cache) >= self.limit:
