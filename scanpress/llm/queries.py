@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanpress.llm import chat, dedup, jaccard, langid, lmscore, mixing, packing, tokenids, topk, warc, wordlm
+from scanpress.llm import (
+    chat,
+    dedup,
+    importance,
+    jaccard,
+    langid,
+    lmscore,
+    mixing,
+    packing,
+    prefixtrie,
+    proximity,
+    tokenids,
+    topk,
+    warc,
+    wordlm,
+)
 from scanpress.llm.common import scratch_uri, table
 
 
@@ -80,6 +95,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = prefixtrie.with_shared_openings(prefixtrie.conversations(table(spark, sf_dir, "conversations")))
+    nodes = prefixtrie.prefix_trie(convs)
+    columns = ("parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    return nodes.select("conv_id", F.col("depth").cast("long").alias("depth"), *columns)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.drop("n_words")
+
+
+def op13_proximity_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = proximity.vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    index = proximity.build_index(vectors)
+    return proximity.search(index, vectors.filter(F.col("id") % 20 == 0), k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_voronoi_topk": op1_voronoi_topk,
     "op2_chat_format": op2_chat_format,
@@ -91,4 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_ids": op8_token_ids,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_proximity_graph": op13_proximity_graph,
 }
