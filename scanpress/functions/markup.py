@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scanpress.functions.tagsoup import read_meta
 from scanpress.functions.text import OTHER_ENTITY, _c, decode_entities, escape_attr, upto_last
 
 # ---------------------------------------------------------------- SC-12 strip fences
@@ -110,41 +109,9 @@ def regular_meta(tags: Column, lower_names: bool) -> Column:
     return F.map_from_entries(_dedup_last(names, values))
 
 
-class _MetaParser(HTMLParser):
-    def __init__(self, lower_names: bool, head_only: bool) -> None:
-        super().__init__(convert_charrefs=True)
-        self.lower_names = lower_names
-        self.head_only = head_only
-        self.in_head = False
-        self.seen_head = False
-        self.meta: dict[str, str] = {}
-
-    def handle_starttag(self, tag, attrs):  # noqa: ANN001
-        if tag == "head":
-            self.in_head, self.seen_head = True, True
-        elif tag == "body":
-            self.in_head = False
-        if tag != "meta" or (self.head_only and not self.in_head):
-            return
-        found = dict(attrs)
-        if found.get("name") is None or found.get("content") is None:
-            return
-        name = found["name"].lower() if self.lower_names else found["name"]
-        self.meta[name] = found["content"]
-
-    handle_startendtag = handle_starttag
-
-    def handle_endtag(self, tag):  # noqa: ANN001
-        if tag == "head":
-            self.in_head = False
-
-
 def py_html_meta(html: str, lower_names: bool = True, head_only: bool = False) -> dict[str, str]:
-    """Meta tags of any HTML, through the standard library parser."""
-    parser = _MetaParser(lower_names, head_only)
-    parser.feed(html)
-    parser.close()
-    return parser.meta
+    """Meta tags of any HTML."""
+    return read_meta(html, lower_names, head_only)
 
 
 @F.pandas_udf(T.MapType(T.StringType(), T.StringType()))

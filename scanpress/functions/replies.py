@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scanpress.functions.text import _c, upto_last
+from scanpress.functions.text import _c
 from scanpress.schemas import ACCEPTED_FINISH_REASONS
 
 # JSON values Python treats as false: they fall through to the next key.
@@ -32,28 +32,26 @@ def is_accepted(reason: Column | str) -> Column:
     return _c(reason).isin(*ACCEPTED_FINISH_REASONS)
 
 
-def article_count(markup: Column | str) -> Column:
-    """Number of ``<article>`` start tags in the reply markup (an opener that no ``>`` follows is none)."""
-    return F.regexp_count(upto_last(markup), F.lit(r"(?i)<article[\s/>]"))
-
-
 def response_status(
     n_generations: Column | str,
     message_type: Column | str,
     reason: Column | str,
     content: Column | str,
     n_articles: Column | str,
+    parse_error: Column | str | None = None,
 ) -> Column:
-    """Checks in the reference's order; the first failing one names the status.
+    """Checks in a fixed order; the first failing one names the status.
 
     ``OK`` / ``MULTI_GENERATION`` / ``NOT_AI_MESSAGE`` / ``BAD_FINISH:<reason>``
-    / ``NON_STRING`` / ``NO_ARTICLES``.
+    / ``NON_STRING`` / ``PARSE_ERROR:<error type>`` / ``NO_ARTICLES``.
     """
+    error = F.lit(None).cast("string") if parse_error is None else _c(parse_error)
     return (
         F.when(F.coalesce(_c(n_generations), F.lit(1)) != 1, F.lit("MULTI_GENERATION"))
         .when(F.coalesce(_c(message_type), F.lit("")) != "ai", F.lit("NOT_AI_MESSAGE"))
         .when(~is_accepted(reason), F.concat(F.lit("BAD_FINISH:"), _c(reason)))
         .when(_c(content).isNull(), F.lit("NON_STRING"))
+        .when(error.isNotNull(), F.concat(F.lit("PARSE_ERROR:"), error))
         .when(_c(n_articles) == 0, F.lit("NO_ARTICLES"))
         .otherwise(F.lit("OK"))
     )

@@ -8,26 +8,25 @@ Markup is split into two kinds in one pass:
 * regular rows (plain lower-case tags, balanced and not nested, only basic
   entities) are taken apart by Catalyst regular expressions inside
   ``transform`` - no Python;
-* the rest go to a small standard-library ``HTMLParser`` tree builder in a
-  vectorised UDF, which receives NULL for every regular row.
+* the rest go to a total tag-soup reader (:mod:`scanpress.functions.tagsoup`)
+  in a vectorised UDF, which receives NULL for every regular row.  No reply can
+  stop the others: one that cannot be read becomes ``PARSE_ERROR``.
 
 Both produce the same ``array<struct>`` so the result is one ``posexplode``.
+The status needs the number of articles, so replies are parsed with the checks
+and extraction takes the parsed articles from there.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
-from html.entities import name2codepoint
-from html.parser import HTMLParser
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scanpress.functions.markup import strip_fences
-from scanpress.functions.replies import article_count, finish_reason, response_status
+from scanpress.functions.replies import finish_reason, response_status
+from scanpress.functions.tagsoup import read_articles
 from scanpress.functions.text import _c, element_text, has_rare_space, upto_last
 
 COMMENT = r"(?s)<!--.*?-->"
@@ -43,6 +42,7 @@ ARTICLE_FIELDS = T.StructType([
     T.StructField("category", T.StringType()),
     T.StructField("body_html", T.StringType()),
 ])
+PARSED = T.StructType([T.StructField("articles", T.ArrayType(ARTICLE_FIELDS)), T.StructField("error", T.StringType())])
 
 
 def remove_comments(col: Column | str) -> Column:
@@ -65,33 +65,18 @@ def reply_markup(content: Column | str) -> Column:
 HIDING = r"(?i)<(?:script|style|textarea|title|xmp|iframe|noembed|noframes|plaintext)[\s/>]|<[!?]|=\s*(?:\"[^\"]*<article|'[^']*<article)"
 
 
-def counted_articles(markup: Column | str) -> Column:
-    """Number of articles extraction finds: the start tags, or the parser's count where a tag may be mere text.
-
-    The parser's count is declared non-deterministic, so a filter on the status stays above it and does not copy the
-    markup expressions.
-    """
-    m = _c(markup)
-    tags = article_count(m).cast("int")
-    doubtful = (tags > 0) & m.rlike(HIDING)
-    return F.when(doubtful, _parsed_count_udf.asNondeterministic()(F.when(doubtful, m))).otherwise(tags)
-
-
 def with_reply_status(responses: DataFrame) -> DataFrame:
-    """Add ``finish_reason``, ``markup``, ``n_articles`` and ``status`` to reply rows.
+    """Add ``finish_reason``, ``markup``, ``is_regular``, ``parsed``, ``n_articles`` and ``status`` to reply rows.
 
-    A row whose ``error`` column says that the model call failed gets ``MODEL_ERROR:<error type>``.
+    A row whose ``error`` column says that the model call failed gets ``MODEL_ERROR:<error type>``, one that the parser
+    could not read ``PARSE_ERROR:<error type>``.
     """
-    checked = response_status("n_generations", "message_type", "finish_reason", "content", "n_articles")
+    checked = response_status("n_generations", "message_type", "finish_reason", "content", "n_articles", "parsed.error")
     if "error" in responses.columns:
         failed = F.concat(F.lit("MODEL_ERROR:"), F.substring_index("error", ":", 1))
         checked = F.when(F.col("error").isNotNull(), failed).otherwise(checked)
-    return (
-        responses.withColumn("finish_reason", finish_reason("response_metadata"))
-        .withColumn("markup", reply_markup("content"))
-        .withColumn("n_articles", counted_articles("markup"))
-        .withColumn("status", checked)
-    )
+    read = responses.withColumn("finish_reason", finish_reason("response_metadata")).withColumn("markup", reply_markup("content"))
+    return with_parsed(read).withColumn("status", checked)
 
 
 # ---------------------------------------------------------------- regular path
@@ -190,173 +175,46 @@ def regular_articles(markup: Column | str) -> Column:
 
 # ---------------------------------------------------------------- irregular path
 
-_VOID = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "wbr"})
-
-
-# Elements that end where a sibling of the same kind starts.
-_IMPLIED_END = frozenset({"p", "li", "td", "tr", "dt", "dd", "option"})
-
-
-class _Node:
-    __slots__ = ("first", "inner_end", "inner_start", "last", "tag", "texts")
-
-    def __init__(self, tag: str, inner_start: int, first: int) -> None:
-        self.tag = tag
-        self.inner_start = inner_start
-        self.inner_end = -1
-        # The elements below this one are nodes[first:last] of the tree, in document order.
-        self.first = self.last = first
-        self.texts: list[tuple[int, str]] = []
-
-
-class _TreeBuilder(HTMLParser):
-    """Lenient element tree: unknown closing tags are ignored, open ones close at their parent's end.
-
-    Character references follow the parser the reference relies on rather
-    than HTML5: a named reference is decoded only when it ends with ``;``
-    and names an HTML 4 entity, otherwise it stays literal text; numeric
-    references are decoded.  Text between two tags is one node.
-    """
-
-    def __init__(self, text: str) -> None:
-        super().__init__(convert_charrefs=False)
-        self.text = text
-        self._run: _Node | None = None
-        self.line_starts = [0, *(m.end() for m in re.finditer("\n", text))]
-        self.root = _Node("#root", 0, 0)
-        self.stack = [self.root]
-        self.open = Counter()
-        self.order = 0
-        self.nodes: list[_Node] = []
-
-    def _offset(self) -> int:
-        line, col = self.getpos()
-        return self.line_starts[line - 1] + col
-
-    def handle_starttag(self, tag, attrs):  # noqa: ANN001, ARG002
-        self._run = None
-        start = self._offset()
-        raw = self.get_starttag_text() or ""
-        if tag in _VOID:
-            return
-        if tag in _IMPLIED_END and self.stack[-1].tag == tag:
-            self._close(len(self.stack) - 1, start)
-        node = _Node(tag, start + len(raw), len(self.nodes) + 1)
-        self.stack.append(node)
-        self.open[tag] += 1
-        self.nodes.append(node)
-        self.order += 1
-
-    def handle_startendtag(self, tag, attrs):  # noqa: ANN001
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self._close(len(self.stack) - 1, self._offset() + len(self.get_starttag_text() or ""))
-
-    def _close(self, index: int, at: int) -> None:
-        while len(self.stack) > index:
-            node = self.stack.pop()
-            self.open[node.tag] -= 1
-            node.inner_end = at
-            node.last = len(self.nodes)
-
-    def handle_endtag(self, tag):  # noqa: ANN001
-        self._run = None
-        if not self.open[tag]:
-            return
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                self._close(i, self._offset())
-                return
-
-    def _add_text(self, data: str) -> None:
-        if not data:
-            return
-        node = self.stack[-1]
-        if self._run is node and node.texts:
-            order, previous = node.texts[-1]
-            node.texts[-1] = (order, previous + data)
-        else:
-            node.texts.append((self.order, data))
-            self.order += 1
-            self._run = node
-
-    def handle_data(self, data):  # noqa: ANN001
-        self._add_text(data)
-
-    def handle_entityref(self, name):  # noqa: ANN001
-        closed = self.text.startswith(";", self._offset() + 1 + len(name))
-        if closed and name in name2codepoint:
-            self._add_text(chr(name2codepoint[name]))
-        else:
-            self._add_text("&" + name + (";" if closed else ""))
-
-    def handle_charref(self, name):  # noqa: ANN001
-        closed = self.text.startswith(";", self._offset() + 2 + len(name))
-        try:
-            code = int(name[1:], 16) if name[:1] in "xX" else int(name)
-        except ValueError:
-            code = -1
-        if 0 < code < 0x110000 and not 0xD800 <= code <= 0xDFFF:
-            self._add_text(chr(code))
-        else:
-            self._add_text("&#" + name + (";" if closed else ""))
-
-    def finish(self) -> None:
-        self.close()
-        self._close(1, len(self.text))
-
-
-def _text(nodes: list[_Node], node: _Node) -> str:
-    parts: list[tuple[int, str]] = list(node.texts)
-    for child in nodes[node.first : node.last]:
-        parts.extend(child.texts)
-    parts.sort(key=lambda p: p[0])
-    return "".join(s.strip() for _, s in parts if s.strip())
-
 
 def py_extract_articles(markup: str) -> list[dict[str, str | None]]:
     """Articles of any markup, at any depth, in document order."""
-    builder = _TreeBuilder(markup)
-    builder.feed(markup)
-    builder.finish()
-    rows: list[dict[str, str | None]] = []
-    for node in builder.nodes:
-        if node.tag != "article":
-            continue
-        found: dict[str, _Node] = {}
-        for child in builder.nodes[node.first : node.last]:
-            if child.tag in FIELD_TAGS and child.tag not in found:
-                found[child.tag] = child
-        row: dict[str, str | None] = {f: (_text(builder.nodes, found[f]) if f in found else None) for f in HEADER_FIELDS}
+    rows = read_articles(markup, HEADER_FIELDS, "main")
+    for row in rows:
         row["headline"] = row["headline"] or "Untitled"
-        main = found.get("main")
-        row["body_html"] = None if main is None else markup[main.inner_start : main.inner_end]
-        rows.append(row)
+        row["body_html"] = row.pop("main")
     return rows
 
 
-@F.pandas_udf(T.ArrayType(ARTICLE_FIELDS))
-def _irregular_articles_udf(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: None if v is None else py_extract_articles(v))
+def parse_reply(markup: str | None) -> tuple[list[dict[str, str | None]] | None, str | None]:
+    """(articles, None), or (None, kind of error): one reply never stops the others."""
+    if markup is None:
+        return None, None
+    try:
+        return py_extract_articles(markup), None
+    except Exception as error:  # noqa: BLE001 - the row is set aside with the reason
+        return None, type(error).__name__
 
 
-@F.pandas_udf(T.IntegerType())
-def _parsed_count_udf(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: None if v is None else len(py_extract_articles(v))).astype("Int32")
+@F.pandas_udf(PARSED)
+def _parse_udf(values: pd.Series) -> pd.DataFrame:
+    parsed = [parse_reply(v) for v in values]
+    return pd.DataFrame({"articles": [p[0] for p in parsed], "error": [p[1] for p in parsed]}, dtype=object)
 
 
-def articles_of(markup: Column | str, regular: Column | str | None = None, wanted: Column | None = None) -> Column:
-    """``array<struct>`` of articles: Catalyst for regular rows, the UDF (NULL input otherwise) for the rest.
+def with_parsed(replies: DataFrame) -> DataFrame:
+    """Add ``is_regular`` (the markup is read by regular expressions) and ``parsed``: what the parser read of the others
+    that hold an article tag, or the kind of error it met.
 
-    ``wanted`` (a boolean column) limits the work to those rows; the others
-    give NULL and are not sent to Python either.
+    Every reply is parsed at most once.  The parser is declared non-deterministic, so a filter on what follows from it
+    stays above it and does not copy the markup expressions.
     """
-    m = _c(markup)
-    flag = is_regular_markup(m) if regular is None else _c(regular)
-    keep = F.lit(True) if wanted is None else wanted
-    return F.when(keep & flag, regular_articles(m)).when(
-        keep, _irregular_articles_udf(F.when(keep & ~flag, m))
-    )
+    staged = replies.withColumn("_tags", structure_tags("markup")).withColumn("is_regular", is_regular_markup("markup", "_tags"))
+    doubtful = ~F.col("is_regular") & F.exists("_tags", lambda t: t.rlike("(?i)^<article"))
+    parsed = _parse_udf.asNondeterministic()(F.when(doubtful, F.col("markup")))
+    tags = F.size(F.filter("_tags", lambda t: t == "<article>"))
+    n_articles = F.when(F.col("is_regular"), tags).when(doubtful, F.array_size("parsed.articles"))
+    counted = F.when(F.col("markup").isNotNull() & F.col("parsed.error").isNull(), F.coalesce(n_articles, F.lit(0)))
+    return staged.withColumn("parsed", parsed).withColumn("n_articles", counted.cast("int")).drop("_tags")
 
 
 def extract_articles(
@@ -369,10 +227,11 @@ def extract_articles(
     """
     if "status" not in replies.columns:
         replies = with_reply_status(replies)
-    staged = replies.select(*keys, "status", "markup", structure_tags("markup").alias("_tags"))
-    flagged = staged.select(*keys, "status", "markup", is_regular_markup("markup", "_tags").alias("_regular"))
-    found = articles_of("markup", "_regular", F.col("status") == "OK" if only_ok else None)
-    exploded = flagged.select(*keys, F.posexplode(found).alias("ordinal", "a"))
+    elif "parsed" not in replies.columns:
+        replies = with_parsed(replies)
+    wanted = F.col("status") == "OK" if only_ok else F.lit(True)
+    found = F.when(wanted & F.col("is_regular"), regular_articles("markup")).when(wanted, F.col("parsed.articles"))
+    exploded = replies.select(*keys, F.posexplode(found).alias("ordinal", "a"))
     return exploded.select(
         *keys,
         F.col("ordinal").cast("int").alias("ordinal"),

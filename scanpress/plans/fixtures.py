@@ -158,6 +158,24 @@ def irregular_responses(pages: DataFrame) -> DataFrame:
     return replies.withColumn("content", content)
 
 
+# Markup that no declaration, comment or tag explains, in front of an article.
+STRAY_MARKUP = ["<![1]>", "<![ x]]>", "<![foo[>", "<!>", "</ >"]
+NESTED = 3000
+
+
+def malformed_responses(pages: DataFrame) -> DataFrame:
+    """F1 with stray markup before every article, and articles nested thousands deep on every sixth page.
+
+    The stray markup changes no article.  The nested articles' bodies would be far longer than the reply together, so
+    those replies are set aside as ``PARSE_ERROR``.
+    """
+    replies = responses(pages).withColumn("_n", F.regexp_extract("page_id", r"_([0-9]+)-", 1).cast("int") * 8)
+    pid = F.col("_n") - 8000 + F.right("page_id", F.lit(3)).cast("int")
+    before = F.when(pid % 6 == 5, F.repeat(F.lit("<article><main>"), NESTED)).otherwise(_pick(STRAY_MARKUP, pid % 5))
+    content = F.replace(F.col("content"), F.lit("<article>"), F.concat(before, F.lit("<article>")))
+    return replies.withColumn("content", content).drop("_n")
+
+
 # ---------------------------------------------------------------- scans and names
 
 

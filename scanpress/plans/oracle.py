@@ -400,6 +400,14 @@ SQL: dict[str, str] = {
     "extract_articles": w(RESP, STATUS, ARTS) + "SELECT * FROM arts",
     # Same articles as the regular form: the parser path must agree with the regex path.
     "extract_articles_irregular": w(RESP, STATUS, ARTS) + "SELECT * FROM arts",
+    # Stray markup changes nothing; pages 5, 11, 17... hold articles nested too deep to be written out.
+    "malformed_articles": w(RESP, STATUS, ARTS) + f"""SELECT * FROM arts
+        WHERE page_id NOT IN (SELECT {scan_stem('page_id')} FROM pages WHERE page_id % 6 = 5)""",
+    "malformed_status": w(RESP, STATUS) + f"""SELECT page_id, model, attempt,
+        CASE WHEN deep AND n_articles > 0 THEN NULL ELSE n_articles END AS n_articles,
+        CASE WHEN status <> 'OK' THEN status WHEN deep THEN 'PARSE_ERROR:ExpansionError' END AS reason
+        FROM (SELECT *, page_id IN (SELECT {scan_stem('page_id')} FROM pages WHERE page_id % 6 = 5) AS deep FROM st)""",
+    "malformed_meta": w(DOCS) + f"SELECT file_name, {_article_fields('html')} FROM docs",
     "accepted_replies": w(RESP, STATUS) + "SELECT page_id, finish_reason FROM st WHERE finish_reason IN ('STOP', 'end_turn', 'stop')",
     "quarantine": w(RESP, STATUS) + "SELECT page_id, model, attempt, finish_reason, status AS reason FROM st WHERE status <> 'OK'",
     "valid_scans": w(SCANS) + """SELECT path, CASE

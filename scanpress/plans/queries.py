@@ -165,6 +165,17 @@ def q_extract_articles_irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_articles(with_reply_status(fx.irregular_responses(_t(spark, sf_dir, "pages"))))
 
 
+def q_malformed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_articles(with_reply_status(fx.malformed_responses(_t(spark, sf_dir, "pages"))))
+
+
+def q_malformed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC-14 and FLT-2 over replies with stray markup and replies whose articles cannot be read."""
+    replies = with_reply_status(fx.malformed_responses(_t(spark, sf_dir, "pages")))
+    aside = filters.quarantine(replies).select("page_id", "model", "attempt", "reason")
+    return replies.select("page_id", "model", "attempt", "n_articles").join(aside, ["page_id", "model", "attempt"], "left")
+
+
 def q_accepted_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.accepted(_replies(spark, sf_dir)).select("page_id", "finish_reason")
 
@@ -321,6 +332,14 @@ def q_reader_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("file_name", *article_fields("_meta"), document_status("html").alias("status"))
 
 
+def q_malformed_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SC-6 over documents whose head holds stray markup."""
+    stray = F.concat(F.lit("<head>"), *[F.lit(x) for x in fx.STRAY_MARKUP])
+    docs = _article_docs(spark, sf_dir).withColumn("html", F.replace("html", F.lit("<head>"), stray))
+    docs = with_html_meta(docs, "html", "_meta", lower_names=False, head_only=True)
+    return docs.select("file_name", *article_fields("_meta"))
+
+
 def _stub_model(record: dict) -> dict:
     """Deterministic stand-in for a vision model: it 'reads' the page bytes in the request."""
     request = json.loads(record["request_json"])
@@ -415,6 +434,9 @@ QUERIES: dict[str, Query] = {
     "build_requests": q_build_requests,
     "extract_articles": q_extract_articles,
     "extract_articles_irregular": q_extract_articles_irregular,
+    "malformed_articles": q_malformed_articles,
+    "malformed_status": q_malformed_status,
+    "malformed_meta": q_malformed_meta,
     "accepted_replies": q_accepted_replies,
     "quarantine": q_quarantine,
     "valid_scans": q_valid_scans,
