@@ -57,19 +57,23 @@ def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     return df.withColumn("sample_key", sample_key(key, seed)).orderBy("sample_key", key).limit(n)
 
 
-def run_summary(replies: DataFrame) -> DataFrame:
+def run_summary(replies: DataFrame, page: str = "page_id") -> DataFrame:
     """AG-4: pages handled (failed ones too), replies, failures, articles, replies without usage.
 
-    Two levels instead of ``count(DISTINCT page_id)`` beside other
+    Articles are those of each page's first successful attempt, which a job writes.  ``page`` names the page: a scan's
+    path where scans of several folders share names.  Two levels instead of ``count(DISTINCT page_id)`` beside other
     aggregates (which Spark plans with an ``Expand`` that doubles the rows):
     per-page partial sums, combined map-side, then one small total.
     """
     ok = F.col("status") == "OK"
-    per_page = replies.groupBy("page_id").agg(
+    written = F.sum(F.when(ok, F.col("n_articles")))
+    if "attempt" in replies.columns:
+        written = F.expr("min_by(n_articles, attempt) FILTER (WHERE status = 'OK')")
+    per_page = replies.groupBy(page).agg(
         F.count(F.lit(1)).alias("replies"),
         F.count_if(ok).alias("ok_replies"),
         F.count_if(~ok).alias("failed_replies"),
-        F.sum(F.when(ok, F.col("n_articles"))).alias("articles"),
+        written.alias("articles"),
         F.count_if(F.col("input_tokens").isNull() | F.col("output_tokens").isNull()).alias(
             "replies_without_usage"
         ),

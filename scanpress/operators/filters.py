@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scanpress.functions.containers import image_damage
 from scanpress.functions.images import image_kind
 from scanpress.functions.names import article_issue, article_name_ok, article_page
 from scanpress.functions.replies import is_accepted
@@ -32,13 +33,13 @@ def quarantine(replies: DataFrame) -> DataFrame:
 
 
 def valid_scans(scans: DataFrame, content: str = "content") -> DataFrame:
-    """FLT-3: image format from the magic bytes; ``valid`` is false for anything else.
+    """FLT-3: image format from the magic bytes, and whether the container is whole up to its end marker.
 
-    Only the first bytes are read, so the check stays narrow and the image
-    bytes never enter a shuffle.
+    ``damage`` says why not.  The walk runs in the tasks that hold the bytes, which never enter a shuffle.
     """
-    kind = image_kind(content)
-    return scans.withColumn("image_kind", kind).withColumn("valid", F.col("image_kind") != "unknown")
+    checked = scans.withColumn("image_kind", image_kind(content))
+    checked = checked.withColumn("damage", image_damage(content, F.col("image_kind")))
+    return checked.withColumn("valid", F.col("damage").isNull())
 
 
 def bad_names(files: DataFrame, name: str = "file_name") -> DataFrame:

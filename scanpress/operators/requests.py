@@ -14,8 +14,10 @@ from scanpress.functions.images import image_data_url
 from scanpress.schemas import RESPONSES
 
 
-def build_requests(scans: DataFrame, prompt: str, models: list[str], system: str | None = None) -> DataFrame:
-    """SC-17: one chat request per scan and model: system text, then the image and the prompt.
+def build_requests(
+    scans: DataFrame, prompt: str, models: list[str], system: str | None = None, keys: tuple[str, ...] = ("page_id",)
+) -> DataFrame:
+    """SC-17: one chat request per scan and model: system text, then the image and the prompt; ``keys`` name the scan.
 
     Models come from a literal array exploded per row, so no join is
     planned; the image bytes are encoded once per scan and never shuffled.
@@ -37,12 +39,12 @@ def build_requests(scans: DataFrame, prompt: str, models: list[str], system: str
         )
     body = F.concat(F.lit("["), F.concat_ws(",", *messages), F.lit("]"))
     with_models = scans.select(
-        "page_id", body.alias("_messages"), F.explode(F.array(*[F.lit(m) for m in models])).alias("model")
+        *keys, body.alias("_messages"), F.explode(F.array(*[F.lit(m) for m in models])).alias("model")
     )
     model_json = F.to_json(F.struct("model"))
     head = F.expr("substring(_model_json, 1, length(_model_json) - 1)")
     return with_models.withColumn("_model_json", model_json).select(
-        "page_id",
+        *keys,
         "model",
         F.concat(head, F.lit(',"messages":'), F.col("_messages"), F.lit("}")).alias("request_json"),
     )
@@ -57,20 +59,27 @@ def transcribe_pages(
     model_call: Callable[[dict[str, Any]], dict[str, Any]],
     parallelism: int = 12,
     attempt: int = 0,
+    keys: tuple[str, ...] = ("page_id",),
 ) -> DataFrame:
     """UDF-1: call ``model_call`` once per request, at most ``parallelism`` calls at a time.
 
     ``model_call`` receives the request row as a dict and returns the reply
     fields (``content``, ``response_metadata``, token counts, ...).  An
     exception is captured as the row's ``error``: one failed page never
-    stops the batch.
+    stops the batch.  ``keys`` are the columns that name the page.
+
+    At most ``parallelism`` tasks call the model at once: partitions are
+    merged, which moves no data (requests carry whole images).  For many pages
+    use :func:`scanpress.plans.transcription.transcribe_scans`, which commits
+    the replies of a few calls per task before it asks for more.
     """
+    schema = T.StructType([*[requests.schema[k] for k in keys], *[f for f in TRANSCRIPTS.fields if f.name != "page_id"]])
 
     def run(batches):  # noqa: ANN001, ANN202
         for pdf in batches:
             out = []
             for rec in pdf.to_dict("records"):
-                row: dict[str, Any] = {"page_id": rec["page_id"], "model": rec["model"], "attempt": attempt}
+                row: dict[str, Any] = {**{k: rec[k] for k in keys}, "model": rec["model"], "attempt": attempt}
                 try:
                     reply = model_call(rec)
                     row.update({f: reply.get(f) for f in REPLY_FIELDS})
@@ -79,21 +88,14 @@ def transcribe_pages(
                     row.update(dict.fromkeys(REPLY_FIELDS))
                     row["error"] = f"{type(exc).__name__}: {exc}"
                 out.append(row)
-            frame = pd.DataFrame(out, columns=TRANSCRIPTS.fieldNames())
+            frame = pd.DataFrame(out, columns=schema.fieldNames())
             for col in ("n_generations", "attempt"):
                 frame[col] = frame[col].astype("Int32")
             for col in ("input_tokens", "output_tokens"):
                 frame[col] = frame[col].astype("Int64")
             yield frame
 
-    # At most ``parallelism`` tasks call the model at once.  Merging existing
-    # partitions moves no data (requests carry whole images); only an input
-    # with too few partitions is spread out.
-    if requests.rdd.getNumPartitions() > parallelism:
-        bounded = requests.coalesce(parallelism)
-    else:
-        bounded = requests.repartition(parallelism)
-    return bounded.mapInPandas(run, TRANSCRIPTS)
+    return requests.coalesce(parallelism).mapInPandas(run, schema)
 
 
 def observe_progress(df: DataFrame, name: str = "progress") -> tuple[DataFrame, Observation]:

@@ -21,9 +21,12 @@ def articles_from_replies(replies: DataFrame) -> DataFrame:
     return with_headline_slug(extract_articles(with_reply_status(replies)))
 
 
-def article_documents(articles: DataFrame, existing_names: DataFrame | None = None) -> DataFrame:
-    """Unique file names and HTML documents for articles that carry a slug."""
-    order = ("ordinal", "model", "attempt") if "model" in articles.columns else ("ordinal",)
+def article_documents(
+    articles: DataFrame, existing_names: DataFrame | None = None, order: tuple[str, ...] | None = None
+) -> DataFrame:
+    """Unique file names and HTML documents for articles that carry a slug; repeats are numbered in ``order``."""
+    if order is None:
+        order = ("ordinal", "model", "attempt") if "model" in articles.columns else ("ordinal",)
     if existing_names is None:
         named = unique_names(articles, order=order)
     else:

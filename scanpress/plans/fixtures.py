@@ -9,6 +9,9 @@ the tables.  ``scanpress.plans.oracle`` derives the same tables in SQL.
 
 from __future__ import annotations
 
+import struct
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -200,6 +203,64 @@ def scans(pages: DataFrame) -> DataFrame:
     )
 
 
+def _png_chunk(kind: bytes, data: bytes) -> bytes:
+    return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+
+PNG_HEAD = b"\x89PNG\r\n\x1a\n" + _png_chunk(b"IHDR", struct.pack(">IIBBBBB", 1, 1, 8, 0, 0, 0, 0))
+PNG_TAIL = _png_chunk(b"IDAT", zlib.compress(b"\x00\x80")) + _png_chunk(b"IEND", b"")
+
+
+def scan_images(pages: DataFrame) -> DataFrame:
+    """Scan files in two folders that share names: PNG images that carry their page as a text chunk, every tenth cut short."""
+    pid = F.col("page_id")
+    text = F.concat(F.lit(b"tEXt"), F.concat(F.lit("page="), pid.cast("string"), F.lit("\n"), F.col("html")).cast("binary"))
+
+    def word(x: Column) -> Column:
+        return F.unhex(F.lpad(F.hex(x), 8, "0"))
+
+    whole = F.concat(F.lit(PNG_HEAD), word(F.octet_length(text) - 4), text, word(F.crc32(text)), F.lit(PNG_TAIL))
+    cut = F.substring(whole, F.lit(1), F.octet_length(whole) - 6)
+    return pages.select(
+        F.when(pid % 2 == 0, F.lit("left")).otherwise(F.lit("right")).alias("folder"),
+        F.concat(scan_stem(F.floor(pid / 2)), F.lit(".png")).alias("name"),
+        F.when(pid % 10 == 9, cut).otherwise(whole).alias("content"),
+    )
+
+
+def image_files() -> dict[str, bytes]:
+    """A whole file of each format, as small as its container allows."""
+    jpeg = (
+        b"\xff\xd8\xff\xe0\x00\x10JFIF\x00\x01\x01\x00\x00\x01\x00\x01\x00\x00\xff\xc0\x00\x0b\x08\x00\x01\x00\x01\x01\x01\x11\x00"
+        b"\xff\xda\x00\x08\x01\x01\x00\x00\x3f\x00\x12\xff\x00\x34\xff\xd0\x56\xff\xd9"
+    )
+    gif = b"GIF89a\x01\x00\x01\x00\x80\x00\x00\x00\x00\x00\xff\xff\xff!\xfe\x02hi\x00,\x00\x00\x00\x00\x01\x00\x01\x00\x00\x02\x02D\x01\x00;"
+    vp8l = b"VP8L" + struct.pack("<I", 5) + b"\x2f\x00\x00\x00\x00\x00"
+    webp = b"RIFF" + struct.pack("<I", 4 + len(vp8l)) + b"WEBP" + vp8l
+    entries = [(256, 3, 1, 1), (257, 3, 1, 1), (273, 4, 1, 8), (279, 4, 1, 1)]
+    tiff = b"II*\x00" + struct.pack("<I", 10) + b"\x80\x00" + struct.pack("<H", len(entries))
+    tiff += b"".join(struct.pack("<HHII", *e) for e in entries) + struct.pack("<I", 0)
+    bmp = b"BM" + struct.pack("<IHHI", 58, 0, 0, 54) + struct.pack("<IiiHHIIiiII", 40, 1, 1, 1, 24, 0, 4, 0, 0, 0, 0) + b"\x00" * 4
+    return {"png": PNG_HEAD + PNG_TAIL, "jpeg": jpeg, "gif": gif, "webp": webp, "tiff": tiff, "bmp": bmp, "unknown": b"<html>none</html>"}
+
+
+def image_scans(pages: DataFrame) -> DataFrame:
+    """Images of all seven kinds, one per page: whole, followed by the page's bytes, cut short, or with a changed byte."""
+    pid = F.col("page_id")
+    files = list(image_files().values())
+    whole = F.element_at(F.array(*[F.lit(x) for x in files]), (pid % len(files) + 1).cast("int"))
+    short = F.substring(whole, F.lit(1), F.octet_length(whole) - 1 - (pid % 3).cast("int"))
+    n = F.octet_length(whole)
+    changed = F.concat(F.substring(whole, F.lit(1), n - 13), F.unhex(F.lit("00")), F.substring(whole, n - 11, F.lit(12)))
+    content = (
+        F.when(pid % 4 == 0, whole)
+        .when(pid % 4 == 1, F.concat(whole, F.col("html").cast("binary")))
+        .when(pid % 4 == 2, short)
+        .otherwise(changed)
+    )
+    return pages.select(F.concat(F.lit("images/"), pid.cast("string")).alias("path"), content.alias("content"))
+
+
 def article_file_names(pages: DataFrame) -> DataFrame:
     """article file names, some not following the naming contract."""
     pid = F.col("page_id")

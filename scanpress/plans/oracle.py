@@ -11,7 +11,7 @@ from __future__ import annotations
 from decimal import Decimal
 from html.entities import name2codepoint
 
-from scanpress.plans.fixtures import AUTHORS, CATEGORIES, METADATA_FORMS, UNKNOWN_MODEL
+from scanpress.plans.fixtures import AUTHORS, CATEGORIES, METADATA_FORMS, UNKNOWN_MODEL, image_files
 from scanpress.plans.queries import PROMPT, REQUEST_MODELS, SAMPLE_N, SAMPLE_SEED, SYSTEM
 from scanpress.schemas import MODELS, PRICES_PER_MILLION
 
@@ -256,6 +256,17 @@ FILES = f"""files AS (
   FROM pages
 )"""
 
+SCAN_JOB = f"""job AS (
+  SELECT *, {headline_slug('headline')} AS slug FROM (
+    SELECT page_id AS pid, CASE WHEN page_id % 2 = 0 THEN 'left' ELSE 'right' END AS folder, {scan_stem('(page_id // 2)')} AS page_id,
+      length(html) AS html_chars, page_id % 10 = 9 AS bad, page_id % 10 <> 9 AND page_id % 8 <> 1 AS ok,
+      CASE WHEN page_id % 10 = 9 THEN 0 WHEN page_id % 4 IN (1, 2) THEN 2 ELSE 1 END AS calls,
+      CASE WHEN page_id % 4 IN (0, 3) THEN 'gemini-2.0' ELSE 'claude-3.7' END AS model,
+      CAST(CASE WHEN page_id % 4 IN (0, 3) THEN 0 ELSE 1 END AS INTEGER) AS attempt,
+      coalesce(nullif({element_text("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")}, ''), 'Untitled') AS headline
+    FROM pages)
+)"""
+
 EXISTING = f"""existing AS (
   SELECT CASE WHEN doc_id % 9 = 8 THEN 'a_' || CAST(doc_id AS VARCHAR) || '.html'
     ELSE {scan_stem('doc_id')} || '_x' || CAST(quality AS VARCHAR) || '.html' END AS file_name
@@ -478,6 +489,29 @@ SQL: dict[str, str] = {
     "stream_cost": w(USAGE, PRICES, COST) + "SELECT * FROM cost",
     # One micro-batch over all replies names exactly like the batch job.
     "stream_named_articles": w(RESP, STATUS, ARTS, _DOC_NAMED) + "SELECT file_name, page_id, ordinal, slug FROM an",
+    "scans_to_documents": w(SCAN_JOB) + f"""SELECT folder, page_id, model, attempt, CAST(0 AS INTEGER) AS ordinal,
+        page_id || '_' || slug || CASE WHEN rn > 0 THEN '_' || CAST(rn AS VARCHAR) ELSE '' END || '.html' AS file_name,
+        {article_html('headline', 'NULL', 'NULL', 'slug', 'NULL', 'body')} AS html FROM (
+          SELECT *, '<p>' || CAST(pid AS VARCHAR) || '</p>' AS body,
+            row_number() OVER (PARTITION BY page_id, slug ORDER BY folder) - 1 AS rn FROM job WHERE ok)""",
+    "scan_job_report": w(SCAN_JOB, PRICES) + """, t AS (
+          SELECT count(*) AS pages_done, count(*) FILTER (WHERE NOT ok) AS pages_failed, CAST(sum(calls) AS BIGINT) AS calls,
+            CAST(sum(CASE WHEN bad THEN 0 ELSE calls END) AS BIGINT) AS replies,
+            count(*) FILTER (WHERE ok) AS pages_with_documents, count(*) FILTER (WHERE ok) AS documents, count(*) FILTER (WHERE ok) AS articles
+          FROM job),
+        c AS (
+          SELECT CAST(sum(CAST(i AS DECIMAL(18,0)) * input_cost_per_token + CAST(o AS DECIMAL(18,0)) * output_cost_per_token) AS DECIMAL(38,12)) AS total_cost
+          FROM (SELECT 'gemini-2.0' AS model, html_chars AS i, pid AS o FROM job WHERE NOT bad AND pid % 4 <> 1
+                UNION ALL SELECT 'claude-3.7', html_chars, pid FROM job WHERE NOT bad AND (pid % 4 = 2 OR pid % 8 = 5)) u
+          JOIN prices USING (model))
+        SELECT r.*, t.*, c.total_cost FROM (
+          SELECT CASE WHEN bad THEN 'INVALID_SCAN:truncated' ELSE 'MODEL_ERROR:RuntimeError' END AS reason,
+            count(*) AS pages, CAST(sum(CASE WHEN bad THEN 1 ELSE 2 END) AS BIGINT) AS attempts FROM job WHERE NOT ok GROUP BY 1) r, t, c""",
+    "image_scans": f"""SELECT 'images/' || CAST(page_id AS VARCHAR) AS path, kind AS image_kind,
+        kind <> 'unknown' AND (page_id % 4 IN (0, 1) OR page_id % 4 = 3 AND kind NOT IN ('png', 'webp')) AS valid,
+        CASE page_id % 4 WHEN 1 THEN n + octet_length(encode(html)) WHEN 2 THEN n - 1 - page_id % 3 ELSE n END AS bytes
+        FROM (SELECT page_id, html, {pick(list(image_files()), 'page_id % 7')} AS kind,
+                [{', '.join(str(len(x)) for x in image_files().values())}][page_id % 7 + 1] AS n FROM pages)""",
     "progress_counts": w(RESP, STATUS) + """SELECT count(*) AS pages_done,
         count(*) FILTER (WHERE status <> 'OK') AS pages_failed FROM st""",
     # The stand-in model is a pure function of the page bytes in the request.

@@ -372,6 +372,67 @@ def q_transcribe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transcribe_pages(requests, _stub_model, parallelism=8)
 
 
+def _page_of_scan(record: dict) -> tuple[int, str]:
+    """(number, html) of the page a scan image of the fixture carries."""
+    import base64
+    import struct
+
+    url = json.loads(record["request_json"])["messages"][-1]["content"][0]["image_url"]["url"]
+    image = base64.b64decode(url.split(",", 1)[1])
+    at = image.index(b"tEXt")
+    (size,) = struct.unpack_from(">I", image, at - 4)
+    first, html = image[at + 4 : at + 4 + size].decode().split("\n", 1)
+    return int(first.removeprefix("page=")), html
+
+
+def _stub_models(record: dict) -> dict:
+    """Two stand-in models: the first fails on half the pages (an error, or a cut reply), the second on an eighth."""
+    page, html = _page_of_scan(record)
+    first = record["model"] == REQUEST_MODELS[0]
+    if page % 8 == 1 or first and page % 4 == 1:
+        msg = "rate limited"
+        raise RuntimeError(msg)
+    title = re.search(r"<title>(.*?)</title>", html, re.S)
+    return {
+        "n_generations": 1,
+        "message_type": "ai",
+        "content": f"```html\n<article><headline>{title.group(1) if title else ''}</headline><main><p>{page}</p></main></article>\n```",
+        "response_metadata": json.dumps({"finish_reason": "MAX_TOKENS" if first and page % 4 == 2 else "STOP"}),
+        "input_tokens": len(html),
+        "output_tokens": page,
+    }
+
+
+def _scan_job(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from scanpress.plans.transcription import scans_to_documents
+
+    folder, out = scratch_path(spark, "scan-images"), scratch_path(spark, "scan-job")
+    images = fx.scan_images(_t(spark, sf_dir, "pages"))
+    write_files(images, folder, "name", "content", subdir="folder").write.format("noop").mode("overwrite").save()
+    return scans_to_documents(
+        spark, [f"{folder}/left", f"{folder}/right"], out, _stub_models, REQUEST_MODELS, PROMPT, SYSTEM, parallelism=8, calls_per_task=64
+    )
+
+
+def q_scans_to_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-2, FLT-3, SC-17, UDF-1, AG-3, GEN-1, JN-3, SNK-2: scan files to committed documents, in rounds of models."""
+    docs = _scan_job(spark, sf_dir)["documents"]
+    return docs.select(F.element_at(F.split("path", "/"), -2).alias("folder"), "page_id", "model", "attempt", "ordinal", "file_name", "html")
+
+
+def q_scan_job_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AG-4, UDF-2, FLT-2, AG-2 of the same job: one row per reason of failure, with the totals of the job."""
+    job = _scan_job(spark, sf_dir)
+    reasons = job["failed"].groupBy("reason").agg(F.count(F.lit(1)).alias("pages"), F.sum("attempts").alias("attempts"))
+    totals = job["progress"].join(job["total_cost"].select("total_cost")).join(job["summary"].select("articles", "replies"))  # one row each
+    return reasons.join(F.broadcast(totals))
+
+
+def q_image_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = filters.valid_scans(fx.image_scans(_t(spark, sf_dir, "pages")))
+    return checked.select("path", "image_kind", "valid", F.octet_length("content").cast("long").alias("bytes"))
+
+
 def q_progress_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     observed, observation = observe_progress(_replies(spark, sf_dir))
     observed.write.format("noop").mode("overwrite").save()
@@ -459,6 +520,9 @@ QUERIES: dict[str, Query] = {
     "read_responses": q_read_responses,
     "reader_meta": q_reader_meta,
     "transcribe_pages": q_transcribe_pages,
+    "scans_to_documents": q_scans_to_documents,
+    "scan_job_report": q_scan_job_report,
+    "image_scans": q_image_scans,
     "progress_counts": q_progress_counts,
     "binarize_scans": q_binarize_scans,
     "stream_articles": q_stream_articles,

@@ -9,6 +9,7 @@ and read by the tasks of :func:`hidden_files`, so every file is seen once.
 from __future__ import annotations
 
 from fnmatch import fnmatchcase
+from functools import reduce
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -163,6 +164,29 @@ def read_scans(spark: SparkSession, *folders: str, with_content: bool = True) ->
     return df.select(*cols).unionByName(hidden.select(*cols))
 
 
+def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, content) of a bounded list of files by the paths a listing gave; files gone since are left out."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001 - Hadoop FS has no Python API
+    there = [jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    paths = [p for p, h in zip(paths, there, strict=True) if h.getFileSystem(conf).exists(h)]
+    shown = [p for p in paths if not spark_hides(p.rsplit("/", 1)[1], False)]
+    hidden = [(_as_uri(p), None, None) for p in paths if spark_hides(p.rsplit("/", 1)[1], False)]
+    frames = []
+    if shown:
+        literal = ["".join("\\" + c if c in "*?[]{}\\" else c for c in p) for p in shown]  # names are no globs
+        frames.append(spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(literal).select("path", "content"))
+    if hidden:
+        listed = spark.createDataFrame(hidden, "uri string, length long, mtime timestamp").repartition(len(hidden))
+        frames.append(_with_content(listed).select(_decoded("uri").alias("path"), "content"))
+    if not frames:
+        return spark.createDataFrame([], "path string, content binary")
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _as_uri(path: str) -> str:
+    return quote("file://" + path.removeprefix("file:") if path.startswith("file:/") else path, safe="/:@")
+
+
 def list_article_names(spark: SparkSession, folder: str) -> DataFrame:
     """SRC-3: the name of every file below ``folder``, any extension; names only."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
