@@ -484,7 +484,7 @@ SQL: dict[str, str] = {
     "reader_meta": w(DOCS) + f"""SELECT file_name, {_article_fields('html')},
         CASE WHEN regexp_matches(html, '(?i)<head\\b') AND regexp_matches(html, '(?i)<body\\b') THEN 'OK'
              ELSE 'DEFORMED' END AS status FROM docs""",
-    # Streaming results must equal the batch results.
+    # Streaming results, over four micro-batches, must equal the batch results.
     "stream_articles": w(RESP, STATUS, ARTS) + f"SELECT *, {headline_slug('headline')} AS slug FROM arts",
     "stream_cost": w(USAGE, PRICES, COST) + "SELECT * FROM cost",
     # One micro-batch over all replies names exactly like the batch job.
@@ -512,6 +512,12 @@ SQL: dict[str, str] = {
         CASE page_id % 4 WHEN 1 THEN n + octet_length(encode(html)) WHEN 2 THEN n - 1 - page_id % 3 ELSE n END AS bytes
         FROM (SELECT page_id, html, {pick(list(image_files()), 'page_id % 7')} AS kind,
                 [{', '.join(str(len(x)) for x in image_files().values())}][page_id % 7 + 1] AS n FROM pages)""",
+    # Every page comes once in each of four batches; a base's repeats go on from batch to batch.
+    "stream_named_batches": w(RESP, STATUS, ARTS) + f""", b AS (
+          SELECT *, {headline_slug('headline')} AS slug FROM (SELECT page_id, ordinal, headline, CAST(unnest(range(4)) AS INTEGER) AS attempt FROM arts)),
+        n AS (SELECT *, row_number() OVER (PARTITION BY page_id, slug ORDER BY attempt, ordinal) - 1 AS rn FROM b)
+        SELECT page_id || '_' || slug || CASE WHEN rn > 0 THEN '_' || CAST(rn AS VARCHAR) ELSE '' END || '.html' AS file_name,
+          page_id, attempt, ordinal, slug, attempt AS batch_id FROM n""",
     "progress_counts": w(RESP, STATUS) + """SELECT count(*) AS pages_done,
         count(*) FILTER (WHERE status <> 'OK') AS pages_failed FROM st""",
     # The stand-in model is a pure function of the page bytes in the request.

@@ -451,7 +451,7 @@ def q_stream_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = scratch_path(spark, "reply-files")
     fx.responses(_t(spark, sf_dir, "pages")).repartition(4).write.parquet(source)
     out, ckpt = scratch_path(spark, "stream-articles"), scratch_path(spark, "stream-articles-ckpt")
-    stream_articles(spark, source, out, ckpt)
+    stream_articles(spark, source, out, ckpt, max_files_per_trigger=1)
     return spark.read.parquet(out)
 
 
@@ -461,7 +461,7 @@ def q_stream_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = scratch_path(spark, "usage-files")
     _usage(spark, sf_dir).select("model", "input_tokens", "output_tokens").repartition(4).write.parquet(source)
     out, ckpt = scratch_path(spark, "stream-cost"), scratch_path(spark, "stream-cost-ckpt")
-    stream_cost(spark, source, out, ckpt)
+    stream_cost(spark, source, out, ckpt, max_files_per_trigger=1)
     return latest_costs(spark, out, cost.prices_frame(spark))
 
 
@@ -475,6 +475,19 @@ def q_stream_named_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("file_name", "page_id", "ordinal", "slug")
 
 
+def q_stream_named_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST-1 with names over four micro-batches, each holding every page again: names go on where the last batch ended."""
+    from scanpress.streaming.replies import stream_named_articles
+
+    source = scratch_path(spark, "named-batches")
+    replies = fx.responses(_t(spark, sf_dir, "pages"))
+    for attempt in range(4):
+        replies.withColumn("attempt", F.lit(attempt)).coalesce(1).write.mode("append").parquet(source)
+    out, ckpt = scratch_path(spark, "stream-batches"), scratch_path(spark, "stream-batches-ckpt")
+    stream_named_articles(spark, source, out, ckpt, max_files_per_trigger=1)
+    return spark.read.parquet(out).select("file_name", "page_id", "attempt", "ordinal", "slug", "batch_id")
+
+
 QUERIES: dict[str, Query] = {
     "scan_names": q_scan_names,
     "article_names": q_article_names,
@@ -528,4 +541,5 @@ QUERIES: dict[str, Query] = {
     "stream_articles": q_stream_articles,
     "stream_cost": q_stream_cost,
     "stream_named_articles": q_stream_named_articles,
+    "stream_named_batches": q_stream_named_batches,
 }
