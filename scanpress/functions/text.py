@@ -11,6 +11,7 @@ only does work for the rows that need it.
 from __future__ import annotations
 
 import html
+import json
 import re
 import textwrap
 import unicodedata
@@ -92,9 +93,60 @@ def py_decode_references(text: str) -> str:
     return _REFERENCE.sub(_referenced, text)
 
 
-@F.pandas_udf(T.StringType())
-def _decode_references_udf(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: None if v is None else py_decode_references(v))
+def _names_by_letter() -> Column:
+    """A map from first letter to a map from name to characters, of all names of HTML 5 that end with a semicolon; the
+    optimizer folds it into one literal."""
+    found: dict[str, dict[str, str]] = {}
+    for name, text in html5.items():
+        chars = text.replace("\xa0", " ")
+        if name.endswith(";"):
+            found.setdefault(name[0], {})[name[:-1]] = chars
+    entries = []
+    for letter, names in found.items():
+        pairs = ",".join(f"'{n}','{''.join(f'{chr(92)}U{ord(c):08x}' for c in chars)}'" for n, chars in names.items())
+        entries.append(f"'{letter}',map({pairs})")
+    return F.expr(f"map({','.join(entries)})")
+
+
+def _code_point(code: Column) -> Column:
+    """The character a numeric reference stands for, as HTML 5 reads it (a plain space for U+00A0)."""
+    low = F.array(*[F.lit(html.unescape(f"&#{n};").replace("\xa0", " ")) for n in range(161)])
+    whole = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return (
+        F.when(code <= 160, F.get(low, code))
+        .when(code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd"))
+        .when(code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(0xFFFE) == 0xFFFE), F.lit(""))
+        .otherwise(whole)
+    )
+
+
+def decode_references(col: Column | str) -> Column:
+    """:func:`py_decode_references` in Catalyst.
+
+    The text is split at ``&``; what stands before the first ``;`` of each piece is looked up in a literal map by first
+    letter and name, or read as a number.
+    """
+    names = _names_by_letter()
+
+    def decoded(piece: Column) -> Column:
+        end = F.instr(piece, ";")
+        name = F.substring(piece, F.lit(1), end - 1)
+        rest = F.substring(piece, end + 1, F.length(piece))
+        digits = F.regexp_replace(name, "^#[xX]?0*", "")
+        hexadecimal = name.rlike("^#[xX]")
+        value = F.coalesce(F.conv(F.when(digits == "", "0").otherwise(digits), 16, 10).cast("long"), F.lit(0))
+        value = F.when(hexadecimal, value).otherwise(F.coalesce(digits.try_cast("long"), F.lit(0)))
+        # Eight digits are beyond the last code point in either base.
+        code = F.when(F.length(digits) > 7, F.lit(0x110000)).otherwise(value).cast("int")
+        char = (
+            F.when((end < 2) | (end > 40) & ~name.startswith("#"), F.lit(None))
+            .when(name.rlike("^#(?:[0-9]+|[xX][0-9a-fA-F]+)$"), _code_point(code))
+            .otherwise(F.try_element_at(F.try_element_at(names, F.left(name, F.lit(1))), name))
+        )
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+
+    # One mention of the column: what it stands for is evaluated once.
+    return F.array_join(F.transform(F.split(_c(col), "&"), lambda piece, i: F.when(i == 0, piece).otherwise(decoded(piece))), "")
 
 
 def escape_attr(col: Column | str) -> Column:
@@ -362,13 +414,9 @@ def _untagged(col: Column | str) -> Column:
 def html_to_text(col: Column | str) -> Column:
     """Readable, unwrapped plain text, one paragraph per block, entities decoded.
 
-    Documents whose every ``&`` starts a basic entity stay in Catalyst; the
-    rest are decoded by a vectorised UDF that gets NULL for the others.  The
-    test is made on the document itself, so each row is untagged only once.
+    References are looked up in a dictionary of all names; no row leaves Catalyst.
     """
-    slow = F.coalesce(_c(col).rlike(OTHER_ENTITY), F.lit(False))
-    untagged = _untagged(col)
-    out = F.when(slow, _decode_references_udf(F.when(slow, untagged))).otherwise(decode_entities(untagged))
+    out = decode_references(_untagged(col))
     out = F.regexp_replace(out, r"[ \t]+", " ")
     out = F.regexp_replace(out, r"[ \t\r]*\n[ \t\r\n]*", "\n\n")
     return F.regexp_replace(out, r"^[ \t\r\n]+|[ \t\r\n]+$", "")

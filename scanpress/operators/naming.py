@@ -5,12 +5,13 @@ slug gets ``_1``, ``_2``, ... in article order, skipping names that are taken.
 Taken are the names already written and the plain names of all bases: the base
 ``p_x_1`` owns ``p_x_1.html``, so a repeat of ``p_x`` goes on with ``_2``.
 
-Only key columns (base and order) are numbered.  They are written once as a
-narrow table; most rows need no suffix, so what is joined back to the articles
-is the short table of suffixes, which AQE broadcasts while it is small.  Beyond
-that, the join shuffles on base and order together, so a group that holds much
-of the table stays spread out, and article bodies move at most once.  The
-articles are evaluated twice (keys, then rows) and must be deterministic.
+The articles are evaluated once and written as a table; every later step reads
+only the columns it needs of it.  One aggregate finds the bases that repeat (if
+none does, every name is plain and nothing else runs).  Only the keys of those
+are numbered (base and order, written as a narrow table); what is joined back to
+the articles is the short table of suffixes, which AQE broadcasts while it is
+small.  Beyond that, the join shuffles on base and order together, so a group
+that holds much of the table stays spread out, and bodies move at most once.
 
 Rows that tie in base and order are told apart by a window, only if there are any.
 """
@@ -60,7 +61,7 @@ def used_counters(existing: DataFrame, name: str = "file_name") -> DataFrame:
 
 
 def _suffixes(
-    articles: DataFrame, existing: DataFrame | None, stem: str, slug: str, order: tuple[str, ...], hot_rows: int
+    staged: DataFrame, bases: DataFrame, existing: DataFrame | None, order: tuple[str, ...], hot_rows: int
 ) -> tuple[DataFrame, bool]:
     """(base, order, tie, counter) of the articles whose counter is not 0, and whether any rows tie.
 
@@ -70,21 +71,20 @@ def _suffixes(
     ``r - 1 + #{i : g_i <= r - 1}`` - a running count over the union of new
     and used rows of one base, ordered by that key.
     """
-    named = articles.select(article_base(stem, slug).alias("_base"), *order).filter(F.col("_base").isNotNull())
-    keys = materialize(named.groupBy("_base", *order).agg(F.count(F.lit(1)).alias("_n")), "name-keys")
-    total, most = keys.agg(F.sum("_n"), F.max("_n")).first()
-    bases = keys.groupBy("_base").agg(F.sum("_n").alias("_rows"))
-
     used = _numbered(bases.select(F.concat("_base", F.lit(".html")).alias("file_name")))
-    bound = 2 * (total or 0)
+    repeats = bases.filter("_rows > 1").select("_base")
     if existing is not None:
         used = used.unionByName(used_counters(existing)).distinct()
-    used = used.withColumnRenamed("base", "_base").join(bases.select("_base"), "_base", "left_semi")
-    repeats = bases.filter("_rows > 1").select("_base")
+    used = used.withColumnRenamed("base", "_base")
     if existing is not None:
-        used = materialize(used, "used-names")
-        bound += used.count()
+        used = materialize(used.join(bases.select("_base"), "_base", "left_semi"), "used-names")
         repeats = repeats.unionByName(used.filter("counter = 0").select("_base")).distinct()
+    # Only bases that need a counter are numbered; their keys are a narrow table of their own.
+    own = staged.select("_base", *order).join(repeats, "_base", "left_semi")
+    keys = materialize(own.groupBy("_base", *order).agg(F.count(F.lit(1)).alias("_n")), "name-keys")
+    total, most = keys.agg(F.sum("_n"), F.max("_n")).first()
+    used = used.join(keys.select("_base").distinct(), "_base", "left_semi")
+    bound = 2 * (total or 0) + (used.count() if existing is not None else 0)
 
     def number(df: DataFrame, by: list[str], value: Column, name: str) -> DataFrame:
         if bound <= hot_rows:
@@ -92,9 +92,8 @@ def _suffixes(
         return running_sum_within(df, ["_base"], by, value, name, hot_rows=hot_rows)
 
     ties = F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_tie")
-    new = keys.join(repeats, "_base", "left_semi").select("_base", *order, ties)
-    new = number(new, [*order, "_tie"], F.lit(1), "_r")
-    used = number(used.join(repeats, "_base", "left_semi"), ["counter"], F.lit(1), "_i").select(
+    new = number(keys.select("_base", *order, ties), [*order, "_tie"], F.lit(1), "_r")
+    used = number(used, ["counter"], F.lit(1), "_i").select(
         "_base", (F.col("counter") - F.col("_i") + 1).alias("_key"), F.lit(0).alias("_is_new")
     )
     both = new.withColumn("_key", F.col("_r") - 1).withColumn("_is_new", F.lit(1)).unionByName(used, allowMissingColumns=True)
@@ -113,9 +112,13 @@ def name_offset(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """JN-3: like :func:`unique_names`, but names already written (``existing.file_name``) also count as taken."""
-    suffixes, tied = _suffixes(articles, existing, stem, slug, order, hot_rows)
-    rows = articles.withColumn("_base", article_base(stem, slug))
-    on = ["_base", *order]
+    plain_name = F.concat(F.col("_base"), F.lit(".html"))
+    staged = materialize(articles.withColumn("_base", article_base(stem, slug)), "staged-articles")
+    bases = staged.filter(F.col("_base").isNotNull()).groupBy("_base").agg(F.count(F.lit(1)).alias("_rows"))
+    if existing is None and not bases.filter("_rows > 1").limit(1).count():
+        return staged.withColumn(out, plain_name).drop("_base")
+    suffixes, tied = _suffixes(staged, bases, existing, order, hot_rows)
+    on, rows = ["_base", *order], staged
     if tied:
         plain = [f.name for f in articles.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
         rows = rows.withColumn("_tie", F.row_number().over(Window.partitionBy(*on).orderBy(F.xxhash64(*plain))))
