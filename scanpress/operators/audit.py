@@ -46,15 +46,45 @@ def sample_key(key: Column | str, seed: int) -> Column:
     return F.md5(F.concat(_c(key).cast("string"), F.lit(str(seed))))
 
 
+#: Buckets of the sample's histogram: leading hexadecimal digits of the hash.
+SAMPLE_DIGITS = 3
+
+
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     """ORD-2: n rows without replacement, the same n for the same seed; n = 0 means all.
 
-    Top-n by a hash of the key is ``TakeOrderedAndProject``: each task keeps
-    its n best, so only n rows per task reach the final merge.
+    The n rows with the smallest hashes of the key (ties to the smaller key)
+    are kept, in the partitions they are in.  Only keys are looked at: a
+    histogram over the hash's leading digits (at most ``16 ** SAMPLE_DIGITS``
+    counts) finds the bucket that holds the n-th hash; that bucket alone is
+    ordered, to find its last row.  Then one filter keeps the rows up to it, so
+    the other columns of a file or table are read once, for rows that stay.
+    Rows that repeat the last key are cut to n by their order in their bucket.
     """
     if n <= 0:
         return df
-    return df.withColumn("sample_key", sample_key(key, seed)).orderBy("sample_key", key).limit(n)
+    keyed = df.withColumn("sample_key", sample_key(key, seed))
+    keys = keyed.select("sample_key", key).filter(F.col("sample_key").isNotNull())
+    bucket = F.left("sample_key", F.lit(SAMPLE_DIGITS))
+    counts = keys.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    left, last = n, None
+    for row in sorted(counts, key=lambda r: r.b):
+        if row.n >= left:
+            last = row.b
+            break
+        left -= row.n
+    if last is None:  # not more rows than asked for
+        return keyed
+    inside = keys.filter(bucket == last).groupBy("sample_key").agg(F.count(F.lit(1)).alias("n"))
+    edge = inside.orderBy("sample_key").limit(left).collect()
+    for row in edge:
+        if row.n >= left:
+            below = F.col("sample_key") < row.sample_key
+            if row.n == left:
+                return keyed.filter(below | (F.col("sample_key") == row.sample_key))
+            return keyed.filter(below).unionByName(keyed.filter(F.col("sample_key") == row.sample_key).limit(left))
+        left -= row.n
+    return keyed
 
 
 def run_summary(replies: DataFrame, page: str = "page_id") -> DataFrame:

@@ -3,13 +3,24 @@
 Sauvola & Pietikaeinen (2000): ``T = m * (1 + k * (s / R - 1))`` with the
 mean ``m`` and standard deviation ``s`` of a ``window x window`` neighbourhood
 (reflected at the borders) and ``R`` half the grey range; a pixel brighter
-than ``T`` becomes white (255), the others black (0).  Local sums come from
-integral images, so the cost per image is linear in its pixels.  Each image
-is one row; ``mapInPandas`` keeps whole Arrow batches per task.
+than ``T`` becomes white (255), the others black (0).
+
+An image is worked on in strips of ``STRIP`` rows with half a window of rows
+above and below, so besides the image's bytes and its black and white copy a
+task holds the sums of one strip, whatever the height of the scan.  Sums of
+pixels and of their squares are integers, from integral images of the strip,
+and the comparison is made in integers too: with the window's area ``A``, sum
+``S`` and sum of squares ``Q``, and ``k = n / d``,
+
+    pixel > T   if and only if   255 A (d A pixel - (d - n) S) > 2 n S sqrt(A Q - S^2)
+
+so strips meet without a seam and the result depends on no rounding.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -54,8 +65,58 @@ def sauvola_threshold(grey: np.ndarray, window: int = 25, k: float = 0.2) -> np.
     return mean * (1 + k * ((std / dynamic_range) - 1))
 
 
-def binarize(grey: np.ndarray, window: int = 25, k: float = 0.2) -> np.ndarray:
-    return ((grey > sauvola_threshold(grey, window, k)) * 255).astype(np.uint8)
+STRIP = 256
+
+
+def _reflected(first: int, last: int, n: int) -> np.ndarray:
+    """Indices ``first`` to ``last`` of a row of ``n``, mirrored at its ends (which are not repeated)."""
+    if n == 1:
+        return np.zeros(last - first, np.int64)
+    at = np.arange(first, last) % (2 * n - 2)
+    return np.where(at < n, at, 2 * n - 2 - at)
+
+
+def _white(grey: np.ndarray, sums: np.ndarray, squares: np.ndarray, area: int, k: Fraction) -> np.ndarray:
+    """The integer comparison; where doubles cannot tell, with whole numbers of any size."""
+    n, d = k.numerator, k.denominator
+    left = 255 * area * (d * area * grey.astype(np.int64) - (d - n) * sums)
+    spread = area * squares - sums * sums
+    a, b = left.astype(np.float64) ** 2, 4.0 * n * n * sums.astype(np.float64) ** 2 * spread.astype(np.float64)
+    if n >= 0:
+        white = (left > 0) & (a > b)
+    else:
+        white = (left > 0) | (a < b)
+    for at in zip(*np.nonzero(np.abs(a - b) <= 1e-12 * (a + b)), strict=True):
+        x, y = int(left[at]), 2 * n * int(sums[at])
+        exact = (x > 0) - (x < 0), (y > 0) - (y < 0)
+        x2, y2 = exact[0] * x * x, exact[1] * y * y * int(spread[at])
+        white[at] = x2 > y2
+    return white
+
+
+def binarize(grey: np.ndarray, window: int = 25, k: float = 0.2, strip: int = STRIP) -> np.ndarray:
+    """Black and white copy of a 2-D uint8 image, strip by strip."""
+    return binarize_rows(lambda first, last: grey[first:last], *grey.shape, window, k, strip)
+
+
+def binarize_rows(rows, height: int, width: int, window: int = 25, k: float = 0.2, strip: int = STRIP) -> np.ndarray:  # noqa: ANN001
+    """The same from ``rows(first, last)``, which gives grey rows; each row is asked for by two strips at most, or mirrored."""
+    half, ratio = window // 2, Fraction(str(k))
+    out = np.empty((height, width), np.uint8)
+    columns = _reflected(-half, width + window - 1 - half, width)
+    for first in range(0, height, strip):
+        last = min(first + strip, height)
+        wanted = _reflected(first - half, last + window - 1 - half, height)
+        low = int(wanted.min())
+        grey = rows(low, int(wanted.max()) + 1)
+        padded = grey[wanted - low][:, columns].astype(np.int64)
+        sums = []
+        for values in (padded, padded * padded):
+            integral = np.zeros((values.shape[0] + 1, values.shape[1] + 1), np.int64)
+            np.cumsum(values.cumsum(axis=0), axis=1, out=integral[1:, 1:])
+            sums.append(integral[window:, window:] - integral[:-window, window:] - integral[window:, :-window] + integral[:-window, :-window])
+        out[first:last] = np.where(_white(grey[first - low : last - low], *sums, window * window, ratio), 255, 0)
+    return out
 
 
 def binarize_scans(images: DataFrame, window: int = 25, k: float = 0.2) -> DataFrame:
@@ -65,10 +126,13 @@ def binarize_scans(images: DataFrame, window: int = 25, k: float = 0.2) -> DataF
         for pdf in batches:
             out = []
             for rec in pdf.itertuples(index=False):
-                grey = to_grey(rec.data, int(rec.height), int(rec.width), int(rec.n_channels))
-                binary = binarize(grey, window, k)
-                out.append((rec.image_id, int(rec.height), int(rec.width), binary.tobytes(),
-                            int((binary == 0).sum())))
+                height, width, row = int(rec.height), int(rec.width), int(rec.width) * int(rec.n_channels)
+
+                def grey(first: int, last: int, rec=rec, width=width, row=row) -> np.ndarray:  # noqa: ANN001
+                    return to_grey(memoryview(rec.data)[first * row : last * row], last - first, width, int(rec.n_channels))
+
+                binary = binarize_rows(grey, height, width, window, k)
+                out.append((rec.image_id, height, width, binary.tobytes(), int((binary == 0).sum())))
             yield pd.DataFrame(out, columns=BINARY_IMAGES.fieldNames())
 
     cols = images.select("image_id", "height", "width", "n_channels", "data")

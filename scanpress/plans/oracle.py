@@ -518,6 +518,31 @@ SQL: dict[str, str] = {
         n AS (SELECT *, row_number() OVER (PARTITION BY page_id, slug ORDER BY attempt, ordinal) - 1 AS rn FROM b)
         SELECT page_id || '_' || slug || CASE WHEN rn > 0 THEN '_' || CAST(rn AS VARCHAR) ELSE '' END || '.html' AS file_name,
           page_id, attempt, ordinal, slug, attempt AS batch_id FROM n""",
+    # Windows of 25 x 25 pixels over mirrored borders as two sums, one along each axis, and the comparison in whole numbers.
+    "binarize_scans": w(SCANS) + """, b AS (
+          SELECT path, ceil(octet_length(encode(html)) / 64)::INT AS h0, regexp_extract_all(hex(encode(html)), '..') AS pairs FROM scans),
+        i AS (SELECT path, greatest(h0, 1) AS h, pairs FROM b),
+        g AS (
+          SELECT path, h, x, y, CASE WHEN 64 * y + x < len(pairs) THEN ('0x' || pairs[64 * y + x + 1])::INT ELSE 32 END::BIGINT AS v
+          FROM (SELECT *, unnest(range(64))::INT AS x FROM (SELECT *, unnest(range(h))::INT AS y FROM i))),
+        px AS (SELECT unnest(range(-12, 76))::INT AS px),
+        mx AS (SELECT px, CASE WHEN (px + 126) % 126 < 64 THEN (px + 126) % 126 ELSE 126 - (px + 126) % 126 END AS x FROM px),
+        sx AS (
+          SELECT path, h, y, px, sum(v) OVER r AS s, sum(v * v) OVER r AS q FROM g JOIN mx USING (x)
+          WINDOW r AS (PARTITION BY path, y ORDER BY px ROWS BETWEEN 12 PRECEDING AND 12 FOLLOWING)),
+        hs AS (SELECT DISTINCT h FROM i),
+        my AS (
+          SELECT h, py, CASE WHEN h = 1 THEN 0 WHEN m < h THEN m ELSE 2 * h - 2 - m END AS y
+          FROM (SELECT h, py, CASE WHEN h > 1 THEN ((py % (2 * h - 2)) + 2 * h - 2) % (2 * h - 2) END AS m
+                FROM (SELECT h, unnest(range(-12, h + 12))::INT AS py FROM hs))),
+        sy AS (
+          SELECT path, h, py, px, sum(s) OVER r AS s, sum(q) OVER r AS q FROM sx JOIN my USING (h, y) WHERE px BETWEEN 0 AND 63
+          WINDOW r AS (PARTITION BY path, px ORDER BY py ROWS BETWEEN 12 PRECEDING AND 12 FOLLOWING)),
+        l AS (
+          SELECT g.path, g.h, 255::HUGEINT * 625 * (5 * 625 * g.v - 4 * sy.s) AS l, sy.s::HUGEINT AS s, 625::HUGEINT * sy.q - sy.s::HUGEINT * sy.s AS d
+          FROM g JOIN sy ON sy.path = g.path AND sy.px = g.x AND sy.py = g.y)
+        SELECT path AS image_id, h AS height, CAST(64 AS INTEGER) AS width,
+          count(*) FILTER (WHERE NOT (l > 0 AND l * l > 4 * s * s * d)) AS black_pixels FROM l GROUP BY path, h""",
     "progress_counts": w(RESP, STATUS) + """SELECT count(*) AS pages_done,
         count(*) FILTER (WHERE status <> 'OK') AS pages_failed FROM st""",
     # The stand-in model is a pure function of the page bytes in the request.

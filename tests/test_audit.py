@@ -39,3 +39,18 @@ def test_run_summary_counts_failures(spark):
                                "page_id string, status string, n_articles int, input_tokens long, output_tokens long")
     r = audit.run_summary(df).collect()[0]
     assert (r.pages_done, r.replies, r.ok_replies, r.failed_replies, r.articles, r.replies_without_usage) == (2, 3, 1, 2, 2, 1)
+
+
+def test_sample_is_the_smallest_hashes_and_stays_spread(spark):
+    import hashlib
+
+    keys = [f"k{i}" for i in range(5000)] + ["same"] * 700 + [None] * 5
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, i int").repartition(7)
+    ranked = sorted(hashlib.md5(f"{k}3".encode()).hexdigest() for k in keys if k)
+    for n in (1, 16, 2500, 5699):
+        picked = audit.sample_n(df, n, 3, "k")
+        got = sorted(r.sample_key for r in picked.collect())
+        assert got == ranked[:n], n
+    at = ranked.index(hashlib.md5(b"same3").hexdigest())
+    assert audit.sample_n(df, at + 300, 3, "k").count() == at + 300  # cut within the rows of one key
+    assert audit.sample_n(df, 16, 3, "k").rdd.getNumPartitions() == 7

@@ -31,6 +31,19 @@ def test_sauvola_matches_naive_window():
         np.testing.assert_allclose(sauvola_threshold(img, 25, 0.2), _naive_threshold(img, 25, 0.2), rtol=1e-9, atol=1e-7)
 
 
+def test_strips_meet_without_a_seam():
+    rng = np.random.default_rng(4)
+    for shape in [(1, 1), (1, 9), (9, 1), (3, 40), (61, 17), (130, 33)]:
+        img = rng.integers(0, 256, size=shape, dtype=np.uint8)
+        img[: shape[0] // 2] //= 8
+        whole = binarize(img)
+        assert (whole == (img > sauvola_threshold(img)) * 255).mean() > 0.999
+        for strip in (1, 7, 25, 64):
+            assert (binarize(img, strip=strip) == whole).all()
+    flat = np.full((40, 40), 100, np.uint8)
+    assert (binarize(flat, k=0.0) == 0).all()  # equal to the threshold: not brighter
+
+
 def test_constant_image_is_white():
     img = np.full((10, 12), 200, dtype=np.uint8)
     assert (binarize(img) == 255).all()
