@@ -15,7 +15,7 @@ Plan (every statistic covers all rows; nothing is sampled or capped):
    one; prefixes are shuffled by shingle and only shingles of two or more
    documents are kept.  From here on bitmaps (2 to 4 bits per shingle) travel,
    not sets: units propose pairs, and the sets of the documents in proposed
-   pairs alone are computed again from the texts to decide them.
+   pairs alone, written once at the start, are read again to decide them.
 3. *Stars.*  Documents sharing their smallest such shingle form units of at
    most ``UNIT`` documents; inside, each becomes a centre or is proposed to the
    most similar centre; verified members have a known Jaccard distance to it.
@@ -44,6 +44,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -59,20 +60,18 @@ WORDS, PERCENT = 5, 80
 UNIT = 1024
 SMALL_GROUP = 64
 SLOT_BITS, CHUNKS = 20, 64
-BROADCAST_ROWS = 2_000_000  # narrow rows (under 64 bytes) that may be broadcast
+BROADCAST_ROWS = 1_000_000  # rows of at most three numbers that may be broadcast
+TEXT_BYTES = 4 << 20
 EPS = 1e-9
 PAIRS = "u long, v long"
 
 
 @dataclass
 class _Corpus:
-    """The texts (t_id, text), their keys (rid, doc_id, set_hash), their bitmaps (rid, size, sig)."""
+    """The sets (rid, set) and their bitmaps (rid, size, sig)."""
 
-    texts: DataFrame
-    rows: DataFrame
+    sets: DataFrame
     signatures: DataFrame
-    n: int
-    repeated_ids: bool
 
 
 # ---------------------------------------------------------------- shingles
@@ -93,17 +92,38 @@ _HASHES = _WordHashes()
 
 def shingle_set(text: bytes | None, n: int = WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's ``n``-word shingles."""
-    words = (text or b"").lower().split()
-    if not words:
+    return next(shingle_sets([text], n))
+
+
+def shingle_sets(texts: list[bytes | None], n: int = WORDS) -> Iterator[np.ndarray]:
+    """:func:`shingle_set` of every text, the words of many texts hashed and combined in one go."""
+    first = 0
+    while first < len(texts):
+        last, held = first, 0
+        while last < len(texts) and (held <= TEXT_BYTES or last == first):
+            held += len(texts[last] or b"")
+            last += 1
+        words = [(t or b"").lower().split() for t in texts[first:last]]
+        lengths = list(map(len, words))
+        hashed = np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(words)), np.uint64, sum(lengths))
+        every, at = _combined(hashed, n), 0
+        for length in lengths:
+            own = every[at : at + length - n + 1] if length >= n else _combined(hashed[at : at + length], length)
+            yield np.unique(own)
+            at += length
+        first = last
+
+
+def _combined(hashed: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of ``n`` words."""
+    if not n or len(hashed) < n:
         return np.empty(0, np.uint64)
-    hashed = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    n = min(n, len(words))
-    factor, out = 0x9E3779B97F4A7C15, np.full(len(words) - n + 1, n, np.uint64)
+    factor, out = 0x9E3779B97F4A7C15, np.full(len(hashed) - n + 1, n, np.uint64)
     with np.errstate(over="ignore"):
         for k in range(n):
             out = (out ^ hashed[k : k + len(out)]) * np.uint64(factor + 2 * k)
             out ^= out >> np.uint64(29)
-    return np.unique(out)
+    return out
 
 
 def prefix_length(size: int, percent: int) -> int:
@@ -117,7 +137,7 @@ def _as_sets(column: pa.Array) -> list[np.ndarray]:
 # ---------------------------------------------------------------- order, prefixes, sets
 
 
-def _levels(texts: DataFrame, n: int) -> np.ndarray:
+def _levels(sets: DataFrame) -> np.ndarray:
     """Rank class per hash slot: 0 for ordinary slots, rising with the logarithm of an outstanding count."""
     slots, per_chunk = 1 << SLOT_BITS, (1 << SLOT_BITS) // CHUNKS
 
@@ -131,9 +151,8 @@ def _levels(texts: DataFrame, n: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(slots, np.int64)
         for batch in (b.slice(k, 1000) for b in batches for k in range(0, b.num_rows, 1000)):
-            sets = [shingle_set(t, n) for t in batch.column(0).to_pylist()]
-            if sets:
-                total += np.bincount((np.concatenate(sets) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=slots)
+            own = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8")
+            total += np.bincount((own >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=slots)
         yield emit(total.clip(max=np.iinfo(np.uint32).max))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +164,7 @@ def _levels(texts: DataFrame, n: int) -> np.ndarray:
         yield emit({c: p.clip(max=np.iinfo(np.uint32).max) for c, p in held.items()})
 
     schema = "chunk int, counts binary"
-    summed = texts.mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema)
+    summed = sets.mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema)
     total = np.zeros(slots, np.int64)
     for row in summed.collect():  # the fixed-size table: CHUNKS rows
         total[row.chunk * per_chunk : (row.chunk + 1) * per_chunk] += np.frombuffer(row["counts"], "<u4")
@@ -153,14 +172,28 @@ def _levels(texts: DataFrame, n: int) -> np.ndarray:
     return np.floor(np.log2(1 + total / usual)).clip(0, 60).astype(np.uint8)
 
 
-def _signed(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
-    """doc_id, text_hash, size, set_hash (null if empty), keys (the prefix), rid."""
-    spark = df.sparkSession
-    levels = spark.sparkContext.broadcast(_levels(df.select(F.col(text_col).cast("binary").alias("text")), n))
+def _sets(df: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
+    """doc_id, text_hash, set (its hashes), rid of every row, written once: every later step reads sets, never a text."""
+    schema = T.StructType([df.schema[id_col], T.StructField("text_hash", T.LongType()), T.StructField("set", T.BinaryType())])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 2000):
+                some = batch.slice(k, 2000)
+                data = [own.tobytes() for own in shingle_sets(some.column(2).to_pylist(), n)]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(data, pa.binary())], names=schema.names)
+
+    rows = df.select(F.col(id_col), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("binary").alias("text"))
+    split_rows = rows.mapInArrow(split, schema).withColumnRenamed(id_col, "doc_id")
+    return materialize(split_rows.withColumn("rid", F.monotonically_increasing_id()), "sets")
+
+
+def _signed(sets: DataFrame, percent: int) -> DataFrame:
+    """doc_id, text_hash, rid, size, set_hash (null if empty), sig, keys (the prefix) of every row."""
+    levels = sets.sparkSession.sparkContext.broadcast(_levels(sets.select("set")))
     schema = T.StructType(
         [
-            T.StructField("doc_id", df.schema[id_col].dataType),
-            T.StructField("text_hash", T.LongType()),
+            *[sets.schema[c] for c in ("doc_id", "text_hash", "rid")],
             T.StructField("size", T.IntegerType()),
             T.StructField("set_hash", T.BinaryType()),
             T.StructField("sig", T.BinaryType()),
@@ -174,11 +207,11 @@ def _signed(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) ->
         level = levels.value
         for batch in batches:
             sizes, hashes, sigs, keys = [], [], [], []
-            for text in batch.column(2).to_pylist():
-                own = shingle_set(text, n)
+            for data in batch.column(3).to_pylist():
+                own = np.frombuffer(data, "<u8")
                 sizes.append(len(own))
-                hashes.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
-                sigs.append(signature(own) if len(own) else None)
+                hashes.append(xxhash.xxh3_128_digest(data) if data else None)
+                sigs.append(signature(own) if data else None)
                 p = prefix_length(len(own), percent)
                 rank = level[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)].astype(np.uint64)
                 order = (rank << np.uint64(58)) | (own >> np.uint64(6))
@@ -186,8 +219,7 @@ def _signed(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) ->
                 keys.append(own[first].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    batch.column(1),
+                    *batch.columns[:3],
                     pa.array(sizes, pa.int32()),
                     pa.array(hashes, pa.binary()),
                     pa.array(sigs, pa.binary()),
@@ -196,10 +228,7 @@ def _signed(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) ->
                 names=schema.names,
             )
 
-    rows = df.select(
-        F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("binary").alias("text")
-    )
-    return materialize(rows.mapInArrow(sign, schema).withColumn("rid", F.monotonically_increasing_id()), "signed")
+    return materialize(sets.select("doc_id", "text_hash", "rid", "set").mapInArrow(sign, schema), "signed")
 
 
 def _narrow(df: DataFrame) -> DataFrame:
@@ -208,46 +237,15 @@ def _narrow(df: DataFrame) -> DataFrame:
 
 
 def _sent(corpus: _Corpus, places: DataFrame) -> DataFrame:
-    """(rid, set, unit, head): the set of every document of ``places(rid, unit, head)``, computed once, in its units."""
-    units = places.distinct().groupBy("rid").agg(F.collect_list(F.struct("unit", "head")).alias("units"))
-    wanted = materialize(corpus.rows.select("rid", F.col("doc_id").alias("id"), "set_hash").join(units, "rid"), "wanted")
-
-    n = corpus.n
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        def out(rids: list, sets: list, places: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(rids, pa.int64()), pa.array(sets, pa.binary()), pa.array(places, schema_units)], names=["rid", "set", "units"]
-            )
-
-        schema_units = pa.list_(pa.struct([("unit", pa.int64()), ("head", pa.bool_())]))
-        for batch in batches:
-            rids, sets, places, held = [], [], [], 0
-            for rid, expected, own, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                data = shingle_set(text, n).tobytes()
-                if xxhash.xxh3_128_digest(data) == expected:
-                    rids.append(rid)
-                    sets.append(data)
-                    places.append(own)
-                    held += len(data)
-                if held > 16 << 20:
-                    yield out(rids, sets, places)
-                    rids, sets, places, held = [], [], [], 0
-            yield out(rids, sets, places)
-
-    found = corpus.texts.join(_narrow(wanted), F.col("t_id").eqNullSafe(F.col("id"))).select("rid", "set_hash", "units", "text")
-    sets = found.mapInArrow(build, "rid long, set binary, units array<struct<unit:long,head:boolean>>")
-    if corpus.repeated_ids:
-        sets = sets.dropDuplicates(["rid"])
-    return sets.select("rid", "set", F.explode("units").alias("at")).select("rid", "set", "at.unit", "at.head")
+    """(rid, set, unit, head): the set of every document of ``places(rid, unit, head)``, in its units."""
+    flat = materialize(places.select("rid", "unit", "head").distinct(), "places")
+    return corpus.sets.join(_narrow(flat), "rid").select("rid", "set", "unit", "head")
 
 
 def _verified(corpus: _Corpus, pairs: DataFrame) -> DataFrame:
-    """(u, v, both, either) of ``pairs(u, v)`` on the sets, computed again from the texts of their documents.
+    """(u, v, both, either) of ``pairs(u, v)`` on the sets.
 
-    A unit is one ``u`` with a slice of its partners; each document is read once and sent to its units.
+    A unit is one ``u`` with a slice of its partners; each set is read once and sent to its units.
     """
     slices = _slices(F.count(F.lit(1)).over(Window.partitionBy("u")), UNIT // 2)
     cut = pairs.distinct().withColumn("n", slices).withColumn("unit", F.xxhash64("u", _slice_of("v", F.col("n"))))
@@ -543,7 +541,8 @@ def _apart(near: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _joined(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
     """doc_id, text_hash, size, rid, comp (a rid), component_id per input row."""
-    signed = _signed(df, id_col, text_col, n, percent)
+    sets = _sets(df, id_col, text_col, n)
+    signed = _signed(sets, percent)
     rows = signed.select("rid", "doc_id", "text_hash", "size", "set_hash")
     groups = rows.filter("size > 0").groupBy("set_hash").agg(F.min("rid").alias("rep"), F.count(F.lit(1)).alias("copies"))
     copied = rows.select("rid", "set_hash").join(groups.filter("copies > 1"), "set_hash").select("rid", "rep")
@@ -554,9 +553,7 @@ def _joined(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) ->
     shared = prefixes.select("rid", F.explode("keys").alias("key")).withColumn("c", F.count(F.lit(1)).over(by_key))
     shared = materialize(shared.filter("c > 1").select("key", "rid"), "shared-keys")
 
-    repeated = rows.groupBy("doc_id").count().filter("count > 1").limit(1).count() > 0
-    texts = df.select(F.col(id_col).alias("t_id"), F.col(text_col).cast("binary").alias("text"))
-    corpus = _Corpus(texts, rows, signed.select("rid", "size", "sig"), n, repeated)
+    corpus = _Corpus(sets.select("rid", "set"), signed.select("rid", "size", "sig"))
 
     stars = _stars(corpus, shared, percent)
     links = stars.select(F.col("rid").alias("u"), F.col("center").alias("v"))
