@@ -44,6 +44,7 @@ from scanpress.llm.common import materialize
 
 SHARD, BLOCK, DEGREE, BEAM, ALPHA, COPIES = 4096, 2048, 32, 128, 1.2, 64
 BUILD_BEAM, BATCH, WIDTH, ENTRIES = 64, 256, 4, 8
+MOST_TASKS = 20_000
 INDEX = "shard int, node int, v array<double>, ids array<long>, edges array<int>, entry boolean"
 RESULT = "query_id long, rank int, vec_id long, score double"
 
@@ -216,6 +217,8 @@ def build_index(rows: DataFrame, shard: int = SHARD, alpha: float = ALPHA, beam:
     nodes = materialize(ids.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")), "nodes")
     shards = max(1, ceil(nodes.count() / shard))
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
+    # A number of partitions of its own: merged by their few bytes, many shards would be built by one task.
+    dealt = dealt.repartition(min(shards, MOST_TASKS), "shard")
     return materialize(dealt.groupBy("shard").applyInArrow(_build_shard(alpha, beam), INDEX), "graph")
 
 
@@ -265,9 +268,10 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, beam: int = BEAM,
     of_block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     every = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards))).alias("shard"), of_block.alias("block"), "id", "v")
     each = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    tasks = min((shards + 1) * blocks, MOST_TASKS)
     found = (
-        every.groupBy("shard", "block")
-        .cogroup(each.groupBy("shard", "block"))
+        every.repartition(tasks, "shard", "block").groupBy("shard", "block")
+        .cogroup(each.repartition(tasks, "shard", "block").groupBy("shard", "block"))
         .applyInArrow(_search_shard(k, beam), "query_id long, vec_id long, score double")
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
