@@ -86,6 +86,15 @@ def gram_losses(counts: DataFrame, order: int = ORDER, smoothing: float = SMOOTH
     return table.select("gram", *[loss(k).alias(f"{k}_loss") for k in reversed(kinds)])
 
 
+MOST_TARGETS = 2_000_000  # ids (8 bytes each) that may be broadcast
+
+
+def narrow_ids(ids: DataFrame) -> DataFrame:
+    """Distinct ids, written once; broadcast if they are few enough, so that flagging the targets moves no text."""
+    ids = materialize(ids, "target-ids")
+    return F.broadcast(ids) if ids.count() <= MOST_TARGETS else ids
+
+
 FIELDS = ("n_units", "loss_target", "loss_background", "score")
 
 
@@ -100,7 +109,7 @@ def score_documents(
     with_text: bool = False,
 ) -> DataFrame:
     """doc_id, n_units, loss_target, loss_background, score (and text); ``target_ids(id)`` names the target documents."""
-    targets = target_ids.select(F.col("id").alias("t_id")).filter("t_id IS NOT NULL").distinct()
+    targets = narrow_ids(target_ids.select(F.col("id").alias("t_id")).filter("t_id IS NOT NULL").distinct())
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     flagged = docs.join(targets, docs["id"] == targets["t_id"], "left").select("text", F.col("t_id").isNotNull().alias("is_target"))
     counts = materialize(gram_counts(flagged, order), "gram-counts")

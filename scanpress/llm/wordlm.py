@@ -35,8 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scanpress.llm.lmscore import narrow_ids
+
 ORDER, SMOOTHING = 2, 8.0
-CHUNK_WORDS = 1 << 19
+CHUNK_WORDS = 1 << 18
 BUCKET_BYTES, LEAST_BUCKETS = 8 << 20, 32
 CACHE_WORDS = 200_000
 DIGITS = 9
@@ -225,7 +227,7 @@ def score_words(
     buckets: int | None = None,
 ) -> DataFrame:
     """The columns of ``df`` but the text, n_words, word_loss_target, word_loss_background, word_score."""
-    targets = target_ids.select(F.col("id").alias("__target")).filter("__target IS NOT NULL").distinct()
+    targets = narrow_ids(target_ids.select(F.col("id").alias("__target")).filter("__target IS NOT NULL").distinct())
     kept = [c for c in df.columns if c != text_col]
     docs = df.join(targets, df[id_col] == targets["__target"], "left")
     docs = docs.select(*[df[c] for c in kept], df[text_col], F.col("__target").isNotNull().alias("__is_target"))
