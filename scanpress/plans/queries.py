@@ -424,8 +424,11 @@ def q_scan_job_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG-4, UDF-2, FLT-2, AG-2 of the same job: one row per reason of failure, with the totals of the job."""
     job = _scan_job(spark, sf_dir)
     reasons = job["failed"].groupBy("reason").agg(F.count(F.lit(1)).alias("pages"), F.sum("attempts").alias("attempts"))
-    totals = job["progress"].join(job["total_cost"].select("total_cost")).join(job["summary"].select("articles", "replies"))  # one row each
-    return reasons.join(F.broadcast(totals))
+    totals = []
+    for frame in (job["progress"], job["total_cost"].select("total_cost"), job["summary"].select("articles", "replies")):
+        row = frame.first()  # one row each
+        totals += [F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in frame.schema.fields]
+    return reasons.select("*", *totals)
 
 
 def q_image_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,15 +77,21 @@ def documents(spark: SparkSession, folder: str) -> CommitTable:
 
 
 @contextmanager
-def _at_least(spark: SparkSession, partitions: int):  # noqa: ANN202
-    """The file source cuts a micro-batch into at least this many partitions, so calls run side by side."""
-    key = "spark.sql.files.minPartitionNum"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(partitions))
+def _micro_batch(spark: SparkSession, partitions: int):  # noqa: ANN202
+    """The file source lists a micro-batch's few paths without a job, and cuts them into at least this many partitions, so
+    calls run side by side."""
+    wanted = {
+        "spark.sql.files.minPartitionNum": str(partitions),
+        "spark.sql.sources.parallelPartitionDiscovery.threshold": "100000",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def frontier(scans: DataFrame, replies: DataFrame, attempt: int) -> DataFrame:
@@ -143,14 +149,21 @@ def _ask(
     prompt: str, system: str | None, parallelism: int,
 ) -> None:
     """Check, request, call and commit one micro-batch."""
+    with _micro_batch(spark, parallelism):
+        table.append(_answers(spark, paths, attempt, model, model_call, prompt, system, parallelism), key)
+
+
+def _answers(
+    spark: SparkSession, paths: list[str], attempt: int, model: str, model_call: ModelCall, prompt: str, system: str | None,
+    parallelism: int,
+) -> DataFrame:
     content = read_files(spark, paths)
     scans = valid_scans(content.select("path", file_stem(base_name("path")).alias("page_id"), "content"))
     whole = scans.filter(F.col("valid"))
     requests = build_requests(whole, prompt, [model], system, keys=("path", "page_id"))
     replies = transcribe_pages(requests, model_call, parallelism, attempt, keys=("path", "page_id"))
     damaged = scans.filter(~F.col("valid")).select("path", "page_id", "damage")
-    with _at_least(spark, parallelism):
-        table.append(_checked_replies(replies, damaged, attempt), key)
+    return _checked_replies(replies, damaged, attempt)
 
 
 def good_replies(replies: DataFrame) -> DataFrame:
@@ -188,13 +201,14 @@ def progress(replies: DataFrame, written: DataFrame) -> DataFrame:
     so a batch that ran twice counts once."""
     pages = replies.groupBy("path").agg(F.bool_or(F.col("status") == "OK").alias("ok"), F.count(F.lit(1)).alias("calls"),
                                         F.bool_or(F.col("status").startswith(INVALID)).alias("unread"))
-    asked = pages.agg(
-        F.count(F.lit(1)).alias("pages_done"), F.count_if(~F.col("ok")).alias("pages_failed"),
-        F.coalesce(F.sum(F.col("calls") - F.col("unread").cast("int")), F.lit(0)).alias("calls"),
-    )
     by_page = written.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
-    made = by_page.agg(F.count(F.lit(1)).alias("pages_with_documents"), F.coalesce(F.sum("n"), F.lit(0)).alias("documents"))
-    return asked.withColumn("_one", F.lit(1)).join(made.withColumn("_one", F.lit(1)), "_one").drop("_one")  # one row each
+    return pages.join(by_page, "path", "full").agg(
+        F.count("calls").alias("pages_done"),
+        F.count_if(~F.col("ok")).alias("pages_failed"),
+        F.coalesce(F.sum(F.col("calls") - F.col("unread").cast("int")), F.lit(0)).alias("calls"),
+        F.count("n").alias("pages_with_documents"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("documents"),
+    )
 
 
 def scans_to_documents(
