@@ -1,4 +1,4 @@
-"""Operator 7, language-model scoring by cross-entropy difference.
+"""Cross-entropy difference over code units, for small tables of grams (operator 7 itself is ``wordlm``, over words).
 
 Two n-gram models share one vocabulary, the UTF-16 code units of the lower-cased
 background texts: the target model is counted on the documents of a target set

@@ -13,7 +13,6 @@ from scanpress.llm import (
     importance,
     jaccard,
     langid,
-    lmscore,
     mixing,
     packing,
     prefixtrie,
@@ -72,9 +71,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select(F.col("doc_id").alias("id"))
-    docs = table(spark, sf_dir, "documents")
-    by_units = lmscore.score_documents(docs, good, with_text=True)
-    return wordlm.score_words(by_units, good, buckets=wordlm.bucket_count(docs))
+    return wordlm.score_words(table(spark, sf_dir, "documents").select("doc_id", "text"), good)
 
 
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

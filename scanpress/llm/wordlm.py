@@ -1,26 +1,38 @@
-"""Operator 7, the same cross-entropy difference over words.
+"""Operator 7, language-model scoring by cross-entropy difference over words.
 
-The models are those of ``lmscore`` with words (lower-cased, split at white
-space) for units: one vocabulary, the words of all documents, ``order`` n,
+Two n-gram models share one vocabulary, the words (lower-cased, split at white
+space) of all documents: the target model is counted on the documents of a
+target set (the query's: those labelled of good quality), the background model
+on all.  With ``order`` n a word's loss after its n - 1 predecessors is
 
     -log((N(gram) + K * p(word)) / (N(context) + K)),  p(word) = (N(word) + 1) / (N + V)
 
+with the same K and V in both models.  ``score`` is the mean, over a document's
+words, of target loss less background loss: low means like the target.
+
 Distinct words, contexts and grams grow with the corpus, so no table of them
 goes to the driver or to every task:
 
 1. tasks cut their documents into chunks of about ``CHUNK_WORDS`` words; a
    chunk's distinct words, contexts and grams (64-bit hashes) with their counts
-   are sorted and dealt by hash range to buckets, one row per (chunk, bucket);
-2. a bucket adds the chunks' counts up and answers every row with the totals of
-   its keys, in their order; a frequent key is one entry per chunk, so no
-   bucket holds more than its share;
+   are sorted and dealt by hash range to buckets, one row per chunk and bucket
+   that holds any of its keys: never more rows than keys, so rows and bytes grow
+   in proportion to the text;
+2. a bucket adds the chunks' counts up and answers with the totals of those keys
+   that two or more chunks hold (of all others a chunk knows the totals); it also
+   gives its share of N and V.  The answers are written as a table;
 3. a chunk's answers meet its documents, kept as word numbers.
 
-Buckets are as many as keep ``BUCKET_BYTES`` of text for each.  Every chunk has
-a row for every bucket, so the answers also add up to N and V.
+Buckets are as many as keep ``BUCKET_BYTES`` of text for each; a key is one
+entry per chunk in its bucket, however frequent it is.
 
-Defined results: as in ``lmscore``; a text without a word has null losses and
-score.  The documents must come out the same if a task runs again.
+Defined results: null or empty texts, and those of white space, have no word,
+and null losses and score; a text's first words follow ``order - 1`` start marks;
+without any target document the target model is the smoothing alone; target ids
+repeat without effect, null ids name none; an empty table gives an empty
+result; columns besides the text are kept; rows that repeat an id are scored
+each; a text longer than a chunk is one chunk, whole.  The documents must come
+out the same if a task runs again.
 """
 
 from __future__ import annotations
@@ -35,6 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scanpress.llm.common import materialize
 from scanpress.llm.lmscore import narrow_ids
 
 ORDER, SMOOTHING = 2, 8.0
@@ -42,8 +55,10 @@ CHUNK_WORDS = 1 << 18
 BUCKET_BYTES, LEAST_BUCKETS = 8 << 20, 32
 CACHE_WORDS = 200_000
 DIGITS = 9
-FIELDS = ("n_words", "word_loss_target", "word_loss_background", "word_score")
+FIELDS = ("n_words", "loss_target", "loss_background", "score")
 ROW = "chunk long, bucket int, keys binary, counts binary, docs binary"
+FACTS = ("n", "n_target", "words")  # a bucket's share of N in both models and of V
+ANSWER = ROW + "".join(f", {f} long" for f in FACTS)
 
 _HASHES: dict[str, int] = {}
 
@@ -120,6 +135,20 @@ def _unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(_unpack(data, 1)[0].view(np.uint64), dtype=np.uint64)
 
 
+def _counts(at: np.ndarray, flags: np.ndarray, lengths: np.ndarray, n_keys: int) -> np.ndarray:
+    """Counts of each key (rows: as unit or gram in all documents, in targets; as context in all, in targets)."""
+    own, sums = np.repeat(flags, lengths), []
+    for places in (at[[0, 2]].reshape(-1), at[1]):
+        weights = np.tile(own, len(places) // max(len(own), 1))
+        sums += [np.bincount(places, weights=w, minlength=n_keys) for w in (None, weights)]
+    return np.stack(sums).astype(np.int64)
+
+
+def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket's hash range begins among sorted keys, and the end."""
+    return np.searchsorted((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
+
+
 def _asked(order: int, buckets: int, chunk_words: int):
     """Rows of (kept columns, text, is_target) to the requests and the documents of each chunk."""
 
@@ -127,19 +156,17 @@ def _asked(order: int, buckets: int, chunk_words: int):
         lengths = np.array([len(w) for w in held], np.int64)
         known, numbers = _distinct(np.concatenate(held))
         keys, at = keys_of(known, numbers, lengths, order)
-        sums = []
-        for places in (at[[0, 2]].reshape(-1), at[1]):
-            own = np.tile(np.repeat(flags, lengths), len(places) // max(len(numbers), 1))
-            sums += [np.bincount(places, weights=w, minlength=len(keys)) for w in (None, own)]
-        sums = np.stack(sums)
-        cuts = np.searchsorted((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
-        for b, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
-            yield _row(chunk, b, _pack_keys(keys[lo:hi]), _pack(sums[:, lo:hi], 4), None)
-        part = pa.Table.from_batches([kept]).append_column("", pa.array(lengths))
+        sums, cuts = _counts(at, flags, lengths, len(keys)), _cuts(keys, buckets)
+        own = np.flatnonzero(np.diff(cuts)).tolist()
+        packed = [(_pack_keys(keys[cuts[b] : cuts[b + 1]]), _pack(sums[:, cuts[b] : cuts[b + 1]], 4), None) for b in own]
+        part = pa.Table.from_batches([kept]).append_column("", pa.array(flags)).append_column("", pa.array(lengths))
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, part.schema) as writer:
             writer.write_table(part)
-        yield _row(chunk, chunk % buckets, known.tobytes(), _pack(numbers, 4), sink.getvalue().to_pybytes())
+        packed.append((known.tobytes(), _pack(numbers, 4), sink.getvalue().to_pybytes()))
+        columns = [pa.array([chunk] * len(packed), pa.int64()), pa.array([*own, chunk % buckets], pa.int32())]
+        columns += [pa.array(c, pa.binary()) for c in zip(*packed, strict=True)]
+        yield pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "keys", "counts", "docs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -160,53 +187,61 @@ def _asked(order: int, buckets: int, chunk_words: int):
     return run
 
 
-def _row(chunk: int, bucket: int, keys: bytes | None, counts: bytes, docs: bytes | None) -> pa.RecordBatch:
-    columns = [pa.array([chunk], pa.int64()), pa.array([bucket], pa.int32()), *[pa.array([x], pa.binary()) for x in (keys, counts, docs)]]
-    return pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "keys", "counts", "docs"])
-
-
-def _answered(table: pa.Table) -> pa.Table:
-    """A bucket's requests with the totals of their keys, preceded by the bucket's words and the sums of their counts."""
-    is_request = table.column("docs").is_null()
-    requests, docs = table.filter(is_request), table.filter(pc.invert(is_request))
-    own = [_unpack_keys(k) for k in requests.column("keys").to_pylist()]
-    keys, at = np.unique(np.concatenate(own or [np.empty(0, np.uint64)]), return_inverse=True)
-    totals, first = np.zeros((4, len(keys)), np.int64), 0
-    for k, c in zip(own, requests.column("counts").to_pylist(), strict=True):
-        totals[:, at[first : first + len(k)]] += _unpack(c, 4, 4)  # a chunk's keys are distinct
-        first += len(k)
-    units = (keys & np.uint64(1)).astype(bool) & (totals[0] > 0)
-    facts = np.append(totals[:2, units].sum(axis=1), [units.sum(), 0])[:, None]
-    found, first = [], 0
-    for k in own:
-        found.append(_pack(np.concatenate([facts, totals[:, at[first : first + len(k)]]], axis=1)))
-        first += len(k)
-    answers = [requests.column("chunk"), requests.column("bucket"), pa.nulls(len(found), pa.binary()), pa.array(found, pa.binary()), requests.column("docs")]
-    return pa.concat_tables([pa.table(dict(zip(table.column_names, answers, strict=True)), schema=table.schema), docs])
-
-
-def _scored(order: int, smoothing: float, names: list[str]):
+def _answered(names: list[str]):
+    """A bucket's requests with the totals of the keys that others hold too, its documents' rows and its facts."""
+
+    def run(table: pa.Table) -> pa.Table:
+        is_request = table.column("docs").is_null()
+        requests, docs = table.filter(is_request), table.filter(pc.invert(is_request))
+        own = [_unpack_keys(k) for k in requests.column("keys").to_pylist()]
+        keys, at = np.unique(np.concatenate(own or [np.empty(0, np.uint64)]), return_inverse=True)
+        shared = np.bincount(at, minlength=len(keys)) > 1
+        totals, first = np.zeros((4, len(keys)), np.int64), 0
+        for k, c in zip(own, requests.column("counts").to_pylist(), strict=True):
+            totals[:, at[first : first + len(k)]] += _unpack(c, 4, 4)  # a chunk's keys are distinct
+            first += len(k)
+        found, first = [], 0
+        for chunk, k in zip(requests.column("chunk").to_pylist(), own, strict=True):
+            places = at[first : first + len(k)]
+            first += len(k)
+            some = shared[places]
+            if some.any():
+                found.append((chunk, np.packbits(some).tobytes(), _pack(totals[:, places[some]]), None, None, None, None))
+        found += [(r["chunk"], r["keys"], r["counts"], r["docs"], None, None, None) for r in docs.to_pylist()]
+        units = (keys & np.uint64(1)).astype(bool) & (totals[0] > 0)
+        found.append((None, None, None, None, *totals[:2, units].sum(axis=1).tolist(), int(units.sum())))
+        chunk, key, counts, doc, *facts = zip(*found, strict=True)
+        columns = [pa.array(chunk, pa.int64()), pa.array([table.column("bucket")[0].as_py()] * len(found), pa.int32())]
+        columns += [pa.array(c, pa.binary()) for c in (key, counts, doc)] + [pa.array(c, pa.int64()) for c in facts]
+        return pa.table(columns, names=names)
+
+    return run
+
+
+def _scored(order: int, smoothing: float, buckets: int, tokens: tuple[int, int], words: int, names: list[str]):
     """A chunk's documents with their losses."""
 
     def run(table: pa.Table) -> pa.Table:
         is_answer = table.column("docs").is_null()
-        doc = table.filter(pc.invert(is_answer)).to_pylist()[0]
-        parts = [_unpack(c, 4) for c in table.filter(is_answer).sort_by("bucket").column("counts").to_pylist()]
-        facts, totals = sum(p[:, 0] for p in parts), np.concatenate([p[:, 1:] for p in parts], axis=1)
+        doc, answers = table.filter(pc.invert(is_answer)).to_pylist()[0], table.filter(is_answer)
         kept = pa.ipc.open_stream(doc["docs"]).read_all()
-        lengths = kept.column(kept.num_columns - 1).to_numpy()
-        _, at = keys_of(np.frombuffer(doc["keys"], np.uint64), _unpack(doc["counts"], 1, 4)[0], lengths, order)
+        flags, lengths = (kept.column(kept.num_columns - k).to_numpy() for k in (2, 1))
+        keys, at = keys_of(np.frombuffer(doc["keys"], np.uint64), _unpack(doc["counts"], 1, 4)[0], lengths, order)
+        totals, cuts = _counts(at, flags, lengths, len(keys)), _cuts(keys, buckets)
+        for b, mask, c in zip(*(answers.column(name).to_pylist() for name in ("bucket", "keys", "counts")), strict=True):
+            some = np.unpackbits(np.frombuffer(mask, np.uint8), count=int(cuts[b + 1] - cuts[b]))
+            totals[:, cuts[b] + np.flatnonzero(some)] = _unpack(c, 4)
         rows, some = np.repeat(np.arange(len(lengths)), lengths), lengths > 0
         means = []
-        for own, contexts, tokens in zip(totals[:2], totals[2:], facts[:2].tolist(), strict=True):
+        for own, contexts, n in zip(totals[:2], totals[2:], tokens, strict=True):
             unit, context, gram = own[at[0]], contexts[at[1]], own[at[2]]
-            p = (unit + 1) / max(tokens + int(facts[2]), 1)
+            p = (unit + 1) / max(n + words, 1)
             loss = -np.log((gram + smoothing * p) / (context + smoothing))
             means.append(np.bincount(rows, weights=loss, minlength=len(lengths)) / np.maximum(lengths, 1))
         background, target = means
         columns = [np.round(x, DIGITS) for x in (target, background, target - background)]
         columns = [pa.array(lengths, pa.int64()), *[pa.array(c, pa.float64(), mask=~some) for c in columns]]
-        return pa.table([*kept.columns[:-1], *columns], names=names)
+        return pa.table([*kept.columns[:-2], *columns], names=names)
 
     return run
 
@@ -226,12 +261,16 @@ def score_words(
     chunk_words: int = CHUNK_WORDS,
     buckets: int | None = None,
 ) -> DataFrame:
-    """The columns of ``df`` but the text, n_words, word_loss_target, word_loss_background, word_score."""
+    """The columns of ``df`` but the text, n_words, loss_target, loss_background, score."""
     targets = narrow_ids(target_ids.select(F.col("id").alias("__target")).filter("__target IS NOT NULL").distinct())
     kept = [c for c in df.columns if c != text_col]
     docs = df.join(targets, df[id_col] == targets["__target"], "left")
     docs = docs.select(*[df[c] for c in kept], df[text_col], F.col("__target").isNotNull().alias("__is_target"))
     buckets = buckets or bucket_count(df, text_col)
     schema = T.StructType([*[df.schema[c] for c in kept], T.StructField(FIELDS[0], T.LongType()), *[T.StructField(f, T.DoubleType()) for f in FIELDS[1:]]])
-    answers = docs.mapInArrow(_asked(order, buckets, chunk_words), ROW).groupBy("bucket").applyInArrow(_answered, ROW)
-    return answers.groupBy("chunk").applyInArrow(_scored(order, smoothing, schema.names), schema)
+    asked = docs.mapInArrow(_asked(order, buckets, chunk_words), ROW)
+    names = [*(f.split()[0] for f in ANSWER.split(", "))]
+    answers = materialize(asked.groupBy("bucket").applyInArrow(_answered(names), ANSWER), "word-totals")
+    facts = answers.agg(*[F.coalesce(F.sum(f), F.lit(0)).alias(f) for f in FACTS]).first()
+    score = _scored(order, smoothing, buckets, (facts["n"], facts["n_target"]), facts["words"], schema.names)
+    return answers.filter("chunk IS NOT NULL").drop(*FACTS).groupBy("chunk").applyInArrow(score, schema)

@@ -213,12 +213,11 @@ def test_scores_without_targets_or_documents(spark):
     assert lmscore.score_documents(df.limit(0), none).count() == 0
 
 
-def test_registered_query_equals_brute_force(spark):
-    from scanpress.llm.queries import QUERIES
-
+def test_unit_scores_of_a_table_equal_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").filter(F.col("quality") == 1).collect()}
-    got = {r.doc_id: r.score for r in QUERIES["op7_lm_scoring"](spark, sf).collect()}
+    ids = spark.createDataFrame([(d,) for d in good], "id long")
+    got = {r.doc_id: r.score for r in lmscore.score_documents(spark.read.parquet(f"{sf}/documents.parquet"), ids).collect()}
     for doc, _, _, _, score in _brute_scores(docs, good):
         assert got[doc] == pytest.approx(score, abs=1e-8)

@@ -55,10 +55,28 @@ def test_registered_query_scores_words_whose_counts_grow(spark):
     good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").filter(F.col("quality") == 1).collect()}
     got = {r.doc_id: r for r in QUERIES["op7_lm_scoring"](spark, sf).collect()}
     for doc, n, _, _, score in _brute_word_scores(docs, good):
-        assert got[doc].n_words == n and (got[doc].word_score == pytest.approx(score, abs=1e-8) if n else got[doc].word_score is None)
+        assert got[doc].n_words == n and (got[doc].score == pytest.approx(score, abs=1e-8) if n else got[doc].score is None)
     # What is gathered follows the corpus: the keys of all documents far outnumber those of a tenth.
     split, keys = [(t or "").lower().split() for _, t in docs], []
     for part in (split[::10], split):
         known, numbers = np.unique(wordlm.word_hashes([w for own in part for w in own]), return_inverse=True)
         keys.append(len(wordlm.keys_of(known, numbers, np.array([len(own) for own in part]), wordlm.ORDER)[0]))
     assert keys[1] > 4 * keys[0]
+
+
+def test_a_very_long_text_and_hot_words_are_scored_whole(spark):
+    long = " ".join(f"w{k % 5000} the" for k in range(200_000))
+    docs = [(1, long), (2, "the " * 50_000), *[(k, "the same copy") for k in range(3, 400)]]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    ids = spark.createDataFrame([(2,), (7,)], "id long")
+    got = {r.doc_id: r for r in wordlm.score_words(df, ids, chunk_words=1000, buckets=64).collect()}
+    for doc, n, t, b, score in _brute_word_scores(docs, {2, 7}):
+        assert tuple(got[doc]) == (doc, n, pytest.approx(t, abs=1e-8), pytest.approx(b, abs=1e-8), pytest.approx(score, abs=1e-8))
+
+
+def test_a_chunk_sends_no_row_for_buckets_it_does_not_touch(spark):
+    """Rows follow the keys, not chunks times buckets."""
+    df = spark.createDataFrame([(k, "a b", False) for k in range(40)], "doc_id long, text string, t boolean").repartition(2)
+    rows = df.mapInArrow(wordlm._asked(2, 10_000, 2), wordlm.ROW)
+    assert rows.filter("docs IS NULL").groupBy("chunk").count().agg({"count": "max"}).first()[0] <= 5  # a, b, start, two grams
+    assert rows.filter("docs IS NOT NULL").count() == 40
