@@ -43,22 +43,20 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanpress.llm.common import materialize
 from scanpress.llm.lmscore import narrow_ids
 
 ORDER, SMOOTHING = 2, 8.0
 CHUNK_WORDS = 1 << 18
-BUCKET_BYTES, LEAST_BUCKETS = 8 << 20, 32
+BUCKET_BYTES, LEAST_BUCKETS = 4 << 20, 32
 CACHE_WORDS = 200_000
 DIGITS = 9
 FIELDS = ("n_words", "loss_target", "loss_background", "score")
 ROW = "chunk long, bucket int, keys binary, counts binary, docs binary"
-FACTS = ("n", "n_target", "words")  # a bucket's share of N in both models and of V
-ANSWER = ROW + "".join(f", {f} long" for f in FACTS)
 
 _HASHES: dict[str, int] = {}
 
@@ -118,12 +116,13 @@ def keys_of(known: np.ndarray, numbers: np.ndarray, lengths: np.ndarray, order:
 
 
 def _pack(counts: np.ndarray, width: int = 8) -> bytes:
-    """Integers as byte planes, which compress well."""
-    return counts.astype(f"<u{width}").reshape(-1).view(np.uint8).reshape(-1, width).T.tobytes()
+    """Integers as compressed byte planes."""
+    planes = counts.astype(f"<u{width}").reshape(-1).view(np.uint8).reshape(-1, width).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def _unpack(data: bytes, rows: int, width: int = 8) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(width, -1)
     return np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(rows, -1).astype(np.int64)
 
 
@@ -163,8 +162,9 @@ def _asked(order: int, buckets: int, chunk_words: int):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, part.schema) as writer:
             writer.write_table(part)
+        home = int(_mixed(np.array([chunk], np.uint64), np.zeros(1, np.uint64))[0]) % buckets  # chunk numbers share their low bits
         packed.append((known.tobytes(), _pack(numbers, 4), sink.getvalue().to_pybytes()))
-        columns = [pa.array([chunk] * len(packed), pa.int64()), pa.array([*own, chunk % buckets], pa.int32())]
+        columns = [pa.array([chunk] * len(packed), pa.int64()), pa.array([*own, home], pa.int32())]
         columns += [pa.array(c, pa.binary()) for c in zip(*packed, strict=True)]
         yield pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "keys", "counts", "docs"])
 
@@ -188,7 +188,7 @@ def _asked(order: int, buckets: int, chunk_words: int):
 
 
 def _answered(names: list[str]):
-    """A bucket's requests with the totals of the keys that others hold too, its documents' rows and its facts."""
+    """A bucket's requests with the totals of the keys that other chunks hold too, and its documents' rows."""
 
     def run(table: pa.Table) -> pa.Table:
         is_request = table.column("docs").is_null()
@@ -206,18 +206,31 @@ def _answered(names: list[str]):
             first += len(k)
             some = shared[places]
             if some.any():
-                found.append((chunk, np.packbits(some).tobytes(), _pack(totals[:, places[some]]), None, None, None, None))
-        found += [(r["chunk"], r["keys"], r["counts"], r["docs"], None, None, None) for r in docs.to_pylist()]
-        units = (keys & np.uint64(1)).astype(bool) & (totals[0] > 0)
-        found.append((None, None, None, None, *totals[:2, units].sum(axis=1).tolist(), int(units.sum())))
-        chunk, key, counts, doc, *facts = zip(*found, strict=True)
-        columns = [pa.array(chunk, pa.int64()), pa.array([table.column("bucket")[0].as_py()] * len(found), pa.int32())]
-        columns += [pa.array(c, pa.binary()) for c in (key, counts, doc)] + [pa.array(c, pa.int64()) for c in facts]
-        return pa.table(columns, names=names)
+                found.append((chunk, np.packbits(some).tobytes(), _pack(totals[:, places[some]]), None))
+        answers = pa.table(
+            [
+                pa.array([f[0] for f in found], pa.int64()),
+                pa.array([table.column("bucket")[0].as_py()] * len(found), pa.int32()),
+                *[pa.array([f[k] for f in found], pa.binary()) for k in (1, 2, 3)],
+            ],
+            names=names,
+        )
+        return pa.concat_tables([answers, docs.rename_columns(names).cast(answers.schema)])
 
     return run
 
 
+def _word_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each batch (text, is_target): its distinct words' keys, and a row without key with its numbers of words."""
+    for batch in batches:
+        held = [word_hashes((text.as_py() or "").lower().split()) for text in batch.column(0)]
+        lengths = np.array([len(w) for w in held], np.int64)
+        flags = batch.column(1).to_numpy(zero_copy_only=False)
+        keys = _distinct(np.concatenate(held or [np.empty(0, np.uint64)]))[0].view(np.int64)
+        n = [np.append(np.zeros(len(keys), np.int64), x) for x in (lengths.sum(), lengths[flags].sum())]
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(keys, 0), mask=np.arange(len(keys) + 1) == len(keys)), *map(pa.array, n)], names=["key", "n", "n_target"])
+
+
 def _scored(order: int, smoothing: float, buckets: int, tokens: tuple[int, int], words: int, names: list[str]):
     """A chunk's documents with their losses."""
 
@@ -269,8 +282,10 @@ def score_words(
     buckets = buckets or bucket_count(df, text_col)
     schema = T.StructType([*[df.schema[c] for c in kept], T.StructField(FIELDS[0], T.LongType()), *[T.StructField(f, T.DoubleType()) for f in FIELDS[1:]]])
     asked = docs.mapInArrow(_asked(order, buckets, chunk_words), ROW)
-    names = [*(f.split()[0] for f in ANSWER.split(", "))]
-    answers = materialize(asked.groupBy("bucket").applyInArrow(_answered(names), ANSWER), "word-totals")
-    facts = answers.agg(*[F.coalesce(F.sum(f), F.lit(0)).alias(f) for f in FACTS]).first()
-    score = _scored(order, smoothing, buckets, (facts["n"], facts["n_target"]), facts["words"], schema.names)
-    return answers.filter("chunk IS NOT NULL").drop(*FACTS).groupBy("chunk").applyInArrow(score, schema)
+    names = [f.split()[0] for f in ROW.split(", ")]
+    answers = asked.groupBy("bucket").applyInArrow(_answered(names), ROW)
+    words = docs.select(text_col, "__is_target").mapInArrow(_word_facts, "key long, n long, n_target long")
+    words = words.groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    n, n_target, distinct = words.agg(F.sum("n"), F.sum("n_target"), F.count("key")).first()
+    score = _scored(order, smoothing, buckets, (n or 0, n_target or 0), distinct, schema.names)
+    return answers.groupBy("chunk").applyInArrow(score, schema)
