@@ -17,11 +17,13 @@ goes to the driver or to every task:
    chunk's distinct words, contexts and grams (64-bit hashes) with their counts
    are sorted and dealt by hash range to buckets, one row per chunk and bucket
    that holds any of its keys: never more rows than keys, so rows and bytes grow
-   in proportion to the text;
+   in proportion to the text.  The chunk's documents, as word numbers, go to a file
+   in the shared folder and are not shuffled; a row names file and place;
 2. a bucket adds the chunks' counts up and answers with the totals of those keys
    that two or more chunks hold (of all others a chunk knows the totals); it also
    gives its share of N and V.  The answers are written as a table;
-3. a chunk's answers meet its documents, kept as word numbers.
+3. a chunk's answers meet its documents.  A task that runs again writes a file of
+   its own, so a row always names whole data.
 
 Buckets are as many as keep ``BUCKET_BYTES`` of text for each; a key is one
 entry per chunk in its bucket, however frequent it is.
@@ -39,6 +41,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -48,10 +51,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scanpress.llm.common import file_system, scratch_uri
 from scanpress.llm.lmscore import narrow_ids
 
 ORDER, SMOOTHING = 2, 8.0
-CHUNK_WORDS = 1 << 18
+CHUNK_WORDS = 1 << 20
 BUCKET_BYTES, LEAST_BUCKETS = 4 << 20, 32
 CACHE_WORDS = 200_000
 DIGITS = 9
@@ -148,10 +152,17 @@ def _cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1))
 
 
-def _asked(order: int, buckets: int, chunk_words: int):
-    """Rows of (kept columns, text, is_target) to the requests and the documents of each chunk."""
+def _stream(rows: pa.Table | pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as writer:
+        writer.write(rows)
+    return sink.getvalue().to_pybytes()
 
-    def rows_of(chunk: int, kept: pa.RecordBatch, flags: np.ndarray, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+
+def _asked(order: int, buckets: int, chunk_words: int, folder: str):
+    """Rows of (kept columns, text, is_target) to the requests of each chunk and the place of its documents."""
+
+    def rows_of(chunk: int, name: str, sink: pa.NativeFile, kept: pa.RecordBatch, flags: np.ndarray, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         lengths = np.array([len(w) for w in held], np.int64)
         known, numbers = _distinct(np.concatenate(held))
         keys, at = keys_of(known, numbers, lengths, order)
@@ -159,11 +170,11 @@ def _asked(order: int, buckets: int, chunk_words: int):
         own = np.flatnonzero(np.diff(cuts)).tolist()
         packed = [(_pack_keys(keys[cuts[b] : cuts[b + 1]]), _pack(sums[:, cuts[b] : cuts[b + 1]], 4), None) for b in own]
         part = pa.Table.from_batches([kept]).append_column("", pa.array(flags)).append_column("", pa.array(lengths))
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, part.schema) as writer:
-            writer.write_table(part)
+        held_rows = pa.record_batch([[known.tobytes()], [_pack(numbers, 4)], [_stream(part)]], names=["known", "numbers", "docs"])
+        data, first = _stream(held_rows), sink.tell()
+        sink.write(data)
         home = int(_mixed(np.array([chunk], np.uint64), np.zeros(1, np.uint64))[0]) % buckets  # chunk numbers share their low bits
-        packed.append((known.tobytes(), _pack(numbers, 4), sink.getvalue().to_pybytes()))
+        packed.append((None, None, f"{name} {first} {len(data)}".encode()))
         columns = [pa.array([chunk] * len(packed), pa.int64()), pa.array([*own, home], pa.int32())]
         columns += [pa.array(c, pa.binary()) for c in zip(*packed, strict=True)]
         yield pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "keys", "counts", "docs"])
@@ -171,8 +182,12 @@ def _asked(order: int, buckets: int, chunk_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        chunk = TaskContext.get().partitionId() << 33
+        chunk, sink, (fs, root) = TaskContext.get().partitionId() << 33, None, file_system(folder)
+        name = f"chunks-{chunk >> 33:06d}-{uuid4().hex}"
         for batch in batches:
+            if sink is None:
+                fs.create_dir(root, recursive=True)
+                sink = fs.open_output_stream(f"{root}/{name}", compression=None)
             texts = batch.column(batch.num_columns - 2)
             flags = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.float64)
             kept = batch.select(list(range(batch.num_columns - 2)))
@@ -181,8 +196,10 @@ def _asked(order: int, buckets: int, chunk_words: int):
                 held.append(word_hashes((text.as_py() or "").lower().split()))
                 n += len(held[-1])
                 if n >= chunk_words or k + 1 == len(texts):
-                    yield from rows_of(chunk, kept.slice(first, k + 1 - first), flags[first : k + 1], held)
+                    yield from rows_of(chunk, name, sink, kept.slice(first, k + 1 - first), flags[first : k + 1], held)
                     chunk, first, held, n = chunk + 1, k + 1, [], 0
+        if sink is not None:
+            sink.close()  # before the task ends: Spark keeps its rows only then
 
     return run
 
@@ -231,15 +248,18 @@ def _word_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.append(keys, 0), mask=np.arange(len(keys) + 1) == len(keys)), *map(pa.array, n)], names=["key", "n", "n_target"])
 
 
-def _scored(order: int, smoothing: float, buckets: int, tokens: tuple[int, int], words: int, names: list[str]):
+def _scored(order: int, smoothing: float, buckets: int, tokens: tuple[int, int], words: int, folder: str, names: list[str]):
     """A chunk's documents with their losses."""
 
     def run(table: pa.Table) -> pa.Table:
         is_answer = table.column("docs").is_null()
-        doc, answers = table.filter(pc.invert(is_answer)).to_pylist()[0], table.filter(is_answer)
+        place, answers = table.filter(pc.invert(is_answer)).column("docs")[0].as_py().decode().split(), table.filter(is_answer)
+        fs, root = file_system(folder)
+        with fs.open_input_file(f"{root}/{place[0]}") as file:
+            doc = pa.ipc.open_stream(file.read_at(int(place[2]), int(place[1]))).read_all().to_pylist()[0]
         kept = pa.ipc.open_stream(doc["docs"]).read_all()
         flags, lengths = (kept.column(kept.num_columns - k).to_numpy() for k in (2, 1))
-        keys, at = keys_of(np.frombuffer(doc["keys"], np.uint64), _unpack(doc["counts"], 1, 4)[0], lengths, order)
+        keys, at = keys_of(np.frombuffer(doc["known"], np.uint64), _unpack(doc["numbers"], 1, 4)[0], lengths, order)
         totals, cuts = _counts(at, flags, lengths, len(keys)), _cuts(keys, buckets)
         for b, mask, c in zip(*(answers.column(name).to_pylist() for name in ("bucket", "keys", "counts")), strict=True):
             some = np.unpackbits(np.frombuffer(mask, np.uint8), count=int(cuts[b + 1] - cuts[b]))
@@ -281,11 +301,12 @@ def score_words(
     docs = docs.select(*[df[c] for c in kept], df[text_col], F.col("__target").isNotNull().alias("__is_target"))
     buckets = buckets or bucket_count(df, text_col)
     schema = T.StructType([*[df.schema[c] for c in kept], T.StructField(FIELDS[0], T.LongType()), *[T.StructField(f, T.DoubleType()) for f in FIELDS[1:]]])
-    asked = docs.mapInArrow(_asked(order, buckets, chunk_words), ROW)
+    folder = scratch_uri(df.sparkSession, "word-chunks")
+    asked = docs.mapInArrow(_asked(order, buckets, chunk_words, folder), ROW)
     names = [f.split()[0] for f in ROW.split(", ")]
     answers = asked.groupBy("bucket").applyInArrow(_answered(names), ROW)
     words = docs.select(text_col, "__is_target").mapInArrow(_word_facts, "key long, n long, n_target long")
     words = words.groupBy("key").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
     n, n_target, distinct = words.agg(F.sum("n"), F.sum("n_target"), F.count("key")).first()
-    score = _scored(order, smoothing, buckets, (n or 0, n_target or 0), distinct, schema.names)
+    score = _scored(order, smoothing, buckets, (n or 0, n_target or 0), distinct, folder, schema.names)
     return answers.groupBy("chunk").applyInArrow(score, schema)

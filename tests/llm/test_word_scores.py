@@ -74,9 +74,9 @@ def test_a_very_long_text_and_hot_words_are_scored_whole(spark):
         assert tuple(got[doc]) == (doc, n, pytest.approx(t, abs=1e-8), pytest.approx(b, abs=1e-8), pytest.approx(score, abs=1e-8))
 
 
-def test_a_chunk_sends_no_row_for_buckets_it_does_not_touch(spark):
+def test_a_chunk_sends_no_row_for_buckets_it_does_not_touch(spark, tmp_dir):
     """Rows follow the keys, not chunks times buckets."""
     df = spark.createDataFrame([(k, "a b", False) for k in range(40)], "doc_id long, text string, t boolean").repartition(2)
-    rows = df.mapInArrow(wordlm._asked(2, 10_000, 2), wordlm.ROW)
+    rows = df.mapInArrow(wordlm._asked(2, 10_000, 2, f"file://{tmp_dir}/chunks"), wordlm.ROW)
     assert rows.filter("docs IS NULL").groupBy("chunk").count().agg({"count": "max"}).first()[0] <= 5  # a, b, start, two grams
     assert rows.filter("docs IS NOT NULL").count() == 40
