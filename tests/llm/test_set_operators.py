@@ -65,13 +65,26 @@ def _padding(lengths, bounds):
     return sum(min(b for b in bounds if b >= n) - n for n in lengths)
 
 
+def _histogram(lengths):
+    return np.unique(np.array(lengths, np.int64), return_counts=True)
+
+
+def _least_padding(lengths, buckets):
+    """The plain dynamic program, every pair of bounds tried."""
+    tops, counts = _histogram(lengths)
+    docs = np.concatenate([[0], np.cumsum(counts)])
+    cost = [0] + [math.inf] * len(tops)
+    for _ in range(buckets):
+        cost = [0] + [min(cost[i] + int(tops[j - 1] * (docs[j] - docs[i])) for i in range(j)) for j in range(1, len(tops) + 1)]
+    return cost[-1] - sum(lengths)
+
+
 def test_bounds_are_optimal():
     rng = random.Random(1)
     for _ in range(40):
         lengths = [rng.randint(0, 30) for _ in range(rng.randint(1, 25))]
         k = rng.randint(1, 4)
-        histogram = sorted((n, c, n * c) for n, c in Counter(lengths).items())
-        bounds = packing.optimal_bounds(histogram, k)
+        bounds = packing.optimal_bounds(*_histogram(lengths), k)
         tops = sorted(set(lengths))
         best = min(_padding(lengths, [*c, tops[-1]]) for c in itertools.combinations(tops, min(k, len(tops)) - 1))
         assert len(bounds) <= k and _padding(lengths, bounds) == best
@@ -98,11 +111,21 @@ def test_batches_hold_the_budget(spark):
 
 def test_registered_packing_has_the_least_padding(spark):
     rows = QUERIES["op3_packing"](spark, SF).collect()
-    histogram = sorted((n, c, n * c) for n, c in Counter(r.n_tokens for r in rows).items())
-    bounds = packing.optimal_bounds(histogram, packing.BUCKETS)
-    exact = max(r.n_tokens for r in rows) <= packing.EXACT
-    got = sum(r.padding for r in rows)
-    assert got == _padding([r.n_tokens for r in rows], bounds) if exact else got <= 1.02 * _padding([r.n_tokens for r in rows], bounds)
+    lengths = [r.n_tokens for r in rows]
+    assert sum(r.padding for r in rows) == _least_padding(lengths, packing.BUCKETS)
+
+
+def test_bounds_are_optimal_at_every_length(spark):
+    lengths = [10_000] * 1000 + [10_111] + [5_000] * 10 + [20_000] * 10
+    df = spark.createDataFrame([(k, n) for k, n in enumerate(lengths)], "doc_id long, n long")
+    packed = packing.pack(df, n_tokens=F.col("n"), buckets=4)
+    assert packed.agg(F.sum("padding")).first()[0] == 0
+    rng = np.random.default_rng(3)
+    for spread in (20, 400, 1 << 40):
+        lengths = [int(n) for n in rng.integers(4000, 4000 + spread, 300)]
+        for k in (1, 2, 5, 16):
+            bounds = packing.optimal_bounds(*_histogram(lengths), k)
+            assert len(bounds) <= k and _padding(lengths, bounds) == _least_padding(lengths, k)
 
 
 # ---------------------------------------------------------------- Jaccard join
