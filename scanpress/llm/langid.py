@@ -28,8 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scanpress.llm.common import materialize
 
 DIM = 1024
+TAIL, CEILING = 0.001, 0.2  # floors of the scores of known languages, see score_floors
 UNKNOWN = "und"
 HELD_ROWS = 1 << 15  # trigram vectors kept per Python worker (DIM bytes each)
 _IS_LETTER: list[np.ndarray] = []
@@ -185,13 +187,35 @@ def identify_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return identify(rows, "text", prototypes, dim).drop("text")
 
 
-def drop_unidentified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_score: float = 0.0, dim: int = DIM) -> DataFrame:
-    """The rows whose language is known (not ``und``) with a score of ``min_score`` or more, all columns kept."""
+def score_floors(scored: DataFrame, training: Column, tail: float = TAIL, ceiling: float = CEILING) -> dict[int, float]:
+    """size -> least score of a known language: half the ``tail`` quantile of the training rows' scores, at most ``ceiling``.
+
+    Sizes are powers of two of the letters (one row each, under 32); a size without training rows has no floor.
+    """
+    own = scored.filter(training & (F.col("__lang_pred") != UNKNOWN)).groupBy("__lang_size")
+    rows = own.agg(F.percentile_approx("__lang_score", F.lit(tail), F.lit(100_000)).alias("low")).collect()
+    return {r["__lang_size"]: min(r.low / 2, ceiling) for r in rows}
+
+
+def drop_unidentified(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", tail: float = TAIL, ceiling: float = CEILING, dim: int = DIM
+) -> DataFrame:
+    """The rows whose language is known, all columns kept.
+
+    A row goes if no letter is in its text (``und``) or its score lies below the floor of its size (:func:`score_floors`):
+    short texts score low in any language, so floors are learned per size.  ``tail`` and the halving are set so that a
+    clean text of a learned language stays.  Rows are scored once and written with their scores.  Without training rows
+    (an empty table) nothing is known and nothing stays.
+    """
     prototypes = train_prototypes(df.filter(fold(id_col) != 1), text_col, lang_col, dim)
-    names = {c.lower() for c in df.columns}
     marks = {"lang_pred": "__lang_pred", "score": "__lang_score"}
-    clash = {c: f"__own_{k}" for k, c in enumerate(df.columns) if c.lower() in marks}
-    rows = df.withColumnsRenamed(clash) if names & set(marks) else df
-    kept = identify(rows, clash.get(text_col, text_col), prototypes, dim)
-    kept = kept.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).drop(*marks)
-    return kept.withColumnsRenamed({v: k for k, v in clash.items()}).select(*df.columns)
+    plain = {c: f"__own_{k}" for k, c in enumerate(df.columns)}
+    scored = identify(df.withColumnsRenamed(plain), plain[text_col], prototypes, dim).withColumnsRenamed(marks)
+    letters = F.regexp_count(plain[text_col], F.lit(r"\p{L}"))
+    scored = materialize(scored.withColumn("__lang_size", F.length(F.bin(F.coalesce(letters, F.lit(0))))), "scored")
+    floors = score_floors(scored, (fold(plain[id_col]) != 1) & F.col(plain[lang_col]).isNotNull(), tail, ceiling)
+    least = F.lit(0.0)
+    for size, low in floors.items():
+        least = F.when(F.col("__lang_size") == size, F.lit(low)).otherwise(least)
+    kept = scored.filter((F.col("__lang_pred") != UNKNOWN) & (F.col("__lang_score") >= least))
+    return kept.select(*[F.col(v).alias(c) for c, v in plain.items()])

@@ -247,7 +247,20 @@ def write_warc(
 FACTS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def read_warc(index: DataFrame, path: str) -> DataFrame:
+READ_BYTES = 64 << 20
+
+
+def read_tasks(index: DataFrame, read_bytes: int = READ_BYTES) -> int:
+    """Tasks that read the indexed records, about ``read_bytes`` of records each.
+
+    Counted from the records' bytes: the index rows that are dealt out say nothing of them, so the number is fixed and
+    adaptive execution, which would merge tasks by the index's own bytes, leaves it.
+    """
+    total = index.agg(F.sum(F.col("n_bytes").cast("long"))).first()[0] or 0
+    return max(index.sparkSession.sparkContext.defaultParallelism, -(-total // read_bytes))
+
+
+def read_warc(index: DataFrame, path: str, read_bytes: int = READ_BYTES) -> DataFrame:
     """Every record of the indexed bundles, read frame by frame through the seek tables."""
     uri = qualified_uri(index.sparkSession, path)
 
@@ -275,7 +288,7 @@ def read_warc(index: DataFrame, path: str) -> DataFrame:
                     names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
                 )
 
-    frames = index.select("bundle", "frame").distinct().repartition("bundle", "frame").sortWithinPartitions("bundle", "frame")
+    frames = index.select("bundle", "frame").distinct().repartition(read_tasks(index, read_bytes), "bundle", "frame").sortWithinPartitions("bundle", "frame")
     return frames.mapInArrow(read, FACTS)
 
 

@@ -81,6 +81,21 @@ def test_warc_round_trip(spark, tmp_dir):
     assert headers["WARC-Record-ID"] == "<urn:page:2>" and block.endswith(other.encode()) and end == len(record[2])
 
 
+def test_warc_reading_keeps_its_tasks(spark, tmp_dir):
+    df = spark.createDataFrame([(k, "u", "x" * 5000 + str(k)) for k in range(64)], "page_id long, url string, html string")
+    index = warc.write_warc(df, f"{tmp_dir}/w", frame_bytes=900)
+    tasks = warc.read_tasks(index, 10_000)
+    assert tasks >= 33  # 64 records of more than 5000 bytes
+    used = warc.read_warc(index, f"{tmp_dir}/w", 10_000).groupBy(F.spark_partition_id()).count().count()
+    assert used > tasks // 2
+
+
+def test_warc_very_long_payload(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "u", "é" * 3_000_000), (2, "u", "é" * 3_000_000)], "page_id long, url string, html string")
+    rows = {r.page_id: r for r in warc.read_warc(warc.write_warc(df, f"{tmp_dir}/w"), f"{tmp_dir}/w").collect()}
+    assert [(rows[k].payload_bytes, rows[k].record_type, rows[k].refers_to) for k in (1, 2)] == [(6_000_000, "revisit", 2), (6_000_000, "response", None)]
+
+
 def test_warc_empty_table(spark, tmp_dir):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_warc(warc.write_warc(df, f"{tmp_dir}/w"), f"{tmp_dir}/w").count() == 0
@@ -158,6 +173,18 @@ def test_unidentified_rows_go_and_columns_stay(spark):
     assert sorted(r.doc_id for r in kept.collect()) in ([0, 3], [])  # [] when no training row falls outside the fold
 
 
+def test_noise_goes_and_clean_rows_stay(spark):
+    rng = np.random.default_rng(7)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    noise = ["".join(rng.choice([*letters, " "] if k % 2 else letters, 1500)) for k in range(60)]
+    rows = [(1_000_000 + k, t, None) for k, t in enumerate(noise)]
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r.doc_id for r in langid.drop_unidentified(both).select("doc_id").collect()}
+    clean = {r.doc_id for r in docs.filter("text RLIKE '\\\\p{L}'").select("doc_id").collect()}
+    assert kept == clean
+
+
 # ---------------------------------------------------------------- LM scoring
 
 
