@@ -23,6 +23,7 @@ def main(argv: list[str] | None = None) -> int:
     ext.add_argument("replies")
     ext.add_argument("out_dir")
     ext.add_argument("--existing", help="articles table of an earlier run; new names avoid its names")
+    ext.add_argument("--run-id", help="name of this run; repeated, it adds only what it had not committed (default: a new one)")
     ext.add_argument("--json", action="store_true", help="reply records are JSON lines (default Parquet)")
     ext.add_argument("--all-attempts", action="store_true", help="keep articles of every successful attempt, not the first")
 
@@ -49,7 +50,7 @@ def main(argv: list[str] | None = None) -> int:
 
         paths = run_extraction(
             spark, args.replies, args.out_dir, existing_names_path=args.existing,
-            replies_format="json" if args.json else "parquet", first_success_only=not args.all_attempts,
+            replies_format="json" if args.json else "parquet", first_success_only=not args.all_attempts, run_id=args.run_id,
         )
         print(json.dumps(paths))
     elif args.command == "corpus":

@@ -30,13 +30,32 @@ def prices_frame(spark: SparkSession, prices: dict[str, tuple[Decimal, Decimal]]
     return spark.createDataFrame(rows, PRICES_SCHEMA)
 
 
+def unique_prices(prices: DataFrame) -> DataFrame:
+    """One row per model of a price list: its prices, or nulls and ``ambiguous`` where the list gives several."""
+    pair = F.struct("input_cost_per_token", "output_cost_per_token")
+    low = F.min(pair)
+    each = prices.groupBy("model").agg(low.alias("low"), (low != F.max(pair)).alias("ambiguous"))
+    price = F.when(~F.col("ambiguous"), F.col("low"))
+    return each.select(
+        "model",
+        price["input_cost_per_token"].alias("input_cost_per_token"),
+        price["output_cost_per_token"].alias("output_cost_per_token"),
+        "ambiguous",
+    )
+
+
 def price_usage(usage: DataFrame, prices: DataFrame) -> DataFrame:
-    """JN-2: unit prices for every usage row; a model without a price gets ``UNKNOWN_MODEL``."""
-    priced = usage.join(prices, "model", "left")
+    """JN-2: unit prices for every usage row, which stays one row however often the list names its model.
+
+    A model without a price gets ``UNKNOWN_MODEL``, one listed with different prices ``AMBIGUOUS_PRICE`` and none of them.
+    """
+    priced = usage.join(unique_prices(prices), "model", "left")
     return priced.withColumn(
         "price_status",
-        F.when(F.col("input_cost_per_token").isNull(), F.lit("UNKNOWN_MODEL")).otherwise(F.lit("OK")),
-    )
+        F.when(F.col("ambiguous"), F.lit("AMBIGUOUS_PRICE"))
+        .when(F.col("input_cost_per_token").isNull(), F.lit("UNKNOWN_MODEL"))
+        .otherwise(F.lit("OK")),
+    ).drop("ambiguous")
 
 
 def _cost(tokens: str, price: str) -> F.Column:
@@ -89,10 +108,11 @@ def usd(amount: F.Column) -> F.Column:
 
 
 def total_cost(per_model: DataFrame) -> DataFrame:
-    """AG-2: the sum over all models, with its currency text."""
+    """AG-2: the sum over all models that have a price, with its currency text and the number of models that have none."""
     total = F.coalesce(F.sum("total_cost"), F.lit(0)).cast(MONEY_TYPE)
     return per_model.agg(
         F.sum("input_tokens").cast("long").alias("input_tokens"),
         F.sum("output_tokens").cast("long").alias("output_tokens"),
+        F.count_if(F.col("price_status") != "OK").alias("unpriced_models"),
         total.alias("total_cost"),
     ).withColumn("total_usd", usd(F.col("total_cost")))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scanpress.functions.markup import article_html
 from scanpress.functions.text import with_headline_slug
@@ -58,20 +59,27 @@ def run_extraction(
     replies_format: str = "parquet",
     prices=None,  # noqa: ANN001
     first_success_only: bool = True,
+    run_id: str | None = None,
 ) -> dict[str, str]:
-    """The transcription job end to end, written as tables under ``out_dir``.
+    """The transcription job end to end, added to the tables under ``out_dir``.
 
     * ``articles``: ``(file_name, html)`` plus article fields of each page's
       first successful attempt (all successful ones with
       ``first_success_only=False``), named against
-      the names already written (``existing_names_path``, a table with a
-      ``file_name`` column) so a rerun never overwrites;
+      the names already written (by earlier runs into ``out_dir``, and those
+      of ``existing_names_path``, a table with a ``file_name`` column);
     * ``quarantine``: failed replies with their reason;
     * ``cost``: tokens and exact cost per model, ``total_cost`` the sum;
     * ``summary``: pages done, replies, failures, articles.
 
-    Returns the paths written.
+    Each table is a ``CommitTable`` with a ``run_id`` column: runs accumulate,
+    and what an aborted run wrote stays invisible.  A run repeated under its
+    ``run_id`` adds only the tables it had not committed.  Returns the paths
+    of this run's rows; :func:`run_output` reads all runs.
     """
+    import uuid
+
+    from scanpress.sources.commits import CommitTable
     from scanpress.operators.audit import failure_reasons, run_summary
     from scanpress.operators.cost import cost_by_model, prices_frame, total_cost
     from scanpress.operators.filters import quarantine
@@ -82,7 +90,11 @@ def run_extraction(
     # Six outputs read the checked replies: the checks run once, and each
     # output then reads only its columns of that table.
     replies = materialize(with_reply_status(read_responses(spark, replies_path, replies_format)), "checked-replies")
-    existing = spark.read.parquet(existing_names_path).select("file_name") if existing_names_path else None
+    run_id = uuid.uuid4().hex if run_id is None else run_id
+    existing = _names_of_runs(spark, out_dir)
+    if existing_names_path:
+        others = spark.read.parquet(existing_names_path).select("file_name")
+        existing = others if existing is None else existing.unionByName(others)
     from scanpress.operators.attempts import first_successful_replies
 
     # Failed attempts are still quarantined and billed below.
@@ -103,6 +115,22 @@ def run_extraction(
     }
     paths = {}
     for name, frame in outputs.items():
-        paths[name] = f"{out_dir.rstrip('/')}/{name}"
-        frame.write.mode("overwrite").parquet(paths[name])
+        rows = frame.withColumn("run_id", F.lit(run_id))
+        out = CommitTable(spark, f"{out_dir.rstrip('/')}/{name}", rows.schema)
+        out.append(rows, run_id)
+        paths[name] = out.commits()[run_id]
     return paths
+
+
+def run_output(spark, out_dir: str, name: str) -> DataFrame | None:  # noqa: ANN001
+    """The rows of one output table of every committed run into ``out_dir``; None before the first."""
+    from scanpress.sources.commits import CommitTable
+
+    root = f"{out_dir.rstrip('/')}/{name}"
+    found = list(CommitTable(spark, root, T.StructType()).commits().values())
+    return CommitTable(spark, root, spark.read.parquet(found[0]).schema).read() if found else None
+
+
+def _names_of_runs(spark, out_dir: str) -> DataFrame | None:  # noqa: ANN001
+    articles = run_output(spark, out_dir, "articles")
+    return None if articles is None else articles.select("file_name")

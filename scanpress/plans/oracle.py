@@ -453,6 +453,7 @@ SQL: dict[str, str] = {
     "cost_by_model": w(USAGE, PRICES, COST) + "SELECT * FROM cost",
     "total_cost": w(USAGE, PRICES, COST) + """SELECT CAST(sum(input_tokens) AS BIGINT) AS input_tokens,
         CAST(sum(output_tokens) AS BIGINT) AS output_tokens,
+        count(*) FILTER (WHERE price_status <> 'OK') AS unpriced_models,
         CAST(coalesce(sum(total_cost), 0) AS DECIMAL(38,12)) AS total_cost,
         '$' || format('{:,.2f}', round_even(CAST(coalesce(sum(total_cost), 0) AS DECIMAL(38,12)), 2)) AS total_usd
         FROM cost""",

@@ -8,6 +8,8 @@ and read by the tasks of :func:`hidden_files`, so every file is seen once.
 
 from __future__ import annotations
 
+import re
+from datetime import datetime, timezone
 from fnmatch import fnmatchcase
 from functools import reduce
 from urllib.parse import quote
@@ -28,8 +30,53 @@ def spark_hides(name: str, folder: bool) -> bool:
     return name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
 
 
-def _roots(spark: SparkSession, folders: tuple[str, ...]) -> list[tuple]:
-    """The folders that the given paths or globs name, as rows of ``LISTED``."""
+def _arrow_uri(uri: str) -> str:
+    """The uri under the scheme by which Arrow knows its store."""
+    scheme, mark, rest = uri.partition("://")
+    return "s3" + mark + rest if scheme in ("s3a", "s3n") else uri
+
+
+def _arrow_opens(uri: str) -> bool:
+    from pyarrow import ArrowException
+    from pyarrow import fs as pafs
+
+    try:
+        pafs.FileSystem.from_uri(_arrow_uri(uri))
+    except (ArrowException, OSError):
+        return False
+    return True
+
+
+def _hadoop_hidden(jvm, fs, root, recursive: bool) -> list[tuple]:  # noqa: ANN001
+    """The files below ``root`` that Spark passes over, listed by Hadoop: for stores that Arrow cannot open.
+
+    The folders are listed and matched in the JVM, a glob per level; only hidden files come to Python.
+    """
+    found = {}
+
+    def add(status) -> None:  # noqa: ANN001
+        uri = status.getPath().toUri().toString()  # escaped
+        found[uri] = (uri, False, True, status.getLen(), datetime.fromtimestamp(status.getModificationTime() / 1000, timezone.utc))
+
+    level = re.sub(r"([*?\[\]{}\\])", r"\\\1", root.toString())
+    while True:
+        for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(level + "/{.*,_*,*._COPYING_}")) or []:
+            name, folder = status.getPath().getName(), status.isDirectory()
+            if not spark_hides(name, folder):
+                continue
+            if not folder:
+                add(status)
+            elif recursive:
+                below = fs.listFiles(status.getPath(), True)
+                while below.hasNext():
+                    add(below.next())
+        level += "/*"
+        if not recursive or not fs.globStatus(jvm.org.apache.hadoop.fs.Path(level + "/*")):
+            return list(found.values())
+
+
+def _roots(spark: SparkSession, folders: tuple[str, ...], recursive: bool) -> list[tuple]:
+    """The folders that the given paths or globs name, as rows of ``LISTED``; where Arrow has no file system, their hidden files."""
     rows = []
     for folder in folders:
         hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)  # noqa: SLF001 - Hadoop FS has no Python API
@@ -38,7 +85,11 @@ def _roots(spark: SparkSession, folders: tuple[str, ...]) -> list[tuple]:
             if status.isDirectory():
                 uri = status.getPath().toString()
                 uri = "file://" + uri.removeprefix("file:") if uri.startswith("file:/") else uri
-                rows.append((quote(uri, safe="/:@"), True, False, None, None))
+                uri = quote(uri, safe="/:@")
+                if _arrow_opens(uri):
+                    rows.append((uri, True, False, None, None))
+                else:
+                    rows += _hadoop_hidden(spark.sparkContext._jvm, fs, status.getPath(), recursive)  # noqa: SLF001
     return rows
 
 
@@ -53,7 +104,7 @@ def _expanded(rows: DataFrame, glob: str, recursive: bool) -> DataFrame:
         for pdf in batches:
             out = pdf[~pdf.is_dir].to_dict("records")
             for rec in pdf[pdf.is_dir].itertuples(index=False):
-                filesystem, root = pafs.FileSystem.from_uri(rec.uri)
+                filesystem, root = pafs.FileSystem.from_uri(_arrow_uri(rec.uri))
                 root = root.rstrip("/")
                 for info in filesystem.get_file_info(pafs.FileSelector(root, recursive=recursive)):
                     inner = info.path[len(root):].strip("/")
@@ -71,15 +122,24 @@ def _expanded(rows: DataFrame, glob: str, recursive: bool) -> DataFrame:
     return rows.mapInPandas(expand, LISTED)
 
 
+def _matches(uri: str, glob: str) -> Column:
+    """Whether the last part of the uri matches a glob of stars and literals."""
+    return F.url_decode(base_name(uri)).rlike("^" + ".*".join(re.escape(part) for part in glob.split("*")) + "$")
+
+
 def hidden_files(spark: SparkSession, *folders: str, glob: str = "*", recursive: bool = True) -> DataFrame:
     """Files below the folders that Spark's sources pass over, as ``(uri, length, mtime)``.
 
     Listed by the tasks through ``pyarrow.fs``: first the given folders, then
     each sub-folder with all it holds, dealt out by name.  Nothing but the
     given folders passes through the driver.  Not recursive: only files
-    directly in the folders.
+    directly in the folders.  A store that Arrow cannot open is listed by
+    Hadoop in the driver, hidden files only; their content cannot be read, so
+    a reader of content fails there if, and only if, it finds any.
     """
-    rows = spark.createDataFrame(_roots(spark, folders), LISTED).coalesce(1)
+    roots = _roots(spark, folders, recursive)
+    rows = spark.createDataFrame(roots, LISTED).repartition(max(len(roots), 1))
+    rows = rows.filter(F.col("is_dir") | _matches("uri", glob))
     rows = _expanded(rows, glob, recursive=False)
     if recursive:
         rows = rows.repartition(spark.sparkContext.defaultParallelism, "uri")
@@ -96,7 +156,7 @@ def _with_content(files: DataFrame) -> DataFrame:
         for pdf in batches:
             for i in range(len(pdf)):
                 one = pdf.iloc[i : i + 1]
-                filesystem, path = pafs.FileSystem.from_uri(one["uri"].iloc[0])
+                filesystem, path = pafs.FileSystem.from_uri(_arrow_uri(one["uri"].iloc[0]))
                 with filesystem.open_input_stream(path, compression=None) as stream:
                     yield one.assign(content=[stream.read()])
 

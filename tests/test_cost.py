@@ -35,3 +35,15 @@ def test_total_equals_sum_of_models_and_currency(spark):
 def test_bround_half_even(spark):
     df = spark.createDataFrame([(Decimal("0.125"),), (Decimal("0.135"),)], "x decimal(38,12)")
     assert [r[0] for r in df.select(cost.usd(F.col("x"))).collect()] == ["$0.12", "$0.14"]
+
+
+def test_a_model_listed_twice_keeps_one_row(spark):
+    usage = spark.createDataFrame([("a", 3, 4), ("b", 5, 6), ("c", 1, 1)], "model string, input_tokens long, output_tokens long")
+    one, two = Decimal("0.000001"), Decimal("0.000002")
+    prices = spark.createDataFrame([("a", one, two), ("a", one, two), ("b", one, two), ("b", two, two)], cost.PRICES_SCHEMA)
+    priced = {r.model: r for r in cost.price_usage(usage, prices).collect()}
+    assert cost.price_usage(usage, prices).count() == 3
+    assert {m: r.price_status for m, r in priced.items()} == {"a": "OK", "b": "AMBIGUOUS_PRICE", "c": "UNKNOWN_MODEL"}
+    assert priced["a"].input_cost_per_token == one and priced["b"].input_cost_per_token is None
+    total = cost.total_cost(cost.cost_by_model(usage, prices)).first()
+    assert total.total_cost == 3 * one + 4 * two and total.unpriced_models == 2

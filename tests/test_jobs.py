@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from scanpress.plans import fixtures as fx
-from scanpress.plans.articles import run_extraction
+from scanpress.plans.articles import run_extraction, run_output
 from scanpress.plans.corpus import build_corpus
 from scanpress.plans.missing import missing_scan_report
 from scanpress.sources.sinks import write_files
@@ -28,7 +28,7 @@ def test_extraction_job_and_rerun_keeps_names_unique(spark, tmp_dir):
     total = spark.read.parquet(first["total_cost"]).collect()[0]
     assert total.total_cost == per_model.agg(F.sum("total_cost")).collect()[0][0]
 
-    # A second run into the same folder: every name must avoid the first run's names.
+    # A second run into another folder: every name must avoid the first run's names.
     second = run_extraction(spark, replies, os.path.join(tmp_dir, "run2"), existing_names_path=first["articles"])
     names1 = {r.file_name for r in arts1.select("file_name").collect()}
     names2 = {r.file_name for r in spark.read.parquet(second["articles"]).select("file_name").collect()}
@@ -36,6 +36,31 @@ def test_extraction_job_and_rerun_keeps_names_unique(spark, tmp_dir):
     assert all(name.rsplit("_", 1)[-1].removesuffix(".html").isdigit() for name in names2)
 
 
+def test_runs_accumulate_and_an_aborted_run_stays_invisible(spark, tmp_dir):
+    from scanpress.sources.commits import CommitTable
+
+    replies, out = os.path.join(tmp_dir, "replies"), os.path.join(tmp_dir, "out")
+    fx.responses(fx.read_table(spark, SF, "pages")).limit(40).write.parquet(replies)
+    first = run_extraction(spark, replies, out, run_id="monday")
+    before = spark.read.parquet(first["articles"]).collect()
+    second = run_extraction(spark, replies, out, run_id="tuesday")
+    both = run_output(spark, out, "articles")
+    assert both.count() == both.select("file_name").distinct().count() == 2 * len(before) > 0
+    assert sorted(spark.read.parquet(first["articles"]).collect()) == sorted(before)
+    assert {r.run_id for r in run_output(spark, out, "cost").collect()} == {"monday", "tuesday"}
+    # A run that died after its articles: repeated under its id, it adds the rest and no second copy of them.
+    for name in set(second) - {"articles"}:
+        CommitTable(spark, f"{out}/{name}", both.schema).drop(["tuesday"])
+    assert run_output(spark, out, "summary").count() == 1
+    again = run_extraction(spark, replies, out, run_id="tuesday")
+    assert again["articles"] == second["articles"] and run_output(spark, out, "articles").count() == 2 * len(before)
+    assert run_output(spark, out, "summary").count() == 2
+    # Rows without a commit are not seen.
+    both.write.parquet(f"{out}/articles/data-aborted")
+    assert run_output(spark, out, "articles").count() == 2 * len(before)
+    assert run_output(spark, os.path.join(tmp_dir, "none"), "articles") is None
+
+
 def test_corpus_job_with_sample_and_bad_names(spark, tmp_dir):
     docs = fx.article_docs(fx.doc_articles(fx.read_table(spark, SF, "documents")))
     bad = spark.createDataFrame([("gazette_1001.html", "<html><head></head><body>x</body></html>")], "file_name string, html string")

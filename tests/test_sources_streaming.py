@@ -55,6 +55,23 @@ def test_read_scans_flat_and_pruned(spark, tmp_dir):
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
 
 
+def test_a_store_arrow_cannot_open_is_listed_by_hadoop(spark, tmp_dir):
+    names = ["a_1001-001_x.html", "d/b_1-2_x.html", "_c_1-3.html", "d/.e_1-4.txt", "d/_f/g/h_1-5.html"]
+    for name in names:
+        os.makedirs(os.path.dirname(os.path.join(tmp_dir, "t", name)), exist_ok=True)
+        with open(os.path.join(tmp_dir, "t", name), "w") as fh:
+            fh.write(name)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.shelf.link./data", f"file://{tmp_dir}/t")
+    listed = sorted(r.file_name for r in list_article_names(spark, "viewfs://shelf/data").collect())
+    assert listed == sorted(n.rsplit("/", 1)[-1] for n in names)
+    assert [r.stem for r in read_scans(spark, "viewfs://shelf/data/d", with_content=False).collect() if r.stem[0] != "."] == ["b_1-2_x"]
+    os.makedirs(os.path.join(tmp_dir, "t", "plain"))
+    with open(os.path.join(tmp_dir, "t", "plain", "p_1-1_x.html"), "w") as fh:
+        fh.write("p")
+    assert [r.html for r in read_article_html(spark, "viewfs://shelf/data/plain").collect()] == ["p"]
+
+
 def test_names_spark_takes_for_hidden_are_read_and_listed_once(spark, tmp_dir):
     folder = os.path.join(tmp_dir, "a b%20c")
     names = ["_1001-001_x.html", ".1-2_y.html", "g_1001-001_x.html", "d/_k=1_1-1_z.html", "_d/e/é f_1-1_w.html",
