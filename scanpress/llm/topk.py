@@ -4,15 +4,18 @@ Largest inner products are nearest neighbours once every data vector gets one
 more component, ``sqrt(M - |x|^2)`` with M the largest squared norm, and every
 query a zero there.  In that space:
 
-1. a fixed number of data vectors are pivots; every row is assigned to its
-   nearest pivot (its Voronoi cell) with its distance, in one pass;
+1. the square root of the rows, 64 to 4096, is the number of data vectors that
+   are pivots; every row is assigned to its nearest pivot (its Voronoi cell)
+   with its distance, in one pass;
 2. a summary per cell (the k + 1 ids nearest to the pivot, each with its
-   smallest distance) is at most ``pivots * (k + 1)`` entries;
+   smallest distance, and the cell's rows and widest distances) is at most
+   ``pivots * (k + 2)`` entries;
 3. each query bounds the distance of its k-th neighbour from the summary and
    from the pivots, which are rows themselves;
 4. queries are grouped in blocks of at most ``BLOCK`` by neighbouring cells.
    By the triangle inequality a block needs of each cell only the rows whose
-   distance to the pivot lies in one interval, and only those are sent to it,
+   distance to the pivot lies in one interval, and only those are sent to it
+   (cells of more than ``SALT`` rows are joined to the intervals in parts),
    cut into slices of about ``SLICE`` rows, so no task holds more than a block
    and a slice, however large a cell is;
 5. each (block, slice) is solved with exact integer products in float64
@@ -30,6 +33,7 @@ empty result; extra columns are ignored.  Scores must fit 64 bits.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +42,8 @@ from pyspark.sql import functions as F
 
 from scanpress.llm.common import materialize
 
-PIVOTS, BLOCK, SLICE = 64, 2048, 8192
+FEWEST, MOST = 64, 4096  # pivots
+BLOCK, SLICE, SALT = 2048, 8192, 1 << 20
 RESULT = "query_id long, rank int, vec_id long, score long"
 
 
@@ -88,7 +93,7 @@ class _Space:
         return np.sqrt(np.maximum(_squared(v)[:, None] + self.largest - 2 * inner, 0))
 
 
-def _space(data: DataFrame, pivots: int) -> _Space | None:
+def _space(data: DataFrame, pivots: int | None) -> _Space | None:
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     widest = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
     facts = data.agg(F.max(square).alias("m"), F.max(F.size("v")).alias("dim"), F.max(widest).alias("w"), F.count(F.lit(1)).alias("n"))
@@ -96,6 +101,7 @@ def _space(data: DataFrame, pivots: int) -> _Space | None:
     if not facts.n:
         return None
     dim = max(facts.dim, 1)
+    pivots = pivots or min(max(isqrt(facts.n), FEWEST), MOST)
     rows = data.orderBy(F.xxhash64("id"), "id", "v").limit(pivots).collect()  # at most ``pivots`` rows
     seen: dict[tuple, int] = {}
     for row in rows:
@@ -120,7 +126,7 @@ def _cells(data: DataFrame, space: _Space) -> DataFrame:
 
 
 def _bounded_queries(queries: DataFrame, space: _Space, nearest: list[tuple[int, int, float]], k: int, margin: float) -> DataFrame:
-    """(id, v, cell, least, low, high): least score worth keeping, and per cell the interval of useful distances."""
+    """(id, v, cell, least, theta): least score worth keeping, and the distance within which the k nearest lie."""
     near_cells, near_ids = (np.array([n[j] for n in nearest], np.int64) for j in (0, 1))
     near_dists = np.array([n[2] for n in nearest], np.float64)
 
@@ -128,7 +134,7 @@ def _bounded_queries(queries: DataFrame, space: _Space, nearest: list[tuple[int,
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             v = _matrix(batch.column(1), space.dim)
-            far, cells, leasts, lows, highs = space.of_queries(v), [], [], [], []
+            far, cells, leasts, thetas = space.of_queries(v), [], [], []
             scores = _products(v, space.pivots, space.exact_double)
             for q, qid in enumerate(ids):
                 others = np.sort(scores[q][space.ids != qid])
@@ -139,26 +145,41 @@ def _bounded_queries(queries: DataFrame, space: _Space, nearest: list[tuple[int,
                 if least is not None:
                     own = float((v[q].astype(np.float64) ** 2).sum())
                     theta = min(theta, np.sqrt(max(own + space.largest - 2.0 * least, 0)))
-                theta += margin
                 cells.append(int(far[q].argmin()))
                 leasts.append(least)
-                lows.append(far[q] - theta)
-                highs.append(far[q] + theta)
+                thetas.append(theta + margin)
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,
                     pa.array(cells, pa.int32()),
                     pa.array(leasts, pa.int64()),
-                    pa.array(lows, pa.list_(pa.float64())),
-                    pa.array(highs, pa.list_(pa.float64())),
+                    pa.array(thetas, pa.float64()),
                 ],
-                names=["id", "v", "cell", "least", "low", "high"],
+                names=["id", "v", "cell", "least", "theta"],
             )
 
-    schema = "id long, v array<long>, cell int, least long, low array<double>, high array<double>"
+    schema = "id long, v array<long>, cell int, least long, theta double"
     return materialize(queries.mapInArrow(bound, schema), "queries")
 
 
+def _intervals(space: _Space, cells: dict[int, tuple[float, float]]):
+    """(block, cell, low, high): the distances to each pivot that a block's queries can use, of cells that hold any."""
+    held = np.array(sorted(cells), np.int64)
+    nearest, farthest = (np.array([cells[c][j] for c in sorted(cells)]) for j in (0, 1))
+
+    def run(asked: pa.Table) -> pa.Table:
+        low, high = np.full(len(held), np.inf), np.full(len(held), -np.inf)
+        for batch in asked.to_batches(max_chunksize=1024):
+            far = space.of_queries(_matrix(batch.column("v"), space.dim))[:, held]
+            theta = batch.column("theta").to_numpy(zero_copy_only=False)[:, None]
+            low, high = np.minimum(low, (far - theta).min(axis=0)), np.maximum(high, (far + theta).max(axis=0))
+        use = (low <= farthest) & (high >= nearest)
+        block = np.full(use.sum(), asked.column("block")[0].as_py(), np.int32)
+        return pa.table({"block": block, "cell": held[use].astype(np.int32), "low": low[use], "high": high[use]})
+
+    return run
+
+
 def _blocks(space: _Space, counts: dict[int, int], block: int) -> dict[int, tuple[int, int]]:
     """cell -> (first block, blocks): neighbouring cells share a block until it is full, a large cell gets several."""
     out, at, filled = {}, 0, 0
@@ -206,7 +227,9 @@ def _solve(k: int, dim: int, exact_double: bool):
     return run
 
 
-def voronoi_topk(data: DataFrame, queries: DataFrame, k: int = 5, pivots: int = PIVOTS, block: int = BLOCK, slice_rows: int = SLICE) -> DataFrame:
+def voronoi_topk(
+    data: DataFrame, queries: DataFrame, k: int = 5, pivots: int | None = None, block: int = BLOCK, slice_rows: int = SLICE, salt_rows: int = SALT
+) -> DataFrame:
     """query_id, rank, vec_id, score for ``data(id, v)`` and ``queries(id, v)`` of integer vectors."""
     spark = data.sparkSession
     space = _space(data, pivots)
@@ -227,12 +250,18 @@ def voronoi_topk(data: DataFrame, queries: DataFrame, k: int = 5, pivots: int =
     asked = asked.join(F.broadcast(blocks), "cell").withColumn(
         "block", F.col("at") + F.pmod(F.xxhash64("id"), F.col("n")).cast("int")
     )
-    asked = materialize(asked.select("id", "v", "least", "block", "low", "high"), "blocks")
-
-    each = asked.select("block", F.posexplode(F.arrays_zip("low", "high")).alias("cell", "b"))
-    bounds = each.groupBy("block", "cell").agg(F.min("b.low").alias("low"), F.max("b.high").alias("high"))
+    asked = materialize(asked.select("id", "v", "least", "theta", "block"), "blocks")
+
+    facts = cells.groupBy("cell").agg(F.min("dist").alias("near"), F.max("dist").alias("far"), F.count(F.lit(1)).alias("n")).collect()
+    reach = {r.cell: (r.near, r.far) for r in facts}  # one row per pivot
+    bounds = asked.groupBy("block").applyInArrow(_intervals(space, reach), "block int, cell int, low double, high double")
+    # A cell of many rows meets its intervals in parts.
+    sizes = {r.cell: -(-r.n // salt_rows) for r in facts}
+    parts = F.get(F.lit([sizes.get(c, 1) for c in range(len(space.pivots))]), F.col("cell"))
+    bounds = bounds.withColumn("part", F.explode(F.sequence(F.lit(0), parts.cast("int") - 1)))
+    rows = cells.withColumn("part", F.pmod(F.xxhash64("id", "v"), parts).cast("int"))
     useful: Column = F.col("dist").between(F.col("low"), F.col("high"))
-    sent = cells.join(bounds, "cell").filter(useful).select("block", "id", "v")
+    sent = rows.join(bounds, ["cell", "part"]).filter(useful).select("block", "id", "v")
     sent = materialize(sent, "sent")
     slices = sent.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(slice_rows)).cast("long").alias("slices"))
     sent = sent.join(slices, "block").withColumn("slice", F.pmod(F.xxhash64("id", "v"), F.col("slices")))

@@ -50,6 +50,21 @@ def test_topk_equals_brute_force(spark, pivots, block, slice_rows):
     assert {tuple(r) for r in found.collect()} == _brute_topk(exact, 5)
 
 
+def test_topk_with_most_rows_in_one_cell(spark):
+    rng = random.Random(9)
+    rows = [(i, [1.0 + rng.uniform(0, 0.02), 1.0]) for i in range(3000)] + [(5000 + i, [rng.uniform(-9, 9), rng.uniform(-9, 9)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    data = topk.quantised(df, "vec_id", "embedding")
+    found = topk.voronoi_topk(data, data.filter("id % 50 = 0"), 5, block=16, slice_rows=300, salt_rows=100)
+    assert {tuple(r) for r in found.collect()} == _brute_topk(rows, 5)
+
+
+def test_topk_pivots_grow_with_the_rows(spark):
+    data = spark.range(10_000).select("id", F.array("id").alias("v"))
+    assert len(topk._space(data, None).pivots) == 100
+    assert len(topk._space(data.limit(10), None).pivots) == 10
+
+
 def test_topk_of_few_and_no_rows(spark):
     df = spark.createDataFrame([(50, [1.0]), (3, [2.0])], "vec_id long, embedding array<float>")
     data = topk.quantised(df, "vec_id", "embedding")
