@@ -57,7 +57,7 @@ TRANSCRIPTS = T.StructType([*RESPONSES.fields, T.StructField("error", T.StringTy
 def transcribe_pages(
     requests: DataFrame,
     model_call: Callable[[dict[str, Any]], dict[str, Any]],
-    parallelism: int = 12,
+    parallelism: int | None = 12,
     attempt: int = 0,
     keys: tuple[str, ...] = ("page_id",),
 ) -> DataFrame:
@@ -69,7 +69,8 @@ def transcribe_pages(
     stops the batch.  ``keys`` are the columns that name the page.
 
     At most ``parallelism`` tasks call the model at once: partitions are
-    merged, which moves no data (requests carry whole images).  For many pages
+    merged, which moves no data (requests carry whole images); with None, the
+    caller runs no more of its partitions at once.  For many pages
     use :func:`scanpress.plans.transcription.transcribe_scans`, which commits
     the replies of a few calls per task before it asks for more.
     """
@@ -95,7 +96,7 @@ def transcribe_pages(
                 frame[col] = frame[col].astype("Int64")
             yield frame
 
-    return requests.coalesce(parallelism).mapInPandas(run, schema)
+    return (requests if parallelism is None else requests.coalesce(parallelism)).mapInPandas(run, schema)
 
 
 def observe_progress(df: DataFrame, name: str = "progress") -> tuple[DataFrame, Observation]:

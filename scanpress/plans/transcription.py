@@ -13,8 +13,8 @@ at most one micro-batch, and a lost task for ``calls_per_task`` scans.  A restar
 *Outputs* are commits too: a run adds the documents of pages whose good reply has none yet, named against all names
 written before; an earlier run's documents stay, an aborted run leaves nothing visible.
 
-The driver holds the paths of one micro-batch at a time; image bytes go from the file source to the model call in the
-same task, without a shuffle.
+A round is planned once; its micro-batches run a few partitions of that plan each.  Only paths are shuffled; image bytes
+are read, checked and sent to the model by one task, which writes its replies, and the driver commits them.
 """
 
 from __future__ import annotations
@@ -38,7 +38,8 @@ from scanpress.operators.ranking import materialize
 from scanpress.operators.requests import TRANSCRIPTS, build_requests, transcribe_pages
 from scanpress.plans.articles import article_documents
 from scanpress.sources.commits import CommitTable
-from scanpress.sources.files import read_files, read_scans
+from scanpress.session import qualified_uri
+from scanpress.sources.files import arrow_opens, read_files, read_listed, read_scans
 
 #: One row per scan and attempt: what the model answered, and what the checks say of it.
 LEDGER = T.StructType([
@@ -100,15 +101,18 @@ def frontier(scans: DataFrame, replies: DataFrame, attempt: int) -> DataFrame:
     return scans.select("path").join(replies.filter(settled).select("path"), "path", "left_anti")
 
 
-def _checked_replies(replies: DataFrame, damaged: DataFrame, attempt: int) -> DataFrame:
-    """Ledger rows of a micro-batch: the replies with their status, and the scans that no model was asked for."""
-    rows = with_reply_status(replies).select(*LEDGER.fieldNames())
+def _checked(replies: DataFrame) -> DataFrame:
+    """Ledger rows of the replies, with their status."""
+    return with_reply_status(replies).select(*LEDGER.fieldNames())
+
+
+def _unread(damaged: DataFrame, attempt: int) -> DataFrame:
+    """Ledger rows of the scans that no model was asked for."""
     nothing = [f for f in LEDGER.fields if f.name not in ("path", "page_id", "attempt", "status")]
-    unread = damaged.select(
+    return damaged.select(
         "path", "page_id", F.lit(attempt).alias("attempt"), F.concat(F.lit(INVALID), "damage").alias("status"),
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in nothing],
-    )
-    return rows.unionByName(unread)
+    ).select(*LEDGER.fieldNames())
 
 
 def transcribe_scans(
@@ -127,16 +131,20 @@ def transcribe_scans(
     listed = read_scans(spark, *scan_folders, with_content=False).select("path")
     scans = materialize(listed, "scan-paths")  # one listing for all rounds
     per_batch = parallelism * calls_per_task
+    direct = all(arrow_opens(qualified_uri(spark, f)) for f in (out_dir, *scan_folders))
     for attempt, model in enumerate(models):
         asked = materialize(frontier(scans, table.read(), attempt), f"frontier-{attempt}")
         n = asked.count()
         batches = -(-n // per_batch)
         if not batches:
             continue
+        run = uuid.uuid4().hex
+        if direct:
+            _ask_all(spark, table, asked, batches, f"{attempt}/{run}", attempt, model, model_call, prompt, system, parallelism)
+            continue
         # Each batch is read back by its number; sorted, most of the table's pages are skipped.
         dealt = asked.withColumn("batch", F.pmod(F.xxhash64("path"), F.lit(batches)).cast("int"))
         dealt = materialize(dealt.repartitionByRange("batch").sortWithinPartitions("batch"), f"batches-{attempt}")
-        run = uuid.uuid4().hex
         for batch in range(batches):
             paths = [r.path for r in dealt.filter(F.col("batch") == batch).collect()]  # about ``per_batch`` paths
             if paths:
@@ -144,26 +152,51 @@ def transcribe_scans(
     return table
 
 
+def _ask_all(
+    spark: SparkSession, table: CommitTable, asked: DataFrame, batches: int, key: str, attempt: int, model: str,
+    model_call: ModelCall, prompt: str, system: str | None, parallelism: int,
+) -> None:
+    """A round in one plan: a partition holds the calls of one task, a micro-batch runs ``parallelism`` of its partitions.
+
+    Planning a batch of its own and listing its files took longer than its calls.  Damaged scans need no call and are
+    entered first, in one commit.
+    """
+    damaged = valid_scans(_scan_bytes(read_listed(asked.repartition(spark.sparkContext.defaultParallelism, "path"))))
+    damaged = damaged.filter(~F.col("valid")).select("path", "page_id", "damage")
+    unread = materialize(_unread(damaged, attempt), f"unread-{attempt}")
+    if not unread.isEmpty():
+        table.append(unread, f"{key}/unread")
+    dealt = _scan_bytes(read_listed(asked.repartition(batches * parallelism, "path")))
+    replies = _replies(valid_scans(dealt), attempt, model, model_call, prompt, system, None)
+    folders = [f"data-{uuid.uuid4().hex}" for _ in range(batches)]
+    written = table.write_parts(_checked(replies), lambda partition: folders[partition // parallelism]).rdd
+    for batch, data in enumerate(folders):
+        parts = range(batch * parallelism, (batch + 1) * parallelism)
+        if spark.sparkContext.runJob(written, list, parts):
+            table.publish(f"{key}/{batch}", data)
+
+
 def _ask(
     spark: SparkSession, table: CommitTable, paths: list[str], key: str, attempt: int, model: str, model_call: ModelCall,
     prompt: str, system: str | None, parallelism: int,
 ) -> None:
-    """Check, request, call and commit one micro-batch."""
+    """Check, request, call and commit one micro-batch, read by Spark's file source: for stores that Arrow cannot open."""
     with _micro_batch(spark, parallelism):
-        table.append(_answers(spark, paths, attempt, model, model_call, prompt, system, parallelism), key)
-
-
-def _answers(
-    spark: SparkSession, paths: list[str], attempt: int, model: str, model_call: ModelCall, prompt: str, system: str | None,
-    parallelism: int,
-) -> DataFrame:
-    content = read_files(spark, paths)
-    scans = valid_scans(content.select("path", file_stem(base_name("path")).alias("page_id"), "content"))
-    whole = scans.filter(F.col("valid"))
-    requests = build_requests(whole, prompt, [model], system, keys=("path", "page_id"))
-    replies = transcribe_pages(requests, model_call, parallelism, attempt, keys=("path", "page_id"))
-    damaged = scans.filter(~F.col("valid")).select("path", "page_id", "damage")
-    return _checked_replies(replies, damaged, attempt)
+        scans = valid_scans(_scan_bytes(read_files(spark, paths)))
+        replies = _replies(scans, attempt, model, model_call, prompt, system, parallelism)
+        damaged = scans.filter(~F.col("valid")).select("path", "page_id", "damage")
+        table.append(_checked(replies).unionByName(_unread(damaged, attempt)), key)
+
+
+def _scan_bytes(content: DataFrame) -> DataFrame:
+    return content.select("path", file_stem(base_name("path")).alias("page_id"), "content")
+
+
+def _replies(
+    scans: DataFrame, attempt: int, model: str, model_call: ModelCall, prompt: str, system: str | None, parallelism: int | None
+) -> DataFrame:
+    requests = build_requests(scans.filter(F.col("valid")), prompt, [model], system, keys=("path", "page_id"))
+    return transcribe_pages(requests, model_call, parallelism, attempt, keys=("path", "page_id"))
 
 
 def good_replies(replies: DataFrame) -> DataFrame:

@@ -9,11 +9,14 @@ again (a replayed batch) changes nothing.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from scanpress.session import qualified_uri
+
 
 class CommitTable:
     """The committed appends below ``root``, on any file system Spark reaches."""
@@ -46,6 +49,36 @@ class CommitTable:
         self.publish(key, data)
         return True
 
+    def write_parts(self, rows: DataFrame, folder_of: Callable[[int], str]) -> DataFrame:
+        """A lazy frame that writes each partition's rows as one file into the folder its number is given, and tells the file.
+
+        Nothing is visible before :meth:`publish`.  A repeated task replaces its file as a whole.
+        """
+        uri = qualified_uri(self.spark, self.root)
+        typed = rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in self.schema.fields])
+
+        def write(batches):  # noqa: ANN001, ANN202
+            import pyarrow as pa
+            from pyarrow import fs as pafs
+            from pyarrow import parquet as pq
+            from pyspark import TaskContext
+
+            held = [batch for batch in batches if batch.num_rows]
+            if not held:
+                return
+            task = TaskContext.get()
+            number = task.partitionId()
+            filesystem, root = pafs.FileSystem.from_uri(uri)
+            folder = f"{root}/{folder_of(number)}"
+            filesystem.create_dir(folder, recursive=True)
+            # Readers pass over the name in progress.
+            part, begun = f"{folder}/part-{number:06d}.parquet", f"{folder}/_part-{number:06d}-{task.taskAttemptId()}"
+            pq.write_table(pa.Table.from_batches(held), begun, filesystem=filesystem)
+            filesystem.move(begun, part)
+            yield pa.RecordBatch.from_pydict({"file": [part]})
+
+        return typed.mapInArrow(write, "file string")
+
     def publish(self, key: str, data: str) -> None:
         """Make the folder ``data`` visible under the key."""
         self._fs.mkdirs(self._path(f"{self.root}/_commits"))

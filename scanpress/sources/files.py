@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from scanpress.functions.names import base_name, file_stem
 from scanpress.schemas import RESPONSES
 
+READ_AT_ONCE = 4 << 20
 LISTED = "uri string, is_dir boolean, hidden boolean, length long, mtime timestamp"
 
 
@@ -36,12 +37,12 @@ def _arrow_uri(uri: str) -> str:
     return "s3" + mark + rest if scheme in ("s3a", "s3n") else uri
 
 
-def _arrow_opens(uri: str) -> bool:
+def arrow_opens(uri: str) -> bool:
     from pyarrow import ArrowException
     from pyarrow import fs as pafs
 
     try:
-        pafs.FileSystem.from_uri(_arrow_uri(uri))
+        pafs.FileSystem.from_uri(_arrow_uri(quote(uri, safe="/:@%")))
     except (ArrowException, OSError):
         return False
     return True
@@ -86,7 +87,7 @@ def _roots(spark: SparkSession, folders: tuple[str, ...], recursive: bool) -> li
                 uri = status.getPath().toString()
                 uri = "file://" + uri.removeprefix("file:") if uri.startswith("file:/") else uri
                 uri = quote(uri, safe="/:@")
-                if _arrow_opens(uri):
+                if arrow_opens(uri):
                     rows.append((uri, True, False, None, None))
                 else:
                     rows += _hadoop_hidden(spark.sparkContext._jvm, fs, status.getPath(), recursive)  # noqa: SLF001
@@ -243,6 +244,33 @@ def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def read_listed(listed: DataFrame) -> DataFrame:
+    """(path, content) of the files named by ``path`` as a listing gave it, read by the tasks through ``pyarrow.fs``, a few
+    megabytes or one file in memory at a time; files gone since are left out.  Partitions stay as they are."""
+
+    def read(batches):  # noqa: ANN001, ANN202
+        import pandas as pd
+        from pyarrow import fs as pafs
+
+        for pdf in batches:
+            held, size = [], 0
+            for name in pdf["path"]:
+                filesystem, path = pafs.FileSystem.from_uri(_arrow_uri(_as_uri(name)))
+                try:
+                    with filesystem.open_input_stream(path, compression=None) as stream:
+                        held.append((name, stream.read()))
+                except FileNotFoundError:
+                    continue
+                size += len(held[-1][1])
+                if size >= READ_AT_ONCE:
+                    yield pd.DataFrame(held, columns=["path", "content"])
+                    held, size = [], 0
+            if held:
+                yield pd.DataFrame(held, columns=["path", "content"])
+
+    return listed.select("path").mapInPandas(read, "path string, content binary")
+
+
 def _as_uri(path: str) -> str:
     return quote("file://" + path.removeprefix("file:") if path.startswith("file:/") else path, safe="/:@")
 

@@ -109,6 +109,37 @@ def test_restart_repeats_no_committed_call(spark, tmp_dir, monkeypatch):
     assert again.read().count() == 9
 
 
+def test_round_is_planned_once_and_its_batches_are_bounded(spark, tmp_dir, monkeypatch):
+    png = image_files()["png"]
+    log = f"{tmp_dir}/log"
+    os.makedirs(log)
+    _scans(tmp_dir, {**{f"a/p_1-{k}.png": png for k in range(12)}, "a/p_1-x.png": png[:-1]})
+    plans, sizes, whole = [], [], CommitTable.publish
+    build = tr.build_requests
+    monkeypatch.setattr(tr, "build_requests", lambda *a, **k: plans.append(1) or build(*a, **k))
+
+    def counts(self, key, data):
+        whole(self, key, data)
+        if "/ledger" in self.root:
+            sizes.append(self.read([key]).count())
+
+    monkeypatch.setattr(CommitTable, "publish", counts)
+    out = _job(spark, tmp_dir, _model(log, [("m1", "1-3")]), "run", ("a",))
+    assert len(plans) == 2  # one per round, however many micro-batches it has
+    assert len(sizes) > 4 and sum(sizes) == 14
+    assert out["documents"].count() == 12 and out["progress"].first().calls == 13
+    assert {(r.page_id, r.reason) for r in out["failed"].collect()} == {("p_1-x", "INVALID_SCAN:truncated")}
+
+
+def test_stores_that_arrow_cannot_open_are_asked_batch_by_batch(spark, tmp_dir, monkeypatch):
+    log = f"{tmp_dir}/log"
+    os.makedirs(log)
+    _scans(tmp_dir, {"a/p_1-1.png": image_files()["png"], "a/p_1-2.png": image_files()["png"][:-1]})
+    monkeypatch.setattr(tr, "arrow_opens", lambda uri: False)
+    out = _job(spark, tmp_dir, _model(log), "run", ("a",))
+    assert out["documents"].count() == 1 and [r.reason for r in out["failed"].collect()] == ["INVALID_SCAN:truncated"]
+
+
 def test_no_scans_and_commit_table(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/a")
     out = _job(spark, tmp_dir, _model(tmp_dir), "empty", ("a",))
