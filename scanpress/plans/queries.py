@@ -485,7 +485,7 @@ def q_stream_named_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = scratch_path(spark, "named-batches")
     replies = fx.responses(_t(spark, sf_dir, "pages"))
     for attempt in range(4):
-        replies.withColumn("attempt", F.lit(attempt)).coalesce(1).write.mode("append").parquet(source)
+        replies.withColumn("attempt", F.lit(attempt)).repartition(1).write.mode("append").parquet(source)
     out, ckpt = scratch_path(spark, "stream-batches"), scratch_path(spark, "stream-batches-ckpt")
     stream_named_articles(spark, source, out, ckpt, max_files_per_trigger=1)
     return spark.read.parquet(out).select("file_name", "page_id", "attempt", "ordinal", "slug", "batch_id")

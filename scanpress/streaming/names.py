@@ -73,30 +73,43 @@ class Family:
 def with_names(articles: DataFrame, seed: DataFrame, order: tuple[str, ...] = ("ordinal", "model", "attempt")) -> DataFrame:
     """Add ``file_name`` to a stream of articles (``page_id``, ``slug``); ``seed.file_name`` are names taken before it."""
     base = F.concat("page_id", F.lit("_"), F.col("slug"))
-    out = T.StructType([*articles.schema.fields, T.StructField("file_name", T.StringType())])
-    columns, whole = articles.columns, [f.name for f in articles.schema.fields if isinstance(f.dataType, (T.IntegerType, T.LongType))]
-    rows = articles.withColumn("_base", base).withColumn("_taken", F.lit(None).cast("string"))
+    # Python takes time by family and column, so the texts that naming does not read go through it as one.
+    texts = [f.name for f in articles.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in order]
+    packed = articles.select(*[c for c in articles.columns if c not in texts], F.array(*texts).alias("_texts"), base.alias("_base"))
+    fields = [f for f in packed.schema.fields if f.name != "_base"]
+    out = T.StructType([*fields, T.StructField("file_name", T.StringType())])
+    columns, whole = [f.name for f in fields], [f.name for f in fields if isinstance(f.dataType, (T.IntegerType, T.LongType))]
+    rows = packed.withColumn("_taken", F.lit(None).cast("string"))
     taken = seed.filter(F.col("file_name").endswith(".html")).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in articles.schema.fields],
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields],
         F.lit(None).cast("string").alias("_base"),
         F.expr("left(file_name, length(file_name) - 5)").alias("_taken"),
     )
     keyed = rows.unionByName(taken).withColumn("_family", family(F.coalesce("_base", "_taken")))
 
     def name(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:  # noqa: ANN001
-        group = pd.concat(list(frames))
-        new = group[group["_taken"].isna()].sort_values(["_base", *order], kind="stable")
-        if key[0] is None:
-            new = new.assign(file_name=None)
-        else:
+        # Most families of a batch hold an article or two: every step on a frame that they need not take is left out.
+        parts = list(frames)
+        group = parts[0] if len(parts) == 1 else pd.concat(parts)
+        taken = group["_taken"].tolist()
+        new, others = group, [t for t in taken if t is not None]
+        if others:
+            new = group[group["_taken"].isna()]
+        if len(new) > 1:
+            new = new.sort_values(["_base", *order], kind="stable")
+        bases = new["_base"].tolist()
+        file_names = [None] * len(bases)
+        if key[0] is not None:
             names = Family(state.get[0] if state.exists else None)
-            for other in group["_taken"].dropna():
+            for other in others:
                 names.take(other[len(key[0]) :])
-            bases = new["_base"].tolist()
             counters = names.assign([b[len(key[0]) :] for b in bases])
-            new = new.assign(file_name=[f"{b}_{c}.html" if c else f"{b}.html" for b, c in zip(bases, counters, strict=True)])
+            file_names = [f"{b}_{c}.html" if c else f"{b}.html" for b, c in zip(bases, counters, strict=True)]
             state.update((names.save(),))
-        if len(new):
-            yield new[[*columns, "file_name"]].astype({c: "Int64" for c in whole})
+        if bases:
+            held = {c: new[c].astype("Int64") if c in whole else new[c] for c in columns}
+            yield pd.DataFrame({**held, "file_name": pd.Series(file_names, index=new.index, dtype=object)})
 
-    return keyed.groupBy("_family").applyInPandasWithState(name, out, STATE, "append", "NoTimeout")
+    named = keyed.groupBy("_family").applyInPandasWithState(name, out, STATE, "append", "NoTimeout")
+    unpacked = {c: F.get("_texts", F.lit(i)).alias(c) for i, c in enumerate(texts)}
+    return named.select(*[unpacked.get(c, F.col(c)) for c in articles.columns], "file_name")

@@ -164,7 +164,9 @@ def _source(spark: SparkSession, source_dir: str, fmt: str, max_files_per_trigge
     reader = spark.readStream.schema(RESPONSES)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(source_dir) if fmt == "json" else reader.parquet(source_dir)
+    replies = reader.json(source_dir) if fmt == "json" else reader.parquet(source_dir)
+    # A micro-batch may be one file, which one task reads; the checks and the extraction after it need every core.
+    return replies.repartition(spark.sparkContext.defaultParallelism)
 
 
 def _seed(spark: SparkSession, out_dir: str, checkpoint_dir: str, stream: str) -> str:

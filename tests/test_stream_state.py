@@ -84,3 +84,17 @@ def test_snapshots_stay_near_the_number_of_models(spark, tmp_dir):
     before = sorted(map(str, latest_costs(spark, out, prices_frame(spark)).collect()))
     stream_cost(spark, src, out, ckpt, max_files_per_trigger=1)
     assert sorted(map(str, latest_costs(spark, out, prices_frame(spark)).collect())) == before
+
+
+def test_a_batch_of_one_file_is_extracted_by_many_tasks(spark, tmp_dir):
+    from scanpress.plans import fixtures as fx
+    from scanpress.streaming.replies import _source
+
+    pages = spark.range(40).select(F.col("id").alias("page_id"), F.lit("<title>T</title><article><p>x</p></article>").alias("html"))
+    fx.responses(pages).coalesce(1).write.parquet(f"{tmp_dir}/in")
+    tasks = _source(spark, f"{tmp_dir}/in", "parquet", 1).select(F.spark_partition_id().alias("task"))
+    tasks.writeStream.format("parquet").option("path", f"{tmp_dir}/out").option("checkpointLocation", f"{tmp_dir}/ckpt").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    read = spark.read.parquet(f"{tmp_dir}/out")
+    assert read.count() == 40 and read.distinct().count() == min(spark.sparkContext.defaultParallelism, 40)
