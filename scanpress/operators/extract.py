@@ -85,6 +85,8 @@ def with_reply_status(responses: DataFrame) -> DataFrame:
 # Start and end tags of the elements extraction reads, in any case and with
 # any attributes.
 STRUCTURE_TAG = r"(?i)</?(?:article|headline|strapline|author_name|category|main)(?:[\s/][^>]*)?>"
+# Stands for a field that opens and closes; no tag begins with it.
+_PAIR = "+"
 ENTITY = r"&#?[a-zA-Z0-9]+;?"
 # Fixed value: the entities the regular path decodes.
 KNOWN_ENTITIES = ("&amp;", "&lt;", "&gt;", "&quot;", "&#39;", "&nbsp;")
@@ -98,44 +100,22 @@ def structure_tags(markup: Column | str) -> Column:
 def is_regular_markup(markup: Column | str, tags: Column | str | None = None) -> Column:
     """True when regular expressions read the markup exactly as a parser would.
 
-    One pass collects the structural tags; a fold over that short list then
-    checks, like a stack machine, that every tag is plain lower case, that
-    articles neither nest nor stay open, and that field elements open and
-    close inside one article without nesting.  A second pass checks that
+    One pass collects the structural tags; two replacements over what they
+    are together check that every tag is plain lower case, that articles
+    neither nest nor stay open, and that field elements open and close
+    inside one article without nesting.  A second pass checks that
     every reference-like ``&name`` is one of the decoded entities, written
     with its semicolon (anything else is left to the parser).
     """
     m = _c(markup)
-    # Pass a staged column as ``tags``: both checks below read it.
+    # Pass a staged column as ``tags``.
     tags = structure_tags(m) if tags is None else _c(tags)
-    plain = [f"<{t}>" for t in ("article", *FIELD_TAGS)] + [f"</{t}>" for t in ("article", *FIELD_TAGS)]
-    fields = [f"<{t}>" for t in FIELD_TAGS]
-
-    def step(state: Column, tag: Column) -> Column:
-        in_article, open_field, ok = state["a"], state["f"], state["ok"]
-        name = F.regexp_replace(tag, "[</>]", "")
-        is_open_field = tag.isin(*fields)
-        is_close = tag.startswith("</")
-        ok_now = (
-            F.when(tag == "<article>", ~in_article & (open_field == ""))
-            .when(tag == "</article>", in_article & (open_field == ""))
-            .when(is_open_field, in_article & (open_field == ""))
-            .when(is_close, open_field == name)
-            .otherwise(F.lit(False))
-        )
-        return F.struct(
-            F.when(tag == "<article>", F.lit(True)).when(tag == "</article>", F.lit(False)).otherwise(in_article).alias("a"),
-            F.when(is_open_field, name).when(is_close & (tag != "</article>"), F.lit("")).otherwise(open_field).alias("f"),
-            (ok & ok_now).alias("ok"),
-        )
-
-    zero = F.struct(F.lit(False).alias("a"), F.lit("").alias("f"), F.lit(True).alias("ok"))
-    structure = F.aggregate(
-        tags, zero, step, lambda s: s["ok"] & ~s["a"] & (s["f"] == "")
-    )
+    # Fields that open and close become a mark, then articles that hold nothing but marks vanish: what other tags there
+    # are, or pairs elsewhere, is left.
+    fields = F.regexp_replace(F.array_join(tags, ""), rf"<({'|'.join(FIELD_TAGS)})></\1>", _PAIR)
+    rest = F.regexp_replace(fields, rf"<article>\{_PAIR}*+</article>", "")
     checks = [
-        F.forall(tags, lambda t: t.isin(*plain)),
-        structure,
+        rest == "",
         F.forall(F.regexp_extract_all(m, F.lit(ENTITY), 0), lambda e: e.isin(*KNOWN_ENTITIES)),
         ~m.rlike(HIDING),
         # A "<" that opens no tag is text to a parser, and may pair with a later ">" in a regex.

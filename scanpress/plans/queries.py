@@ -23,6 +23,7 @@ from scanpress.operators import audit, cost, filters
 from scanpress.operators.binarize import binarize_scans, bytes_as_images
 from scanpress.operators.extract import extract_articles, with_reply_status
 from scanpress.operators.naming import name_offset, unique_names
+from scanpress.operators.ranking import materialize
 from scanpress.operators.requests import build_requests, observe_progress, transcribe_pages
 from scanpress.plans import fixtures as fx
 from scanpress.plans.articles import articles_from_replies, article_documents
@@ -171,7 +172,9 @@ def q_malformed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_malformed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SC-14 and FLT-2 over replies with stray markup and replies whose articles cannot be read."""
-    replies = with_reply_status(fx.malformed_responses(_t(spark, sf_dir, "pages")))
+    checked = with_reply_status(fx.malformed_responses(_t(spark, sf_dir, "pages")))
+    # Read twice below, parsed once.
+    replies = materialize(checked.select("page_id", "model", "attempt", "finish_reason", "status", "n_articles"), "checked-replies")
     aside = filters.quarantine(replies).select("page_id", "model", "attempt", "reason")
     return replies.select("page_id", "model", "attempt", "n_articles").join(aside, ["page_id", "model", "attempt"], "left")
 

@@ -107,3 +107,25 @@ def test_a_reply_that_cannot_be_read_is_set_aside_alone(spark):
         "p1": "PARSE_ERROR:ExpansionError", "p3": "NO_ARTICLES", "p4": "NON_STRING",
     }
     assert sorted((r.page_id, r.headline) for r in extract_articles(replies).collect()) == [("p0", "A"), ("p2", "Untitled")]
+
+
+def test_reading_ends_once_the_open_bodies_are_too_long(monkeypatch):
+    from scanpress.functions import tagsoup
+
+    read, whole = [], tagsoup.tokens
+    monkeypatch.setattr(tagsoup, "tokens", lambda *a: (read.append(1) or t for t in whole(*a)))
+    markup = "<article><main>" * 3000 + "x" + "</main></article>" * 10
+    with pytest.raises(tagsoup.ExpansionError):
+        tagsoup.read_articles(markup, ("headline",), "main")
+    assert len(read) < 3000  # of 6,021
+    # Within the bound, nested and shared bodies are all read.
+    markup = "<article><article><main>" * 50 + "x" + "</main></article></article>" * 50
+    rows = tagsoup.read_articles(markup, ("headline",), "main")
+    assert len(rows) == 100 and rows[0]["main"] == rows[1]["main"] and rows[99]["main"] == "x"
+
+
+def test_malformed_status_parses_replies_once(spark):
+    from scanpress.plans.queries import q_malformed_status
+
+    plan = q_malformed_status(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan  # the checked replies were written, and both sides of the join read them
