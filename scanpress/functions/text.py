@@ -15,6 +15,7 @@ import json
 import re
 import textwrap
 import unicodedata
+from collections.abc import Callable
 from html.entities import html5
 
 import pandas as pd
@@ -37,6 +38,15 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, where ``value`` is evaluated once however often ``use`` mentions it.
+
+    Below a higher-order function (:func:`decode_references`) Spark does not share common subexpressions: each mention of
+    a text would run the passes that make it again.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def has_rare_space(col: Column | str) -> Column:
     """True when the text holds whitespace outside Latin-1 (then only the Python path is exact)."""
     text = _c(col)
@@ -383,10 +393,9 @@ def remove_scripts_and_comments(col: Column | str) -> Column:
     # Literal tests on the tails decide whether any opener may be unclosed;
     # only such text pays for the marking (a wrong "no" costs time, never
     # correctness: the plain search is exact).
-    low = F.lower(original)
-    script_tail = F.substring_index(F.substring_index(low, "</script", -1), "</style", -1)
+    script_tail = F.substring_index(F.substring_index(F.lower(original), "</script", -1), "</style", -1)
     comment_tail = F.substring_index(original, "-->", -1)
-    crowded = script_tail.contains("<script") | script_tail.contains("<style") | comment_tail.contains("<!--")
+    crowded = once(script_tail, lambda s: s.contains("<script") | s.contains("<style")) | comment_tail.contains("<!--")
     plain = F.regexp_replace(original, SCRIPTS_AND_COMMENTS, "")
 
     text = F.replace(original, F.lit(_MARK), F.lit(_MARK + _ESC))
@@ -401,14 +410,19 @@ def remove_scripts_and_comments(col: Column | str) -> Column:
 
 
 def _untagged(col: Column | str) -> Column:
-    out = remove_scripts_and_comments(col)
+    return once(remove_scripts_and_comments(col), _without_tags)
+
+
+def _without_tags(out: Column) -> Column:
     # Tags end in ">", so none starts after the last one: both tag steps run
     # on the text up to it (each scan then stops at the next ">", keeping the
     # work linear), and the tail is kept as it is.
-    tail = F.substring_index(out, ">", -1)
-    head = out.substr(F.lit(1), F.length(out) - F.length(tail))
-    head = F.regexp_replace(head, rf"(?i)</?({BLOCK_TAGS})\b[^>]*>", "\n")
-    return F.concat(F.regexp_replace(head, r"<[^>]*>", ""), tail)
+    def split(tail: Column) -> Column:
+        head = out.substr(F.lit(1), F.length(out) - F.length(tail))
+        head = F.regexp_replace(head, rf"(?i)</?({BLOCK_TAGS})\b[^>]*>", "\n")
+        return F.concat(F.regexp_replace(head, r"<[^>]*>", ""), tail)
+
+    return once(F.substring_index(out, ">", -1), split)
 
 
 def html_to_text(col: Column | str) -> Column:
@@ -417,7 +431,7 @@ def html_to_text(col: Column | str) -> Column:
     References are looked up in a dictionary of all names; no row leaves Catalyst.
     """
     out = decode_references(_untagged(col))
-    out = F.regexp_replace(out, r"[ \t]+", " ")
+    out = F.regexp_replace(out, r"[ \t]{2,}|\t", " ")
     out = F.regexp_replace(out, r"[ \t\r]*\n[ \t\r\n]*", "\n\n")
     return F.regexp_replace(out, r"^[ \t\r\n]+|[ \t\r\n]+$", "")
 

@@ -158,9 +158,32 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     core.  Inputs that already have enough splits - the normal case for big
     tables - are returned untouched, so no shuffle is added at scale.
     Planning the scan to count its partitions runs no job.
+
+    A split without the start of a row group reads nothing, so the row groups
+    of few large files count too: their rows go to as many partitions as the
+    scan has splits.
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    splits = df.rdd.getNumPartitions()
+    if splits >= target and _row_groups(df.inputFiles(), 2 * target) >= 2 * target:
         return df
-    return df.repartition(target)
+    return df.repartition(max(splits, target))
+
+
+def _row_groups(files: list[str], enough: int) -> int:
+    """Row groups of the Parquet files, by their footers; ``enough`` if the files are that many or Arrow cannot open them."""
+    from pyarrow import ArrowException
+    from pyarrow import fs as pafs
+    from pyarrow import parquet as pq
+
+    if len(files) >= enough:
+        return enough
+    groups = 0
+    for uri in files:
+        try:
+            filesystem, path = pafs.FileSystem.from_uri(uri)
+            groups += pq.read_metadata(path, filesystem=filesystem).num_row_groups
+        except (ArrowException, OSError):
+            return enough
+    return groups

@@ -3,6 +3,7 @@ from __future__ import annotations
 import textwrap
 
 from conftest import col_values
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -73,3 +74,38 @@ def test_article_text_and_markdown(spark):
     assert got == ["H\n\nAuthor: Ann\n\nBody", "H2\n\nSub\n\n"]
     md = [r[0] for r in df.select(tx.article_markdown("h", "s", "a", "b")).collect()]
     assert md == ["# H\n\nAnn\n\n<p>Body</p>", "# H2\n\n**Sub**\n\n"]
+
+
+def test_text_is_made_once_below_higher_order_functions(spark):
+    """Every pass over the document has one mention in what the references are decoded from: there Spark shares nothing."""
+    from scanpress.functions.text import html_to_text
+
+    df = spark.range(1).select(F.concat(F.lit("<p>a&amp;b</p>"), F.col("id").cast("string")).alias("h"))
+    plan = df.select(html_to_text("h").alias("t"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("(?i)</?(p|br|") == 1
+    assert plan.count("(script|style)[^>]*>.*?</") == 2  # plainly, and marked for texts whose openers never close
+
+
+def test_few_row_groups_are_spread(spark, tmp_dir):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from scanpress.session import spread
+
+    target = spark.sparkContext.defaultParallelism
+    table = pa.table({"n": list(range(4000)), "text": [random_text(i) for i in range(4000)]})
+    pq.write_table(table, f"{tmp_dir}/one.parquet", row_group_size=4000, compression="none", use_dictionary=False)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = spark.read.parquet(f"{tmp_dir}/one.parquet")
+        assert df.rdd.getNumPartitions() >= target  # many splits, of which one holds all rows
+        rows = spread(df).rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(rows) == 4000 and max(rows) <= 2 * 4000 / target
+
+
+def random_text(seed):
+    import random
+
+    return "".join(random.Random(seed).choices("abcdefghijklmnopqrstuvwxyz", k=400))
