@@ -174,6 +174,19 @@ def _decoded(uri: str) -> Column:
     return F.url_decode(_encoded(uri))
 
 
+SPLITS_A_TASK = 16
+
+
+def _few_tasks(files: DataFrame) -> DataFrame:
+    """Several splits of many small files read by one task.
+
+    Spark takes a file for as dear to open as 4 MB are to read, so a split holds some 32 small files, and a task that
+    starts Python workers for them takes longer to start than to read.  Nothing moves.
+    """
+    splits, least = files.rdd.getNumPartitions(), 4 * files.sparkSession.sparkContext.defaultParallelism
+    return files if splits <= least else files.coalesce(max(least, splits // SPLITS_A_TASK))
+
+
 def read_article_html(spark: SparkSession, folder: str) -> DataFrame:
     """SRC-1: every ``*.html`` file below ``folder`` as one row ``(file_name, path, html)``.
 
@@ -182,7 +195,7 @@ def read_article_html(spark: SparkSession, folder: str) -> DataFrame:
     """
     df = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.html")
     hidden = _with_content(hidden_files(spark, folder, glob="*.html"))
-    return df.select(
+    return _few_tasks(df).select(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_path").alias("path"),
         F.col("value").alias("html"),

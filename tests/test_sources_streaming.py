@@ -200,3 +200,22 @@ def test_stream_articles_continuous_trigger(spark, tmp_dir):
     finally:
         query.stop()
     assert spark.read.parquet(out).count() == 2 * articles_from_replies(replies).count()
+
+
+def test_many_small_article_files_are_read_by_few_tasks(spark, tmp_dir):
+    import os
+
+    from scanpress.sources.files import read_article_html
+
+    os.makedirs(f"{tmp_dir}/many")
+    for n in range(200):
+        with open(f"{tmp_dir}/many/a_{n}-1_x.html", "w", encoding="utf-8") as fh:
+            fh.write(f"<p>{n}</p>")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4194304")  # a split a file
+    try:
+        files = read_article_html(spark, f"{tmp_dir}/many")
+        hidden = 4 * spark.sparkContext.defaultParallelism  # at most: those of files Spark passes over
+        assert files.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism + hidden < 200
+        assert sorted(r.html for r in files.collect()) == sorted(f"<p>{n}</p>" for n in range(200))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
