@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from scanpress.operators.ranking import materialize
 from scanpress.session import ensure_checkpoint_dir, scratch_path, ship_package
 
-__all__ = ["file_system", "materialize", "prepared", "qualified_uri", "scratch_uri", "table"]
+__all__ = ["file_system", "materialize", "prepared", "qualified_uri", "scratch_uri", "small_batches", "table"]
+
+BATCH_BYTES = 8 << 20
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -21,6 +26,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None]:
+    """Jobs started inside send rows to Python in batches of about ``size`` bytes at most.
+
+    Spark's own bound is 10,000 rows or 64 MB, held by the executor and by its Python worker for every core.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def qualified_uri(spark: SparkSession, path: str) -> str:
     """``path`` with the scheme of the cluster's default file system, in the form Arrow file systems take."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - Hadoop FS has no Python API

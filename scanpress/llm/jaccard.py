@@ -52,7 +52,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanpress.llm.common import materialize
+from scanpress.llm.common import materialize, small_batches
 from scanpress.llm.components import connected_components
 from scanpress.llm.sigtree import SignatureTree, by_width, folded, jaccard_parts, signature
 
@@ -61,7 +61,7 @@ UNIT = 1024
 SMALL_GROUP = 64
 SLOT_BITS, CHUNKS = 20, 64
 BROADCAST_ROWS = 1_000_000  # rows of at most three numbers that may be broadcast
-TEXT_BYTES = 4 << 20
+TEXT_BYTES, WORDS_HELD = 1 << 20, 1 << 17  # per Python worker: text split at once, hashes of words kept
 EPS = 1e-9
 PAIRS = "u long, v long"
 
@@ -81,7 +81,7 @@ class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= 400_000:
+        if len(self) >= WORDS_HELD:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -130,8 +130,9 @@ def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
-def _as_sets(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(b, "<u8") for b in column.to_pylist()]
+def _as_sets(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+    """The column's sets, as views of its memory."""
+    return [np.frombuffer(b.as_buffer(), "<u8") for b in column]
 
 
 # ---------------------------------------------------------------- order, prefixes, sets
@@ -151,7 +152,7 @@ def _levels(sets: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(slots, np.int64)
         for batch in (b.slice(k, 1000) for b in batches for k in range(0, b.num_rows, 1000)):
-            own = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8")
+            own = np.concatenate(_as_sets(batch.column(0)))
             total += np.bincount((own >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=slots)
         yield emit(total.clip(max=np.iinfo(np.uint32).max))
 
@@ -178,8 +179,8 @@ def _sets(df: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 2000):
-                some = batch.slice(k, 2000)
+            for k in range(0, batch.num_rows, 500):
+                some = batch.slice(k, 500)
                 data = [own.tobytes() for own in shingle_sets(some.column(2).to_pylist(), n)]
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(data, pa.binary())], names=schema.names)
 
@@ -207,11 +208,10 @@ def _signed(sets: DataFrame, percent: int) -> DataFrame:
         level = levels.value
         for batch in batches:
             sizes, hashes, sigs, keys = [], [], [], []
-            for data in batch.column(3).to_pylist():
-                own = np.frombuffer(data, "<u8")
+            for own in _as_sets(batch.column(3)):
                 sizes.append(len(own))
-                hashes.append(xxhash.xxh3_128_digest(data) if data else None)
-                sigs.append(signature(own) if data else None)
+                hashes.append(xxhash.xxh3_128_digest(own) if len(own) else None)
+                sigs.append(signature(own) if len(own) else None)
                 p = prefix_length(len(own), percent)
                 rank = level[(own >> np.uint64(64 - SLOT_BITS)).astype(np.int64)].astype(np.uint64)
                 order = (rank << np.uint64(58)) | (own >> np.uint64(6))
@@ -256,7 +256,6 @@ def _verified(corpus: _Corpus, pairs: DataFrame) -> DataFrame:
     sent = _sent(corpus, places)
 
     def compare(rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
         rids, heads = rows.column("rid").to_pylist(), rows.column("head").to_pylist()
         own = _as_sets(rows.column("set"))
         # Units are hashes: should two coincide, every head meets every partner, and the join below keeps the pairs asked for.
@@ -374,7 +373,7 @@ def _member_unit(percent: int):
     """For each document (rid, set) that is no head, one head it links with, if there is any -> (u, v)."""
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("rid").combine_chunks()
+        rows = rows.sort_by("rid")
         sets, heads = _as_sets(rows.column("set")), rows.column("head").to_pylist()
         sigs, sizes, found = [signature(x) for x in sets], np.array([len(x) for x in sets], np.int64), {}
         for a, b in _tree_pairs(list(range(len(sets))), sigs, sizes, np.zeros(len(sets)), heads, percent, 4):
@@ -541,6 +540,13 @@ def _apart(near: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _joined(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
     """doc_id, text_hash, size, rid, comp (a rid), component_id per input row."""
+    with small_batches(df.sparkSession):  # every step in Python is run and written in here
+        labelled = _labelled(df, id_col, text_col, n, percent)
+    smallest = labelled.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    return labelled.join(smallest, "comp")
+
+
+def _labelled(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
     sets = _sets(df, id_col, text_col, n)
     signed = _signed(sets, percent)
     rows = signed.select("rid", "doc_id", "text_hash", "size", "set_hash")
@@ -573,9 +579,7 @@ def _joined(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) ->
 
     rows = rows.drop("set_hash").join(copied, "rid", "left").withColumn("rep", F.coalesce("rep", "rid"))
     labelled = rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    labelled = materialize(labelled.withColumn("comp", F.coalesce("component", "rep")).drop("component", "rep"), "labelled")
-    smallest = labelled.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    return labelled.join(smallest, "comp")
+    return materialize(labelled.withColumn("comp", F.coalesce("component", "rep")).drop("component", "rep"), "labelled")
 
 
 def jaccard_components(
