@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanpress.llm.common import materialize
+from scanpress.llm.common import materialize, small_batches
 
 DIM = 1024
 TAIL, CEILING = 0.001, 0.2  # floors of the scores of known languages, see score_floors
@@ -55,6 +55,25 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(points[:-2] << 42 | points[1:-1] << 21 | points[2:], return_counts=True)
 
 
+def _summed(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes of several (codes, counts), counts added."""
+    codes, at = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
+    counts = np.bincount(at, weights=np.concatenate([n for _, n in found]), minlength=len(codes)).astype(np.int64)
+    return codes, counts
+
+
+def trigram_counts(batch: pa.RecordBatch) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Language label -> (codes, counts) over a batch of (text, label); trigrams of single texts are held for 256 at a time."""
+    held: dict[str, list] = {}
+    for first in range(0, batch.num_rows, 256):
+        some, found = batch.slice(first, 256), {}
+        for text, lang in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+            found.setdefault(lang, []).append(trigrams(text))
+        for lang, own in found.items():
+            held.setdefault(lang, []).append(_summed(own))
+    return {lang: _summed(own) for lang, own in held.items()}
+
+
 def letter_vector(point: int, dim: int) -> np.ndarray:
     key = point * 65536 + dim
     if key not in _LETTERS:
@@ -109,12 +128,7 @@ def train_prototypes(df: DataFrame, text_col: str, lang_col: str, dim: int = DIM
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held: dict[str, list] = {}
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held.setdefault(lang, []).append(trigrams(text))
-            for lang, found in held.items():
-                codes, at = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
-                counts = np.bincount(at, weights=np.concatenate([n for _, n in found]), minlength=len(codes)).astype(np.int64)
+            for lang, (codes, counts) in trigram_counts(batch).items():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(counts)], names=["lang", "code", "n"]
                 )
@@ -152,9 +166,9 @@ def identify(df: DataFrame, text_col: str, prototypes: dict[str, np.ndarray], di
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors = _HELD.setdefault(dim, _Vectors(dim))
         for batch in batches:
-            preds, scores, texts = [], [], batch.column(at_text).to_pylist()
-            for first in range(0, len(texts), 256):
-                found = [trigrams(t) for t in texts[first : first + 256]]
+            preds, scores = [], []
+            for first in range(0, batch.num_rows, 256):
+                found = [trigrams(t) for t in batch.column(at_text).slice(first, 256).to_pylist()]
                 vectors.learn(np.unique(np.concatenate([c for c, _ in found])))
                 for codes, counts in found:
                     if not len(codes) or not langs:
@@ -207,15 +221,22 @@ def drop_unidentified(
     clean text of a learned language stays.  Rows are scored once and written with their scores.  Without training rows
     (an empty table) nothing is known and nothing stays.
     """
-    prototypes = train_prototypes(df.filter(fold(id_col) != 1), text_col, lang_col, dim)
-    marks = {"lang_pred": "__lang_pred", "score": "__lang_score"}
+    with small_batches(df.sparkSession):  # training and scoring are run and written in here
+        scored = _scored(df, id_col, text_col, lang_col, dim)
     plain = {c: f"__own_{k}" for k, c in enumerate(df.columns)}
-    scored = identify(df.withColumnsRenamed(plain), plain[text_col], prototypes, dim).withColumnsRenamed(marks)
-    letters = F.regexp_count(plain[text_col], F.lit(r"\p{L}"))
-    scored = materialize(scored.withColumn("__lang_size", F.length(F.bin(F.coalesce(letters, F.lit(0))))), "scored")
     floors = score_floors(scored, (fold(plain[id_col]) != 1) & F.col(plain[lang_col]).isNotNull(), tail, ceiling)
     least = F.lit(0.0)
     for size, low in floors.items():
         least = F.when(F.col("__lang_size") == size, F.lit(low)).otherwise(least)
     kept = scored.filter((F.col("__lang_pred") != UNKNOWN) & (F.col("__lang_score") >= least))
     return kept.select(*[F.col(v).alias(c) for c, v in plain.items()])
+
+
+def _scored(df: DataFrame, id_col: str, text_col: str, lang_col: str, dim: int) -> DataFrame:
+    """The rows under plain names with ``__lang_pred``, ``__lang_score`` and ``__lang_size``, written once."""
+    prototypes = train_prototypes(df.filter(fold(id_col) != 1), text_col, lang_col, dim)
+    marks = {"lang_pred": "__lang_pred", "score": "__lang_score"}
+    plain = {c: f"__own_{k}" for k, c in enumerate(df.columns)}
+    scored = identify(df.withColumnsRenamed(plain), plain[text_col], prototypes, dim).withColumnsRenamed(marks)
+    letters = F.regexp_count(plain[text_col], F.lit(r"\p{L}"))
+    return materialize(scored.withColumn("__lang_size", F.length(F.bin(F.coalesce(letters, F.lit(0))))), "scored")
