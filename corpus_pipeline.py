@@ -6,7 +6,8 @@
 4. mixing: documents are repeated to temperature weights of their sources, every source at least once whole;
 5. packing: documents are placed in length buckets and token-budget batches.
 
-All stages but the last return the columns of ``documents``.
+All stages but the last return the columns of ``documents``.  Shuffle files go as each query of a stage ends, and
+:func:`run` deletes a stage's tables, its input included, once its result is written.
 """
 
 from __future__ import annotations
@@ -14,32 +15,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from scanpress.llm import dedup, jaccard, langid, mixing, packing
-from scanpress.llm.common import materialize, prepared, table
+from scanpress.llm.common import materialize, prepared, scratch_released, shuffles_released, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepared(spark)
-    return langid.drop_unidentified(docs)
+    with shuffles_released(prepared(spark)):
+        return langid.drop_unidentified(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepared(spark)
-    return dedup.drop_duplicates(docs)
+    with shuffles_released(prepared(spark)):
+        return dedup.drop_duplicates(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepared(spark)
-    return jaccard.keep_one_per_component(docs)
+    with shuffles_released(prepared(spark)):
+        return jaccard.keep_one_per_component(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepared(spark)
-    return mixing.mixed_rows(docs)
+    with shuffles_released(prepared(spark)):
+        return mixing.mixed_rows(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepared(spark)
-    return packing.pack(docs)
+    with shuffles_released(prepared(spark)):
+        return packing.pack(docs)
 
 
 STAGES = [
@@ -56,6 +57,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    with shuffles_released(spark), scratch_released(spark) as release:
+        for name, stage in STAGES:
+            docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+            release(docs)
     return docs

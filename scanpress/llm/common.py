@@ -6,13 +6,18 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scanpress.operators.ranking import materialize
-from scanpress.session import ensure_checkpoint_dir, scratch_path, ship_package
+from scanpress.session import ensure_checkpoint_dir, scratch_path, scratch_released, ship_package
 
-__all__ = ["file_system", "materialize", "prepared", "qualified_uri", "scratch_uri", "small_batches", "table"]
+__all__ = [
+    "broadcast_ids", "file_system", "materialize", "prepared", "qualified_uri", "scratch_released", "scratch_uri", "shuffles_released",
+    "small_batches", "table",
+]
 
 BATCH_BYTES = 8 << 20
+BROADCAST_ROWS = 1_000_000  # rows of at most three numbers that may be broadcast
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -32,15 +37,38 @@ def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None
 
     Spark's own bound is 10,000 rows or 64 MB, held by the executor and by its Python worker for every core.
     """
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    with _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(size)):
+        yield
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside delete their shuffle files as they end.
+
+    Else those files stay until the driver happens to collect the frames, which many steps in a row do not wait for.
+    """
+    with _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        yield
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     before = spark.conf.get(key, None)
-    spark.conf.set(key, str(size))
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def broadcast_ids(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of ids, broadcast if it has at most ``most`` rows, else joined by shuffling.
+
+    Without the hint both sides are shuffled before Spark knows how small the table is, texts included.
+    """
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def qualified_uri(spark: SparkSession, path: str) -> str:
     """``path`` with the scheme of the cluster's default file system, in the form Arrow file systems take."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - Hadoop FS has no Python API

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scanpress.llm.common import materialize
+from scanpress.llm.common import broadcast_ids, materialize
 
 COUNTERS = 1023
 
@@ -112,8 +112,9 @@ def drop_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The rows that stay, with all their columns.
 
     Copies of heavy digests are removed map-side against the broadcast
-    winners; the other copies by an anti join on the id.  Where ids repeat,
-    rows are matched on (id, length, digest) instead.
+    winners; the other copies by an anti join on the id, against a broadcast
+    while they are few, so that texts are not shuffled.  Where ids repeat, rows
+    are matched on (id, length, digest) instead.
     """
     decided, winners = _decided(df, id_col, text_col, counters)
     columns = df.columns
@@ -140,5 +141,5 @@ def drop_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .select(*columns)
         )
         lost = lost.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
-    gone = lost.select(F.col("id").alias("__dedup_id"))
+    gone = broadcast_ids(materialize(lost.select(F.col("id").alias("__dedup_id")), "gone"))
     return df.join(gone, df[id_col] == gone["__dedup_id"], "left_anti").select(*columns)

@@ -52,7 +52,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanpress.llm.common import materialize, small_batches
+from scanpress.llm.common import BROADCAST_ROWS, broadcast_ids, materialize, scratch_released, shuffles_released, small_batches
 from scanpress.llm.components import connected_components
 from scanpress.llm.sigtree import SignatureTree, by_width, folded, jaccard_parts, signature
 
@@ -60,7 +60,6 @@ WORDS, PERCENT = 5, 80
 UNIT = 1024
 SMALL_GROUP = 64
 SLOT_BITS, CHUNKS = 20, 64
-BROADCAST_ROWS = 1_000_000  # rows of at most three numbers that may be broadcast
 TEXT_BYTES, WORDS_HELD = 1 << 20, 1 << 17  # per Python worker: text split at once, hashes of words kept
 EPS = 1e-9
 PAIRS = "u long, v long"
@@ -233,7 +232,7 @@ def _signed(sets: DataFrame, percent: int) -> DataFrame:
 
 def _narrow(df: DataFrame) -> DataFrame:
     """A written table of ids, broadcast if it has at most ``BROADCAST_ROWS`` rows, else joined by shuffling."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return broadcast_ids(df, BROADCAST_ROWS)
 
 
 def _sent(corpus: _Corpus, places: DataFrame) -> DataFrame:
@@ -540,12 +539,21 @@ def _apart(near: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _joined(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
     """doc_id, text_hash, size, rid, comp (a rid), component_id per input row."""
-    with small_batches(df.sparkSession):  # every step in Python is run and written in here
-        labelled = _labelled(df, id_col, text_col, n, percent)
+    labelled = _grouped(df, id_col, text_col, n, percent)
     smallest = labelled.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     return labelled.join(smallest, "comp")
 
 
+def _grouped(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
+    """doc_id, text_hash, size, rid, comp (a rid) per input row, written; what led there is deleted."""
+    spark = df.sparkSession
+    # Every step in Python is run and written in here.
+    with small_batches(spark), shuffles_released(spark), scratch_released(spark) as release:
+        labelled = _labelled(df, id_col, text_col, n, percent)
+        release(labelled)
+    return labelled
+
+
 def _labelled(df: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
     sets = _sets(df, id_col, text_col, n)
     signed = _signed(sets, percent)
@@ -595,14 +603,15 @@ def keep_one_per_component(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
     """The rows of ``df`` with the smallest id of their component (of equal ids one row), all columns kept."""
-    joined = _joined(df, id_col, text_col, n, percent)
-    first = joined.groupBy("comp").agg(F.min(F.struct("doc_id", "rid")).alias("first"))
+    labelled = _grouped(df, id_col, text_col, n, percent)
+    first = labelled.groupBy("comp").agg(F.min(F.struct("doc_id", "rid")).alias("first"))
     columns = df.columns
-    if joined.groupBy("doc_id").count().filter((F.col("count") > 1) | F.col("doc_id").isNull()).limit(1).count():
-        stay = joined.join(first, "comp").filter(F.col("rid") == F.col("first.rid"))
+    if labelled.groupBy("doc_id").count().filter((F.col("count") > 1) | F.col("doc_id").isNull()).limit(1).count():
+        stay = labelled.join(first, "comp").filter(F.col("rid") == F.col("first.rid"))
         stay = stay.select(F.col("doc_id").alias("__jac_id"), F.col("text_hash").alias("__jac_to"))
         rows = df.withColumn("__jac_hash", F.xxhash64(text_col))
         on = rows[id_col].eqNullSafe(stay["__jac_id"]) & (rows["__jac_hash"] == stay["__jac_to"])
         return rows.join(stay, on, "left_semi").dropDuplicates([id_col, "__jac_hash"]).select(*columns)
-    gone = joined.join(first, "comp").filter(F.col("rid") != F.col("first.rid")).select(F.col("doc_id").alias("__jac_id"))
+    gone = labelled.join(first, "comp").filter(F.col("rid") != F.col("first.rid")).select(F.col("doc_id").alias("__jac_id"))
+    gone = _narrow(materialize(gone, "gone"))  # texts are not shuffled for few ids
     return df.join(gone, df[id_col] == gone["__jac_id"], "left_anti").select(*columns)

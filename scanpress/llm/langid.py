@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanpress.llm.common import materialize, small_batches
+from scanpress.llm.common import broadcast_ids, materialize, shuffles_released, small_batches
 
 DIM = 1024
 TAIL, CEILING = 0.001, 0.2  # floors of the scores of known languages, see score_floors
@@ -218,25 +218,35 @@ def drop_unidentified(
 
     A row goes if no letter is in its text (``und``) or its score lies below the floor of its size (:func:`score_floors`):
     short texts score low in any language, so floors are learned per size.  ``tail`` and the halving are set so that a
-    clean text of a learned language stays.  Rows are scored once and written with their scores.  Without training rows
-    (an empty table) nothing is known and nothing stays.
+    clean text of a learned language stays.  Rows are scored once; what is written are their scores, without the texts.
+    Rows go by id and hash of the text, of which the score is a function: ids may repeat or be null.  Without training
+    rows (an empty table) nothing is known and nothing stays.
     """
-    with small_batches(df.sparkSession):  # training and scoring are run and written in here
+    spark = df.sparkSession
+    with small_batches(spark), shuffles_released(spark):  # training and scoring are run and written in here
         scored = _scored(df, id_col, text_col, lang_col, dim)
-    plain = {c: f"__own_{k}" for k, c in enumerate(df.columns)}
-    floors = score_floors(scored, (fold(plain[id_col]) != 1) & F.col(plain[lang_col]).isNotNull(), tail, ceiling)
-    least = F.lit(0.0)
-    for size, low in floors.items():
-        least = F.when(F.col("__lang_size") == size, F.lit(low)).otherwise(least)
-    kept = scored.filter((F.col("__lang_pred") != UNKNOWN) & (F.col("__lang_score") >= least))
-    return kept.select(*[F.col(v).alias(c) for c, v in plain.items()])
+        floors = score_floors(scored, F.col("__lang_known"), tail, ceiling)
+        least = F.lit(0.0)
+        for size, low in floors.items():
+            least = F.when(F.col("__lang_size") == size, F.lit(low)).otherwise(least)
+        kept = (F.col("__lang_pred") != UNKNOWN) & (F.col("__lang_score") >= least)
+        gone = broadcast_ids(scored.filter(~kept).select("__lang_id", "__lang_text"))
+    on = df[id_col].eqNullSafe(gone["__lang_id"]) & F.xxhash64(df[text_col]).eqNullSafe(gone["__lang_text"])
+    return df.join(gone, on, "left_anti")
 
 
 def _scored(df: DataFrame, id_col: str, text_col: str, lang_col: str, dim: int) -> DataFrame:
-    """The rows under plain names with ``__lang_pred``, ``__lang_score`` and ``__lang_size``, written once."""
+    """``__lang_id``, ``__lang_text`` (its hash), ``__lang_known`` (a training row), ``__lang_pred``, ``__lang_score`` and
+    ``__lang_size`` of every row, written once."""
     prototypes = train_prototypes(df.filter(fold(id_col) != 1), text_col, lang_col, dim)
+    known = F.coalesce(fold(id_col) != 1, F.lit(False)) & F.col(lang_col).isNotNull()
+    letters = F.regexp_count(text_col, F.lit(r"\p{L}"))
+    rows = df.select(
+        F.col(id_col).alias("__lang_id"),
+        F.xxhash64(text_col).alias("__lang_text"),
+        known.alias("__lang_known"),
+        F.length(F.bin(F.coalesce(letters, F.lit(0)))).alias("__lang_size"),
+        F.col(text_col).alias("__lang_of"),
+    )
     marks = {"lang_pred": "__lang_pred", "score": "__lang_score"}
-    plain = {c: f"__own_{k}" for k, c in enumerate(df.columns)}
-    scored = identify(df.withColumnsRenamed(plain), plain[text_col], prototypes, dim).withColumnsRenamed(marks)
-    letters = F.regexp_count(plain[text_col], F.lit(r"\p{L}"))
-    return materialize(scored.withColumn("__lang_size", F.length(F.bin(F.coalesce(letters, F.lit(0))))), "scored")
+    return materialize(identify(rows, "__lang_of", prototypes, dim).drop("__lang_of").withColumnsRenamed(marks), "scored")

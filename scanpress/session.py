@@ -6,6 +6,9 @@ import atexit
 import os
 import shutil
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,6 +79,7 @@ def qualified_uri(spark: SparkSession, path: str) -> str:
 
 
 _SCRATCH: list[str] = []
+_RECORDS: ContextVar[tuple[list[str], ...]] = ContextVar("scanpress_scratch_records", default=())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -83,9 +87,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     path = f"{base}/scanpress/{name}-{uuid.uuid4().hex[:12]}"
     _SCRATCH.append(path)
+    for record in _RECORDS.get():
+        record.append(path)
     return path
 
 
+@contextmanager
+def scratch_released(spark: SparkSession) -> Iterator[Callable[..., None]]:
+    """Gives ``release(*kept)``: it deletes the scratch folders made inside so far that no frame of ``kept`` reads."""
+    own: list[str] = []
+
+    def release(*kept: DataFrame) -> None:
+        read = {part for df in kept for file in df.inputFiles() for part in file.split("/")}
+        for path in [p for p in own if os.path.basename(p) not in read]:
+            _delete(spark, path)
+            own.remove(path)
+            if path in _SCRATCH:
+                _SCRATCH.remove(path)
+
+    token = _RECORDS.set((*_RECORDS.get(), own))
+    try:
+        yield release
+    finally:
+        _RECORDS.reset(token)
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - Hadoop FS has no Python API
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return bool(fs.delete(hpath, True))
+
+
 def cleanup_scratch(spark: SparkSession | None = None) -> int:
     """Delete the scratch folders this process created (after their results are consumed).
 
@@ -97,10 +129,7 @@ def cleanup_scratch(spark: SparkSession | None = None) -> int:
     while _SCRATCH:
         path = _SCRATCH.pop()
         if spark is not None:
-            jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FS has no Python API
-            hpath = jvm.org.apache.hadoop.fs.Path(path)
-            fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-            removed += int(bool(fs.delete(hpath, True)))
+            removed += int(_delete(spark, path))
         else:
             local = path.removeprefix("file:")
             if local.startswith("/") and os.path.isdir(local):
