@@ -16,7 +16,7 @@ __all__ = [
     "small_batches", "table",
 ]
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES, READ_ROWS = 1 << 20, 512
 BROADCAST_ROWS = 1_000_000  # rows of at most three numbers that may be broadcast
 
 
@@ -33,11 +33,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @contextmanager
 def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None]:
-    """Jobs started inside send rows to Python in batches of about ``size`` bytes at most.
+    """Jobs started inside send rows to Python in batches of about ``size`` bytes at most, and read ``READ_ROWS`` rows at a time.
 
-    Spark's own bound is 10,000 rows or 64 MB, held by the executor and by its Python worker for every core.
+    Spark's own bounds are 10,000 rows or 64 MB, held by the executor and by its Python worker for every core, and 4096
+    rows of Parquet, which for texts and sets are arrays of 8 MB and more.
     """
-    with _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(size)):
+    with (
+        _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(size)),
+        _setting(spark, "spark.sql.parquet.columnarReaderBatchSize", str(READ_ROWS)),
+    ):
         yield
 
 

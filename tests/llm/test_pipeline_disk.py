@@ -89,3 +89,20 @@ def test_the_pipeline_leaves_its_last_table(spark):
     folders = _new_folders(spark, lambda: made.append(corpus_pipeline.run(spark, SF)))
     assert [os.path.basename(f).rpartition("-")[0] for f in folders] == ["stage-packing"]
     assert made[0].count() > 0
+
+
+def test_texts_are_read_and_sent_in_small_batches(spark):
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(key)
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], names=["n"])
+
+    wide = common.materialize(spark.range(0, 1500, 1, 1).selectExpr("repeat('x', 20000) AS text"), "wide")
+    with common.small_batches(spark):
+        assert spark.conf.get(key) == "512"
+        found = [r.n for r in wide.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) >= 30_000_000 and max(found) < 2e6 and spark.conf.get(key) == before
