@@ -1,23 +1,30 @@
 """File sources (SRC-1, SRC-2, SRC-3, SRC-4).
 
-Listing and reading are Spark's file sources; only the columns a caller
-selects are read (selecting ``path`` alone never loads ``content``).  Spark
-passes over names it takes for hidden (``_x``, ``.x``); those files are listed
-and read by the tasks of :func:`hidden_files`, so every file is seen once.
+Scans and names are listed and read by Spark's file sources; only the columns a
+caller selects are read (selecting ``path`` alone never loads ``content``).
+Spark passes over names it takes for hidden (``_x``, ``.x``); those files are
+listed and read by the tasks of :func:`hidden_files`, so every file is seen once.
+
+Article files are far more than scans, and Spark's sources hold every file they
+read in the driver; so tasks list them all into a table and read them by it.
 """
 
 from __future__ import annotations
 
+import os
 import re
+import unicodedata
+from collections.abc import Iterator
 from datetime import datetime, timezone
 from fnmatch import fnmatchcase
 from functools import reduce
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanpress.functions.names import base_name, file_stem
+from scanpress.operators.ranking import materialize
 from scanpress.schemas import RESPONSES
 
 READ_AT_ONCE = 4 << 20
@@ -187,8 +194,121 @@ def _few_tasks(files: DataFrame) -> DataFrame:
     return files if splits <= least else files.coalesce(max(least, splits // SPLITS_A_TASK))
 
 
-def read_article_html(spark: SparkSession, folder: str) -> DataFrame:
-    """SRC-1: every ``*.html`` file below ``folder`` as one row ``(file_name, path, html)``.
+FOUND = "folder string, name string, length long"  # a folder still to be listed has no name
+LISTED_AT_ONCE = 10_000
+FILE_COST = 16 << 10
+LEAST_FILES = 32
+
+
+def _entries(filesystem, folder: str) -> Iterator[tuple[str, bool, int | None]]:  # noqa: ANN001
+    """(name, whether a folder, bytes) of all that lies directly in a folder; a local folder is never held as a whole."""
+    from pyarrow import fs as pafs
+
+    if filesystem.type_name != "local":
+        for info in filesystem.get_file_info(pafs.FileSelector(folder)):
+            yield info.base_name, info.type == pafs.FileType.Directory, info.size
+        return
+    with os.scandir(folder or "/") as entries:
+        for entry in entries:
+            try:
+                is_dir = entry.is_dir()
+                yield entry.name, is_dir, None if is_dir else entry.stat().st_size
+            except FileNotFoundError:  # gone since, or a link to nothing: Hadoop's listing has no such file
+                continue
+
+
+def _found(rows: DataFrame, ending: str, recursive: bool) -> DataFrame:
+    """Every folder of ``rows`` replaced by the files in it whose names have the ending, and by its sub-folders or all their files."""
+
+    def walked(folder: str) -> Iterator[tuple]:
+        from pyarrow import fs as pafs
+
+        todo = [folder]
+        while todo:
+            uri = todo.pop()
+            filesystem, root = pafs.FileSystem.from_uri(_arrow_uri(uri))
+            for name, is_dir, length in _entries(filesystem, root.rstrip("/")):
+                if not is_dir:
+                    if name.endswith(ending):
+                        yield uri, name, length
+                elif recursive:
+                    todo.append(f"{uri.rstrip('/')}/{quote(name)}")
+                else:
+                    yield f"{uri.rstrip('/')}/{quote(name)}", None, None
+
+    def find(batches):  # noqa: ANN001, ANN202
+        import pyarrow as pa
+
+        schema = pa.schema([("folder", pa.string()), ("name", pa.string()), ("length", pa.int64())])
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+        for batch in batches:
+            out = []
+            for folder, name, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for row in walked(folder) if name is None else [(folder, name, length)]:
+                    out.append(row)
+                    if len(out) == LISTED_AT_ONCE:
+                        yield batch_of(out)
+                        out = []
+            if out:
+                yield batch_of(out)
+
+    return rows.mapInArrow(find, FOUND)
+
+
+def _hadoop_escaped(name: str) -> str:
+    """A name as it stands in Hadoop's uris and ``_metadata.file_path``."""
+    if re.fullmatch(r"[\w.~!*'();:@&=+$,-]*", name, re.ASCII):
+        return name
+    odd = [c in '"#%<>?[\\]^`{|}' or unicodedata.category(c) in ("Cc", "Zs", "Zl", "Zp") for c in name]
+    return "".join(quote(c) if o else c for c, o in zip(name, odd, strict=True))
+
+
+def _read_found(files: DataFrame) -> DataFrame:
+    """(file_name, path, html) of listed files, read by the tasks, a few megabytes or one file in memory at a time.
+
+    The rows of the listing are dealt to as many tasks as the files' bytes take at ``spark.sql.files.maxPartitionBytes``,
+    where a file counts as ``FILE_COST`` bytes more than it has; few files to 4 tasks a core, of ``LEAST_FILES`` files at least.
+    """
+
+    def read(batches):  # noqa: ANN001, ANN202
+        import pyarrow as pa
+        from pyarrow import fs as pafs
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["file_name", "path", "content"])
+
+        last = None
+        for batch in batches:
+            held, size = [], 0
+            for folder, name in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if folder != last:
+                    filesystem, root = pafs.FileSystem.from_uri(_arrow_uri(folder))
+                    above = unquote(re.sub("^file:///", "file:/", folder)).rstrip("/")
+                    last, above = folder, "/".join(_hadoop_escaped(part) for part in above.split("/"))
+                with filesystem.open_input_stream(f"{root.rstrip('/')}/{name}", compression=None) as stream:
+                    held.append((name, f"{above}/{_hadoop_escaped(name)}", stream.read()))
+                size += len(held[-1][2])
+                if size >= READ_AT_ONCE:
+                    yield batch_of(held)
+                    held, size = [], 0
+            if held:
+                yield batch_of(held)
+
+    spark = files.sparkSession
+    count, size = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())  # noqa: SLF001 - a size as a string has no Python reader
+    tasks = max(-(-(size + count * FILE_COST) // split), min(count // LEAST_FILES, 4 * spark.sparkContext.defaultParallelism), 1)
+    dealt = files.select("folder", "name").repartition(tasks).sortWithinPartitions("folder", "name")
+    return dealt.mapInArrow(read, "file_name string, path string, content binary").select(
+        "file_name", "path", F.col("content").cast("string").alias("html")
+    )
+
+
+def _read_by_spark(spark: SparkSession, folder: str) -> DataFrame:
+    """:func:`read_article_html` by Spark's text source, which lists in the driver: for stores that Arrow cannot open.
 
     ``wholetext`` must be the ``text()`` keyword: as an option the keyword's
     default overrides it and the file comes back line by line.
@@ -208,6 +328,31 @@ def read_article_html(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def read_article_html(spark: SparkSession, folder: str) -> DataFrame:
+    """SRC-1: every ``*.html`` file below ``folder`` as one row ``(file_name, path, html)``.
+
+    Listed at the call, as by Spark's sources, but by the tasks and into a table: first the given folders, then each
+    sub-folder with all it holds, dealt out by name.  Neither names nor splits of files pass through the driver.
+    """
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)  # noqa: SLF001 - Hadoop FS has no Python API
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    roots = []
+    for status in fs.globStatus(hpath) or []:
+        uri = _as_uri(status.getPath().toString())
+        if status.isDirectory():
+            roots.append((uri, None, None))
+        elif status.getPath().getName().endswith(".html"):
+            roots.append((_as_uri(status.getPath().getParent().toString()), status.getPath().getName(), status.getLen()))
+        if not arrow_opens(uri):
+            return _read_by_spark(spark, folder)
+    if not roots:  # Spark says what is missing, or reads nothing
+        return _read_by_spark(spark, folder)
+    cores = spark.sparkContext.defaultParallelism
+    rows = _found(spark.createDataFrame(roots, FOUND).repartition(min(len(roots), 4 * cores)), ".html", recursive=False)
+    rows = rows.repartition(cores, "folder", "name")
+    return _read_found(materialize(_found(rows, ".html", recursive=True), "article-listing"))
+
+
 def compact_article_html(spark: SparkSession, folder: str, out: str, target_files: int | None = None) -> None:
     """Read a folder of many small article files once and store them as a ``(file_name, path, html)`` table.
 
